@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +11,15 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import as_column
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    The optimizer merges projections, and an expression merged into a lambda would run
+    again for every element. Bound to a lambda variable it cannot be merged.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def literal_array(values: list, element_type: str) -> Column:
     """A driver-side list as one constant array.
 
@@ -37,21 +47,28 @@ def count_not_above(sorted_values: Column, length: int, key: Column) -> Column:
 def prefix_sums(c: Column | str) -> Column:
     """Inclusive running sums of an int array in ceil(log2(n)) whole-array additions,
     where appending one element at a time would copy about n*n/2 values."""
-    xs = as_column(c).cast("array<int>")
-    n = F.size(xs)
-    rounds = F.ceil(F.log2(F.greatest(n, F.lit(1)).cast("double"))).cast("int")
-
-    def add_shifted(acc: Column, r: Column) -> Column:
-        width = F.pow(F.lit(2), r).cast("int")
-        shifted = F.concat(
-            F.array_repeat(F.lit(0), width),
-            F.slice(acc, F.lit(1), F.greatest(n - width, F.lit(0))),
-        )
-        return F.zip_with(acc, F.slice(shifted, F.lit(1), n), lambda a, b: a + b)
-
-    # Round r adds the array shifted right by 2^r.
-    return F.aggregate(
-        F.filter(F.sequence(F.lit(0), F.greatest(rounds, F.lit(1)) - 1), lambda r: r < rounds),
-        xs,
-        add_shifted,
-    )
+
+    def scan(xs: Column) -> Column:
+        n = F.size(xs)
+        rounds = F.ceil(F.log2(F.greatest(n, F.lit(1)).cast("double"))).cast("int")
+
+        def add_shifted(acc: Column, r: Column) -> Column:
+            # Round r adds the array moved right by 2^r.
+            width = F.pow(F.lit(2), r).cast("int")
+            moved = F.concat(F.array_repeat(F.lit(0), width), acc)
+            return F.zip_with(acc, F.slice(moved, F.lit(1), n), lambda a, b: a + b)
+
+        every = F.sequence(F.lit(0), F.greatest(rounds, F.lit(1)) - 1)
+        return F.aggregate(F.filter(every, lambda r: r < rounds), xs, add_shifted)
+
+    return let(as_column(c).cast("array<int>"), scan)
+
+
+def explode_elements(column: Column | str, pos: str, element: str) -> Column:
+    """``posexplode`` of a computed array, without its empty-array filter.
+
+    For ``explode`` the optimizer adds a size check below the projection that made the
+    array, which computes it a second time; the outer form has no such check. Rows of
+    empty arrays come out with a null ``pos`` and have to be dropped by it.
+    """
+    return F.posexplode_outer(column).alias(pos, element)

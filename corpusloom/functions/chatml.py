@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import let
 from corpusloom.functions.text import as_column
 
 # ChatML markup and the empty reasoning block.
@@ -28,16 +29,21 @@ def render_turn(role: Column, content: Column, think: Column | bool = False) ->
 def render_messages(messages: Column | str, think_on_last: bool = True) -> Column:
     """``array<struct<role, content>>`` to text. With ``think_on_last`` a final
     assistant message carries the empty think block, earlier ones never do."""
-    msgs = as_column(messages)
-    last = F.size(msgs) - 1
 
-    def one(m, i):
-        think = (m["role"] == "assistant") & (i == last) if think_on_last else False
-        return render_turn(m["role"], m["content"], think)
+    def render(msgs: Column) -> Column:
+        last = F.size(msgs) - 1
 
-    parts = F.transform(msgs, one)
-    # array_join skips nulls; a message without content must not vanish silently.
-    return F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, ""))
+        def one(m, i):
+            think = (m["role"] == "assistant") & (i == last) if think_on_last else False
+            return render_turn(m["role"], m["content"], think)
+
+        # array_join skips nulls; a message without content must not vanish silently.
+        return let(
+            F.transform(msgs, one),
+            lambda parts: F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, "")),
+        )
+
+    return let(as_column(messages), render)
 
 
 def generation_prompt(messages: Column | str, thinking: bool = True) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.arrays import prefix_sums
+from corpusloom.functions.arrays import explode_elements, let, prefix_sums
 from corpusloom.operators.ordering import assign_batches
 
 IGNORE = -100
@@ -71,45 +71,49 @@ def completion_labels(
     instruction at 0.
     """
     element = _element(df, column)
-    ids = F.col(column)
-    h = _marker_starts(ids, [F.lit(v).cast(element) for v in instruction])
-    r = F.transform(
-        _marker_starts(ids, [F.lit(v).cast(element) for v in response]),
-        lambda p: p + len(response),
-    )
-    opened = F.when(
-        F.get("_h", F.lit(0)) > F.get("_r", F.lit(0)), F.concat(F.array(F.lit(0)), "_h")
-    ).otherwise(F.col("_h"))
-    spans = F.filter(
-        F.zip_with("_h", "_r", lambda a, b: F.struct(a.alias("h"), b.alias("r"))),
-        lambda s: s["h"].isNotNull() & s["r"].isNotNull(),
-    )
-    marked = (
-        df.withColumn("_h", h)
-        .withColumn("_r", r)
-        .withColumn("_h", opened)
-        .withColumn("_spans", spans)
-    )
-    nothing = (F.size("_h") == 0) | (F.size("_r") == 0)
-    unanswered_from = F.when(F.size("_h") > F.size("_r"), F.element_at("_h", -1))
     ignore = F.lit(IGNORE).cast(element)
+    first = F.lit(0)
+
+    def markers(ids):
+        starts = _marker_starts(ids, [F.lit(v).cast(element) for v in instruction])
+        answers = _marker_starts(ids, [F.lit(v).cast(element) for v in response])
+        ends = F.transform(answers, lambda p: p + len(response))
+        return F.struct(starts.alias("h"), ends.alias("r"))
+
+    def spans(found):
+        h, r = found["h"], found["r"]
+        pairs = F.zip_with(h, r, lambda a, b: F.struct(a.alias("h"), b.alias("r")))
+        return F.struct(
+            ((F.size(h) == 0) | (F.size(r) == 0)).alias("none"),
+            F.get(r, first).alias("start"),
+            F.filter(pairs, lambda p: p["h"].isNotNull() & p["r"].isNotNull()).alias("pairs"),
+            F.when(F.size(h) > F.size(r), F.get(h, F.size(h) - 1)).alias("open"),
+        )
 
-    def label(x, i):
-        hidden = (
-            (i < F.get("_r", F.lit(0)))
-            | F.exists("_spans", lambda s: (i >= s["h"]) & (i < s["r"]))
-            | F.coalesce(i >= F.col("_open"), F.lit(False))
+    def opened(found):
+        starts_with_answer = F.get(found["h"], first) > F.get(found["r"], first)
+        h = F.when(starts_with_answer, F.concat(F.array(first), found["h"])).otherwise(found["h"])
+        return F.struct(h.alias("h"), found["r"].alias("r"))
+
+    def label(ids, s):
+        def one(x, i):
+            hidden = (
+                s["none"]
+                | (i < s["start"])
+                | F.exists(s["pairs"], lambda p: (i >= p["h"]) & (i < p["r"]))
+                | F.coalesce(i >= s["open"], F.lit(False))
+            )
+            return F.when(hidden, ignore).otherwise(x)
+
+        return F.transform(ids, one)
+
+    def labels(ids):
+        return let(
+            let(let(markers(ids), opened), spans),
+            lambda s: label(ids, s),
         )
-        return F.when(hidden, ignore).otherwise(x)
 
-    labels = F.when(nothing, F.transform(column, lambda x: ignore)).otherwise(
-        F.transform(column, label)
-    )
-    return (
-        marked.withColumn("_open", F.when(~nothing, unanswered_from))
-        .withColumn("labels", labels)
-        .drop("_h", "_r", "_spans", "_open")
-    )
+    return df.withColumn("labels", let(F.col(column), labels))
 
 
 def next_token_pairs(
@@ -124,9 +128,9 @@ def next_token_pairs(
     )
     ignore = F.lit(IGNORE).cast(_element(df, labels))
     return (
-        df.select(*keep, F.posexplode(pairs).alias("pos", "_pair"))
+        df.select(*keep, explode_elements(pairs, "pos", "_pair"))
         .select(*keep, "pos", F.col("_pair.token").alias("token"), F.col("_pair.label").alias("label"))
-        .where(F.col("label") != ignore)
+        .where(F.col("pos").isNotNull() & (F.col("label") != ignore))
     )
 
 

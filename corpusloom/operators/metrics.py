@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import explode_elements, let
 from corpusloom.functions.text import as_column
 from corpusloom.operators.labels import IGNORE
 
@@ -19,9 +20,11 @@ def token_bin_counts(
     sequence, so one row per distinct token is shuffled.
     """
     cut = F.lit(input_length) if isinstance(input_length, int) else input_length
+    in_prompt = F.col("_pos") < F.col("_cut")
     return (
-        df.select(*keep, cut.alias("_cut"), F.posexplode(column).alias("_pos", "token"))
-        .withColumn("part", F.when(F.col("_pos") < F.col("_cut"), "prompt").otherwise("output"))
+        df.select(*keep, cut.alias("_cut"), explode_elements(column, "_pos", "token"))
+        .where(F.col("_pos").isNotNull())
+        .withColumn("part", F.when(in_prompt, "prompt").otherwise("output"))
         .groupBy(*keep, "part", "token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -39,22 +42,27 @@ def repetition_ratio(df: DataFrame, keep: list[str], column: str = "input_ids")
 def log_sum_exp(scores: Column | str) -> Column:
     """log(sum(exp(z))) shifted by the maximum, so that it cannot overflow."""
     z = as_column(scores)
-    top = F.array_max(z)
-    return top + F.log(F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - top)))
+    return let(
+        F.array_max(z),
+        lambda top: top + F.log(F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - top))),
+    )
 
 
 def cross_entropy_loss(scores: Column | str, label: Column | str) -> Column:
     """Loss of one row; null if the label is ignored, so that averages skip it."""
-    z, y = as_column(scores), as_column(label)
-    return F.when(y != IGNORE, log_sum_exp(z) - F.get(z, y.cast("int")))
+    y = as_column(label)
+    return let(
+        as_column(scores),
+        lambda z: F.when(y != IGNORE, log_sum_exp(z) - F.get(z, y.cast("int"))),
+    )
 
 
 def masked_cross_entropy(
     df: DataFrame, scores: str = "scores", label: str = "label", by: list[str] | None = None
 ) -> DataFrame:
     """Mean cross-entropy over rows whose label is not ignored."""
-    z = df.withColumn("_z", F.transform(scores, lambda x: x.cast("double")))
-    return z.withColumn("_loss", cross_entropy_loss("_z", label)).groupBy(*(by or [])).agg(
+    loss = cross_entropy_loss(F.col(scores).cast("array<double>"), label)
+    return df.withColumn("_loss", loss).groupBy(*(by or [])).agg(
         F.avg("_loss").alias("loss"), F.count("_loss").alias("num_labels")
     )
 

@@ -20,6 +20,10 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
+def _element_of(column: str):
+    return lambda i: F.get(F.col(column), i)
+
+
 def _pieces(columns: list[str], start: Column, end: Column, seq_len: int) -> Column:
     """One struct per block a row touches: block number, place in the stream, elements.
 
@@ -31,7 +35,7 @@ def _pieces(columns: list[str], start: Column, end: Column, seq_len: int) -> Col
         lo = F.greatest(start, k * seq_len)
         hi = F.least(end, (k + 1) * seq_len)
         places = F.sequence((lo - start).cast("int"), (hi - start - 1).cast("int"))
-        cut = [F.transform(places, lambda i, c=c: F.get(F.col(c), i)).alias(c) for c in columns]
+        cut = [F.transform(places, _element_of(c)).alias(c) for c in columns]
         return F.struct(k.alias("block_id"), lo.alias("from"), *cut)
 
     return F.transform(F.sequence(_div(start, seq_len), _div(end - 1, seq_len)), piece)

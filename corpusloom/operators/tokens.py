@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import explode_elements
 from corpusloom.functions.tokenizers import WORDS
 from corpusloom.operators.ordering import number_rows, plan_segments
 from corpusloom.sources.store import stage
@@ -41,7 +42,8 @@ def truncate(df: DataFrame, n: int, column: str = "input_ids") -> DataFrame:
 def token_frequencies(df: DataFrame, column: str = "input_ids") -> DataFrame:
     """Occurrences of each token; counted before the shuffle, so hot tokens are cheap."""
     return (
-        df.select(F.explode(column).alias("token"))
+        df.select(explode_elements(column, "_pos", "token"))
+        .where(F.col("_pos").isNotNull())
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("freq"))
     )
@@ -86,7 +88,7 @@ def _translate(
     pieces = (
         df.select(row_key, column)
         .repartition(row_key)
-        .select(row_key, F.posexplode_outer(column).alias("_pos", "_k"))
+        .select(row_key, explode_elements(column, "_pos", "_k"))
         .join(F.broadcast(head), "_k", "left")
     )
     if not tail.isEmpty():
@@ -187,13 +189,11 @@ def estimate_total(
         F.count(F.lit(1)).alias("sampled_rows"),
     )
     size = df.agg(F.count(F.lit(1)).alias("total_rows"))
-    # Both sides are single-row aggregates.
-    return sample.join(size, F.lit(True)).select(
-        "sampled_rows",
-        "total_rows",
-        "avg_tokens",
-        F.round(F.col("avg_tokens") * F.col("total_rows"), 3).alias("estimated_tokens"),
+    # Two one-row tables become one row.
+    both = sample.unionByName(size, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("sampled_rows", "total_rows", "avg_tokens")]
     )
+    return both.withColumn("estimated_tokens", F.col("avg_tokens") * F.col("total_rows"))
 
 
 def source_report(df: DataFrame, column: str, by: list[str], tokenizer=WORDS) -> DataFrame:

@@ -62,7 +62,11 @@ def scan_parquet(
 
 
 def scan_jsonl(
-    spark: SparkSession, root: str, schema: str | T.StructType, row_key: bool = False
+    spark: SparkSession,
+    root: str,
+    schema: str | T.StructType,
+    row_key: bool = False,
+    glob: str = "*.jsonl",
 ) -> DataFrame:
     """Every ``*.jsonl`` below ``root`` at any depth (``**/*.jsonl``).
 
@@ -72,7 +76,7 @@ def scan_jsonl(
     df = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.jsonl")
+        .option("pathGlobFilter", glob)
         .json(root)
     )
     return with_row_key(df, "json") if row_key else df
