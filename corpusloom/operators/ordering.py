@@ -27,11 +27,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import count_not_above, literal_array
+from corpusloom.sources.store import stage
 
 MAX_SEGMENTS = 65_536
 RANGE_ROWS = 500_000
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLE = 500_000
+TOP_KEYS = 1_000
 
 
 def order_key(*columns: str) -> Column:
@@ -92,21 +94,48 @@ def shard_starts(n: int, shards: int) -> list[int]:
     return [i * small + min(i, extra) for i in range(shards)]
 
 
+def _keys(df: DataFrame, order: str) -> tuple[DataFrame, str]:
+    keys = df.select(order)
+    key_type = keys.schema[0].dataType.simpleString()
+    if key_type not in ("tinyint", "smallint", "int", "bigint", "string"):
+        raise TypeError(f"order key must be an integer or a string, not {key_type}")
+    return keys, key_type
+
+
+def key_at(df: DataFrame, order: str, rank: int):
+    """The order key of the row at a 0-based rank, or None past the end.
+
+    Near the start every task sends its few lowest keys; further on all keys are ranked.
+    """
+    keys, key_type = _keys(df, order)
+    if rank < TOP_KEYS:
+        found = keys.orderBy(order).offset(rank).limit(1).first()
+        return None if found is None else found[order]
+    n = keys.count()
+    if rank >= n:
+        return None
+    return _ranked_keys(keys, order, key_type, n).where(F.col("_rank") == rank).first()[order]
+
+
 def plan_segments(
     df: DataFrame,
     order: str,
     batch_rows: int,
     shards: int = 1,
     max_segments: int = MAX_SEGMENTS,
+    stage_keys: bool = False,
 ) -> Segments:
     """Segments of whole batches: ``batch_rows`` consecutive rows inside each of
-    ``shards`` contiguous shards. Reads only ``order`` and whatever filters need."""
+    ``shards`` contiguous shards. Reads only ``order`` and whatever filters need.
+
+    The keys are read up to four times. That is cheap on columnar files; ``stage_keys``
+    writes them to the shared folder first, for JSON or costly filters.
+    """
     if batch_rows < 1 or shards < 1:
         raise ValueError("batch_rows and shards must be positive")
-    keys = df.select(order)
-    key_type = keys.schema[0].dataType.simpleString()
-    if key_type not in ("tinyint", "smallint", "int", "bigint", "string"):
-        raise TypeError(f"order key must be an integer or a string, not {key_type}")
+    keys, key_type = _keys(df, order)
+    if stage_keys:
+        keys = stage(keys, "keys")
     n = keys.count()
     starts = sorted({s for s in shard_starts(n, shards) if s < n})
     if n <= batch_rows and len(starts) <= 1:
@@ -136,14 +165,19 @@ def plan_segments(
 
 
 def assign_batches(
-    df: DataFrame, order: str, batch_rows: int, shards: int = 1, max_segments: int = MAX_SEGMENTS
+    df: DataFrame,
+    order: str,
+    batch_rows: int,
+    shards: int = 1,
+    max_segments: int = MAX_SEGMENTS,
+    stage_keys: bool = False,
 ) -> DataFrame:
     """Add ``segment``, ``batch_id`` and ``batch_row`` (0-based place in the batch).
 
     One shuffle, hashed on ``segment``. A batch lies inside one segment, so later
     windows and groupings on (segment, batch_id, ..) need no further exchange.
     """
-    plan = plan_segments(df, order, batch_rows, shards, max_segments)
+    plan = plan_segments(df, order, batch_rows, shards, max_segments, stage_keys)
     return number_rows(df.withColumn("segment", plan.segment()), plan)
 
 

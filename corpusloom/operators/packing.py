@@ -84,13 +84,14 @@ def pack(
     columns: list[str] | None = None,
     shards: int = 1,
     max_segments: int = MAX_SEGMENTS,
+    stage_keys: bool = False,
 ) -> DataFrame:
     """``(batch_id, block_id, *columns)``; every list column is cut at the same places.
 
     ``shards`` reproduces batches taken inside that many contiguous worker shards.
     """
     columns = columns or ["input_ids"]
-    plan = plan_segments(df, order, batch_rows, shards, max_segments)
+    plan = plan_segments(df, order, batch_rows, shards, max_segments, stage_keys)
     segmented = df.select(order, *columns).withColumn("segment", plan.segment())
     return _cut(number_rows(segmented, plan), columns, order, seq_len)
 
@@ -105,10 +106,11 @@ def pack_text(
     tokenizer=WORDS,
     mask: bool = False,
     max_segments: int = MAX_SEGMENTS,
+    stage_keys: bool = False,
 ) -> DataFrame:
     """Tokenize and pack. The raw text is what moves; tokens are made after the only
     exchange, since as lists they are several times larger than the text."""
-    plan = plan_segments(df, order, batch_rows, shards, max_segments)
+    plan = plan_segments(df, order, batch_rows, shards, max_segments, stage_keys)
     moved = df.select(order, text).withColumn("segment", plan.segment()).repartition("segment")
     ids = moved.select(order, "segment", tokenizer.tokens(text).alias("input_ids"))
     columns = ["input_ids"]

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.operators.ordering import key_at
+
 
 def score_value(df: DataFrame, score: str) -> Column:
     """The score as a number; text goes through ``try_cast`` so that one bad row
@@ -42,11 +44,17 @@ def drop_source_columns(df: DataFrame, source_columns: list[str]) -> DataFrame:
     return df.drop(*source_columns)
 
 
-def take(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """First n rows in key order (a per-partition top-n, then a merge)."""
-    return df.orderBy(*order).limit(n)
+def take(df: DataFrame, n: int, order: str) -> DataFrame:
+    """The first n rows in key order, as a filter below the key of row n.
+
+    Only keys are compared to find that row. A plain sort with limit would have every task
+    send its n widest rows to a single one. The filter is pushed into the scan.
+    """
+    end = key_at(df, order, n)
+    return df if end is None else df.where(F.col(order) < F.lit(end))
 
 
-def row_at(df: DataFrame, i: int, *order: str) -> DataFrame:
-    """The row at 0-based position i in key order."""
-    return df.orderBy(*order).offset(i).limit(1)
+def row_at(df: DataFrame, i: int, order: str) -> DataFrame:
+    """The row at 0-based position i in key order; no row past the end."""
+    key = key_at(df, order, i)
+    return df.limit(0) if key is None else df.where(F.col(order) == F.lit(key))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import explode_elements
 from corpusloom.functions.tokenizers import WORDS
 from corpusloom.operators.ordering import number_rows, plan_segments
+from corpusloom.operators.quality import take
 from corpusloom.sources.store import stage
 
 # Together these bound what encode/decode may broadcast: 100,000 rows of at most
@@ -50,39 +53,56 @@ def token_frequencies(df: DataFrame, column: str = "input_ids") -> DataFrame:
 
 
 def vocab(df: DataFrame, column: str = "input_ids", max_size: int | None = None) -> DataFrame:
-    """``(token, freq, token_id)``, ids by falling frequency, then token.
+    """``(token, freq, token_id)``, ids by falling frequency, then token; the first
+    ``max_size`` ids if given.
 
-    With ``max_size`` a distributed top-k picks the tokens first. The ids come from the
-    segment order of :mod:`ordering`, never from one task sorting every token. Counts are
-    written to the shared folder once, because numbering them takes two passes.
+    The ids come from the segment order of :mod:`ordering`, never from one task sorting
+    every token. Counts are written to the shared folder once, because numbering them
+    takes several passes.
     """
-    counts = token_frequencies(df, column)
-    if max_size is not None:
-        counts = counts.orderBy(F.col("freq").desc(), "token").limit(max_size)
     rank_key = F.concat_ws(
         ":", F.lpad((F.lit(2**62) - F.col("freq")).cast("string"), 19, "0"), F.col("token")
     )
-    counts = stage(counts.withColumn("_key", rank_key), "vocab")
+    counts = stage(token_frequencies(df, column).withColumn("_key", rank_key), "vocab")
     plan = plan_segments(counts, "_key", 65_536)
     numbered = number_rows(counts.withColumn("segment", plan.segment()), plan)
     token_id = F.col("batch_id") * plan.batch_rows + F.col("batch_row")
-    return numbered.select("token", "freq", token_id.alias("token_id"))
+    ids = numbered.select("token", "freq", token_id.alias("token_id"))
+    return ids if max_size is None else ids.where(F.col("token_id") < max_size)
 
 
-def _translate(
+def _in_head() -> Column:
+    return (F.col("token_id") < BROADCAST_ROWS) & (F.length("token") <= BROADCAST_TOKEN_CHARS)
+
+
+def _translate_in_place(df: DataFrame, rows: list, row_key: str, column: str, value_type: str):
+    """Look elements up inside the row: Arrow hash lookups on flattened batches."""
+    keys, values = pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])
+    element = pa.string() if value_type == "string" else pa.int64()
+
+    @F.arrow_udf(f"array<{value_type}>")
+    def look_up(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten()
+        found = pc.index_in(flat, value_set=keys.cast(flat.type))
+        offsets = pc.subtract(lists.offsets, lists.offsets[0])
+        elements = values.cast(element).take(found)
+        return pa.ListArray.from_arrays(offsets, elements, mask=lists.is_null())
+
+    return df.select(row_key, look_up(column).alias(column))
+
+
+def _translate_by_join(
     df: DataFrame, vocabulary: DataFrame, row_key: str, column: str, key: str, value: str
 ) -> DataFrame:
-    """Replace each element of ``column`` by its vocabulary partner.
+    """Look elements up in a vocabulary of any size.
 
     The most frequent tokens, a table of bounded size, are broadcast and take the skew.
-    If the vocabulary is larger, what they miss goes through a shuffle join, where
-    no key can be hot; elements already served carry a salt so that they spread too.
-    Rows are hashed on ``row_key`` as whole arrays before exploding, so the common
-    case regroups without moving single tokens.
+    What they miss goes through a shuffle join, where no key can be hot; elements
+    already served carry a salt so that they spread too. Rows are hashed on
+    ``row_key`` as whole arrays before exploding.
     """
-    in_head = (F.col("token_id") < BROADCAST_ROWS) & (F.length("token") <= BROADCAST_TOKEN_CHARS)
-    head = vocabulary.where(in_head).select(F.col(key).alias("_k"), F.col(value).alias("_v"))
-    tail = vocabulary.where(~in_head).select(
+    head = vocabulary.where(_in_head()).select(F.col(key).alias("_k"), F.col(value).alias("_v"))
+    tail = vocabulary.where(~_in_head()).select(
         F.col(key).alias("_tail_k"), F.col(value).alias("_tail_v"), F.lit(0).alias("_tail_salt")
     )
     pieces = (
@@ -91,25 +111,43 @@ def _translate(
         .select(row_key, explode_elements(column, "_pos", "_k"))
         .join(F.broadcast(head), "_k", "left")
     )
-    if not tail.isEmpty():
-        miss = F.col("_v").isNull() & F.col("_k").isNotNull()
-        spread = F.pmod(F.xxhash64(row_key, "_pos"), F.lit(MISS_SALTS)).cast("int") + 1
-        pieces = (
-            pieces.withColumn("_miss_k", F.when(miss, F.col("_k")))
-            .withColumn("_salt", F.when(miss, 0).otherwise(spread))
-            .join(
-                tail,
-                (F.col("_miss_k") == F.col("_tail_k")) & (F.col("_salt") == F.col("_tail_salt")),
-                "left",
-            )
-            .withColumn("_v", F.coalesce("_v", "_tail_v"))
+    miss = F.col("_v").isNull() & F.col("_k").isNotNull()
+    spread = F.pmod(F.xxhash64(row_key, "_pos"), F.lit(MISS_SALTS)).cast("int") + 1
+    pieces = (
+        pieces.withColumn("_miss_k", F.when(miss, F.col("_k")))
+        .withColumn("_salt", F.when(miss, 0).otherwise(spread))
+        .join(
+            tail,
+            (F.col("_miss_k") == F.col("_tail_k")) & (F.col("_salt") == F.col("_tail_salt")),
+            "left",
         )
+        .withColumn("_v", F.coalesce("_v", "_tail_v"))
+    )
     elements = F.array_sort(
         F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_v")))
     )
     return pieces.groupBy(row_key).agg(F.transform(elements, lambda e: e["_v"]).alias(column))
 
 
+def _translate(
+    df: DataFrame, vocabulary: DataFrame, row_key: str, column: str, key: str, value: str
+) -> DataFrame:
+    """Replace each element of ``column`` by its vocabulary partner; unknown ones are null.
+
+    A vocabulary whose measured size is within the broadcast bound travels with the tasks
+    and nothing is shuffled. A larger one is joined.
+    """
+    size = vocabulary.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.length("token")).alias("chars")
+    ).first()
+    if size["rows"] > BROADCAST_ROWS or (size["chars"] or 0) > BROADCAST_TOKEN_CHARS:
+        return _translate_by_join(df, vocabulary, row_key, column, key, value)
+    rows = vocabulary.select(key, value).collect()
+    return _translate_in_place(
+        df, rows, row_key, column, vocabulary.schema[value].dataType.simpleString()
+    )
+
+
 def encode_ids(
     df: DataFrame, vocabulary: DataFrame, row_key: str, column: str = "input_ids"
 ) -> DataFrame:
@@ -184,7 +222,7 @@ def estimate_total(
     df: DataFrame, column: str, order: str, sample_rows: int = 100_000, tokenizer=WORDS
 ) -> DataFrame:
     """Average tokens of the first ``sample_rows`` rows times the number of rows."""
-    sample = df.orderBy(order).limit(sample_rows).agg(
+    sample = take(df, sample_rows, order).agg(
         F.avg(tokenizer.count(column)).alias("avg_tokens"),
         F.count(F.lit(1)).alias("sampled_rows"),
     )

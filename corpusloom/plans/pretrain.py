@@ -18,7 +18,8 @@ class CorpusSource:
     """One input of the mixture. ``order`` is its unique row key.
 
     ``text`` names the text column; ``score`` the quality column to filter on, if any;
-    ``instruct`` marks prompt/response rows, which are rendered first.
+    ``instruct`` marks prompt/response rows, which are rendered first. ``stage_keys`` is for
+    sources without columnar storage, such as JSON lines: their keys are written once.
     """
 
     df: DataFrame
@@ -26,6 +27,7 @@ class CorpusSource:
     text: str = "content"
     score: str | None = None
     instruct: bool = False
+    stage_keys: bool = False
 
     def prepared(self, minimum: float) -> DataFrame:
         if self.instruct:
@@ -59,6 +61,7 @@ def pretrain_mixture(
             shards,
             tokenizer,
             mask=True,
+            stage_keys=source.stage_keys,
         )
         for name, source in sources.items()
     }
