@@ -44,26 +44,6 @@ def count_not_above(sorted_values: Column, length: int, key: Column) -> Column:
     )
 
 
-def prefix_sums(c: Column | str) -> Column:
-    """Inclusive running sums of an int array in ceil(log2(n)) whole-array additions,
-    where appending one element at a time would copy about n*n/2 values."""
-
-    def scan(xs: Column) -> Column:
-        n = F.size(xs)
-        rounds = F.ceil(F.log2(F.greatest(n, F.lit(1)).cast("double"))).cast("int")
-
-        def add_shifted(acc: Column, r: Column) -> Column:
-            # Round r adds the array moved right by 2^r.
-            width = F.pow(F.lit(2), r).cast("int")
-            moved = F.concat(F.array_repeat(F.lit(0), width), acc)
-            return F.zip_with(acc, F.slice(moved, F.lit(1), n), lambda a, b: a + b)
-
-        every = F.sequence(F.lit(0), F.greatest(rounds, F.lit(1)) - 1)
-        return F.aggregate(F.filter(every, lambda r: r < rounds), xs, add_shifted)
-
-    return let(as_column(c).cast("array<int>"), scan)
-
-
 def explode_elements(column: Column | str, pos: str, element: str) -> Column:
     """``posexplode`` of a computed array, without its empty-array filter.
 

@@ -50,28 +50,43 @@ class ByteTokenizer:
         return F.octet_length(as_column(c))
 
 
+def _batch_udf(load: Callable, return_type: str) -> Callable[[Column], Column]:
+    """A UDF that loads once per task and skips null texts."""
+
+    @F.pandas_udf(return_type)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        apply = load()
+        for texts in batches:
+            present = texts.notna()
+            results = iter(apply(texts[present].tolist()))
+            yield pd.Series([next(results) if p else None for p in present], dtype=object)
+
+    return run
+
+
 @dataclass(frozen=True)
 class ExternalTokenizer:
-    """Ids from any Python tokenizer, one Arrow batch at a time."""
+    """Ids from any Python tokenizer, one Arrow batch at a time.
+
+    ``load_counter`` is an optional cheaper way to the number of tokens, so that counting
+    sends back one number per text.
+    """
 
     load: Callable[[], Callable[[list[str]], list[list[int]]]]
+    load_counter: Callable[[], Callable[[list[str]], list[int]]] | None = None
     element_type: str = "int"
 
     def tokens(self, c: Column | str) -> Column:
-        load = self.load
+        return _batch_udf(self.load, "array<int>")(as_column(c))
 
-        @F.pandas_udf("array<int>")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            encode_texts = load()
-            for texts in batches:
-                present = texts.notna()
-                ids = iter(encode_texts(texts[present].tolist()))
-                yield pd.Series([next(ids) if p else None for p in present])
+    def count(self, c: Column | str) -> Column:
+        load = self.load
 
-        return encode(as_column(c))
+        def count_ids():
+            encode = load()
+            return lambda texts: [len(ids) for ids in encode(texts)]
 
-    def count(self, c: Column | str) -> Column:
-        return F.size(self.tokens(c))
+        return _batch_udf(self.load_counter or count_ids, "int")(as_column(c))
 
 
 def bpe_from_json(definition: str, add_special_tokens: bool = False) -> ExternalTokenizer:
@@ -80,18 +95,23 @@ def bpe_from_json(definition: str, add_special_tokens: bool = False) -> External
     The definition travels inside the task closure, so executors need no file.
     """
 
-    def load():
+    def encode_batch():
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(definition)
+        # The fast form leaves out character offsets.
+        run = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+        return lambda texts: run(texts, add_special_tokens=add_special_tokens)
 
-        def encode(texts: list[str]) -> list[list[int]]:
-            batch = tokenizer.encode_batch(texts, add_special_tokens=add_special_tokens)
-            return [e.ids for e in batch]
+    def load():
+        run = encode_batch()
+        return lambda texts: [e.ids for e in run(texts)]
 
-        return encode
+    def load_counter():
+        run = encode_batch()
+        return lambda texts: [len(e) for e in run(texts)]
 
-    return ExternalTokenizer(load)
+    return ExternalTokenizer(load, load_counter)
 
 
 WORDS = WordTokenizer()

@@ -1,16 +1,19 @@
-"""Training labels and sequence columns, row by row on id arrays (no shuffles).
+"""Training labels and sequence columns on id arrays; only ``sequence_offsets`` shuffles.
 
 ``IGNORE`` marks positions without loss. On string tokens it is the text ``-100``.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.arrays import explode_elements, let, prefix_sums
+from corpusloom.functions.arrays import explode_elements, let
 from corpusloom.operators.ordering import assign_batches
 
 IGNORE = -100
@@ -144,13 +147,24 @@ def supervised_token_count(df: DataFrame, keep: list[str], labels: str = "labels
 
 
 def position_ids(df: DataFrame, mask: str = "attention_mask") -> DataFrame:
-    """Running count of real tokens minus one; padded places get 1."""
-    return df.withColumn(
-        "position_ids",
-        F.zip_with(
-            prefix_sums(mask), mask, lambda total, m: F.when(m == 0, F.lit(1)).otherwise(total - 1)
-        ),
-    )
+    """Running count of real tokens minus one; padded places get 1.
+
+    A running sum over an array has no built-in form that is linear in its length, so it
+    is one cumulative sum per Arrow batch.
+    """
+
+    @F.arrow_udf("array<int>")
+    def places(masks: pa.Array) -> pa.Array:
+        flat = pc.fill_null(masks.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = masks.offsets.to_numpy() - masks.offsets[0].as_py()
+        total = np.cumsum(flat)
+        before = np.concatenate([[0], total])[starts[:-1]]
+        found = np.where(flat == 0, 1, total - np.repeat(before, np.diff(starts)) - 1)
+        return pa.ListArray.from_arrays(
+            pa.array(starts, pa.int32()), pa.array(found, pa.int32()), mask=masks.is_null()
+        )
+
+    return df.withColumn("position_ids", places(F.col(mask).cast("array<int>")))
 
 
 def sequence_offsets(
@@ -160,20 +174,19 @@ def sequence_offsets(
 
     Per row its length, the offsets before and after it in the unpadded stream, the
     longest length of the batch, and the places of its real tokens in the flattened
-    (row x width) batch. Lengths are taken before the shuffle; masks are not needed after
-    the places are known.
+    (row x width) batch. The mask moves once; everything is derived behind that exchange.
     """
-    rows = df.select(
-        order,
-        F.size(mask).cast("bigint").alias("_width"),
-        F.filter(
-            F.transform(mask, lambda m, i: F.when(m != 0, i).otherwise(F.lit(-1))), lambda i: i >= 0
-        ).alias("_real"),
-    ).withColumn("seqlen", F.size("_real").cast("bigint"))
+    real = F.filter(
+        F.sequence(F.lit(0), F.size(mask) - 1), lambda i: F.get(F.col(mask), i) != 0
+    )
     batch = W.partitionBy("segment", "batch_id")
     running = batch.orderBy("batch_row").rowsBetween(W.unboundedPreceding, 0)
+    first = F.col("batch_row") * F.size(mask).cast("bigint")
     return (
-        assign_batches(rows, order, batch_rows)
+        assign_batches(df.select(order, mask), order, batch_rows)
+        .withColumn("_real", F.when(F.size(mask) > 0, real).otherwise(F.array().cast("array<int>")))
+        .withColumn("seqlen", F.size("_real").cast("bigint"))
+        .withColumn("_first", first)
         .withColumn("end_offset", F.sum("seqlen").over(running))
         .withColumn("max_seqlen", F.max("seqlen").over(batch))
         .select(
@@ -184,9 +197,9 @@ def sequence_offsets(
             (F.col("end_offset") - F.col("seqlen")).alias("start_offset"),
             "end_offset",
             "max_seqlen",
-            F.transform(
-                "_real", lambda i: F.col("batch_row") * F.col("_width") + i.cast("bigint")
-            ).alias("flat_indices"),
+            F.transform("_real", lambda i: F.col("_first") + i.cast("bigint")).alias(
+                "flat_indices"
+            ),
         )
     )
 

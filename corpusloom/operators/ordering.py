@@ -14,7 +14,8 @@ They go back into the plan as one sorted constant, and each wide row finds its s
 by binary search. The wide rows then move once, hashed on the segment number, and a
 segment never holds more than ``rows_per_segment`` rows whatever the data look like.
 
-The order key must be unique and not null; integers and strings are supported.
+The order key must be unique and not null, which is checked on the way; integers and
+strings are supported.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from corpusloom.functions.arrays import count_not_above, literal_array
 from corpusloom.sources.store import stage
 
 MAX_SEGMENTS = 65_536
-RANGE_ROWS = 500_000
+RANGE_ROWS = 100_000
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLE = 500_000
 TOP_KEYS = 1_000
@@ -65,27 +66,41 @@ class Segments:
         return F.get(literal_array(self.first_batch, "bigint"), segment)
 
 
-def _ranked_keys(keys: DataFrame, order: str, key_type: str, n: int) -> DataFrame:
-    """Key and 0-based rank over the whole table."""
+def _with_rank(df: DataFrame, order: str, key_type: str, n: int) -> DataFrame:
+    """Add the 0-based rank, and the running number of repeated keys inside a range."""
     ranges = min(MAX_SEGMENTS, -(-n // RANGE_ROWS))
     cuts: list = []
     if ranges > 1:
         wanted = min(SAMPLES_PER_RANGE * ranges, MAX_SAMPLE)
+        keys = df.select(order)
         sample = sorted(r[0] for r in keys.sample(min(1.0, wanted / n), seed=17).collect())
         step = max(1, len(sample) // ranges)
         cuts = sorted(set(sample[step::step]))
+    offset = F.lit(0).cast("bigint")
+    in_range = F.lit(0)
     if cuts:
         in_range = count_not_above(literal_array(cuts, key_type), len(cuts), F.col(order))
-        keys = keys.withColumn("_range", in_range)
-        sizes = dict(keys.groupBy("_range").count().collect())
+        sizes = dict(df.select(in_range.alias("_range")).groupBy("_range").count().collect())
         counts = [sizes.get(i, 0) for i in range(len(cuts) + 1)]
         before = literal_array([0, *accumulate(counts[:-1])], "bigint")
         offset = F.get(before, F.col("_range"))
-    else:
-        keys = keys.withColumn("_range", F.lit(0))
-        offset = F.lit(0).cast("bigint")
-    position = F.row_number().over(W.partitionBy("_range").orderBy(order))
-    return keys.select(order, (offset + position - 1).alias("_rank"))
+    sorted_range = W.partitionBy("_range").orderBy(order)
+    repeated = F.coalesce((F.lag(order).over(sorted_range) == F.col(order)).cast("int"), F.lit(0))
+    return (
+        df.withColumn("_range", in_range)
+        .withColumn("_rank", offset + F.row_number().over(sorted_range) - 1)
+        .withColumn("_repeat", repeated)
+        .withColumn("_repeats", F.sum("_repeat").over(sorted_range.rowsBetween(W.unboundedPreceding, 0)))
+        .drop("_range")
+    )
+
+
+def rank_rows(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Add the exact 0-based rank of each row, for narrow tables: rows are moved whole."""
+    _, key_type = _keys(df, order)
+    return _with_rank(df, order, key_type, df.count()).withColumnRenamed("_rank", name).drop(
+        "_repeat", "_repeats"
+    )
 
 
 def shard_starts(n: int, shards: int) -> list[int]:
@@ -114,7 +129,7 @@ def key_at(df: DataFrame, order: str, rank: int):
     n = keys.count()
     if rank >= n:
         return None
-    return _ranked_keys(keys, order, key_type, n).where(F.col("_rank") == rank).first()[order]
+    return _with_rank(keys, order, key_type, n).where(F.col("_rank") == rank).first()[order]
 
 
 def plan_segments(
@@ -136,22 +151,28 @@ def plan_segments(
     keys, key_type = _keys(df, order)
     if stage_keys:
         keys = stage(keys, "keys")
-    n = keys.count()
+    sizes = keys.agg(F.count(F.lit(1)).alias("n"), F.count(order).alias("keyed")).first()
+    n = sizes["n"]
+    if sizes["keyed"] < n:
+        raise ValueError(f"order key {order} is null in {n - sizes['keyed']} rows")
     starts = sorted({s for s in shard_starts(n, shards) if s < n})
     if n <= batch_rows and len(starts) <= 1:
         return Segments(order, key_type, batch_rows, rows=n)
     batches_per_segment = max(1, -(-n // (batch_rows * max_segments)))
     unit = batch_rows * batches_per_segment
 
-    ranked = _ranked_keys(keys, order, key_type, n)
+    ranked = _with_rank(keys, order, key_type, n)
     if len(starts) > 1:
         shard = count_not_above(literal_array(starts, "bigint"), len(starts), F.col("_rank")) - 1
         in_shard = F.col("_rank") - F.get(literal_array(starts, "bigint"), shard)
     else:
         in_shard = F.col("_rank")
-    cuts = sorted(
-        (r["_rank"], r[order]) for r in ranked.where(in_shard % unit == 0).collect()
-    )
+    first_repeat = (F.col("_repeat") == 1) & (F.col("_repeats") == 1)
+    found = ranked.where((in_shard % unit == 0) | first_repeat).collect()
+    repeats = [r[order] for r in found if r["_repeat"]]
+    if repeats:
+        raise ValueError(f"order key {order} is not unique, for example {repeats[0]!r}")
+    cuts = sorted((r["_rank"], r[order]) for r in found)
     ends = [rank for rank, _ in cuts[1:]] + [n]
     batches = [-(-(end - rank) // batch_rows) for (rank, _), end in zip(cuts, ends)]
     return Segments(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import explode_elements
 from corpusloom.functions.tokenizers import WORDS
-from corpusloom.operators.ordering import number_rows, plan_segments
+from corpusloom.operators.ordering import rank_rows
 from corpusloom.operators.quality import take
 from corpusloom.sources.store import stage
 
@@ -56,18 +56,15 @@ def vocab(df: DataFrame, column: str = "input_ids", max_size: int | None = None)
     """``(token, freq, token_id)``, ids by falling frequency, then token; the first
     ``max_size`` ids if given.
 
-    The ids come from the segment order of :mod:`ordering`, never from one task sorting
-    every token. Counts are written to the shared folder once, because numbering them
+    The ids come from the range-wise ranks of :mod:`ordering`, never from one task sorting
+    every token. Counts are written to the shared folder once, because ranking them
     takes several passes.
     """
     rank_key = F.concat_ws(
         ":", F.lpad((F.lit(2**62) - F.col("freq")).cast("string"), 19, "0"), F.col("token")
     )
     counts = stage(token_frequencies(df, column).withColumn("_key", rank_key), "vocab")
-    plan = plan_segments(counts, "_key", 65_536)
-    numbered = number_rows(counts.withColumn("segment", plan.segment()), plan)
-    token_id = F.col("batch_id") * plan.batch_rows + F.col("batch_row")
-    ids = numbered.select("token", "freq", token_id.alias("token_id"))
+    ids = rank_rows(counts, "_key", "token_id").select("token", "freq", "token_id")
     return ids if max_size is None else ids.where(F.col("token_id") < max_size)
 
 

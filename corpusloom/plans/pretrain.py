@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -49,10 +50,12 @@ def pretrain_mixture(
 ) -> DataFrame:
     """``(source, source_ord, batch_id, block_id, input_ids, attention_mask)``.
 
-    Sources keep the order of the mapping. Source columns are dropped before packing.
+    Sources keep the order of the mapping. Source columns are dropped before packing. Each
+    source needs a few small jobs over its keys; those of all sources run side by side.
     """
-    packed = {
-        name: pack_text(
+
+    def packed(source: CorpusSource) -> DataFrame:
+        return pack_text(
             source.prepared(minimum),
             "text",
             source.order,
@@ -63,6 +66,7 @@ def pretrain_mixture(
             mask=True,
             stage_keys=source.stage_keys,
         )
-        for name, source in sources.items()
-    }
-    return concat_sources(packed)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
+        blocks = list(pool.map(packed, sources.values()))
+    return concat_sources(dict(zip(sources, blocks)))

@@ -56,7 +56,7 @@ def drain_totals(totals: DataFrame, path: str, checkpoint: str) -> None:
     """
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(path)
 
     (
         totals.writeStream.outputMode("complete")

@@ -4,7 +4,6 @@ import random
 
 from pyspark.sql import functions as F
 
-from corpusloom.functions.arrays import prefix_sums
 from corpusloom.operators import labels as m
 
 # The token ids of one system/user/assistant sample and its two markers.
@@ -73,21 +72,22 @@ def test_padding_and_causal(spark):
     assert column(m.causal_labels(df, 0), "labels") == [[5, 6, -100], [-100] * 3, [1, 2, 3]]
 
 
-def test_prefix_sums(spark):
-    rng = random.Random(1)
-    rows = [[], None, [7]] + [[rng.randrange(9) for _ in range(n)] for n in (2, 3, 8, 9, 100, 1000)]
-    df = spark.createDataFrame(list(enumerate(rows)), "k int, x array<int>")
-    got = column(df.select("k", prefix_sums("x").alias("s")), "s")
-    assert got == [None if r is None else [sum(r[: i + 1]) for i in range(len(r))] for r in rows]
-
-
 def test_position_ids(spark):
-    df = spark.createDataFrame([(0, [0, 0, 1, 1, 1]), (1, [1, 0, 1])], "k int, attention_mask array<int>")
-    assert column(m.position_ids(df), "position_ids") == [[1, 1, 0, 1, 2], [0, 1, 1]]
+    rng = random.Random(1)
+    masks = [[0, 0, 1, 1, 1], [1, 0, 1], [], None, [0]]
+    masks += [[rng.randrange(2) for _ in range(rng.randrange(60))] for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(masks)), "k int, attention_mask array<int>")
+    got = column(m.position_ids(df), "position_ids")
+    assert got[:5] == [[1, 1, 0, 1, 2], [0, 1, 1], [], None, [1]]
+    assert got == [
+        None if x is None else [sum(x[: i + 1]) - 1 if v else 1 for i, v in enumerate(x)] for x in masks
+    ]
 
 
 def test_offsets(spark):
     masks = [[1, 1, 1, 0], [0, 0, 1, 1], [1, 1, 1, 1]]
+    empty = spark.createDataFrame([(0, [])], "k int, attention_mask array<int>")
+    assert m.sequence_offsets(empty, "k", 3).first().flat_indices == []
     df = spark.createDataFrame(list(enumerate(masks)), "k int, attention_mask array<int>")
     rows = m.sequence_offsets(df, "k", 3).orderBy("k").collect()
     assert [rows[0].start_offset] + [r.end_offset for r in rows] == [0, 3, 5, 9]

@@ -140,6 +140,18 @@ def test_bounds(spark):
         plan_segments(spark.range(5).select(F.col("id").cast("double").alias("k")), "k", 10)
 
 
+def test_bad_keys_are_refused(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 30, [i]) for i in range(60)], "k bigint, input_ids array<int>")
+    with pytest.raises(ValueError, match="not unique"):
+        pack(df, "k", 4, 10)
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 10)
+    with pytest.raises(ValueError, match="not unique"):
+        pack(df, "k", 4, 10)
+    nulls = spark.createDataFrame([(None, [1]), (1, [1])], "k bigint, input_ids array<int>")
+    with pytest.raises(ValueError, match="null"):
+        pack(nulls, "k", 4, 1)
+
+
 def test_union_order(spark):
     a, b = spark.range(2), spark.range(3).withColumn("x", F.lit(1))
     rows = concat_sources({"b": b, "a": a}).orderBy("source_ord", "id").collect()
