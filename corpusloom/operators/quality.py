@@ -44,16 +44,38 @@ def drop_source_columns(df: DataFrame, source_columns: list[str]) -> DataFrame:
     return df.drop(*source_columns)
 
 
-def take(df: DataFrame, n: int, order: str) -> DataFrame:
-    """The first n rows in key order, as a filter below the key of row n.
+def slice_rows(df: DataFrame, start: int, stop: int | None, order: str) -> DataFrame:
+    """Rows ``start`` to before ``stop`` in key order, like a Python slice; ``stop=None`` is
+    open. The result itself is not sorted.
 
-    Only keys are compared to find that row. A plain sort with limit would have every task
-    send its n widest rows to a single one. The filter is pushed into the scan.
+    The slice is a filter between two keys, found by comparing keys only and pushed into
+    the scan. A sort with limit would have every task send its widest rows to a single one.
     """
-    end = key_at(df, order, n)
+    if start > 0:
+        first = key_at(df, order, start)
+        if first is None:
+            return df.limit(0)
+        df = df.where(F.col(order) >= F.lit(first))
+        stop = None if stop is None else stop - start
+    if stop is None:
+        return df
+    if stop <= 0:
+        return df.limit(0)
+    end = key_at(df, order, stop)
     return df if end is None else df.where(F.col(order) < F.lit(end))
 
 
+def take(df: DataFrame, n: int, order: str) -> DataFrame:
+    """The first n rows in key order."""
+    return slice_rows(df, 0, n, order)
+
+
+def take_batches(df: DataFrame, last_index: int, batch_rows: int, order: str) -> DataFrame:
+    """What a batch loop has consumed when it stops after a batch index above
+    ``last_index``: batches 0 to last_index + 1."""
+    return take(df, (last_index + 2) * batch_rows, order)
+
+
 def row_at(df: DataFrame, i: int, order: str) -> DataFrame:
     """The row at 0-based position i in key order; no row past the end."""
     key = key_at(df, order, i)

@@ -27,10 +27,12 @@ def _centroid_rows(centroids: DataFrame) -> list[Row]:
         bias.alias("bias"),
         F.col("vector").cast("array<double>").alias("vector"),
     )
-    rows = table.limit(MAX_CENTROIDS + 1).collect()
-    if len(rows) > MAX_CENTROIDS or sum(len(r["vector"]) for r in rows) > MAX_CENTROID_VALUES:
+    size = table.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.size("vector")).alias("values")
+    ).first()
+    if size["rows"] > MAX_CENTROIDS or (size["values"] or 0) > MAX_CENTROID_VALUES:
         raise ValueError(f"more than {MAX_CENTROIDS} centroids or {MAX_CENTROID_VALUES} values")
-    return sorted(rows, key=lambda r: r["bucket"])
+    return sorted(table.collect(), key=lambda r: r["bucket"])
 
 
 def _gate(rows: list[Row]):

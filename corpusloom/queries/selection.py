@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import split_once, str_strip
+from corpusloom.operators.ordering import order_key
 from corpusloom.operators.quality import (
     drop_source_columns,
     row_at,
     score_filter,
     score_rejects,
+    slice_rows,
     take,
+    take_batches,
 )
 from corpusloom.queries import Registry
 from corpusloom.queries import tables as t
@@ -55,6 +58,17 @@ def _(spark, sf):
     return take(t.documents(spark, sf).select("doc_id", "lang", "text"), 100, "doc_id")
 
 
+@R.add("slice_rows", "SELECT doc_id, lang, text FROM documents ORDER BY doc_id OFFSET 10 LIMIT 40")
+def _(spark, sf):
+    return slice_rows(t.documents(spark, sf).select("doc_id", "lang", "text"), 10, 50, "doc_id")
+
+
+@R.add("take_batches", "SELECT conv_id, turn, text FROM conversations ORDER BY conv_id, turn LIMIT 408")
+def _(spark, sf):
+    turns = t.conversations(spark, sf).withColumn("key", order_key("conv_id", "turn"))
+    return take_batches(turns, 100, 4, "key").select("conv_id", "turn", "text")
+
+
 @R.add("row_at", "SELECT doc_id, lang, text FROM documents ORDER BY doc_id OFFSET 3 LIMIT 1")
 def _(spark, sf):
     return row_at(t.documents(spark, sf).select("doc_id", "lang", "text"), 3, "doc_id")

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 from corpusloom.functions import chatml
 from corpusloom.functions.text import globs_to_regex, python_text, split_once, str_strip
 from corpusloom.operators import render
-from corpusloom.operators.quality import row_at, score_filter, score_rejects, take
+from corpusloom.operators.quality import (
+    row_at,
+    score_filter,
+    score_rejects,
+    slice_rows,
+    take,
+    take_batches,
+)
 
 
 def one(df, column):
@@ -47,6 +54,11 @@ def test_positions(spark):
     assert sorted(r.id for r in take(df, 7, "id").collect()) == list(range(7))
     assert take(df, 2500, "id").count() == 2500
     assert take(df, 9000, "id").count() == 5000
+    assert sorted(r.id for r in slice_rows(df, 10, 13, "id").collect()) == [10, 11, 12]
+    assert slice_rows(df, 4990, None, "id").count() == 10
+    assert slice_rows(df, 0, None, "id").count() == 5000
+    assert slice_rows(df, 6000, None, "id").count() == slice_rows(df, 5, 5, "id").count() == 0
+    assert take_batches(df, 100, 8, "id").count() == 102 * 8
     assert [r.id for r in row_at(df, 3, "id").collect()] == [3]
     assert [r.id for r in row_at(df, 4999, "id").collect()] == [4999]
     assert row_at(df, 5000, "id").count() == 0
