@@ -15,7 +15,6 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusloom.functions.tokenizers import BYTES, WORDS, bpe_from_json
 from corpusloom.operators.quality import score_filter
@@ -79,8 +78,7 @@ def pretrain(spark: SparkSession, args) -> None:
 def sft(spark: SparkSession, args) -> None:
     columns = [f.strip() for f in INSTRUCT.replace(" STRING", "").split(",")]
     df = scan(spark, args.path, args.format, columns, row_key=True)
-    rendered = chat_prompt_response(df, [ROW_KEY], system=args.system)
-    rendered.where(F.col("text").isNotNull()).write.parquet(args.out)
+    chat_prompt_response(df, [ROW_KEY], system=args.system).write.parquet(args.out)
 
 
 def parser() -> argparse.ArgumentParser:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import chatml
 from corpusloom.functions.text import str_strip
 from corpusloom.functions.tokenizers import WORDS
-from corpusloom.operators.ordering import assign_batches
+from corpusloom.operators.ordering import plan_segments
 from corpusloom.operators.tokens import truncate
 
 CHUNK_TURNS = 1024
@@ -280,9 +280,10 @@ def length_reward(df: DataFrame, response: str = "response") -> DataFrame:
 
 def reward_stats(df: DataFrame, order: str, batch_rows: int, reward: str = "reward") -> DataFrame:
     """Reward statistics per batch of consecutive rows. Only key and reward move."""
+    plan = plan_segments(df, order, batch_rows)
+    numbered = plan.number(df.select(order, reward).withColumn("segment", plan.segment()))
     return (
-        assign_batches(df.select(order, reward), order, batch_rows)
-        .groupBy("segment", "batch_id")
+        numbered.groupBy(*plan.batch_keys)
         .agg(
             F.count(F.lit(1)).alias("num_rows"),
             F.avg(reward).alias("mean_reward"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.arrays import explode_elements, let
-from corpusloom.operators.ordering import assign_batches
+from corpusloom.operators.ordering import plan_segments
 
 IGNORE = -100
 
@@ -179,28 +179,35 @@ def sequence_offsets(
     real = F.filter(
         F.sequence(F.lit(0), F.size(mask) - 1), lambda i: F.get(F.col(mask), i) != 0
     )
-    batch = W.partitionBy("segment", "batch_id")
-    running = batch.orderBy("batch_row").rowsBetween(W.unboundedPreceding, 0)
-    first = F.col("batch_row") * F.size(mask).cast("bigint")
-    return (
-        assign_batches(df.select(order, mask), order, batch_rows)
-        .withColumn("_real", F.when(F.size(mask) > 0, real).otherwise(F.array().cast("array<int>")))
-        .withColumn("seqlen", F.size("_real").cast("bigint"))
-        .withColumn("_first", first)
-        .withColumn("end_offset", F.sum("seqlen").over(running))
-        .withColumn("max_seqlen", F.max("seqlen").over(batch))
-        .select(
-            order,
-            "batch_id",
-            "batch_row",
-            "seqlen",
-            (F.col("end_offset") - F.col("seqlen")).alias("start_offset"),
-            "end_offset",
-            "max_seqlen",
-            F.transform("_real", lambda i: F.col("_first") + i.cast("bigint")).alias(
-                "flat_indices"
-            ),
-        )
+    width = F.size(mask).cast("bigint")
+    plan = plan_segments(df, order, batch_rows)
+    moved = plan.number(df.select(order, mask).withColumn("segment", plan.segment()))
+    rows = moved.withColumn(
+        "_real", F.when(F.size(mask) > 0, real).otherwise(F.array().cast("array<int>"))
+    ).select(
+        order,
+        "segment",
+        "batch_id",
+        "batch_row",
+        F.size("_real").cast("bigint").alias("seqlen"),
+        F.transform("_real", lambda i: F.col("batch_row") * width + i.cast("bigint")).alias("flat_indices"),
+    )
+    summed = plan.running_sum(rows, "seqlen", "end_offset")
+    if plan.split:
+        longest = rows.groupBy("batch_id").agg(F.max("seqlen").alias("max_seqlen"))
+        summed = summed.join(longest, "batch_id")
+    else:
+        longest = F.max("seqlen").over(W.partitionBy(*plan.batch_keys))
+        summed = summed.withColumn("max_seqlen", longest)
+    return summed.select(
+        order,
+        "batch_id",
+        "batch_row",
+        "seqlen",
+        (F.col("end_offset") - F.col("seqlen")).alias("start_offset"),
+        "end_offset",
+        "max_seqlen",
+        "flat_indices",
     )
 
 

@@ -10,23 +10,57 @@ from corpusloom.functions.text import as_column
 from corpusloom.operators.labels import IGNORE
 
 
+def _runs(xs: Column) -> Column:
+    """Distinct values of an array with their counts: sort, then measure the runs."""
+
+    def measure(s: Column) -> Column:
+        n = F.size(s)
+        starts = F.filter(
+            F.sequence(F.lit(0), n - 1),
+            lambda i: (i == 0) | ~F.get(s, i).eqNullSafe(F.get(s, i - 1)),
+        )
+
+        def counted(at: Column) -> Column:
+            ends = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(n))
+            return F.zip_with(
+                at,
+                ends,
+                lambda a, b: F.struct(F.get(s, a).alias("token"), (b - a).cast("bigint").alias("n")),
+            )
+
+        return F.when(n > 0, let(starts, counted))
+
+    return let(F.array_sort(xs), measure)
+
+
 def token_bin_counts(
     df: DataFrame, keep: list[str], input_length: Column | int, column: str = "input_ids"
 ) -> DataFrame:
     """Histogram of each sequence's tokens, ``(*keep, part, token, n)``.
 
     The first ``input_length`` tokens are the prompt part, the others the output part. A
-    token without a row is absent. Counting starts inside the task that holds the
-    sequence, so one row per distinct token is shuffled.
+    token without a row is absent. A sequence is one row, so it is counted inside the row
+    and nothing is shuffled.
     """
     cut = F.lit(input_length) if isinstance(input_length, int) else input_length
-    in_prompt = F.col("_pos") < F.col("_cut")
+
+    def labelled(part: str, tokens: Column) -> Column:
+        return F.transform(
+            _runs(tokens), lambda r: F.struct(F.lit(part).alias("part"), r["token"], r["n"])
+        )
+
+    def parts(ids: Column) -> Column:
+        prompt = labelled("prompt", F.slice(ids, F.lit(1), F.greatest(cut, F.lit(0))))
+        output = labelled("output", F.slice(ids, F.greatest(cut, F.lit(0)) + 1, F.size(ids)))
+        nothing = F.array().cast("array<struct<part: string, token: %s, n: bigint>>" % element)
+        return F.concat(F.coalesce(prompt, nothing), F.coalesce(output, nothing))
+
+    element = df.schema[column].dataType.elementType.simpleString()
+    counts = let(F.col(column), parts)
     return (
-        df.select(*keep, cut.alias("_cut"), explode_elements(column, "_pos", "token"))
+        df.select(*keep, explode_elements(counts, "_pos", "_c"))
         .where(F.col("_pos").isNotNull())
-        .withColumn("part", F.when(in_prompt, "prompt").otherwise("output"))
-        .groupBy(*keep, "part", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*keep, "_c.part", "_c.token", "_c.n")
     )
 
 

@@ -20,6 +20,7 @@ strings are supported.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from itertools import accumulate
 
@@ -31,6 +32,7 @@ from corpusloom.functions.arrays import count_not_above, literal_array
 from corpusloom.sources.store import stage
 
 MAX_SEGMENTS = 65_536
+MAX_BATCH_IN_SEGMENT = 262_144
 RANGE_ROWS = 100_000
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLE = 500_000
@@ -44,14 +46,23 @@ def order_key(*columns: str) -> Column:
 
 @dataclass(frozen=True)
 class Segments:
-    """Where each segment starts and which batch number it starts with."""
+    """Where each segment starts, in keys (``starts``, without the first) and in batches:
+    ``first_batch`` and ``first_row`` place its first row. ``split`` says that batches
+    are longer than segments; otherwise each batch lies inside one."""
 
     order: str
     key_type: str
     batch_rows: int
+    rows: int
     starts: list = field(default_factory=list)
     first_batch: list[int] = field(default_factory=lambda: [0])
-    rows: int = 0
+    first_row: list[int] = field(default_factory=lambda: [0])
+    split: bool = False
+
+    @property
+    def batch_keys(self) -> list[str]:
+        """Grouping columns for a batch; with ``segment`` among them no exchange is needed."""
+        return ["batch_id"] if self.split else ["segment", "batch_id"]
 
     def segment(self) -> Column:
         """Segment number of a row, from its order key."""
@@ -60,10 +71,46 @@ class Segments:
         bounds = literal_array(self.starts, self.key_type)
         return count_not_above(bounds, len(self.starts), F.col(self.order))
 
-    def first_batch_of(self, segment: Column) -> Column:
-        if len(self.first_batch) == 1:
-            return F.lit(self.first_batch[0]).cast("bigint")
-        return F.get(literal_array(self.first_batch, "bigint"), segment)
+    def number(self, segmented: DataFrame) -> DataFrame:
+        """``batch_id`` and ``batch_row`` (0-based) for rows that carry ``segment``."""
+        in_order = W.partitionBy("segment").orderBy(self.order)
+        place = (F.row_number().over(in_order) - 1).cast("bigint")
+        if any(self.first_row):
+            place = place + F.get(literal_array(self.first_row, "bigint"), F.col("segment"))
+        first_batch = F.lit(self.first_batch[0]).cast("bigint")
+        if len(self.first_batch) > 1:
+            first_batch = F.get(literal_array(self.first_batch, "bigint"), F.col("segment"))
+        size = F.lit(self.batch_rows).cast("bigint")
+        return (
+            segmented.withColumn("_place", place)
+            .withColumn("batch_id", first_batch + F.call_function("div", F.col("_place"), size))
+            .withColumn("batch_row", F.col("_place") % size)
+            .drop("_place")
+        )
+
+    def running_sum(self, numbered: DataFrame, value: str, name: str) -> DataFrame:
+        """Inclusive running sum of ``value`` (never negative) over each batch in order.
+
+        Inside segments this is a window. The sum where a row's batch begins is the
+        largest one seen at a first row, because sums never fall. Batches that span
+        segments add the totals of earlier ones: one row per segment, at most about
+        twice ``MAX_SEGMENTS``, which is why that table may be broadcast.
+        """
+        in_order = W.partitionBy("segment").orderBy(self.order).rowsBetween(W.unboundedPreceding, 0)
+        summed = numbered.withColumn(name, F.sum(value).over(in_order))
+        if not self.split:
+            at_first = F.when(F.col("batch_row") == 0, F.col(name) - F.col(value))
+            return summed.withColumn(name, F.col(name) - F.max(at_first).over(in_order))
+        totals = numbered.groupBy("batch_id", "segment").agg(F.sum(value).alias("_total"))
+        earlier = W.partitionBy("batch_id").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
+        before = totals.select(
+            "segment", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before")
+        )
+        return (
+            summed.join(F.broadcast(before), "segment")
+            .withColumn(name, F.col(name) + F.col("_before"))
+            .drop("_before")
+        )
 
 
 def _with_rank(df: DataFrame, order: str, key_type: str, n: int) -> DataFrame:
@@ -140,8 +187,11 @@ def plan_segments(
     max_segments: int = MAX_SEGMENTS,
     stage_keys: bool = False,
 ) -> Segments:
-    """Segments of whole batches: ``batch_rows`` consecutive rows inside each of
-    ``shards`` contiguous shards. Reads only ``order`` and whatever filters need.
+    """Segments for batches of ``batch_rows`` consecutive rows inside each of ``shards``
+    contiguous shards. Reads only ``order`` and whatever filters need.
+
+    A segment holds whole batches, as many as keep the number of segments within
+    ``max_segments``. Batches above ``MAX_BATCH_IN_SEGMENT`` rows are split over several.
 
     The keys are read up to four times. That is cheap on columnar files; ``stage_keys``
     writes them to the shared folder first, for JSON or costly filters.
@@ -155,63 +205,40 @@ def plan_segments(
     n = sizes["n"]
     if sizes["keyed"] < n:
         raise ValueError(f"order key {order} is null in {n - sizes['keyed']} rows")
+    split = batch_rows > MAX_BATCH_IN_SEGMENT
     starts = sorted({s for s in shard_starts(n, shards) if s < n})
-    if n <= batch_rows and len(starts) <= 1:
-        return Segments(order, key_type, batch_rows, rows=n)
-    batches_per_segment = max(1, -(-n // (batch_rows * max_segments)))
-    unit = batch_rows * batches_per_segment
+    if n <= min(batch_rows, MAX_BATCH_IN_SEGMENT) and len(starts) <= 1:
+        return Segments(order, key_type, batch_rows, n)
 
-    ranked = _with_rank(keys, order, key_type, n)
+    in_shard = F.col("_rank")
     if len(starts) > 1:
-        shard = count_not_above(literal_array(starts, "bigint"), len(starts), F.col("_rank")) - 1
-        in_shard = F.col("_rank") - F.get(literal_array(starts, "bigint"), shard)
+        known = literal_array(starts, "bigint")
+        in_shard = in_shard - F.get(known, count_not_above(known, len(starts), in_shard) - 1)
+    if split:
+        unit = max(MAX_BATCH_IN_SEGMENT, -(-n // max_segments))
+        opens = in_shard % batch_rows % unit == 0
     else:
-        in_shard = F.col("_rank")
+        unit = batch_rows * max(1, -(-n // (batch_rows * max_segments)))
+        opens = in_shard % unit == 0
     first_repeat = (F.col("_repeat") == 1) & (F.col("_repeats") == 1)
-    found = ranked.where((in_shard % unit == 0) | first_repeat).collect()
+    found = _with_rank(keys, order, key_type, n).where(opens | first_repeat).collect()
     repeats = [r[order] for r in found if r["_repeat"]]
     if repeats:
         raise ValueError(f"order key {order} is not unique, for example {repeats[0]!r}")
-    cuts = sorted((r["_rank"], r[order]) for r in found)
-    ends = [rank for rank, _ in cuts[1:]] + [n]
-    batches = [-(-(end - rank) // batch_rows) for (rank, _), end in zip(cuts, ends)]
-    return Segments(
-        order,
-        key_type,
-        batch_rows,
-        [key for _, key in cuts[1:]],
-        [0, *accumulate(batches[:-1])],
-        n,
-    )
-
 
-def assign_batches(
-    df: DataFrame,
-    order: str,
-    batch_rows: int,
-    shards: int = 1,
-    max_segments: int = MAX_SEGMENTS,
-    stage_keys: bool = False,
-) -> DataFrame:
-    """Add ``segment``, ``batch_id`` and ``batch_row`` (0-based place in the batch).
-
-    One shuffle, hashed on ``segment``. A batch lies inside one segment, so later
-    windows and groupings on (segment, batch_id, ..) need no further exchange.
-    """
-    plan = plan_segments(df, order, batch_rows, shards, max_segments, stage_keys)
-    return number_rows(df.withColumn("segment", plan.segment()), plan)
-
-
-def number_rows(segmented: DataFrame, plan: Segments) -> DataFrame:
-    """``batch_id`` and ``batch_row`` for rows that already carry ``segment``."""
-    place = (F.row_number().over(W.partitionBy("segment").orderBy(plan.order)) - 1).cast("bigint")
-    return (
-        segmented.withColumn("_place", place)
-        .withColumn(
-            "batch_id",
-            plan.first_batch_of(F.col("segment"))
-            + F.call_function("div", F.col("_place"), F.lit(plan.batch_rows).cast("bigint")),
-        )
-        .withColumn("batch_row", F.col("_place") % plan.batch_rows)
-        .drop("_place")
-    )
+    shard_rows = [b - a for a, b in zip(starts, [*starts[1:], n])]
+    batches_before = [0, *accumulate(-(-rows // batch_rows) for rows in shard_rows)]
+    segments = []
+    for rank, key in sorted((r["_rank"], r[order]) for r in found):
+        shard = bisect_right(starts, rank) - 1
+        batch, row = divmod(rank - starts[shard], batch_rows)
+        segments.append((key, batches_before[shard] + batch, row))
+    keys_, batches, rows = (list(c) for c in zip(*segments))
+    return Segments(order, key_type, batch_rows, n, keys_[1:], batches, rows, split)
+
+
+def assign_batches(df: DataFrame, order: str, batch_rows: int, **options) -> DataFrame:
+    """Add ``segment``, ``batch_id`` and ``batch_row``; one shuffle, hashed on ``segment``.
+    ``options`` are those of :func:`plan_segments`."""
+    plan = plan_segments(df, order, batch_rows, **options)
+    return plan.number(df.withColumn("segment", plan.segment()))

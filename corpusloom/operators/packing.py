@@ -9,11 +9,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.tokenizers import WORDS
-from corpusloom.operators.ordering import MAX_SEGMENTS, number_rows, plan_segments
+from corpusloom.operators.ordering import MAX_SEGMENTS, Segments, plan_segments
 
 
 def _div(a: Column, b: int) -> Column:
@@ -41,34 +40,24 @@ def _pieces(columns: list[str], start: Column, end: Column, seq_len: int) -> Col
     return F.transform(F.sequence(_div(start, seq_len), _div(end - 1, seq_len)), piece)
 
 
-def _cut(numbered: DataFrame, columns: list[str], order: str, seq_len: int) -> DataFrame:
+def _cut(numbered: DataFrame, plan: Segments, columns: list[str], seq_len: int) -> DataFrame:
     """Blocks of rows that carry ``segment``, ``batch_id`` and ``batch_row``.
 
-    Everything is hashed on ``segment`` already, so neither the windows nor the final
-    grouping adds an exchange, and one sort by (segment, order) serves both windows.
+    The rows are hashed on ``segment`` already, so neither the windows nor the final
+    grouping adds an exchange, and one sort by (segment, order) serves all windows. Only
+    batches split over segments have to meet again in their blocks.
     """
-    in_order = W.partitionBy("segment").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     n = F.coalesce(F.size(columns[0]), F.lit(0)).cast("bigint")
-    placed = (
-        numbered.withColumn("_n", n)
-        .withColumn("_stop", F.sum("_n").over(in_order))
-        # The stream position where the row's batch begins: positions never fall, so it
-        # is the largest one seen at a first row.
-        .withColumn(
-            "_zero", F.max(F.when(F.col("batch_row") == 0, F.col("_stop") - F.col("_n"))).over(in_order)
-        )
-        .where("_n > 0")
-    )
-    end = F.col("_stop") - F.col("_zero")
-    pieces = _pieces(columns, end - F.col("_n"), end, seq_len)
-    exploded = placed.select("segment", "batch_id", F.explode(pieces).alias("piece"))
+    placed = plan.running_sum(numbered.withColumn("_n", n), "_n", "_end").where("_n > 0")
+    pieces = _pieces(columns, F.col("_end") - F.col("_n"), F.col("_end"), seq_len)
+    exploded = placed.select(*plan.batch_keys, F.explode(pieces).alias("piece"))
     # At most seq_len pieces meet in one block.
     in_block = F.array_sort(
         F.collect_list(F.struct("piece.from", *[f"piece.{c}" for c in columns]))
     )
-    blocks = exploded.groupBy(
-        "segment", "batch_id", F.col("piece.block_id").alias("block_id")
-    ).agg(in_block.alias("_pieces"))
+    blocks = exploded.groupBy(*plan.batch_keys, F.col("piece.block_id").alias("block_id")).agg(
+        in_block.alias("_pieces")
+    )
     joined = [F.flatten(F.col(f"_pieces.{c}")).alias(c) for c in columns]
     # Only a batch's first block may be short: then it is all the batch has.
     return blocks.select("batch_id", "block_id", *joined).where(
@@ -93,7 +82,7 @@ def pack(
     columns = columns or ["input_ids"]
     plan = plan_segments(df, order, batch_rows, shards, max_segments, stage_keys)
     segmented = df.select(order, *columns).withColumn("segment", plan.segment())
-    return _cut(number_rows(segmented, plan), columns, order, seq_len)
+    return _cut(plan.number(segmented), plan, columns, seq_len)
 
 
 def pack_text(
@@ -117,7 +106,7 @@ def pack_text(
     if mask:
         ids = ids.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
         columns.append("attention_mask")
-    return _cut(number_rows(ids, plan), columns, order, seq_len)
+    return _cut(plan.number(ids), plan, columns, seq_len)
 
 
 def pack_report(
@@ -132,8 +121,8 @@ def pack_report(
     plan = plan_segments(df, order, batch_rows, shards)
     narrow = df.select(order, F.col(num_tokens).cast("bigint").alias("_n"))
     batches = (
-        number_rows(narrow.withColumn("segment", plan.segment()), plan)
-        .groupBy("segment", "batch_id")
+        plan.number(narrow.withColumn("segment", plan.segment()))
+        .groupBy(*plan.batch_keys)
         .agg(F.sum("_n").alias("_t"))
     )
     full = _div(F.col("_t"), seq_len)

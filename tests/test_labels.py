@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from corpusloom.operators import labels as m
+from corpusloom.operators import ordering
 
 # The token ids of one system/user/assistant sample and its two markers.
 GOLDEN = [
@@ -96,6 +97,16 @@ def test_offsets(spark):
     assert [i for r in rows for i in r.flat_indices] == [i for i, x in enumerate(flat) if x]
 
 
+def test_offsets_of_long_batches(spark, monkeypatch):
+    rng = random.Random(3)
+    masks = [[rng.randrange(2) for _ in range(12)] for _ in range(100)]
+    df = spark.createDataFrame(list(enumerate(masks)), "k int, attention_mask array<int>")
+    whole = m.sequence_offsets(df, "k", 40).orderBy("k").collect()
+    monkeypatch.setattr(ordering, "MAX_BATCH_IN_SEGMENT", 9)
+    assert m.sequence_offsets(df, "k", 40).orderBy("k").collect() == whole
+    assert whole[39].end_offset == sum(map(sum, masks[:40])) and whole[40].start_offset == 0
+
+
 def test_last_valid_index(spark):
     rows = [[1, 2, 3, 4, 5], [1, 2, 0, 0, 0], [0, 1, 2, 3, 4]]
     assert column(m.last_valid_index(ids_table(spark, rows), 0), "last_index") == [4, 1, 4]

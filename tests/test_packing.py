@@ -95,6 +95,18 @@ def test_many_ranges(spark, monkeypatch):
     ]
 
 
+@pytest.mark.parametrize("batch_rows, shards", [(100, 1), (1000, 1), (40, 3), (33, 1)])
+def test_batches_longer_than_a_segment(spark, monkeypatch, batch_rows, shards):
+    monkeypatch.setattr(ordering, "MAX_BATCH_IN_SEGMENT", 32)
+    rows = random_rows(250, seed=6)
+    df = table(spark, rows)
+    assert packed(pack(df, "k", 64, batch_rows, shards=shards)) == loop_pack(rows, 64, batch_rows, shards)
+    assert packed(pack(df, "k", 10**6, batch_rows, shards=shards)) == loop_pack(rows, 10**6, batch_rows, shards)
+    report = pack_report(df.withColumn("num_tokens", F.size("input_ids")), "k", 64, batch_rows, shards=shards).first()
+    expected = loop_pack(rows, 64, batch_rows, shards)
+    assert (report.blocks, report.kept_tokens) == (len(expected), sum(map(len, expected.values())))
+
+
 def test_string_keys(spark):
     rows = random_rows(90, seed=2)
     keys = sorted(f"é{i}\U0001f600" if i % 2 else f"z{i}" for i in range(len(rows)))
