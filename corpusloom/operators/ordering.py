@@ -93,8 +93,8 @@ class Segments:
 
         Inside segments this is a window. The sum where a row's batch begins is the
         largest one seen at a first row, because sums never fall. Batches that span
-        segments add the totals of earlier ones: one row per segment, at most about
-        twice ``MAX_SEGMENTS``, which is why that table may be broadcast.
+        segments add the totals of earlier ones: one row per segment, at most twice
+        ``MAX_SEGMENTS`` plus one per shard, which is why that table may be broadcast.
         """
         in_order = W.partitionBy("segment").orderBy(self.order).rowsBetween(W.unboundedPreceding, 0)
         summed = numbered.withColumn(name, F.sum(value).over(in_order))
@@ -191,7 +191,8 @@ def plan_segments(
     contiguous shards. Reads only ``order`` and whatever filters need.
 
     A segment holds whole batches, as many as keep the number of segments within
-    ``max_segments``. Batches above ``MAX_BATCH_IN_SEGMENT`` rows are split over several.
+    ``max_segments``. Batches above ``MAX_BATCH_IN_SEGMENT`` rows are split over several,
+    unless the table is so large that segments have to be longer still.
 
     The keys are read up to four times. That is cheap on columnar files; ``stage_keys``
     writes them to the shared folder first, for JSON or costly filters.
@@ -205,7 +206,8 @@ def plan_segments(
     n = sizes["n"]
     if sizes["keyed"] < n:
         raise ValueError(f"order key {order} is null in {n - sizes['keyed']} rows")
-    split = batch_rows > MAX_BATCH_IN_SEGMENT
+    split_rows = max(MAX_BATCH_IN_SEGMENT, -(-n // max_segments))
+    split = batch_rows > split_rows
     starts = sorted({s for s in shard_starts(n, shards) if s < n})
     if n <= min(batch_rows, MAX_BATCH_IN_SEGMENT) and len(starts) <= 1:
         return Segments(order, key_type, batch_rows, n)
@@ -215,8 +217,7 @@ def plan_segments(
         known = literal_array(starts, "bigint")
         in_shard = in_shard - F.get(known, count_not_above(known, len(starts), in_shard) - 1)
     if split:
-        unit = max(MAX_BATCH_IN_SEGMENT, -(-n // max_segments))
-        opens = in_shard % batch_rows % unit == 0
+        opens = in_shard % batch_rows % split_rows == 0
     else:
         unit = batch_rows * max(1, -(-n // (batch_rows * max_segments)))
         opens = in_shard % unit == 0

@@ -13,8 +13,11 @@ from corpusloom.operators.ordering import rank_rows
 from corpusloom.operators.quality import take
 from corpusloom.sources.store import stage
 
-# Together these bound what encode/decode may broadcast: 100,000 rows of at most
-# 256 characters.
+# A vocabulary within these measured bounds travels with the tasks.
+IN_PLACE_ROWS = 262_144
+IN_PLACE_CHARS = 16_000_000
+# Of a larger one this part is broadcast: the 100,000 most frequent tokens, unless
+# they are longer than 256 characters.
 BROADCAST_ROWS = 100_000
 BROADCAST_TOKEN_CHARS = 256
 MISS_SALTS = 1024
@@ -57,15 +60,17 @@ def vocab(df: DataFrame, column: str = "input_ids", max_size: int | None = None)
     ``max_size`` ids if given.
 
     The ids come from the range-wise ranks of :mod:`ordering`, never from one task sorting
-    every token. Counts are written to the shared folder once, because ranking them
-    takes several passes.
+    every token. The counts are written to the shared folder because ranking them takes
+    several passes, and the result because encoding and decoding read it several times.
     """
     rank_key = F.concat_ws(
         ":", F.lpad((F.lit(2**62) - F.col("freq")).cast("string"), 19, "0"), F.col("token")
     )
-    counts = stage(token_frequencies(df, column).withColumn("_key", rank_key), "vocab")
+    counts = stage(token_frequencies(df, column).withColumn("_key", rank_key), "counts")
     ids = rank_rows(counts, "_key", "token_id").select("token", "freq", "token_id")
-    return ids if max_size is None else ids.where(F.col("token_id") < max_size)
+    if max_size is not None:
+        ids = ids.where(F.col("token_id") < max_size)
+    return stage(ids, "vocab")
 
 
 def _in_head() -> Column:
@@ -131,13 +136,13 @@ def _translate(
 ) -> DataFrame:
     """Replace each element of ``column`` by its vocabulary partner; unknown ones are null.
 
-    A vocabulary whose measured size is within the broadcast bound travels with the tasks
-    and nothing is shuffled. A larger one is joined.
+    A vocabulary whose measured size is within the bounds travels with the tasks and
+    nothing is shuffled. A larger one is joined.
     """
     size = vocabulary.agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.length("token")).alias("chars")
+        F.count(F.lit(1)).alias("rows"), F.sum(F.length("token")).alias("chars")
     ).first()
-    if size["rows"] > BROADCAST_ROWS or (size["chars"] or 0) > BROADCAST_TOKEN_CHARS:
+    if size["rows"] > IN_PLACE_ROWS or (size["chars"] or 0) > IN_PLACE_CHARS:
         return _translate_by_join(df, vocabulary, row_key, column, key, value)
     rows = vocabulary.select(key, value).collect()
     return _translate_in_place(

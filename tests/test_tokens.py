@@ -55,6 +55,7 @@ def random_words(n=60):
 def test_vocabulary_round_trip(spark, monkeypatch, limit):
     """limit 5 sends all but five tokens through the join."""
     monkeypatch.setattr(k, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(k, "IN_PLACE_ROWS", limit)
     values = random_words() + [None]
     words = k.tokenize(texts(spark, values), "text", ["k"])
     vocabulary = k.vocab(words)
@@ -83,7 +84,8 @@ def test_vocabulary_round_trip(spark, monkeypatch, limit):
 def test_small_vocabulary_leaves_nulls(spark, monkeypatch, limit):
     words = k.tokenize(texts(spark, ["a a b b c", "z a"]), "text", ["k"])
     vocabulary = k.vocab(words, max_size=2)
-    monkeypatch.setattr(k, "BROADCAST_ROWS", limit if limit > 10 else 1)
+    monkeypatch.setattr(k, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(k, "IN_PLACE_ROWS", limit if limit > 10 else 1)
     assert by_key(k.encode_ids(words, vocabulary, "k"), "input_ids") == {0: [0, 0, 1, 1, None], 1: [None, 0]}
 
 
