@@ -1,6 +1,6 @@
 """Exact row order at scale: cut an ordered table into bounded segments.
 
-The reference numbers rows 0, 1, 2, .. and takes batches of consecutive rows. A
+Batches are runs of consecutive rows, so every row needs its place in the whole table. A
 global ``row_number()`` would pull the whole table through one task, so the order is
 found from the keys alone, in jobs that never touch the wide columns:
 

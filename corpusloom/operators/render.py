@@ -70,9 +70,13 @@ def chat_first_exchange(
     ``strict`` fails on a conversation with fewer than two entries; otherwise its
     ``text`` is null and :func:`unrendered` collects it.
     """
-    at = F.element_at if strict else F.try_element_at
     c = F.col(conversations)
-    pair = _exchange(at(c, F.lit(1))["value"], at(c, F.lit(2))["value"])
+    pair = _exchange(F.get(c, F.lit(0))["value"], F.get(c, F.lit(1))["value"])
+    if strict:
+        short = F.raise_error(F.lit("a conversation needs two entries"))
+        pair = F.when(F.size(c) >= 2, pair).otherwise(
+            short.cast("array<struct<role: string, content: string>>")
+        )
     return _chat(df, keep, pair, system, think_on_last)
 
 

@@ -19,6 +19,8 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Plans may hold constants of 65,536 keys; keep their printed form short.
+        "spark.sql.maxPlanStringLength": "1000000",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **(conf or {}),
     }

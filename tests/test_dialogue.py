@@ -110,6 +110,17 @@ def test_context(spark, tokenizer, count, max_input, system):
     assert kept == {c: e[1] for c, e in expected.items() if e[1]}
 
 
+@pytest.mark.parametrize("max_input", [12, 15, 31])
+def test_long_history(spark, monkeypatch, max_input):
+    """Turns far beyond what can fit are dropped before the window without effect."""
+    monkeypatch.setattr(d, "CHUNK_TURNS", 16)
+    ms = [(("user", "assistant")[i % 2], "w" * (i % 3)) for i in range(301)]
+    dialogues = {1: ms, 2: [("system", "a b")] + ms}
+    got = {r.conv_id: r.context for r in d.build_context(table(spark, dialogues), max_input).collect()}
+    assert got == {c: context(m, max_input, d.DEFAULT_SYSTEM, words)[0] for c, m in dialogues.items()}
+    assert "user" in got[1]
+
+
 def test_exchange_equal_to_budget_is_left_out(spark):
     # system 6, query 2, opened answer 1, one exchange of 4 words
     ms = {1: [("user", "a"), ("assistant", "b"), ("user", "q")]}
