@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="corpusloom-")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the cluster's shared folder.
 
@@ -43,6 +49,5 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

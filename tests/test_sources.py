@@ -1,11 +1,13 @@
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.packing import pack_text
 from corpusloom.plans.pretrain import CorpusSource, pretrain_mixture
+from corpusloom.session import shared_path
 from corpusloom.sources.manifest import config_fingerprint, manifest_layout, pending_files, select_files
 from corpusloom.sources.scan import (
     INSTRUCT,
@@ -157,3 +159,16 @@ def test_stream_equals_batch(spark, tree, tmp_path):
         n, m = expected.get(r["prompt"][:2], (0, 0))
         expected[r["prompt"][:2]] = (n + 1, m + 2)
     assert got == expected
+
+
+def test_shared_folder():
+    def session(folder, master):
+        conf = SimpleNamespace(get=lambda key, default: folder)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    path = shared_path(session("hdfs://x/shared/", "yarn"), "t")
+    assert path.startswith("hdfs://x/shared/t-")
+    assert path != shared_path(session("hdfs://x/shared/", "yarn"), "t")
+    assert os.path.isdir(os.path.dirname(shared_path(session(None, "local[2]"), "t")))
+    with pytest.raises(ValueError):
+        shared_path(session(None, "spark://host:7077"), "t")
