@@ -1,4 +1,7 @@
-"""Array expressions shared by the operators. No shuffles, no Python workers."""
+"""Array expressions shared by the operators. No shuffles, no Python workers.
+
+Lengths are taken with ``array_size`` throughout: ``size`` of null is -1 outside ANSI mode.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import as_column
-
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row.

@@ -31,7 +31,7 @@ def render_messages(messages: Column | str, think_on_last: bool = True) -> Colum
     assistant message carries the empty think block, earlier ones never do."""
 
     def render(msgs: Column) -> Column:
-        last = F.size(msgs) - 1
+        last = F.array_size(msgs) - 1
 
         def one(m, i):
             think = (m["role"] == "assistant") & (i == last) if think_on_last else False

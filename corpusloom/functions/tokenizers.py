@@ -32,7 +32,7 @@ class WordTokenizer:
         return F.regexp_extract_all(as_column(c), F.lit(self.pattern), F.lit(0))
 
     def count(self, c: Column | str) -> Column:
-        return F.size(self.tokens(c))
+        return F.array_size(self.tokens(c))
 
 
 @dataclass(frozen=True)

@@ -34,7 +34,7 @@ def pad_batch(
 
     Longer rows stay as they are; :func:`~corpusloom.operators.tokens.truncate` first.
     """
-    n = F.size(column)
+    n = F.array_size(column)
     fill = F.greatest(F.lit(length) - n, F.lit(0))
     return df.withColumn(
         mask, F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), fill))
@@ -87,10 +87,10 @@ def completion_labels(
         h, r = found["h"], found["r"]
         pairs = F.zip_with(h, r, lambda a, b: F.struct(a.alias("h"), b.alias("r")))
         return F.struct(
-            ((F.size(h) == 0) | (F.size(r) == 0)).alias("none"),
+            ((F.array_size(h) == 0) | (F.array_size(r) == 0)).alias("none"),
             F.get(r, first).alias("start"),
             F.filter(pairs, lambda p: p["h"].isNotNull() & p["r"].isNotNull()).alias("pairs"),
-            F.when(F.size(h) > F.size(r), F.get(h, F.size(h) - 1)).alias("open"),
+            F.when(F.array_size(h) > F.array_size(r), F.get(h, F.array_size(h) - 1)).alias("open"),
         )
 
     def opened(found):
@@ -123,7 +123,7 @@ def next_token_pairs(
     df: DataFrame, keep: list[str], column: str = "input_ids", labels: str = "labels"
 ) -> DataFrame:
     """One row per supervised prediction: the token at ``pos`` and the next label."""
-    n = F.size(column)
+    n = F.array_size(column)
     rest = F.greatest(n - 1, F.lit(0))
     pairs = F.arrays_zip(
         F.slice(column, F.lit(1), rest).alias("token"),
@@ -140,9 +140,9 @@ def next_token_pairs(
 def supervised_token_count(df: DataFrame, keep: list[str], labels: str = "labels") -> DataFrame:
     """Labels that carry loss after the shift by one."""
     ignore = F.lit(IGNORE).cast(_element(df, labels))
-    shifted = F.slice(labels, F.lit(2), F.greatest(F.size(labels) - 1, F.lit(0)))
+    shifted = F.slice(labels, F.lit(2), F.greatest(F.array_size(labels) - 1, F.lit(0)))
     return df.select(
-        *keep, F.size(F.filter(shifted, lambda x: x != ignore)).alias("supervised_tokens")
+        *keep, F.array_size(F.filter(shifted, lambda x: x != ignore)).alias("supervised_tokens")
     )
 
 
@@ -177,19 +177,19 @@ def sequence_offsets(
     (row x width) batch. The mask moves once; everything is derived behind that exchange.
     """
     real = F.filter(
-        F.sequence(F.lit(0), F.size(mask) - 1), lambda i: F.get(F.col(mask), i) != 0
+        F.sequence(F.lit(0), F.array_size(mask) - 1), lambda i: F.get(F.col(mask), i) != 0
     )
-    width = F.size(mask).cast("bigint")
+    width = F.array_size(mask).cast("bigint")
     plan = plan_segments(df, order, batch_rows)
     moved = plan.number(df.select(order, mask).withColumn("segment", plan.segment()))
     rows = moved.withColumn(
-        "_real", F.when(F.size(mask) > 0, real).otherwise(F.array().cast("array<int>"))
+        "_real", F.when(F.array_size(mask) > 0, real).otherwise(F.array().cast("array<int>"))
     ).select(
         order,
         "segment",
         "batch_id",
         "batch_row",
-        F.size("_real").cast("bigint").alias("seqlen"),
+        F.array_size("_real").cast("bigint").alias("seqlen"),
         F.transform("_real", lambda i: F.col("batch_row") * width + i.cast("bigint")).alias("flat_indices"),
     )
     summed = plan.running_sum(rows, "seqlen", "end_offset")
@@ -215,7 +215,7 @@ def last_valid_index(df: DataFrame, pad, column: str = "input_ids") -> DataFrame
     """Index of the token before the first padding; the last index if there is none,
     or if the row starts with padding (the index wraps round)."""
     first_pad = F.array_position(column, _value(df, column, pad))
-    n = F.size(column)
+    n = F.array_size(column)
     # array_position counts from 1 and gives 0 for "absent".
     before = F.when(first_pad == 0, F.lit(-1)).otherwise(first_pad.cast("int") - 2)
     return df.withColumn("last_index", F.when(n > 0, F.pmod(before, n)))

@@ -14,14 +14,14 @@ def _runs(xs: Column) -> Column:
     """Distinct values of an array with their counts: sort, then measure the runs."""
 
     def measure(s: Column) -> Column:
-        n = F.size(s)
+        n = F.array_size(s)
         starts = F.filter(
             F.sequence(F.lit(0), n - 1),
             lambda i: (i == 0) | ~F.get(s, i).eqNullSafe(F.get(s, i - 1)),
         )
 
         def counted(at: Column) -> Column:
-            ends = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(n))
+            ends = F.concat(F.slice(at, F.lit(2), F.array_size(at)), F.array(n))
             return F.zip_with(
                 at,
                 ends,
@@ -51,7 +51,7 @@ def token_bin_counts(
 
     def parts(ids: Column) -> Column:
         prompt = labelled("prompt", F.slice(ids, F.lit(1), F.greatest(cut, F.lit(0))))
-        output = labelled("output", F.slice(ids, F.greatest(cut, F.lit(0)) + 1, F.size(ids)))
+        output = labelled("output", F.slice(ids, F.greatest(cut, F.lit(0)) + 1, F.array_size(ids)))
         nothing = F.array().cast("array<struct<part: string, token: %s, n: bigint>>" % element)
         return F.concat(F.coalesce(prompt, nothing), F.coalesce(output, nothing))
 
@@ -66,8 +66,8 @@ def token_bin_counts(
 
 def repetition_ratio(df: DataFrame, keep: list[str], column: str = "input_ids") -> DataFrame:
     """Share of tokens that repeat an earlier one; null for an empty sequence."""
-    n = F.size(column)
-    distinct = F.size(F.array_distinct(column))
+    n = F.array_size(column)
+    distinct = F.array_size(F.array_distinct(column))
     return df.select(
         *keep, F.when(n > 0, F.lit(1.0) - distinct / n).alias("repetition_ratio")
     )
@@ -134,9 +134,9 @@ def label_losses(
     if kind == "single_label_classification":
         loss, weight = cross_entropy_loss(z, y), None
     elif kind == "regression":
-        loss, weight = _squared_errors(z, y), F.size(z)
+        loss, weight = _squared_errors(z, y), F.array_size(z)
     elif kind == "multi_label_classification":
-        loss, weight = _bce_terms(z, y), F.size(z)
+        loss, weight = _bce_terms(z, y), F.array_size(z)
     else:
         raise ValueError(f"unknown problem type {kind!r}")
     rows = df.select(loss.alias("_l"), (F.lit(1) if weight is None else weight).alias("_w"))

@@ -14,8 +14,8 @@ They go back into the plan as one sorted constant, and each wide row finds its s
 by binary search. The wide rows then move once, hashed on the segment number, and a
 segment never holds more than ``rows_per_segment`` rows whatever the data look like.
 
-The order key must be unique and not null, which is checked on the way; integers and
-strings are supported.
+The order key must be unique and not null; integers and strings are supported. Nulls are
+refused, and repeated keys too as soon as there is more than one batch.
 """
 
 from __future__ import annotations

@@ -47,7 +47,7 @@ def _cut(numbered: DataFrame, plan: Segments, columns: list[str], seq_len: int)
     grouping adds an exchange, and one sort by (segment, order) serves all windows. Only
     batches split over segments have to meet again in their blocks.
     """
-    n = F.coalesce(F.size(columns[0]), F.lit(0)).cast("bigint")
+    n = F.coalesce(F.array_size(columns[0]), F.lit(0)).cast("bigint")
     placed = plan.running_sum(numbered.withColumn("_n", n), "_n", "_end").where("_n > 0")
     pieces = _pieces(columns, F.col("_end") - F.col("_n"), F.col("_end"), seq_len)
     exploded = placed.select(*plan.batch_keys, F.explode(pieces).alias("piece"))
@@ -61,7 +61,7 @@ def _cut(numbered: DataFrame, plan: Segments, columns: list[str], seq_len: int)
     joined = [F.flatten(F.col(f"_pieces.{c}")).alias(c) for c in columns]
     # Only a batch's first block may be short: then it is all the batch has.
     return blocks.select("batch_id", "block_id", *joined).where(
-        (F.size(columns[0]) == seq_len) | (F.col("block_id") == 0)
+        (F.array_size(columns[0]) == seq_len) | (F.col("block_id") == 0)
     )
 
 
@@ -104,7 +104,7 @@ def pack_text(
     ids = moved.select(order, "segment", tokenizer.tokens(text).alias("input_ids"))
     columns = ["input_ids"]
     if mask:
-        ids = ids.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+        ids = ids.withColumn("attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids")))
         columns.append("attention_mask")
     return _cut(plan.number(ids), plan, columns, seq_len)
 

@@ -74,7 +74,7 @@ def chat_first_exchange(
     pair = _exchange(F.get(c, F.lit(0))["value"], F.get(c, F.lit(1))["value"])
     if strict:
         short = F.raise_error(F.lit("a conversation needs two entries"))
-        pair = F.when(F.size(c) >= 2, pair).otherwise(
+        pair = F.when(F.array_size(c) >= 2, pair).otherwise(
             short.cast("array<struct<role: string, content: string>>")
         )
     return _chat(df, keep, pair, system, think_on_last)

@@ -28,7 +28,7 @@ def _centroid_rows(centroids: DataFrame) -> list[Row]:
         F.col("vector").cast("array<double>").alias("vector"),
     )
     size = table.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.size("vector")).alias("values")
+        F.count(F.lit(1)).alias("rows"), F.sum(F.array_size("vector")).alias("values")
     ).first()
     if size["rows"] > MAX_CENTROIDS or (size["values"] or 0) > MAX_CENTROID_VALUES:
         raise ValueError(f"more than {MAX_CENTROIDS} centroids or {MAX_CENTROID_VALUES} values")

@@ -26,7 +26,7 @@ MISS_SALTS = 1024
 def tokenize(df: DataFrame, text: str, keep: list[str], tokenizer=WORDS) -> DataFrame:
     """``input_ids`` and an all-ones ``attention_mask``; other columns dropped."""
     return df.select(*keep, tokenizer.tokens(text).alias("input_ids")).withColumn(
-        "attention_mask", F.array_repeat(F.lit(1), F.size("input_ids"))
+        "attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids"))
     )
 
 
@@ -36,7 +36,7 @@ def tokenize_pair(
     """The tokens of two columns as one sequence, first then second."""
     both = F.concat(tokenizer.tokens(first), tokenizer.tokens(second))
     return df.select(*keep, both.alias("input_ids")).withColumn(
-        "attention_mask", F.array_repeat(F.lit(1), F.size("input_ids"))
+        "attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids"))
     )
 
 

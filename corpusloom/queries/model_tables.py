@@ -24,7 +24,7 @@ def _(spark, sf):
     pairs = t.instruct(spark, sf)
     both = F.concat("prompt", F.lit("\n"), "response")
     ids = tokenize(
-        pairs.withColumn("cut", F.size(F.regexp_extract_all("prompt", F.lit(r"[^ \t\n\r]+"), F.lit(0)))).withColumn(
+        pairs.withColumn("cut", F.array_size(F.regexp_extract_all("prompt", F.lit(r"[^ \t\n\r]+"), F.lit(0)))).withColumn(
             "text", both
         ),
         "text",

@@ -130,6 +130,20 @@ def test_columns_stay_aligned(spark):
         assert r.twice == [2 * x for x in r.input_ids]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_null_texts_add_nothing(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    texts = ["a b c", None, "d", "", None, "e f"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k bigint, text string")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        assert packed(pack_text(df, "text", "k", 2, 10, mask=True)) == {
+            (0, 0): ["a", "b"], (0, 1): ["c", "d"], (0, 2): ["e", "f"],
+        }
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_text_is_not_cut(spark):
     """A document much longer than a block keeps every token."""
     text = "".join(chr(97 + i % 26) for i in range(100_000))
