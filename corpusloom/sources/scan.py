@@ -61,20 +61,29 @@ def scan_parquet(
     return with_row_key(df, "parquet") if row_key else df
 
 
+def _json_reader(spark: SparkSession, schema: str | T.StructType, mode: str, row_key: bool):
+    if row_key and mode.upper() == "DROPMALFORMED":
+        # Which lines are dropped depends on the columns read, so places would shift.
+        raise ValueError("row keys need mode FAILFAST or PERMISSIVE")
+    return spark.read.schema(schema).option("mode", mode)
+
+
 def scan_jsonl(
     spark: SparkSession,
     root: str,
     schema: str | T.StructType,
     row_key: bool = False,
     glob: str = "*.jsonl",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Every ``*.jsonl`` below ``root`` at any depth (``**/*.jsonl``).
 
     A ``**`` in a Hadoop glob is not recursive, so the reader's own recursion is used.
-    The schema is required: inference would read the whole corpus once more.
+    The schema is required: inference would read the whole corpus once more. A broken line
+    is an error; with ``mode="PERMISSIVE"`` it is a row of nulls.
     """
     df = (
-        spark.read.schema(schema)
+        _json_reader(spark, schema, mode, row_key)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .json(root)
@@ -83,10 +92,14 @@ def scan_jsonl(
 
 
 def scan_files(
-    spark: SparkSession, paths: list[str], schema: str | T.StructType, row_key: bool = False
+    spark: SparkSession,
+    paths: list[str],
+    schema: str | T.StructType,
+    row_key: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """An explicit list of JSON-lines files as one split."""
-    df = spark.read.schema(schema).json(paths)
+    df = _json_reader(spark, schema, mode, row_key).json(paths)
     return with_row_key(df, "json") if row_key else df
 
 

@@ -47,6 +47,20 @@ def test_jsonl_recursion_and_order(spark, tree):
     assert two.count() == 20
 
 
+def test_broken_lines(spark, tmp_path):
+    with open(tmp_path / "a.jsonl", "w") as f:
+        f.write('{"prompt": "a", "response": "b"}\n\n   \nnot json\n{"prompt": "c", "response": "d"}\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_jsonl(spark, str(tmp_path), INSTRUCT).collect()
+    lenient = scan_jsonl(spark, str(tmp_path), INSTRUCT, row_key=True, mode="PERMISSIVE")
+    rows = lenient.orderBy("row_key").collect()
+    assert [r.prompt for r in rows] == ["a", None, "c"]
+    # The keys alone are the same keys.
+    assert [r.row_key for r in lenient.select("row_key").orderBy("row_key").collect()] == [r.row_key for r in rows]
+    with pytest.raises(ValueError):
+        scan_jsonl(spark, str(tmp_path), INSTRUCT, row_key=True, mode="DROPMALFORMED")
+
+
 def test_natural_order_packing(spark, tree, tmp_path_factory):
     """Blocks follow file and row order when the data has no id."""
     root, rows = tree
