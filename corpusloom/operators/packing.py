@@ -19,27 +19,6 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
-def _element_of(column: str):
-    return lambda i: F.get(F.col(column), i)
-
-
-def _pieces(columns: list[str], start: Column, end: Column, seq_len: int) -> Column:
-    """One struct per block a row touches: block number, place in the stream, elements.
-
-    Elements are read by index. ``slice`` inside a lambda copies the whole list for every
-    piece, which is quadratic in the length of a document.
-    """
-
-    def piece(k):
-        lo = F.greatest(start, k * seq_len)
-        hi = F.least(end, (k + 1) * seq_len)
-        places = F.sequence((lo - start).cast("int"), (hi - start - 1).cast("int"))
-        cut = [F.transform(places, _element_of(c)).alias(c) for c in columns]
-        return F.struct(k.alias("block_id"), lo.alias("from"), *cut)
-
-    return F.transform(F.sequence(_div(start, seq_len), _div(end - 1, seq_len)), piece)
-
-
 def _cut(numbered: DataFrame, plan: Segments, columns: list[str], seq_len: int) -> DataFrame:
     """Blocks of rows that carry ``segment``, ``batch_id`` and ``batch_row``.
 
@@ -49,14 +28,24 @@ def _cut(numbered: DataFrame, plan: Segments, columns: list[str], seq_len: int)
     """
     n = F.coalesce(F.array_size(columns[0]), F.lit(0)).cast("bigint")
     placed = plan.running_sum(numbered.withColumn("_n", n), "_n", "_end").where("_n > 0")
-    pieces = _pieces(columns, F.col("_end") - F.col("_n"), F.col("_end"), seq_len)
-    exploded = placed.select(*plan.batch_keys, F.explode(pieces).alias("piece"))
-    # At most seq_len pieces meet in one block.
-    in_block = F.array_sort(
-        F.collect_list(F.struct("piece.from", *[f"piece.{c}" for c in columns]))
+    start, end = F.col("_end") - F.col("_n"), F.col("_end")
+    # One row per block a list touches, and the part of the list that falls into it. The
+    # slice is taken in the generated loop that explodes, so a long list is read in place
+    # and each element copied once.
+    touched = F.sequence(_div(start, seq_len), _div(end - 1, seq_len))
+    lo = F.greatest(start, F.col("block_id") * seq_len)
+    hi = F.least(end, (F.col("block_id") + 1) * seq_len)
+    first, length = (lo - start + 1).cast("int"), (hi - lo).cast("int")
+    pieces = placed.select(
+        *plan.batch_keys, "_n", "_end", *columns, F.explode(touched).alias("block_id")
+    ).select(
+        *plan.batch_keys,
+        "block_id",
+        F.struct(lo.alias("from"), *[F.slice(c, first, length).alias(c) for c in columns]).alias("piece"),
     )
-    blocks = exploded.groupBy(*plan.batch_keys, F.col("piece.block_id").alias("block_id")).agg(
-        in_block.alias("_pieces")
+    # At most seq_len pieces meet in one block.
+    blocks = pieces.groupBy(*plan.batch_keys, "block_id").agg(
+        F.array_sort(F.collect_list("piece")).alias("_pieces")
     )
     joined = [F.flatten(F.col(f"_pieces.{c}")).alias(c) for c in columns]
     # Only a batch's first block may be short: then it is all the batch has.
