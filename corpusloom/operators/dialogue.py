@@ -278,9 +278,15 @@ def length_reward(df: DataFrame, response: str = "response") -> DataFrame:
     return df.withColumn("reward", F.length(response))
 
 
-def reward_stats(df: DataFrame, order: str, batch_rows: int, reward: str = "reward") -> DataFrame:
+def reward_stats(
+    df: DataFrame,
+    order: str,
+    batch_rows: int,
+    reward: str = "reward",
+    stage_keys: bool = False,
+) -> DataFrame:
     """Reward statistics per batch of consecutive rows. Only key and reward move."""
-    plan = plan_segments(df, order, batch_rows)
+    plan = plan_segments(df, order, batch_rows, stage_keys=stage_keys)
     numbered = plan.number(df.select(order, reward).withColumn("segment", plan.segment()))
     return (
         numbered.groupBy(*plan.batch_keys)

@@ -168,7 +168,11 @@ def position_ids(df: DataFrame, mask: str = "attention_mask") -> DataFrame:
 
 
 def sequence_offsets(
-    df: DataFrame, order: str, batch_rows: int, mask: str = "attention_mask"
+    df: DataFrame,
+    order: str,
+    batch_rows: int,
+    mask: str = "attention_mask",
+    stage_keys: bool = False,
 ) -> DataFrame:
     """Unpadded layout of each batch of rows.
 
@@ -180,7 +184,7 @@ def sequence_offsets(
         F.sequence(F.lit(0), F.array_size(mask) - 1), lambda i: F.get(F.col(mask), i) != 0
     )
     width = F.array_size(mask).cast("bigint")
-    plan = plan_segments(df, order, batch_rows)
+    plan = plan_segments(df, order, batch_rows, stage_keys=stage_keys)
     moved = plan.number(df.select(order, mask).withColumn("segment", plan.segment()))
     rows = moved.withColumn(
         "_real", F.when(F.array_size(mask) > 0, real).otherwise(F.array().cast("array<int>"))

@@ -195,7 +195,7 @@ def plan_segments(
     unless the table is so large that segments have to be longer still.
 
     The keys are read up to four times. That is cheap on columnar files; ``stage_keys``
-    writes them to the shared folder first, for JSON or costly filters.
+    writes them to the shared folder first, for JSON, joins and other costly inputs.
     """
     if batch_rows < 1 or shards < 1:
         raise ValueError("batch_rows and shards must be positive")

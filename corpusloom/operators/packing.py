@@ -105,9 +105,10 @@ def pack_report(
     batch_rows: int = 1024,
     num_tokens: str = "num_tokens",
     shards: int = 1,
+    stage_keys: bool = False,
 ) -> DataFrame:
     """What packing keeps and drops, from token counts alone."""
-    plan = plan_segments(df, order, batch_rows, shards)
+    plan = plan_segments(df, order, batch_rows, shards, stage_keys=stage_keys)
     narrow = df.select(order, F.col(num_tokens).cast("bigint").alias("_n"))
     batches = (
         plan.number(narrow.withColumn("segment", plan.segment()))

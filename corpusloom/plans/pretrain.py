@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusloom.functions.tokenizers import WORDS
 from corpusloom.operators.packing import concat_sources, pack_text
@@ -20,7 +21,8 @@ class CorpusSource:
 
     ``text`` names the text column; ``score`` the quality column to filter on, if any;
     ``instruct`` marks prompt/response rows, which are rendered first. ``stage_keys`` is for
-    sources without columnar storage, such as JSON lines: their keys are written once.
+    sources that are costly to read again, such as JSON lines or joins: their keys are
+    written once.
     """
 
     df: DataFrame
@@ -37,7 +39,7 @@ class CorpusSource:
         rows = require_columns(self.df, self.order, self.text)
         if self.score:
             rows = score_filter(require_columns(rows, self.score), self.score, minimum)
-        return rows.withColumnRenamed(self.text, "text").select(self.order, "text")
+        return rows.select(self.order, F.col(self.text).alias("text"))
 
 
 def pretrain_mixture(

@@ -116,6 +116,6 @@ SELECT batch_id, count(*) AS num_rows, round(avg(reward), 6) AS mean_reward, rou
 )
 def _(spark, sf):
     rewards = d.length_reward(t.instruct(spark, sf)).withColumn("key", order_key("conv_id", "turn"))
-    return d.reward_stats(rewards, "key", 32).withColumns(
+    return d.reward_stats(rewards, "key", 32, stage_keys=True).withColumns(
         {c: F.round(c, 6) for c in ("mean_reward", "std_reward")}
     )

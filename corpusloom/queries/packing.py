@@ -135,7 +135,7 @@ def mixture(spark, sf, seq_len=1024, batch_rows=1024):
     return pretrain_mixture(
         {
             "web_other": CorpusSource(web.where("lang <> 'en'"), "doc_id", score="score"),
-            "instruct": CorpusSource(dialogue, "row_key", instruct=True),
+            "instruct": CorpusSource(dialogue, "row_key", instruct=True, stage_keys=True),
             "web_en": CorpusSource(web.where("lang = 'en'"), "doc_id", score="score"),
             "reference_texts": CorpusSource(items, "item_id", text="text"),
         },
