@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -16,11 +19,10 @@ from corpusloom.sources.store import stage
 # A vocabulary within these measured bounds travels with the tasks.
 IN_PLACE_ROWS = 262_144
 IN_PLACE_CHARS = 16_000_000
-# Of a larger one this part is broadcast: the 100,000 most frequent tokens, unless
-# they are longer than 256 characters.
+# Of a larger one this part does: the 100,000 most frequent tokens, unless they are
+# longer than 256 characters.
 BROADCAST_ROWS = 100_000
 BROADCAST_TOKEN_CHARS = 256
-MISS_SALTS = 1024
 
 
 def tokenize(df: DataFrame, text: str, keep: list[str], tokenizer=WORDS) -> DataFrame:
@@ -77,20 +79,51 @@ def _in_head() -> Column:
     return (F.col("token_id") < BROADCAST_ROWS) & (F.length("token") <= BROADCAST_TOKEN_CHARS)
 
 
-def _translate_in_place(df: DataFrame, rows: list, row_key: str, column: str, value_type: str):
-    """Look elements up inside the row: Arrow hash lookups on flattened batches."""
-    keys, values = pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])
+def _list_like() -> Callable[[pa.Array, pa.Array], pa.Array]:
+    """Cuts elements into lists as another list array is cut. A function made here travels
+    inside the task, so that Python workers need not have this package."""
+
+    def like(lists: pa.Array, elements: pa.Array) -> pa.Array:
+        offsets = pc.subtract(lists.offsets, lists.offsets[0])
+        return pa.ListArray.from_arrays(offsets, elements, mask=lists.is_null())
+
+    return like
+
+
+def _look_up(table: DataFrame, key: str, value: str) -> Callable[[Column], Column]:
+    """A UDF that replaces list elements by their partners in a table of checked size; unknown
+    ones become null. One hash lookup over the flattened batch."""
+    value_type = table.schema[value].dataType.simpleString()
+    rows = table.select(key, value).collect()
     element = pa.string() if value_type == "string" else pa.int64()
+    keys, values = pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], element)
+    like = _list_like()
 
     @F.arrow_udf(f"array<{value_type}>")
     def look_up(lists: pa.Array) -> pa.Array:
         flat = lists.flatten()
         found = pc.index_in(flat, value_set=keys.cast(flat.type))
-        offsets = pc.subtract(lists.offsets, lists.offsets[0])
-        elements = values.cast(element).take(found)
-        return pa.ListArray.from_arrays(offsets, elements, mask=lists.is_null())
+        return like(lists, values.take(found))
 
-    return df.select(row_key, look_up(column).alias(column))
+    return look_up
+
+
+def _fill_in(value_type: str) -> Callable[[Column, Column], Column]:
+    """A UDF that writes ``(pos, value)`` pairs into lists, over the flattened batch."""
+    like = _list_like()
+
+    @F.arrow_udf(f"array<{value_type}>")
+    def fill_in(lists: pa.Array, pairs: pa.Array) -> pa.Array:
+        flat, flat_pairs = lists.flatten(), pairs.flatten()
+        counts = pc.fill_null(pc.list_value_length(pairs), 0).to_numpy(zero_copy_only=False)
+        starts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        places = np.repeat(starts, counts) + pc.struct_field(flat_pairs, "pos").to_numpy()
+        chosen = np.arange(len(flat))
+        chosen[places] = len(flat) + np.arange(len(flat_pairs))
+        both = pa.concat_arrays([flat, pc.struct_field(flat_pairs, "value").cast(flat.type)])
+        return like(lists, both.take(pa.array(chosen)))
+
+    return fill_in
 
 
 def _translate_by_join(
@@ -98,37 +131,31 @@ def _translate_by_join(
 ) -> DataFrame:
     """Look elements up in a vocabulary of any size.
 
-    The most frequent tokens, a table of bounded size, are broadcast and take the skew.
-    What they miss goes through a shuffle join, where no key can be hot; elements
-    already served carry a salt so that they spread too. Rows are hashed on
-    ``row_key`` as whole arrays before exploding.
+    The most frequent tokens, a table of bounded size, are looked up inside the row. Only
+    what they miss is exploded and joined with the rest of the vocabulary, then written
+    back by row: single tokens move only if they are rare.
     """
-    head = vocabulary.where(_in_head()).select(F.col(key).alias("_k"), F.col(value).alias("_v"))
-    tail = vocabulary.where(~_in_head()).select(
-        F.col(key).alias("_tail_k"), F.col(value).alias("_tail_v"), F.lit(0).alias("_tail_salt")
-    )
-    pieces = (
-        df.select(row_key, column)
-        .repartition(row_key)
-        .select(row_key, explode_elements(column, "_pos", "_k"))
-        .join(F.broadcast(head), "_k", "left")
+    head, tail = vocabulary.where(_in_head()), vocabulary.where(~_in_head())
+    rows = df.select(row_key, column).withColumn("_found", _look_up(head, key, value)(column))
+
+    def missing(pair, i):
+        miss = pair["_found"].isNull() & pair[column].isNotNull()
+        return F.when(miss, F.struct(i.alias("pos"), pair[column].alias("key")))
+
+    misses = F.filter(
+        F.transform(F.arrays_zip(column, "_found"), missing), lambda m: m.isNotNull()
     )
-    miss = F.col("_v").isNull() & F.col("_k").isNotNull()
-    spread = F.pmod(F.xxhash64(row_key, "_pos"), F.lit(MISS_SALTS)).cast("int") + 1
-    pieces = (
-        pieces.withColumn("_miss_k", F.when(miss, F.col("_k")))
-        .withColumn("_salt", F.when(miss, 0).otherwise(spread))
-        .join(
-            tail,
-            (F.col("_miss_k") == F.col("_tail_k")) & (F.col("_salt") == F.col("_tail_salt")),
-            "left",
-        )
-        .withColumn("_v", F.coalesce("_v", "_tail_v"))
+    pairs = (
+        rows.select(row_key, explode_elements(misses, "_n", "_miss"))
+        .where(F.col("_n").isNotNull())
+        .join(tail.select(F.col(key).alias("_k"), F.col(value).alias("value")), F.col("_miss.key") == F.col("_k"))
+        .groupBy(row_key)
+        .agg(F.collect_list(F.struct(F.col("_miss.pos").alias("pos"), "value")).alias("_pairs"))
     )
-    elements = F.array_sort(
-        F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_v")))
+    fill_in = _fill_in(vocabulary.schema[value].dataType.simpleString())
+    return rows.join(pairs, row_key, "left").select(
+        row_key, fill_in("_found", "_pairs").alias(column)
     )
-    return pieces.groupBy(row_key).agg(F.transform(elements, lambda e: e["_v"]).alias(column))
 
 
 def _translate(
@@ -144,10 +171,7 @@ def _translate(
     ).first()
     if size["rows"] > IN_PLACE_ROWS or (size["chars"] or 0) > IN_PLACE_CHARS:
         return _translate_by_join(df, vocabulary, row_key, column, key, value)
-    rows = vocabulary.select(key, value).collect()
-    return _translate_in_place(
-        df, rows, row_key, column, vocabulary.schema[value].dataType.simpleString()
-    )
+    return df.select(row_key, _look_up(vocabulary, key, value)(column).alias(column))
 
 
 def encode_ids(

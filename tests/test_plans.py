@@ -1,6 +1,9 @@
 """The physical plans: what moves, what is pushed down, what stays out of Python."""
 
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 
@@ -57,3 +60,25 @@ def test_rendering_moves_text_once(spark, sf):
 def test_tokens_are_made_once(spark, sf):
     words = tokens.tokenize(t.documents(spark, sf), "text", ["doc_id"])
     assert plan(tokens.token_frequencies(words)).count("regexp_extract_all") == 1
+
+
+def test_workers_need_no_package(sf, tmp_path):
+    """Python workers run the library's functions without having it on their path."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as entry
+from corpusloom.operators import tokens
+from corpusloom.session import build_session
+tokens.IN_PLACE_ROWS = tokens.BROADCAST_ROWS = 1000
+spark = build_session(master="local[4]", conf={{"spark.ui.enabled": "false"}})
+for name in {sorted(PYTHON)!r}:
+    assert entry.queries()[name](spark, {sf!r}).count() > 0, name
+print("all ran")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "all ran" in done.stdout, done.stderr[-2000:]
