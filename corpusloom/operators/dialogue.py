@@ -249,6 +249,36 @@ def build_context(
     )
 
 
+def preference_text(
+    df: DataFrame,
+    keep: list[str],
+    prompt: str = "prompt",
+    chosen: str = "chosen",
+    rejected: str = "rejected",
+) -> DataFrame:
+    """Preference data as three strings, from strings or from message arrays.
+
+    Of messages, the prompt is rendered up to the opened assistant turn, and an answer is
+    what a rendering adds behind that opening.
+    """
+    opening = f"{chatml.TURN_START}assistant\n"
+
+    def side(name: str, is_prompt: bool) -> Column:
+        if df.schema[name].dataType.simpleString() == "string":
+            return F.col(name)
+        if is_prompt:
+            return chatml.generation_prompt(name)
+        rendered = chatml.render_messages(name, think_on_last=False)
+        return F.substr(rendered, F.lit(len(opening) + 1))
+
+    return df.select(
+        *keep,
+        side(prompt, True).alias("prompt"),
+        side(chosen, False).alias("chosen"),
+        side(rejected, False).alias("rejected"),
+    )
+
+
 def preference_rows(
     df: DataFrame,
     keep: list[str],
@@ -259,8 +289,9 @@ def preference_rows(
     tokenizer=WORDS,
 ) -> DataFrame:
     """Preference data as ``prompt_ids, chosen_ids, rejected_ids``, each cut to length."""
-    names = {"prompt_ids": prompt, "chosen_ids": chosen, "rejected_ids": rejected}
-    out = df.select(*keep, *[tokenizer.tokens(c).alias(n) for n, c in names.items()])
+    texts = preference_text(df, keep, prompt, chosen, rejected)
+    names = {"prompt_ids": "prompt", "chosen_ids": "chosen", "rejected_ids": "rejected"}
+    out = texts.select(*keep, *[tokenizer.tokens(c).alias(n) for n, c in names.items()])
     for name in names:
         out = truncate(out, max_length, name)
     return out

@@ -91,6 +91,26 @@ def _(spark, sf):
     )
 
 
+@R.add(
+    "preference_text",
+    f"""WITH {t.INSTRUCT_SQL} SELECT conv_id, turn,
+  {t.turn_sql("'user'", "prompt")} || '<|im_start|>assistant' || chr(10) AS prompt,
+  response || '<|im_end|>' || chr(10) AS chosen, substr(response, 1, 40) || '<|im_end|>' || chr(10) AS rejected
+FROM instruct""",
+)
+def _(spark, sf):
+    def one(role, content):
+        return F.array(F.struct(F.lit(role).alias("role"), content.alias("content")))
+
+    pairs = t.instruct(spark, sf).select(
+        *KEY,
+        one("user", F.col("prompt")).alias("prompt"),
+        one("assistant", F.col("response")).alias("chosen"),
+        one("assistant", F.substring("response", 1, 40)).alias("rejected"),
+    )
+    return d.preference_text(pairs, KEY)
+
+
 @R.add(
     "query_response_text",
     f"WITH {t.INSTRUCT_SQL} SELECT conv_id, turn, prompt || response AS text FROM instruct",
