@@ -6,16 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.text import PYTHON_WHITESPACE
 from corpusloom.operators.ordering import key_at
 
 
+# What Python's float() reads, in ASCII. A bare cast would also take 0.9f and 0.9d, and
+# would not take 1_000.
+_DIGITS = r"\d+(?:_\d+)*"
+FLOAT_TEXT = (
+    rf"(?i)^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    r"|inf|infinity|nan)$"
+)
+
+# float() does not strip the four ASCII separators that str.strip() does.
+FLOAT_SPACES = "".join(c for c in PYTHON_WHITESPACE if not "\x1c" <= c <= "\x1f")
+
+
 def score_value(df: DataFrame, score: str) -> Column:
-    """The score as a number; text goes through ``try_cast`` so that one bad row
-    gives null instead of failing the job."""
+    """The score as a number; text that is not one gives null instead of failing the job."""
     c = F.col(score)
     if isinstance(df.schema[score].dataType, T.NumericType):
         return c
-    return c.try_cast("double")
+    text = F.btrim(c, F.lit(FLOAT_SPACES))
+    return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def score_filter(df: DataFrame, score: str = "score", minimum: float = 0.85) -> DataFrame:

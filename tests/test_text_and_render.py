@@ -9,6 +9,7 @@ from corpusloom.operators.quality import (
     row_at,
     score_filter,
     score_rejects,
+    score_value,
     slice_rows,
     take,
     take_batches,
@@ -49,6 +50,20 @@ def test_scores(spark):
     assert one(score_filter(numbers), "score") == [0.85]
 
 
+def test_score_text_reads_like_python(spark):
+    texts = ["1", "0.9", ".9", "9.", "1e3", "1E-2", "+0.9", "-.5e+1", "1_0", "1_0.0_1", "\u30000.9\n", "0.9\x1c", "inf", "-Infinity",
+             "0.9f", "0.9d", "1__0", "_1", "1_", "0x1p3", "", " ", "1 2", ".", "e5", "one", "1e", "--1"]
+    df = spark.createDataFrame([(t,) for t in texts], "score string").coalesce(1)
+
+    def read(text):
+        try:
+            return float(text)
+        except ValueError:
+            return None
+
+    assert one(df, score_value(df, "score")) == [read(t) for t in texts]
+
+
 def test_positions(spark):
     df = spark.range(5000).repartition(6)
     assert sorted(r.id for r in take(df, 7, "id").collect()) == list(range(7))
