@@ -1,13 +1,21 @@
-"""Slots for user functions. Library operators use built-in expressions instead."""
+"""Slots for user functions. Library operators use built-in expressions instead.
+
+Data moves in Arrow batches; the functions see plain Python values, null as None.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+
+def _struct(df: DataFrame, schema: str | T.StructType) -> T.StructType:
+    return df.sparkSession.createDataFrame([], schema).schema
 
 
 def map_batches(
@@ -22,12 +30,14 @@ def map_batches(
     (``spark.sql.execution.arrow.maxRecordsPerBatch``), so results must not depend on it.
     """
     source = df.select(*columns) if columns else df
+    result = _struct(df, schema)
+    arrow_schema = to_arrow_schema(result)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame(fn({c: batch[c].tolist() for c in batch.columns}))
+            yield pa.RecordBatch.from_pydict(fn(batch.to_pydict()), schema=arrow_schema)
 
-    return source.mapInPandas(run, schema)
+    return source.mapInArrow(run, result)
 
 
 def map_rows(
@@ -37,11 +47,15 @@ def map_rows(
     output: str,
     output_type: str | T.DataType,
 ) -> DataFrame:
-    """Add ``output`` = ``fn(*columns)`` row by row, moved in Arrow batches."""
+    """Add ``output`` = ``fn(*columns)`` row by row."""
+    if isinstance(output_type, str):
+        output_type = _struct(df, f"`{output}` {output_type}")[0].dataType
+    arrow_type = to_arrow_schema(T.StructType().add(output, output_type)).field(0).type
 
-    @F.pandas_udf(output_type)
-    def run(*series: pd.Series) -> pd.Series:
-        return pd.Series([fn(*values) for values in zip(*series)], dtype=object)
+    @F.arrow_udf(output_type)
+    def run(*arrays: pa.Array) -> pa.Array:
+        rows = zip(*[a.to_pylist() for a in arrays])
+        return pa.array([fn(*values) for values in rows], arrow_type)
 
     return df.withColumn(output, run(*columns))
 
@@ -49,9 +63,9 @@ def map_rows(
 def filter_rows(df: DataFrame, predicate: Callable[..., bool], columns: list[str]) -> DataFrame:
     """Rows for which ``predicate(*columns)`` is true."""
 
-    @F.pandas_udf("boolean")
-    def run(*series: pd.Series) -> pd.Series:
-        return pd.Series([bool(predicate(*values)) for values in zip(*series)], dtype=bool)
+    @F.arrow_udf("boolean")
+    def run(*arrays: pa.Array) -> pa.Array:
+        rows = zip(*[a.to_pylist() for a in arrays])
+        return pa.array([bool(predicate(*values)) for values in rows], pa.bool_())
 
-    keep: Column = run(*columns)
-    return df.where(keep)
+    return df.where(run(*columns))

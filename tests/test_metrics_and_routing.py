@@ -112,3 +112,14 @@ def test_user_functions(spark):
     named = map_rows(df, lambda i: [f"n{i}"] * 2, ["id"], "n", "array<string>")
     assert {r.id: r.n for r in named.collect()}[4] == ["n4", "n4"]
     assert sorted(r.id for r in filter_rows(df, lambda i: i > 6, ["id"]).collect()) == [7, 8, 9]
+
+
+def test_user_functions_see_plain_values(spark):
+    df = spark.createDataFrame([(1, None, [1, 2]), (None, "x", None)], "i int, s string, a array<int>").coalesce(1)
+    seen = map_rows(df, lambda i, s, a: repr((i, s, a)), ["i", "s", "a"], "r", "string")
+    assert [r.r for r in seen.collect()] == ["(1, None, [1, 2])", "(None, 'x', None)"]
+    shapes = map_batches(df, lambda b: {"r": [repr(b["i"]), repr(b["a"])], "n": [None, 2]}, "r string, n int")
+    assert [(r.r, r.n) for r in shapes.collect()] == [("[1, None]", None), ("[[1, 2], None]", 2)]
+    assert filter_rows(df, lambda i: i is None, ["i"]).count() == 1
+    nested = map_rows(df, lambda i: {"k": i, "xs": [i]}, ["i"], "o", "struct<k: int, xs: array<int>>")
+    assert nested.first().o.xs == [1]

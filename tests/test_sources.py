@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.packing import pack_text
+from corpusloom.operators.render import chat_prompt_response
 from corpusloom.plans.pretrain import CorpusSource, pretrain_mixture
 from corpusloom.session import shared_path
 from corpusloom.sources.manifest import config_fingerprint, manifest_layout, pending_files, select_files
@@ -167,6 +168,10 @@ def test_stream_equals_batch(spark, tree, tmp_path):
         stream_source(spark, root, "json", INSTRUCT, "*.jsonl"), f"{out}/rows", f"{out}/c2"
     )
     assert sorted(r.prompt for r in spark.read.parquet(f"{out}/rows").collect()) == sorted(r["prompt"] for r in rows)
+    chats = chat_prompt_response(stream_source(spark, root, "json", INSTRUCT, "*.jsonl"), ["prompt"])
+    drain_to_parquet(chats, f"{out}/chats", f"{out}/c3")
+    batch = chat_prompt_response(scan_jsonl(spark, root, INSTRUCT), ["prompt"])
+    assert sorted(spark.read.parquet(f"{out}/chats").collect()) == sorted(batch.collect())
     got = {r.s: (r.num_rows, r.total_tokens) for r in spark.read.parquet(f"{out}/totals").collect()}
     expected = {}
     for r in rows:
