@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,19 +39,23 @@ def _centroid_rows(centroids: DataFrame) -> list[Row]:
 def _gate(rows: list[Row]):
     """Sigmoid of the dot product with every centroid, one matrix product per Arrow batch.
 
-    The same sums as built-in lambdas took twice as long on 50,000 vectors of 64 values
+    The same sums as built-in lambdas took over twice as long on 50,000 vectors of 64 values
     and 16 centroids.
     """
     matrix = np.array([r["vector"] for r in rows], dtype=np.float64).T
 
-    @F.pandas_udf("array<double>")
-    def scores(vectors: pd.Series) -> pd.Series:
-        present = vectors.notna()
-        if not present.any():
-            return pd.Series([None] * len(vectors), dtype=object)
-        logits = np.stack(vectors[present].to_list()).astype(np.float64) @ matrix
-        rows = iter(1.0 / (1.0 + np.exp(-logits)))
-        return pd.Series([next(rows) if p else None for p in present], dtype=object)
+    @F.arrow_udf("array<double>")
+    def scores(vectors: pa.Array) -> pa.Array:
+        width, buckets = matrix.shape
+        present = pc.is_valid(vectors).to_numpy(zero_copy_only=False)
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        logits = flat.reshape(present.sum(), width) @ matrix
+        offsets = np.concatenate([[0], np.cumsum(present * buckets)])
+        return pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32()),
+            pa.array((1.0 / (1.0 + np.exp(-logits))).ravel()),
+            mask=pa.array(~present),
+        )
 
     return scores
 
