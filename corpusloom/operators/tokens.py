@@ -90,9 +90,15 @@ def _list_like() -> Callable[[pa.Array, pa.Array], pa.Array]:
     return like
 
 
-def _look_up(table: DataFrame, key: str, value: str) -> Callable[[Column], Column]:
+def _look_up(
+    table: DataFrame, key: str, value: str, report_misses: bool = False
+) -> Callable[[Column], Column]:
     """A UDF that replaces list elements by their partners in a table of checked size; unknown
-    ones become null. One hash lookup over the flattened batch."""
+    ones become null. One hash lookup over the flattened batch.
+
+    With ``report_misses`` it returns a struct of ``found`` and ``miss``, the places in
+    the list that are unknown though not null.
+    """
     value_type = table.schema[value].dataType.simpleString()
     rows = table.select(key, value).collect()
     element = pa.string() if value_type == "string" else pa.int64()
@@ -102,10 +108,22 @@ def _look_up(table: DataFrame, key: str, value: str) -> Callable[[Column], Colum
     @F.arrow_udf(f"array<{value_type}>")
     def look_up(lists: pa.Array) -> pa.Array:
         flat = lists.flatten()
-        found = pc.index_in(flat, value_set=keys.cast(flat.type))
-        return like(lists, values.take(found))
+        return like(lists, values.take(pc.index_in(flat, value_set=keys.cast(flat.type))))
+
+    @F.arrow_udf(f"struct<found: array<{value_type}>, miss: array<int>>")
+    def look_up_and_report(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten()
+        index = pc.index_in(flat, value_set=keys.cast(flat.type))
+        missed = pc.and_(index.is_null(), flat.is_valid()).to_numpy(zero_copy_only=False)
+        starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        places = np.arange(len(flat)) - np.repeat(starts[:-1], np.diff(starts))
+        before = np.concatenate([[0], np.cumsum(missed)])
+        miss = pa.ListArray.from_arrays(
+            pa.array(before[starts], pa.int32()), pa.array(places[missed], pa.int32())
+        )
+        return pa.StructArray.from_arrays([like(lists, values.take(index)), miss], ["found", "miss"])
 
-    return look_up
+    return look_up_and_report if report_misses else look_up
 
 
 def _fill_in(value_type: str) -> Callable[[Column, Column], Column]:
@@ -136,24 +154,22 @@ def _translate_by_join(
     back by row: single tokens move only if they are rare.
     """
     head, tail = vocabulary.where(_in_head()), vocabulary.where(~_in_head())
-    rows = df.select(row_key, column).withColumn("_found", _look_up(head, key, value)(column))
-
-    def missing(pair, i):
-        miss = pair["_found"].isNull() & pair[column].isNotNull()
-        return F.when(miss, F.struct(i.alias("pos"), pair[column].alias("key")))
-
-    misses = F.filter(
-        F.transform(F.arrays_zip(column, "_found"), missing), lambda m: m.isNotNull()
-    )
+    looked_up = _look_up(head, key, value, report_misses=True)(column)
+    rows = df.select(row_key, column, looked_up.alias("_l"))
     pairs = (
-        rows.select(row_key, explode_elements(misses, "_n", "_miss"))
+        rows.select(row_key, column, explode_elements("_l.miss", "_n", "pos"))
         .where(F.col("_n").isNotNull())
-        .join(tail.select(F.col(key).alias("_k"), F.col(value).alias("value")), F.col("_miss.key") == F.col("_k"))
+        .select(row_key, "pos", F.get(column, "pos").alias("_key"))
+        .join(
+            tail.select(F.col(key).alias("_tail_key"), F.col(value).alias("value")),
+            F.col("_key") == F.col("_tail_key"),
+        )
         .groupBy(row_key)
-        .agg(F.collect_list(F.struct(F.col("_miss.pos").alias("pos"), "value")).alias("_pairs"))
+        .agg(F.collect_list(F.struct("pos", "value")).alias("_pairs"))
     )
     fill_in = _fill_in(vocabulary.schema[value].dataType.simpleString())
-    return rows.join(pairs, row_key, "left").select(
+    found = rows.select(row_key, F.col("_l.found").alias("_found"))
+    return found.join(pairs, row_key, "left").select(
         row_key, fill_in("_found", "_pairs").alias(column)
     )
 
