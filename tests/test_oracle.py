@@ -4,8 +4,9 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from corpusloom.queries import all_queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries()
 
 
 @pytest.fixture(scope="module")
