@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.chat import format_conversations, parse_formatted, text_part, trained_text
+from corpusloom.llm.language import fit_language_model, identify_language
 from corpusloom.llm.mixing import apply_mixture, mixture_plan, sized_rows
 from corpusloom.llm.packing import Limits, pack_documents, with_crc32
+from corpusloom.llm.quality import fit_quality_model, score_quality
 from corpusloom.queries import Registry
 from corpusloom.sources.store import stage
 from corpusloom.queries.tables import conversations, documents, table
@@ -109,3 +111,27 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     rows = stage(sized_rows(documents(spark, sf), "doc_id", "text", "source"), "sizes")
     mixed = apply_mixture(rows, mixture_plan(rows))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@R.add("op9_identify_language")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    learned = docs.where(fold != 0)
+    model = fit_language_model(learned, "text", "lang", F.xxhash64("doc_id"))
+    found = identify_language(docs, "doc_id", "text", model)
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def graded(labels: DataFrame) -> DataFrame:
+    """Ratings from 0 to 2: poor, well-made but toxic, well-made and clean."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+@R.add("op7_grade_quality")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    model = fit_quality_model(docs, graded(table(spark, sf, "labels", LABELS)), "doc_id", "text", "grade", 3)
+    scored = score_quality(docs.select("doc_id", "text"), "text", model)
+    return scored.select("doc_id", "quality.expected_grade", "quality.p_top", "quality.keep")
