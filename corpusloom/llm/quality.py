@@ -113,17 +113,20 @@ def fit_ordinal(
     features: np.ndarray,
     grades: np.ndarray,
     n_grades: int,
-    steps: int = 200,
-    rate: float = 0.1,
-    decay: float = 1e-4,
-    least_score: float = 5.0,
+    steps: int = 300,
+    rate: float = 0.3,
+    decay: float = 1e-6,
+    least_score: float | None = None,
     least_effect: float = 1.0,
 ) -> QualityModel:
     """Maximum likelihood with a quadratic penalty, by Adam over the whole sample.
 
-    Only :func:`telling_features` get a weight, which keeps out the many that fit by chance.
+    Only :func:`telling_features` get a weight, which keeps out the many that fit by chance. Unless
+    given, ``least_score`` rises with the root of the sample from 4 to 10.
     """
     n = len(grades)
+    if least_score is None:
+        least_score = min(10.0, max(4.0, n**0.5 / 9))
     use = telling_features(rows, features, grades, n_grades, least_score, least_effect)[features]
     names, column = np.unique(features[use], return_inverse=True)
     row = rows[use]
@@ -167,7 +170,7 @@ def fit_quality_model(
     text: str,
     grade: str,
     n_grades: int,
-    max_fit_rows: int = 8_000,
+    max_fit_rows: int = 10_000,
 ) -> QualityModel:
     """Learn from ``ratings`` (key, grade from 0 to ``n_grades`` - 1) of the texts in ``docs``.
 
@@ -196,8 +199,8 @@ def fit_quality_model(
         for batch in batches:
             for part in text_slices(batch, "text"):
                 r, f, _ = text_features(part.column(2))
-                rows.append(r + base)
-                features.append(f)
+                rows.append((r + base).astype(np.int32))
+                features.append(f.astype(np.int32))
                 grades.append(part.column(1).to_numpy())
                 base += part.num_rows
         if base:

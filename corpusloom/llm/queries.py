@@ -10,7 +10,9 @@ from corpusloom.llm.language import fit_language_model, identify_language
 from corpusloom.llm.mixing import apply_mixture, mixture_plan, sized_rows
 from corpusloom.llm.packing import Limits, pack_documents, with_crc32
 from corpusloom.llm.quality import fit_quality_model, score_quality
+from corpusloom.llm.warc import archive_pages, read_back
 from corpusloom.queries import Registry
+from corpusloom.session import shared_path
 from corpusloom.sources.store import stage
 from corpusloom.queries.tables import conversations, documents, table
 from corpusloom.queries.tables import EMBEDDINGS, LABELS, PAGES  # noqa: F401
@@ -135,3 +137,28 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     model = fit_quality_model(docs, graded(table(spark, sf, "labels", LABELS)), "doc_id", "text", "grade", 3)
     scored = score_quality(docs.select("doc_id", "text"), "text", model)
     return scored.select("doc_id", "quality.expected_grade", "quality.p_top", "quality.keep")
+
+
+_OP2_SQL = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages), sized AS (
+  SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS n, sha256(payload) AS digest FROM payloads), firsts AS (
+  SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first_page FROM sized)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first_page IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_page IS DISTINCT FROM page_id THEN first_page END AS refers_to
+FROM firsts"""
+
+
+@R.add("op2_normalise_archives", _OP2_SQL)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_path(spark, "archives")
+    index = archive_pages(table(spark, sf, "pages", PAGES), "page_id", "url", "html", folder)
+    found = read_back(index, f"{folder}/records")
+    return found.select(
+        F.expr("try_cast(page AS bigint)").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
