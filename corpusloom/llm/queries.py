@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.chat import format_conversations, parse_formatted, text_part, trained_text
+from corpusloom.llm.forest import nearest_neighbours
 from corpusloom.llm.language import fit_language_model, identify_language
 from corpusloom.llm.mixing import apply_mixture, mixture_plan, sized_rows
 from corpusloom.llm.packing import Limits, pack_documents, with_crc32
 from corpusloom.llm.quality import fit_quality_model, score_quality
+from corpusloom.llm.threshold import top_products
 from corpusloom.llm.warc import archive_pages, read_back
 from corpusloom.queries import Registry
 from corpusloom.session import shared_path
@@ -162,3 +164,30 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
         "record_type",
         F.col("refers_to").cast("bigint").alias("refers_to"),
     )
+
+
+@R.add("op6_search_forest")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings", EMBEDDINGS)
+    return nearest_neighbours(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
+_OP8_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@R.add("op8_threshold_top_k", _OP8_SQL)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings", EMBEDDINGS)
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("bigint"))
+    vectors = vectors.withColumn("components", F.when(finite, whole))
+    return top_products(vectors, "vec_id", "components", F.col("vec_id") % 50 == 0)
