@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.chat import format_conversations, parse_formatted, text_part, trained_text
 from corpusloom.llm.forest import nearest_neighbours
+from corpusloom.llm.jaccard import near_duplicates
 from corpusloom.llm.language import fit_language_model, identify_language
 from corpusloom.llm.mixing import apply_mixture, mixture_plan, sized_rows
 from corpusloom.llm.packing import Limits, pack_documents, with_crc32
@@ -191,3 +192,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("bigint"))
     vectors = vectors.withColumn("components", F.when(finite, whole))
     return top_products(vectors, "vec_id", "components", F.col("vec_id") % 50 == 0)
+
+
+@R.add("op5_join_similar")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf), "doc_id", "text")
