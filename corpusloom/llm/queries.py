@@ -12,6 +12,7 @@ from corpusloom.llm.language import fit_language_model, identify_language
 from corpusloom.llm.mixing import apply_mixture, mixture_plan, sized_rows
 from corpusloom.llm.packing import Limits, pack_documents, with_crc32
 from corpusloom.llm.quality import fit_quality_model, score_quality
+from corpusloom.llm.repeats import remove_repeats
 from corpusloom.llm.threshold import top_products
 from corpusloom.llm.warc import archive_pages, read_back
 from corpusloom.queries import Registry
@@ -197,3 +198,16 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @R.add("op5_join_similar")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(documents(spark, sf), "doc_id", "text")
+
+
+@R.add("op3_remove_repeats")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    cut = remove_repeats(documents(spark, sf), "doc_id", "text")
+    return cut.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@R.add("pipeline")
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
