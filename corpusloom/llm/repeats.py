@@ -8,9 +8,11 @@ substrings have equal symbols inside, up to a rim that each round widens by a sy
 1. Each window of ``window`` words picks, among the symbols of the last round that it settles by
    itself, the one with the smallest name; its name with the rim is the window's anchor. Equal windows
    pick equal anchors, and neighbouring windows mostly the same one.
-2. Anchors are gathered by name. Only those of several texts can belong to a repeat.
-3. Windows with such an anchor are compared by their own 128-bit names: all texts but the one with
-   the smallest key repeat them.
+2. Anchors are gathered by name. Only those of several texts can belong to a repeat. Symbols of
+   higher rounds are gathered too: all texts but the one with the smallest key repeat one as a whole,
+   and so every window inside it.
+3. Windows with a shared anchor that no higher symbol has settled are compared by their own
+   128-bit names: all texts but the one with the smallest key repeat them.
 
 Before each shuffle a task settles what it can among its own rows: of a name that several of them have, it
 sends one row on and keeps the others as decided. A name that a third of all texts share is thus
@@ -29,12 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.hashing import SpanHashes, mix, word_hashes
+from corpusloom.llm.keyfilter import key_filter
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import split_words, text_slices
 from corpusloom.sources.store import stage
 
 WINDOW = 13
-ROUNDS = 2
+ROUNDS, HIGH_ROUNDS = 2, 6
+SLICE_BYTES = 2 << 20
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -117,6 +121,28 @@ def _first_of_each(names: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.
     return first, out
 
 
+def high_symbols(words: np.ndarray, rows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(name, first word, end, text) of what settles the symbols of the last round, if a window fits in."""
+    _, low, high = recompress(words, rows, HIGH_ROUNDS)
+    ends = np.append(np.flatnonzero(rows[1:] != rows[:-1]) + 1, len(rows)) if len(rows) else np.zeros(0, np.int64)
+    row = rows[np.clip((low + high) // 2, 0, max(len(rows) - 1, 0))] if len(rows) else rows
+    begins = np.zeros(int(rows.max()) + 1 if len(rows) else 0, dtype=np.int64)
+    stops = np.zeros_like(begins)
+    if len(rows):
+        stops[rows[ends - 1]] = ends
+        begins[rows[ends - 1]] = np.append(0, ends[:-1])
+    inside = (high - low >= window) & (low >= begins[row]) & (high <= stops[row]) if len(rows) else np.zeros(0, bool)
+    low, high, row = low[inside], high[inside], row[inside]
+    return SpanHashes(words).of(low, high) ^ mix(_SECOND + np.zeros(1, np.uint64)), low, high, row
+
+
+def _listed(names: np.ndarray, rows: np.ndarray, lists: pa.Array) -> np.ndarray:
+    """Whether each name is in its own row's list."""
+    listed = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy()).astype(np.uint64)
+    return np.isin(names ^ mix(rows.astype(np.uint64)), listed ^ mix(of))
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
@@ -142,14 +168,16 @@ def remove_repeats(
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, keys = [], []
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_BYTES):
                 words, row, counts, _, _ = _words(part.column(1))
                 _, text_of, anchor, _ = window_anchors(words, row, counts, window)
                 change = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text_of[1:] != text_of[:-1])))[: len(anchor)]
-                names.append(anchor[change])
-                keys.append(part.column(0).to_numpy()[text_of[change]])
+                high, _, _, high_row = high_symbols(words, row, window)
+                key_ = part.column(0).to_numpy()
+                names += [anchor[change], high]
+                keys += [key_[text_of[change]], key_[high_row]]
             name, key_ = np.concatenate(names), np.concatenate(keys)
-            order = np.lexsort((key_, name))
+            order = np.lexsort((name, key_))
             name, key_ = name[order], key_[order]
             once = np.concatenate(([True], (name[1:] != name[:-1]) | (key_[1:] != key_[:-1])))[: len(name)]
             name, key_ = name[once], key_[once]
@@ -157,106 +185,132 @@ def remove_repeats(
             # Others than the first are decided: they go on under a name of their own.
             own = np.where(first, name, mix(name ^ mix(key_.astype(np.uint64))))
             yield pa.RecordBatch.from_arrays(
-                [_signed(own), pa.array(key_), pa.array(several), _signed(name)], names=["name", "key", "shared", "anchor"]
+                [_signed(own), pa.array(key_), pa.array(several & first), pa.array(name.view(np.int64), mask=first)],
+                names=["name", "key", "shared", "anchor"],
             )
 
+    # ``anchor`` is the name of a decided row, which repeats a smaller key.
     found = usable.select("key", "text").mapInArrow(anchors, "name bigint, key bigint, shared boolean, anchor bigint")
-    together = found.groupBy("name").agg(
-        F.collect_list("key").alias("keys"), F.max("shared").alias("shared"), F.first("anchor").alias("anchor")
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    together = (
+        found.repartition(parts, "name")
+        .groupBy("name")
+        .agg(F.collect_list("key").alias("keys"), F.min("key").alias("least"), F.max("shared").alias("shared"), F.first("anchor").alias("anchor"))
+    )
+    shared = together.where(F.col("shared") | F.col("anchor").isNotNull() | (F.size("keys") > 1)).select(
+        F.explode("keys").alias("s_key"), F.coalesce("anchor", "name").alias("anchor"), "least", F.col("anchor").isNotNull().alias("decided")
+    )
+    shared = shared.select("s_key", "anchor", (F.col("decided") | (F.col("s_key") > F.col("least"))).alias("later"))
+    by_text = stage(
+        shared.groupBy("s_key").agg(
+            F.collect_list("anchor").alias("anchors"), F.collect_list(F.when(F.col("later"), F.col("anchor"))).alias("later")
+        ),
+        "shared-symbols",
+    )
+    some = key_filter(by_text, "s_key")
+    marked = (
+        usable.select("key", "text").where(some("key"))
+        .join(by_text, F.col("key") == F.col("s_key"))
+        .select("key", "text", "anchors", "later")
     )
-    shared = together.where(F.col("shared") | (F.size("keys") > 1)).select(F.explode("keys").alias("s_key"), "anchor")
-    by_text = shared.groupBy("s_key").agg(F.collect_list("anchor").alias("anchors"))
-    marked = rows.join(by_text, F.col("key") == F.col("s_key"), "left").select("key", "text", "anchors", "rest")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per text, named by its words, and one per window to compare."""
-        names = ["key", "text", "rest", "may", "name", "h1", "h2", "place", "decided"]
-        for batch in batches:
-            h1, h2, keys, places, texts_ = [], [], [], [], []
-            for part in text_slices(batch, "text"):
-                words, row, counts, index, distinct = _words(part.column(1))
-                may = pc.is_valid(part.column(2)).to_numpy(zero_copy_only=False) & (counts >= window)
-                key_ = part.column(0)
-                ends = np.cumsum(counts)
-                name = SpanHashes(words).of(ends - counts, ends)
+        """Spans that repeat smaller keys for certain, and a row for each window to compare."""
+        names = ["key", "name", "place", "length", "h1", "h2"]
+
+        def out(key_, name, place, length, h1, h2) -> Iterator[pa.RecordBatch]:
+            for start in range(0, len(key_), 1 << 16):
+                cut = slice(start, start + (1 << 16))
                 yield pa.RecordBatch.from_arrays(
-                    [key_, part.column(1), part.column(3).cast(rest_arrow), pa.array(may), _signed(name),
-                     *(pa.nulls(part.num_rows, pa.int64()) for _ in range(3)), pa.nulls(part.num_rows, pa.bool_())],
+                    [pa.array(key_[cut]), pa.array(name[cut]), pa.array(place[cut].astype(np.int32)),
+                     pa.array(length[cut].astype(np.int32)), _signed(h1[cut]), _signed(h2[cut])],
                     names=names,
                 )
-                if not may.any():
-                    continue
+
+        for batch in batches:
+            held = []
+            for part in text_slices(batch, "text", SLICE_BYTES):
+                words, row, counts, _, _ = _words(part.column(1))
+                key_, ends = part.column(0).to_numpy(), np.cumsum(counts)
+                firsts = ends - counts
                 at, text_of, anchor, spans = window_anchors(words, row, counts, window)
-                wanted = part.column(2)
-                some = np.flatnonzero(may)
-                lists = wanted.take(pa.array(some))
-                listed = lists.flatten().to_numpy().view(np.uint64)
-                of = np.repeat(some, pc.list_value_length(lists).to_numpy()).astype(np.uint64)
-                hit = np.isin(anchor ^ mix(text_of.astype(np.uint64)), listed ^ mix(of))
+                name = spans.of(firsts, ends).view(np.int64)
+                hit = _listed(anchor, text_of, part.column(2))
+                high, low, until, high_row = high_symbols(words, row, window)
+                settled = _listed(high, high_row, part.column(3))
+                low, until, high_row = low[settled], until[settled], high_row[settled]
+                yield from out(
+                    key_[high_row], name[high_row], low - firsts[high_row], until - low,
+                    mix(name[high_row].view(np.uint64) ^ mix(key_[high_row].astype(np.uint64)) + low.astype(np.uint64)), low.astype(np.uint64),
+                )
+                # Windows inside a settled symbol are covered by it.
+                covered = np.zeros(len(words) + 1, dtype=np.int64)
+                np.add.at(covered, low, 1)
+                np.subtract.at(covered, np.maximum(until - window + 1, low), 1)
+                hit &= np.cumsum(covered)[at] == 0
                 at, text_of = at[hit], text_of[hit]
                 second = SpanHashes(mix(words ^ _SECOND))
-                h1.append(spans.of(at, at + window))
-                h2.append(second.of(at, at + window))
-                firsts = np.cumsum(counts) - counts
-                places.append(at - firsts[text_of])
-                texts_.append(name[text_of])
-                keys.append(key_.to_numpy(zero_copy_only=False)[text_of].astype(np.int64))
-            if h1 and sum(map(len, h1)):
-                a, b, k, p, t = map(np.concatenate, (h1, h2, keys, places, texts_))
-                first, several = _first_of_each(a, k)
-                for start in range(0, len(a), 1 << 16):
-                    cut = slice(start, start + (1 << 16))
-                    n = len(a[cut])
-                    decided = ~first[cut]
-                    # What a smaller key of this batch covers is decided, under a name of its own.
-                    own = np.where(decided, mix(a[cut] ^ mix(k[cut].astype(np.uint64)) + p[cut].astype(np.uint64)), a[cut])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(k[cut]), pa.nulls(n, pa.string()), pa.nulls(n, rest_arrow), pa.nulls(n, pa.bool_()),
-                         _signed(t[cut]), _signed(own), _signed(b[cut]), pa.array(p[cut]), pa.array(decided)],
-                        names=names,
-                    )
-
-    told = stage(
-        marked.mapInArrow(
-            windows,
-            f"key bigint, text string, rest {rest_type}, may boolean, name bigint, h1 bigint, h2 bigint, place bigint, decided boolean",
-        ),
-        "windows",
-    )
-    entry = F.struct("key", "name", "place", "decided")
-    met = told.where("h1 is not null").groupBy("h1", "h2").agg(F.min("key").alias("least"), F.collect_list(entry).alias("e"))
-    covered = met.where(F.exists("e", lambda e: e["decided"] | (e["key"] > F.col("least")))).select(
-        "least", F.explode("e").alias("e")
+                held.append((key_[text_of], name[text_of], at - firsts[text_of], spans.of(at, at + window), second.of(at, at + window)))
+            k, name, place, h1, h2 = map(np.concatenate, zip(*held))
+            first, _ = _first_of_each(h1, k)
+            later = np.flatnonzero(~first)
+            # What repeats a smaller key of this batch is certain; neighbours go on as one span.
+            opens = np.concatenate(([True], (np.diff(later) > 1) | (np.diff(place[later]) != 1) | (np.diff(k[later]) != 0)))[: len(later)]
+            heads = later[opens]
+            lengths = np.diff(np.append(np.flatnonzero(opens), len(later))) + window - 1
+            yield from out(
+                k[heads], name[heads], place[heads], lengths,
+                mix(name[heads].view(np.uint64) ^ mix(k[heads].astype(np.uint64)) + place[heads].astype(np.uint64)), h2[heads],
+            )
+            ones = np.flatnonzero(first)
+            yield from out(k[ones], name[ones], place[ones], np.zeros(len(ones), np.int64), h1[ones], h2[ones])
+
+    told = marked.mapInArrow(windows, "key bigint, name bigint, place int, length int, h1 bigint, h2 bigint")
+    # A length says that the span is certain; rows to compare have none.
+    met = (
+        told.repartition(parts, "h1")
+        .groupBy("h1", "h2")
+        .agg(F.min("key").alias("least"), F.collect_list(F.struct("key", "name", "place", "length")).alias("e"))
+        .select("least", F.explode("e").alias("e"))
     )
-    covered = covered.where(F.col("e.decided") | (F.col("e.key") > F.col("least")))
-    places = covered.groupBy(F.col("e.key").alias("c_key"), F.col("e.name").alias("c_name")).agg(F.collect_list(F.col("e.place").cast("int")).alias("places"))
-    texts = told.where("h1 is null").select("key", "text", "rest", "name")
-    own = (F.col("key") == F.col("c_key")) & (F.col("name") == F.col("c_name"))
-    final = texts.join(places, own, "left").select("key", "text", "places", "rest")
+    covered = met.where((F.col("e.length") > 0) | (F.col("e.key") > F.col("least"))).select(
+        F.col("e.key").alias("c_key"),
+        F.struct(
+            F.col("e.name").alias("name"), F.col("e.place").alias("place"),
+            F.when(F.col("e.length") > 0, F.col("e.length")).otherwise(F.lit(window)).alias("length"),
+        ).alias("span"),
+    )
+    spans = stage(covered.groupBy("c_key").agg(F.collect_list("span").alias("spans")), "repeats")
+    touched = key_filter(spans, "c_key")
+    flagged = rows.withColumn("touched", F.coalesce(touched("key"), F.lit(False)))
+    cut = flagged.where("touched").join(spans, F.col("key") == F.col("c_key"), "left").select("key", "text", "rest", "spans")
+    whole = flagged.where(~F.col("touched")).select("key", "text", "rest", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
-                counts, index, distinct = split_words(part.column(1))
-                firsts = np.cumsum(counts) - counts
+            for part in text_slices(batch, "text", SLICE_BYTES):
+                words, row, counts, index, distinct = _words(part.column(1))
+                ends = np.cumsum(counts)
+                firsts = ends - counts
                 edge = np.zeros(len(index) + 1, dtype=np.int64)
-                lists = part.column(2)
+                lists = part.column(3)
                 lengths = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
-                at = lists.drop_null().flatten().to_numpy() + np.repeat(firsts, lengths)
-                np.add.at(edge, at, 1)
-                np.subtract.at(edge, at + window, 1)
+                if lengths.any():
+                    found = lists.drop_null().flatten()
+                    of = np.repeat(np.arange(len(counts)), lengths)
+                    own = found.field("name").to_numpy() == SpanHashes(words).of(firsts, ends).view(np.int64)[of]
+                    at = (found.field("place").to_numpy() + firsts[of])[own]
+                    np.add.at(edge, at, 1)
+                    np.subtract.at(edge, at + found.field("length").to_numpy()[own], 1)
                 keep = np.cumsum(edge[:-1]) == 0
-                row = np.repeat(np.arange(len(counts)), counts)
                 left = np.bincount(row[keep], minlength=len(counts)).astype(np.int64)
                 offsets = np.concatenate(([0], np.cumsum(left)))
                 kept = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), distinct.take(pa.array(index[keep])))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pc.binary_join(kept, " "), pa.array(counts), pa.array(counts - left),
-                     part.column(3).cast(rest_arrow)],
+                     part.column(2).cast(rest_arrow)],
                     names=["key", "text", "kept", "n_words", "n_removed", "rest"],
-                )
-
-    return final.mapInArrow(
-        cut_out, f"key bigint, text string, kept string, n_words bigint, n_removed bigint, rest {rest_type}"
-    )
+                )
 
+    schema = f"key bigint, text string, kept string, n_words bigint, n_removed bigint, rest {rest_type}"
+    return cut.mapInArrow(cut_out, schema).unionByName(whole.mapInArrow(cut_out, schema))
