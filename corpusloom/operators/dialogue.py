@@ -79,21 +79,20 @@ def dialogue_valid(turns: DataFrame) -> DataFrame:
 def with_facts(turns: DataFrame) -> DataFrame:
     """Turns with their conversation's facts. A conversation of n chunks gets n copies of
     its one-row facts, so the join key of a long conversation is spread."""
-    last_chunk = F.call_function("div", F.col("last_turn"), F.lit(CHUNK_TURNS).cast("bigint"))
-    facts = dialogue_facts(turns).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
-    )
-    return turns.withColumn("chunk", _chunk()).join(facts, ["conv_id", "chunk"])
+    placed = turns.withColumn("chunk", _chunk())
+    met = placed.select(F.col("conv_id").alias("_conv"), F.col("chunk").alias("_part")).distinct()
+    facts = dialogue_facts(turns).join(met, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("conv_id")
+    own = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("chunk").eqNullSafe(F.col("_part"))
+    return placed.join(facts, own).drop("_conv", "_part")
 
 
 def render_conversation(
     turns: DataFrame, system: str | None = None, think_on_last: bool = True
 ) -> DataFrame:
-    """``(conv_id, part, text)``: ChatML of whole conversations.
+    """``(conv_id, text)``: ChatML of whole conversations, one row each, whatever their length.
 
-    ``part`` is 0 for conversations of up to ``CHUNK_TURNS`` turns. Longer ones continue in
-    parts 1, 2, ..; their texts joined in order are the rendering. The join leaves the rows
-    hashed on (conv_id, chunk), so the grouping adds no exchange.
+    Turns become text by chunk first, then the chunks' texts are joined up. Turns without a number
+    come first; turns without a conversation are one conversation.
     """
     think = (F.col("role") == "assistant") & (F.col("turn") == F.col("last_turn")) & F.lit(
         think_on_last
@@ -105,12 +104,13 @@ def render_conversation(
     text = F.array_join(F.transform(in_order, lambda m: m["_t"]), "")
     if system is not None:
         head = chatml.render_turn(F.lit("system"), F.lit(system))
-        text = F.concat(F.when(F.col("chunk") == 0, head).otherwise(F.lit("")), text)
-    return (
-        rendered.groupBy("conv_id", "chunk")
-        .agg(text.alias("text"))
-        .select("conv_id", F.col("chunk").alias("part"), "text")
+    chunks = rendered.groupBy("conv_id", "chunk").agg(text.alias("text"))
+    whole = F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("chunk", "text"))), lambda c: c["text"]), ""
     )
+    if system is not None:
+        whole = F.concat(head, whole)
+    return chunks.groupBy("conv_id").agg(whole.alias("text"))
 
 
 def exchanges(turns: DataFrame) -> DataFrame:
@@ -166,12 +166,13 @@ def _marked(mark: str, text: Column) -> Column:
 def _context_turns(turns: DataFrame, max_input: int, system: str, tokenizer) -> DataFrame:
     """Turns of valid dialogues that may enter the context, with ``budget`` and ``cum``.
 
-    An exchange costs at least one token, so of any dialogue only the last ``max_input``
-    exchanges can be kept; older turns go before the window, which therefore sees
-    at most 2 * max_input + 2 rows per conversation.
+    Where the two marks of an exchange cost a token, only the last ``max_input`` exchanges of a
+    dialogue can be kept; older turns then go before the window, which sees at most
+    2 * max_input + 2 rows per conversation. Where they cost none, every turn is counted.
     """
     newline = tokenizer.count(F.lit("\n"))
-    near_end = F.col("turn") > F.col("last_turn") - 1 - 2 * max_input
+    least = tokenizer.count(F.lit(USER_MARK)) + tokenizer.count(F.lit(ASSISTANT_MARK)) + newline
+    near_end = (F.col("turn") > F.col("last_turn") - 1 - 2 * max_input) | (least == 0)
     mark = F.when(F.col("kind") == "system", F.lit(SYSTEM_MARK)).when(
         F.col("role") == "user", F.lit(USER_MARK)
     ).otherwise(F.lit(ASSISTANT_MARK))

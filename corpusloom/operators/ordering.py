@@ -14,8 +14,9 @@ They go back into the plan as one sorted constant, and each wide row finds its s
 by binary search. The wide rows then move once, hashed on the segment number, and a
 segment never holds more than ``rows_per_segment`` rows whatever the data look like.
 
-The order key must be unique and not null; integers and strings are supported. Nulls are
-refused, and repeated keys too as soon as there is more than one batch.
+The order key must be unique and not null; integers and strings are supported. Null and
+repeated keys are refused by every operator that goes by position, at every size. Where one column
+repeats, order by several: ``order_key`` makes one key of them.
 """
 
 from __future__ import annotations
@@ -164,18 +165,33 @@ def _keys(df: DataFrame, order: str) -> tuple[DataFrame, str]:
     return keys, key_type
 
 
+def check_keys(df: DataFrame, order: str) -> int:
+    """The number of rows, if no order key is null or repeated. Counts are combined before the shuffle."""
+    counted = df.groupBy(order).count()
+    found = counted.agg(
+        F.sum("count").alias("n"),
+        F.sum(F.when(F.col(order).isNull(), F.col("count"))).alias("nulls"),
+        F.max(F.when(F.col("count") > 1, F.col(order))).alias("repeated"),
+    ).first()
+    if found["nulls"]:
+        raise ValueError(f"order key {order} is null in {found['nulls']} rows")
+    if found["repeated"] is not None:
+        raise ValueError(f"order key {order} is not unique, for example {found['repeated']!r}")
+    return found["n"] or 0
+
+
 def key_at(df: DataFrame, order: str, rank: int):
     """The order key of the row at a 0-based rank, or None past the end.
 
-    Near the start every task sends its few lowest keys; further on all keys are ranked.
+    Null and repeated keys are refused. Near the start every task then sends its few lowest keys;
+    further on all keys are ranked.
     """
     keys, key_type = _keys(df, order)
-    if rank < TOP_KEYS:
-        found = keys.orderBy(order).offset(rank).limit(1).first()
-        return None if found is None else found[order]
-    n = keys.count()
+    n = check_keys(keys, order)
     if rank >= n:
         return None
+    if rank < TOP_KEYS:
+        return keys.orderBy(order).offset(rank).limit(1).first()[order]
     return _with_rank(keys, order, key_type, n).where(F.col("_rank") == rank).first()[order]
 
 
@@ -199,6 +215,8 @@ def plan_segments(
     """
     if batch_rows < 1 or shards < 1:
         raise ValueError("batch_rows and shards must be positive")
+    if shards > MAX_SEGMENTS:
+        raise ValueError(f"at most {MAX_SEGMENTS} shards: each has a start key in the plan")
     keys, key_type = _keys(df, order)
     if stage_keys:
         keys = stage(keys, "keys")
@@ -210,6 +228,7 @@ def plan_segments(
     split = batch_rows > split_rows
     starts = sorted({s for s in shard_starts(n, shards) if s < n})
     if n <= min(batch_rows, MAX_BATCH_IN_SEGMENT) and len(starts) <= 1:
+        check_keys(keys, order)
         return Segments(order, key_type, batch_rows, n)
 
     in_shard = F.col("_rank")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import explode_elements
 from corpusloom.functions.tokenizers import WORDS
-from corpusloom.operators.ordering import rank_rows
+from corpusloom.operators.ordering import check_keys, rank_rows
 from corpusloom.operators.quality import take
 from corpusloom.sources.store import stage
 
@@ -175,26 +175,41 @@ def _translate_by_join(
 
 
 def _translate(
-    df: DataFrame, vocabulary: DataFrame, row_key: str, column: str, key: str, value: str
+    df: DataFrame,
+    vocabulary: DataFrame,
+    row_key: str,
+    column: str,
+    key: str,
+    value: str,
+    in_place_rows: int,
 ) -> DataFrame:
     """Replace each element of ``column`` by its vocabulary partner; unknown ones are null.
 
     A vocabulary whose measured size is within the bounds travels with the tasks and
-    nothing is shuffled. A larger one is joined.
+    nothing is shuffled. A larger one is joined. Null and repeated row keys are refused either way.
     """
+    check_keys(df.select(row_key), row_key)
     size = vocabulary.agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.length("token")).alias("chars")
     ).first()
-    if size["rows"] > IN_PLACE_ROWS or (size["chars"] or 0) > IN_PLACE_CHARS:
+    if size["rows"] > in_place_rows or (size["chars"] or 0) > IN_PLACE_CHARS:
         return _translate_by_join(df, vocabulary, row_key, column, key, value)
     return df.select(row_key, _look_up(vocabulary, key, value)(column).alias(column))
 
 
 def encode_ids(
-    df: DataFrame, vocabulary: DataFrame, row_key: str, column: str = "input_ids"
+    df: DataFrame,
+    vocabulary: DataFrame,
+    row_key: str,
+    column: str = "input_ids",
+    in_place_rows: int = IN_PLACE_ROWS,
 ) -> DataFrame:
-    """Token strings to vocabulary ids, in order; tokens outside it become null."""
-    return _translate(df, vocabulary, row_key, column, "token", "token_id")
+    """Token strings to vocabulary ids, in order; tokens outside it become null.
+
+    A vocabulary of more than ``in_place_rows`` tokens is joined instead of sent to the tasks; the
+    result is the same.
+    """
+    return _translate(df, vocabulary, row_key, column, "token", "token_id", in_place_rows)
 
 
 def decode_ids(
@@ -208,7 +223,7 @@ def decode_ids(
     """Ids back to ``text``. ``special_ids`` are left out, as in ``skip_special_tokens``."""
     if special_ids:
         df = df.withColumn(column, F.filter(column, lambda i: ~i.isin(special_ids)))
-    words = _translate(df, vocabulary, row_key, column, "token_id", "token")
+    words = _translate(df, vocabulary, row_key, column, "token_id", "token", IN_PLACE_ROWS)
     return words.select(row_key, F.array_join(column, separator).alias("text"))
 
 

@@ -112,7 +112,7 @@ def _(spark, sf):
 def _mixture_sql(seq: int, rows: int) -> str:
     prompt = "'### Instruction:' || chr(10) || prompt || chr(10) || '### Response:' || chr(10) || response"
     parts = {
-        "web_other": f"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS rn, {t.words_sql('content')} AS ids FROM kept WHERE lang <> 'en'",
+        "web_other": f"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS rn, {t.words_sql('content')} AS ids FROM kept WHERE lang <> 'en' OR lang IS NULL",
         "instruct": f"SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS rn, {t.words_sql(prompt)} AS ids FROM instruct",
         "web_en": f"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS rn, {t.words_sql('content')} AS ids FROM kept WHERE lang = 'en'",
         "reference_texts": f"SELECT row_number() OVER (ORDER BY item_id) - 1 AS rn, {t.words_sql('text')} AS ids FROM benchmark",
@@ -134,7 +134,7 @@ def mixture(spark, sf, seq_len=1024, batch_rows=1024):
     items = t.table(spark, sf, "benchmark", t.BENCHMARK)
     return pretrain_mixture(
         {
-            "web_other": CorpusSource(web.where("lang <> 'en'"), "doc_id", score="score"),
+            "web_other": CorpusSource(web.where("lang <> 'en' OR lang IS NULL"), "doc_id", score="score"),
             "instruct": CorpusSource(dialogue, "row_key", instruct=True, stage_keys=True),
             "web_en": CorpusSource(web.where("lang = 'en'"), "doc_id", score="score"),
             "reference_texts": CorpusSource(items, "item_id", text="text"),
@@ -166,3 +166,15 @@ def _(spark, sf):
         t.joined("input_ids").alias("input_ids"),
         t.joined("attention_mask").alias("attention_mask"),
     )
+
+
+@R.add(
+    "pack_tied",
+    f"""WITH rows AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS rn, {t.words_sql("text")} AS ids
+  FROM conversations), {t.pack_sql("rows", 128, "rn // 50")} SELECT batch_id, block_id, input_ids FROM packed""",
+)
+def _(spark, sf):
+    """Turns packed in the order of two columns, the first of which repeats."""
+    turns = t.conversations(spark, sf).withColumn("place", order_key("conv_id", "turn"))
+    blocks = pack_text(turns, "text", "place", seq_len=128, batch_rows=50)
+    return blocks.select("batch_id", "block_id", t.joined("input_ids").alias("input_ids"))

@@ -132,7 +132,7 @@ def _(spark, sf):
 
 @R.add(
     "render_conversation",
-    f"WITH {t.RENDERED_SQL} SELECT conv_id, CAST(0 AS BIGINT) AS part, text FROM rendered",
+    f"WITH {t.RENDERED_SQL} SELECT conv_id, text FROM rendered",
 )
 def _(spark, sf):
     return render_conversation(t.conversations(spark, sf))

@@ -49,7 +49,7 @@ def _(spark, sf):
     root = shared_path(spark, "files")
     turns = t.conversations(spark, sf)
     turns.where("role = 'user'").write.json(f"{root}/asked")
-    turns.where("role <> 'user'").write.json(f"{root}/other")
+    turns.where("role <> 'user' OR role IS NULL").write.json(f"{root}/other")
     return scan_files(spark, [f"{root}/asked", f"{root}/other"], t.CONVERSATIONS)
 
 

@@ -95,3 +95,19 @@ def _(spark, sf):
     return pages.select(
         "page_id", F.get("_p", F.lit(0)).alias("head"), F.get("_p", F.lit(1)).alias("rest")
     )
+
+
+def _tied(spark, sf):
+    """Turns by conversation, whose number repeats, and turn."""
+    turns = t.conversations(spark, sf).select("conv_id", "turn", "text")
+    return turns.withColumn("place", order_key("conv_id", "turn"))
+
+
+@R.add("take_tied", "SELECT conv_id, turn, text FROM conversations ORDER BY conv_id, turn LIMIT 101")
+def _(spark, sf):
+    return take(_tied(spark, sf), 101, "place").drop("place")
+
+
+@R.add("row_at_tied", "SELECT conv_id, turn, text FROM conversations ORDER BY conv_id, turn OFFSET 42 LIMIT 1")
+def _(spark, sf):
+    return row_at(_tied(spark, sf), 42, "place").drop("place")

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import importlib.util
-
 from pyspark.sql import functions as F
 
-from corpusloom.functions.tokenizers import BYTES, bpe_from_json
+from corpusloom.functions.tokenizers import BYTES
 from corpusloom.operators import tokens as k
 from corpusloom.operators.quality import score_filter
 from corpusloom.queries import Registry
@@ -67,13 +65,21 @@ def _(spark, sf):
     return k.vocab(_doc_words(spark, sf), max_size=5000)
 
 
-@R.add(
-    "encode_ids",
-    f"""WITH {_VOCAB}, flat AS (
+_ENCODED = f"""WITH {_VOCAB}, flat AS (
   SELECT doc_id, unnest(ids) AS token, unnest(range(len(ids))) AS i FROM words)
 SELECT doc_id, string_agg(CAST(token_id AS VARCHAR), ' ' ORDER BY i) AS input_ids
-FROM flat JOIN vocab USING (token) GROUP BY doc_id""",
-)
+FROM flat JOIN vocab USING (token) GROUP BY doc_id"""
+
+
+@R.add("encode_ids_large", _ENCODED)
+def _(spark, sf):
+    """The same by joining the vocabulary, as any real corpus needs."""
+    words = _doc_words(spark, sf)
+    ids = k.encode_ids(words, k.vocab(words), "doc_id", in_place_rows=0)
+    return ids.select("doc_id", t.joined("input_ids").alias("input_ids"))
+
+
+@R.add("encode_ids", _ENCODED)
 def _(spark, sf):
     words = _doc_words(spark, sf)
     ids = k.encode_ids(words, k.vocab(words), "doc_id")
@@ -190,24 +196,3 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return k.source_rollup(t.documents(spark, sf), "text", ["source", "lang"])
-
-
-if importlib.util.find_spec("tokenizers"):
-
-    def byte_level_definition() -> str:
-        """A byte-level BPE without merges, so one token per UTF-8 byte."""
-        from tokenizers import Tokenizer, decoders, models, pre_tokenizers
-
-        alphabet = sorted(pre_tokenizers.ByteLevel.alphabet())
-        tokenizer = Tokenizer(models.BPE(vocab={c: i for i, c in enumerate(alphabet)}, merges=[]))
-        tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
-        tokenizer.decoder = decoders.ByteLevel()
-        return tokenizer.to_str()
-
-    @R.add(
-        "token_count_external",
-        "SELECT doc_id, CAST(octet_length(encode(text)) AS INTEGER) AS num_tokens FROM documents",
-    )
-    def _(spark, sf):
-        tokenizer = bpe_from_json(byte_level_definition())
-        return k.token_count(t.documents(spark, sf), "text", ["doc_id"], tokenizer=tokenizer)

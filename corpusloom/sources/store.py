@@ -14,16 +14,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def _only_unfinished(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds nothing but what a write that did not finish leaves."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return all(f.getPath().getName() == "_temporary" for f in found)
+
+
 def materialize_or_reuse(
     spark: SparkSession, path: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
     """Read ``path`` if a finished write is there, else build, write and read it.
 
     Only the ``_SUCCESS`` mark counts as finished, so a folder left by a failed job is
-    rebuilt and ``build`` is not even called for a finished one.
+    rebuilt and ``build`` is not even called for a finished one. A folder without the mark that
+    holds anything else than an unfinished write's is not ours, and is left alone with an error.
     """
     if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
-        mode = "overwrite" if _exists(spark, path) else "errorifexists"
+        mode = "errorifexists"
+        if _exists(spark, path):
+            if not _only_unfinished(spark, path):
+                raise FileExistsError(f"{path} holds files that no unfinished write left there")
+            mode = "overwrite"
         build().write.mode(mode).parquet(path)
     return spark.read.parquet(path)
 

@@ -31,94 +31,68 @@ def table(spark, dialogues):
     return spark.createDataFrame(rows, SCHEMA).repartition(4)
 
 
-def parse(messages):
-    system, ms = None, list(messages)
-    if ms[0][0] == "system":
-        system, ms = ms[0][1], ms[1:]
-    if not ms or ms[-1][0] != "user":
-        return None
-    query, ms = ms[-1][1], ms[:-1]
-    if len(ms) % 2:
-        return None
-    pairs = []
-    for i in range(0, len(ms), 2):
-        if (ms[i][0], ms[i + 1][0]) != ("user", "assistant"):
-            return None
-        pairs.append((ms[i][1], ms[i + 1][1]))
-    return system, pairs, query
-
-
-def words(text):
-    return len([w for w in text.replace("\n", " ").split(" ") if w])
-
-
-def context(messages, max_input, default, count):
-    system, pairs, query = parse(messages)
-    newline = count("\n")
-    system = system or default
-    head = f"<|system|>\n{system.strip()}" if system else None
-    asked = f"<|user|>\n{query.strip()}"
-    budget = max_input - (count(head) + newline if head else 0) - count(asked) - newline
-    budget -= count("<|assistant|>") + newline
-    kept, used = [], 0
-    for q, a in reversed(pairs):
-        q, a = f"<|user|>\n{q.strip()}", f"<|assistant|>\n{a.strip()}"
-        n = count(q) + count(a) + 2 * newline
-        if not used + n < budget:
-            break
-        used += n
-        kept = [q, a] + kept
-    return "\n".join(([head] if head else []) + kept + [asked, "<|assistant|>"]) + "\n", len(kept) // 2
-
-
-COUNTS = [(WORDS, words), (BYTES, lambda t: len(t.encode()))]
+#: Written-out dialogues: turns, whether they are valid, what they consist of.
+WRITTEN = {
+    1: ([("user", "q")], True, {("query", 0): ("q", None)}),
+    2: ([("user", "a"), ("assistant", "b"), ("user", "q")], True, {("history", 0): ("a", "b"), ("query", 1): ("q", None)}),
+    3: ([("system", "s"), ("user", "q")], True, {("system", None): ("s", None), ("query", 0): ("q", None)}),
+    4: ([("user", "a"), ("assistant", "b")], False, {}),
+    5: ([("system", "s")], False, {}),
+    6: ([("user", "a"), ("user", "b"), ("user", "q")], False, {}),
+    7: ([("assistant", "a"), ("user", "b"), ("user", "q")], False, {}),
+    8: ([("user", "a"), ("assistant", "b"), ("system", "s"), ("user", "q")], False, {}),
+}
 
 
 @pytest.mark.parametrize("chunk", [1024, 2])
 def test_valid_and_parse(spark, monkeypatch, chunk):
     monkeypatch.setattr(d, "CHUNK_TURNS", chunk)
-    dialogues = make(3)
-    turns = table(spark, dialogues)
-    got = {r.conv_id: r.valid for r in d.dialogue_valid(turns).collect()}
-    assert got == {c: parse(ms) is not None for c, ms in dialogues.items()}
-    assert True in got.values() and False in got.values()
+    turns = table(spark, {c: w[0] for c, w in WRITTEN.items()})
+    assert {r.conv_id: r.valid for r in d.dialogue_valid(turns).collect()} == {c: w[1] for c, w in WRITTEN.items()}
     rows = {(r.conv_id, r.kind, r.exchange): (r.user, r.assistant) for r in d.parse_dialogue(turns).collect()}
-    expected = {}
-    for c, ms in dialogues.items():
-        if parse(ms):
-            system, pairs, query = parse(ms)
-            if system is not None:
-                expected[(c, "system", None)] = (system, None)
-            for i, p in enumerate(pairs):
-                expected[(c, "history", i)] = p
-            expected[(c, "query", len(pairs))] = (query, None)
-    assert rows == expected
-
-
-@pytest.mark.parametrize("tokenizer, count", COUNTS)
-@pytest.mark.parametrize("max_input", [20, 45, 80, 400])
-@pytest.mark.parametrize("system", [d.DEFAULT_SYSTEM, ""])
-def test_context(spark, tokenizer, count, max_input, system):
-    dialogues = make(8, 60)
-    turns = table(spark, dialogues)
-    expected = {c: context(ms, max_input, system, count) for c, ms in dialogues.items() if parse(ms)}
-    got = {r.conv_id: r.context for r in d.build_context(turns, max_input, system, tokenizer).collect()}
-    assert got == {c: e[0] for c, e in expected.items()}
-    kept = {}
-    for r in d.history_budget(turns, max_input, system, tokenizer).collect():
-        kept[r.conv_id] = kept.get(r.conv_id, 0) + 1
-    assert kept == {c: e[1] for c, e in expected.items() if e[1]}
-
-
-@pytest.mark.parametrize("max_input", [12, 15, 31])
-def test_long_history(spark, monkeypatch, max_input):
-    """Turns far beyond what can fit are dropped before the window without effect."""
-    monkeypatch.setattr(d, "CHUNK_TURNS", 16)
-    ms = [(("user", "assistant")[i % 2], "w" * (i % 3)) for i in range(301)]
-    dialogues = {1: ms, 2: [("system", "a b")] + ms}
-    got = {r.conv_id: r.context for r in d.build_context(table(spark, dialogues), max_input).collect()}
-    assert got == {c: context(m, max_input, d.DEFAULT_SYSTEM, words)[0] for c, m in dialogues.items()}
-    assert "user" in got[1]
+    assert rows == {(c, *at): texts for c, w in WRITTEN.items() for at, texts in w[2].items()}
+
+
+@pytest.mark.parametrize(
+    "max_input, text",
+    [
+        # The system's mark and text are 2 words, the query's 2, the opened answer 1, an exchange 4.
+        (9, "<|system|>\ns\n<|user|>\nq\n<|assistant|>\n"),
+        (10, "<|system|>\ns\n<|user|>\nc\n<|assistant|>\nd\n<|user|>\nq\n<|assistant|>\n"),
+        (13, "<|system|>\ns\n<|user|>\nc\n<|assistant|>\nd\n<|user|>\nq\n<|assistant|>\n"),
+        (14, "<|system|>\ns\n<|user|>\na\n<|assistant|>\nb\n<|user|>\nc\n<|assistant|>\nd\n<|user|>\nq\n<|assistant|>\n"),
+    ],
+)
+def test_context(spark, max_input, text):
+    ms = [("system", "s"), ("user", "a"), ("assistant", "b"), ("user", " c "), ("assistant", "d"), ("user", "q")]
+    assert d.build_context(table(spark, {1: ms}), max_input).first()["context"] == text
+
+
+@pytest.mark.parametrize("tokenizer", [WORDS, BYTES])
+def test_kept_history_is_the_newest_run_that_fits(spark, tokenizer):
+    turns = table(spark, make(8, 60)).cache()
+    valid = {r.conv_id for r in d.dialogue_valid(turns).where("valid").collect()}
+    everything = {(r.conv_id, r.exchange): r.num_tokens for r in d.history_budget(turns, 10**6, tokenizer=tokenizer).collect()}
+    last = {c: max(x for v, x in everything if v == c) for c, _ in everything}
+    before: dict = {}
+    for max_input in (20, 45, 80, 400):
+        rows = d.history_budget(turns, max_input, tokenizer=tokenizer).collect()
+        kept = {c: sorted(r.exchange for r in rows if r.conv_id == c) for c in valid}
+        budget = {r.conv_id: r.budget for r in rows}
+        for c, run in kept.items():
+            assert set(before.get(c, [])) <= set(run)
+            if run:
+                assert run == list(range(run[0], last[c] + 1))
+                used = sum(everything[c, x] for x in run)
+                assert used < budget[c]
+                assert run[0] == 0 or used + everything[c, run[0] - 1] >= budget[c]
+        before = kept
+
+
+def test_exchanges_that_cost_nothing_are_all_kept(spark):
+    ms = [(("user", "assistant")[i % 2], "x") for i in range(15)]
+    han = type(WORDS)("[\u4e00-\u9fff]")
+    assert d.history_budget(table(spark, {1: ms}), 3, system="", tokenizer=han).count() == 7
 
 
 def test_exchange_equal_to_budget_is_left_out(spark):
@@ -128,17 +102,20 @@ def test_exchange_equal_to_budget_is_left_out(spark):
     assert d.history_budget(table(spark, ms), 6 + 2 + 1 + 5).count() == 1
 
 
-def test_long_conversation_renders_in_parts(spark, monkeypatch):
-    ms = [(("user", "assistant")[i % 2], f"t{i}") for i in range(50)]
-    turns = table(spark, {7: ms, 8: ms[:3]})
-    whole = {r.conv_id: r.text for r in d.render_conversation(turns, system="S").collect()}
-    monkeypatch.setattr(d, "CHUNK_TURNS", 8)
-    parts = d.render_conversation(turns, system="S").orderBy("conv_id", "part").collect()
-    assert len(parts) == 7 + 1
-    for c in (7, 8):
-        assert "".join(r.text for r in parts if r.conv_id == c) == whole[c]
-    assert whole[7].endswith("<|im_start|>assistant\n<think>\n\n</think>\n\nt49<|im_end|>\n")
-    assert whole[7].count("<think>") == 1 and "<think>" not in whole[8]
+def test_a_long_conversation_is_one_row(spark):
+    ms = [("system", "S"), *((("user", "assistant")[i % 2], f"t{i}") for i in range(1024))]
+    rows = {r.conv_id: r.text for r in d.render_conversation(table(spark, {7: ms, 8: ms[:3]})).collect()}
+    assert sorted(rows) == [7, 8]
+    assert rows[7].startswith("<|im_start|>system\nS<|im_end|>\n<|im_start|>user\nt0<|im_end|>\n")
+    assert rows[7].endswith("<|im_start|>assistant\n<think>\n\n</think>\n\nt1023<|im_end|>\n")
+    assert rows[7].count("<|im_start|>") == 1025 and rows[7].count("<think>") == 1
+    assert rows[7].index("t9<") < rows[7].index("t10<") < rows[7].index("t1000<")
+
+
+def test_conversations_without_an_id_are_rendered(spark):
+    turns = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "assistant", "b")], SCHEMA)
+    rows = d.render_conversation(turns, think_on_last=False).collect()
+    assert [(r.conv_id, r.text.count("<|im_start|>")) for r in rows] == [(None, 2)]
 
 
 def test_exchanges_and_rewards(spark):

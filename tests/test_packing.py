@@ -1,4 +1,4 @@
-"""Packing against a plain loop: edges, shards, segment and range boundaries."""
+"""Packing against the place of every token: edges, shards, segment and range boundaries."""
 
 import random
 
@@ -9,25 +9,28 @@ from corpusloom.functions.tokenizers import BYTES
 from corpusloom.operators import ordering
 from corpusloom.operators.ordering import assign_batches, key_at, order_key, plan_segments
 from corpusloom.operators.packing import concat_sources, pack, pack_report, pack_text
-
-
-def loop_pack(rows, seq_len, batch_rows, shards=1):
-    """rows: token lists in order. Returns {(batch, block): tokens}."""
-    out, batch_no = {}, 0
-    small, extra = divmod(len(rows), shards)
-    at = 0
-    for s in range(shards):
-        part = rows[at : at + small + (s < extra)]
-        at += len(part)
-        for i in range(0, len(part), batch_rows):
-            flat = [t for row in part[i : i + batch_rows] for t in row]
-            total = len(flat)
-            if total >= seq_len:
-                total = total // seq_len * seq_len
-            for k, j in enumerate(range(0, total, seq_len)):
-                out[(batch_no, k)] = flat[j : min(j + seq_len, total)]
-            batch_no += 1
-    return out
+from corpusloom.operators.quality import row_at, take
+
+
+def expected_blocks(rows, seq_len, batch_rows, shards=1):
+    """{(batch, block): tokens}, by the place of each token in its batch: place p belongs to block
+    p // seq_len, which counts if it is full or the only one. rows: token lists in order."""
+    ends = ordering.shard_starts(len(rows), shards)[1:] + [len(rows)]
+    shard_of = lambda r: sum(r >= e for e in ends)
+    first = [0, *ends]
+    place, batch_of = {}, {}
+    for r, row in enumerate(rows):
+        s = shard_of(r)
+        earlier = sum(-(-(first[k + 1] - first[k]) // batch_rows) for k in range(s))
+        batch_of[r] = earlier + (r - first[s]) // batch_rows
+    blocks, size = {}, {}
+    for r, row in enumerate(rows):
+        for token in row:
+            b = batch_of[r]
+            place[b] = place.get(b, -1) + 1
+            blocks.setdefault((b, place[b] // seq_len), []).append(token)
+            size[b] = size.get(b, 0) + 1
+    return {at: tokens for at, tokens in blocks.items() if len(tokens) == seq_len or size[at[0]] < seq_len}
 
 
 def table(spark, rows, keys=None):
@@ -61,7 +64,7 @@ def test_edges(spark, lengths, blocks, dropped):
         at += n
     df = table(spark, rows)
     got = packed(pack(df, "k", 4, 10))
-    assert got == loop_pack(rows, 4, 10)
+    assert got == expected_blocks(rows, 4, 10)
     assert len(got) == blocks
     report = pack_report(df.withColumn("num_tokens", F.size("input_ids")), "k", 4, 10).first()
     assert (report.blocks, report.dropped_tokens) == (blocks, dropped)
@@ -78,7 +81,7 @@ def random_rows(n, seed=5, longest=40):
 def test_random(spark, batch_rows, shards, max_segments):
     rows = random_rows(311)
     got = packed(pack(table(spark, rows), "k", 16, batch_rows, shards=shards, max_segments=max_segments))
-    assert got == loop_pack(rows, 16, batch_rows, shards)
+    assert got == expected_blocks(rows, 16, batch_rows, shards)
 
 
 def test_many_ranges(spark, monkeypatch):
@@ -87,8 +90,8 @@ def test_many_ranges(spark, monkeypatch):
     rows = random_rows(523, seed=9)
     keys = sorted(random.Random(3).sample(range(10**12), len(rows)))
     df = table(spark, rows, keys)
-    assert packed(pack(df, "k", 16, 10, shards=4)) == loop_pack(rows, 16, 10, 4)
-    assert packed(pack(df, "k", 16, 10, stage_keys=True)) == loop_pack(rows, 16, 10)
+    assert packed(pack(df, "k", 16, 10, shards=4)) == expected_blocks(rows, 16, 10, 4)
+    assert packed(pack(df, "k", 16, 10, stage_keys=True)) == expected_blocks(rows, 16, 10)
     monkeypatch.setattr(ordering, "TOP_KEYS", 5)
     assert [key_at(df, "k", i) for i in (0, 4, 5, 300, 522, 523)] == [
         keys[0], keys[4], keys[5], keys[300], keys[522], None,
@@ -100,17 +103,17 @@ def test_batches_longer_than_a_segment(spark, monkeypatch, batch_rows, shards):
     monkeypatch.setattr(ordering, "MAX_BATCH_IN_SEGMENT", 32)
     rows = random_rows(250, seed=6)
     df = table(spark, rows)
-    assert packed(pack(df, "k", 64, batch_rows, shards=shards)) == loop_pack(rows, 64, batch_rows, shards)
-    assert packed(pack(df, "k", 10**6, batch_rows, shards=shards)) == loop_pack(rows, 10**6, batch_rows, shards)
+    assert packed(pack(df, "k", 64, batch_rows, shards=shards)) == expected_blocks(rows, 64, batch_rows, shards)
+    assert packed(pack(df, "k", 10**6, batch_rows, shards=shards)) == expected_blocks(rows, 10**6, batch_rows, shards)
     report = pack_report(df.withColumn("num_tokens", F.size("input_ids")), "k", 64, batch_rows, shards=shards).first()
-    expected = loop_pack(rows, 64, batch_rows, shards)
+    expected = expected_blocks(rows, 64, batch_rows, shards)
     assert (report.blocks, report.kept_tokens) == (len(expected), sum(map(len, expected.values())))
 
 
 def test_string_keys(spark):
     rows = random_rows(90, seed=2)
     keys = sorted(f"é{i}\U0001f600" if i % 2 else f"z{i}" for i in range(len(rows)))
-    assert packed(pack(table(spark, rows, keys), "k", 16, 8)) == loop_pack(rows, 16, 8)
+    assert packed(pack(table(spark, rows, keys), "k", 16, 8)) == expected_blocks(rows, 16, 8)
 
 
 def test_layout_does_not_matter(spark):
@@ -166,6 +169,21 @@ def test_bounds(spark):
         plan_segments(spark.range(5).select(F.col("id").cast("double").alias("k")), "k", 10)
 
 
+@pytest.mark.parametrize("keys, match", [([1, 1, 1, 2], "not unique"), ([None, 1, 2], "null")])
+@pytest.mark.parametrize("top_keys", [0, 1000])
+def test_positions_refuse_bad_keys(spark, monkeypatch, keys, match, top_keys):
+    monkeypatch.setattr(ordering, "TOP_KEYS", top_keys)
+    df = spark.createDataFrame([(k, [i]) for i, k in enumerate(keys)], "k bigint, input_ids array<int>")
+    for run in (
+        lambda: take(df, 2, "k"),
+        lambda: row_at(df, 0, "k"),
+        lambda: pack(df, "k", 4, 2),
+        lambda: pack(df, "k", 4, 100),
+    ):
+        with pytest.raises(ValueError, match=match):
+            run()
+
+
 def test_bad_keys_are_refused(spark, monkeypatch):
     df = spark.createDataFrame([(i % 30, [i]) for i in range(60)], "k bigint, input_ids array<int>")
     with pytest.raises(ValueError, match="not unique"):

@@ -15,7 +15,7 @@ from corpusloom.queries import tables as t
 
 QUERIES = entry.queries()
 PYTHON = {
-    "token_count_external", "encode_ids", "decode_ids", "route_topk", "route_load",
+    "encode_ids", "decode_ids", "route_topk", "route_load",
     "map_batches", "map_rows", "filter_rows", "position_ids",
 }
 

@@ -145,9 +145,16 @@ def test_reuse(spark, tmp_path):
     assert materialize_or_reuse(spark, path, build).count() == 5
     assert materialize_or_reuse(spark, path, build).count() == 5
     assert len(calls) == 1
-    os.remove(f"{path}/_SUCCESS")
-    assert materialize_or_reuse(spark, path, build).count() == 5
+    unfinished = f"{path}-unfinished"
+    os.makedirs(f"{unfinished}/_temporary/0")
+    assert materialize_or_reuse(spark, unfinished, build).count() == 5
     assert len(calls) == 2
+    os.makedirs(f"{path}-foreign")
+    with open(f"{path}-foreign/mine.txt", "w") as f:
+        f.write("mine")
+    with pytest.raises(FileExistsError):
+        materialize_or_reuse(spark, f"{path}-foreign", build)
+    assert os.listdir(f"{path}-foreign") == ["mine.txt"] and len(calls) == 2
 
 
 def test_block_folders(spark, tmp_path):
