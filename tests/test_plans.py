@@ -15,7 +15,7 @@ from corpusloom.queries import tables as t
 
 QUERIES = entry.queries()
 PYTHON = {
-    "encode_ids", "decode_ids", "route_topk", "route_load",
+    "encode_ids", "encode_ids_large", "decode_ids", "route_topk", "route_load",
     "map_batches", "map_rows", "filter_rows", "position_ids",
 }
 
