@@ -52,9 +52,13 @@ def test_packing_moves_rows_once(spark, sf):
     assert text.count("Sort [segment") == 1
 
 
-def test_rendering_moves_text_once(spark, sf):
-    turns = t.conversations(spark, sf)
-    assert exchanges(plan(render_conversation(turns))) <= 3
+def test_rendering_moves_turns_once_and_chunks_once(spark, sf):
+    """Facts and the chunks that occur are narrow (three exchanges and a join's two); turns with
+    their text move once by chunk, and the chunks' texts once more to become one row."""
+    text = plan(render_conversation(t.conversations(spark, sf)))
+    assert exchanges(text) <= 7
+    wide = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "_part" not in line and "chunk" in line]
+    assert len(wide) <= 2
 
 
 def test_tokens_are_made_once(spark, sf):
