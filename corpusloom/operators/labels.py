@@ -28,19 +28,40 @@ def _value(df: DataFrame, column: str, value) -> Column:
 
 
 def pad_batch(
-    df: DataFrame, length: int, pad, column: str = "input_ids", mask: str = "attention_mask"
+    df: DataFrame, length: int | Column, pad, column: str = "input_ids", mask: str = "attention_mask"
 ) -> DataFrame:
     """Pad on the right to ``length`` and mark real tokens 1, padding 0.
 
     Longer rows stay as they are; :func:`~corpusloom.operators.tokens.truncate` first.
     """
     n = F.array_size(column)
-    fill = F.greatest(F.lit(length) - n, F.lit(0))
+    fill = F.greatest((length if isinstance(length, Column) else F.lit(length)) - n, F.lit(0))
     return df.withColumn(
         mask, F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), fill))
     ).withColumn(column, F.concat(column, F.array_repeat(_value(df, column, pad), fill)))
 
 
+def pad_longest(
+    df: DataFrame,
+    pad,
+    order: str,
+    batch_rows: int,
+    column: str = "input_ids",
+    mask: str = "attention_mask",
+    **options,
+) -> DataFrame:
+    """Pad each batch of ``batch_rows`` rows in ``order`` to its longest row.
+
+    Adds ``batch_id``, ``batch_row`` and the mask. Null rows stay null and count as empty.
+    ``options`` are those of :func:`~corpusloom.operators.ordering.plan_segments`.
+    """
+    plan = plan_segments(df, order, batch_rows, **options)
+    numbered = plan.number(df.withColumn("segment", plan.segment()))
+    longest = F.max(F.array_size(column)).over(W.partitionBy(*plan.batch_keys))
+    widths = numbered.withColumn("_width", F.coalesce(longest, F.lit(0)))
+    return pad_batch(widths, F.col("_width"), pad, column, mask).drop("_width", "segment")
+
+
 def causal_labels(df: DataFrame, pad, column: str = "input_ids") -> DataFrame:
     """Labels are the ids, padding ignored."""
     pad, ignore = _value(df, column, pad), _value(df, column, IGNORE)

@@ -14,7 +14,7 @@ from corpusloom.functions.arrays import explode_elements
 from corpusloom.functions.tokenizers import WORDS
 from corpusloom.operators.ordering import check_keys, rank_rows
 from corpusloom.operators.quality import take
-from corpusloom.sources.store import stage
+from corpusloom.sources.store import drop_staged, stage
 
 # A vocabulary within these measured bounds travels with the tasks.
 IN_PLACE_ROWS = 262_144
@@ -72,7 +72,9 @@ def vocab(df: DataFrame, column: str = "input_ids", max_size: int | None = None)
     ids = rank_rows(counts, "_key", "token_id").select("token", "freq", "token_id")
     if max_size is not None:
         ids = ids.where(F.col("token_id") < max_size)
-    return stage(ids, "vocab")
+    found = stage(ids, "vocab")
+    drop_staged(counts)
+    return found
 
 
 def _in_head() -> Column:

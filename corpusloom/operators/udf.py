@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from corpusloom.operators.ordering import plan_segments
+
 
 def _struct(df: DataFrame, schema: str | T.StructType) -> T.StructType:
     return df.sparkSession.createDataFrame([], schema).schema
@@ -23,15 +25,33 @@ def map_batches(
     fn: Callable[[dict[str, list]], dict[str, list]],
     schema: str | T.StructType,
     columns: list[str] | None = None,
+    order: str | None = None,
+    batch_rows: int | None = None,
+    **options,
 ) -> DataFrame:
     """``fn`` over batches given as column -> list; it may change the number of rows.
 
-    Only ``columns`` are sent to Python. The batch is whatever Arrow delivers
+    Only ``columns`` are sent to Python. With ``order`` and ``batch_rows`` a batch is that many
+    consecutive rows in that order, the last one the rest, and ``batch_id`` is among its columns;
+    a batch is in one task, so it has to fit there. ``options`` are those of
+    :func:`~corpusloom.operators.ordering.plan_segments`. Without them the batch is whatever Arrow delivers
     (``spark.sql.execution.arrow.maxRecordsPerBatch``), so results must not depend on it.
     """
-    source = df.select(*columns) if columns else df
+    if (order is None) != (batch_rows is None):
+        raise ValueError("order and batch_rows go together")
     result = _struct(df, schema)
     arrow_schema = to_arrow_schema(result)
+    if order is not None:
+        names = columns or df.columns
+        plan = plan_segments(df, order, batch_rows, **options)
+        source = df.select(*dict.fromkeys([*names, order])).withColumn("segment", plan.segment())
+
+        def run_batch(table: pa.Table) -> pa.Table:
+            table = table.sort_by("batch_row").select([*names, "batch_id"])
+            return pa.Table.from_pydict(fn(table.to_pydict()), schema=arrow_schema)
+
+        return plan.number(source).groupBy(*plan.batch_keys).applyInArrow(run_batch, result)
+    source = df.select(*columns) if columns else df
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,7 +8,7 @@ from corpusloom.functions.chatml import TURN_START
 from corpusloom.functions.tokenizers import BYTES, WORDS
 from corpusloom.operators import labels as m
 from corpusloom.operators.dialogue import render_conversation
-from corpusloom.operators.tokens import tokenize, truncate
+from corpusloom.operators.tokens import tokenize
 from corpusloom.plans.finetune import sft_dataset, sft_examples
 from corpusloom.queries import Registry
 from corpusloom.queries import tables as t
@@ -24,12 +24,13 @@ def _doc_words(spark, sf):
 
 
 def _padded(spark, sf):
-    return m.pad_batch(truncate(_doc_words(spark, sf), 256), 256, "<pad>")
+    # Longer rows stay whole.
+    return m.pad_batch(_doc_words(spark, sf), 256, "<pad>")
 
 
-_PADDED = f"""{_WORDS}, cut AS (SELECT doc_id, ids[1:256] AS ids FROM words), padded AS (
+_PADDED = f"""{_WORDS}, padded AS (
   SELECT doc_id, list_concat(ids, list_transform(range(256 - len(ids)), lambda x: '<pad>')) AS ids,
-    list_concat(list_transform(ids, lambda x: 1), list_transform(range(256 - len(ids)), lambda x: 0)) AS mask FROM cut)"""
+    list_concat(list_transform(ids, lambda x: 1), list_transform(range(256 - len(ids)), lambda x: 0)) AS mask FROM words)"""
 
 
 @R.add(
@@ -43,6 +44,22 @@ def _(spark, sf):
     )
 
 
+@R.add(
+    "pad_longest",
+    f"""WITH {_WORDS}, numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS rn FROM words), wide AS (
+  SELECT *, rn // 50 AS batch_id, max(len(ids)) OVER (PARTITION BY rn // 50) - len(ids) AS short FROM numbered)
+SELECT doc_id, CAST(batch_id AS BIGINT) AS batch_id,
+  array_to_string(list_concat(ids, list_transform(range(short), lambda x: '<pad>')), ' ') AS input_ids,
+  array_to_string(list_concat(list_transform(ids, lambda x: 1), list_transform(range(short), lambda x: 0)), ' ')
+    AS attention_mask FROM wide""",
+)
+def _(spark, sf):
+    padded = m.pad_longest(_doc_words(spark, sf), "<pad>", "doc_id", 50)
+    return padded.select(
+        "doc_id", "batch_id", *[t.joined(c).alias(c) for c in ("input_ids", "attention_mask")]
+    )
+
+
 @R.add(
     "causal_labels",
     f"""WITH {_PADDED} SELECT doc_id, array_to_string(

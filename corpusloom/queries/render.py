@@ -70,27 +70,24 @@ def _(spark, sf):
 
 
 _FIRST = t.turn_sql("'user'", t.strip_sql("i.prompt")) + " || " + "'<|im_start|>assistant' || chr(10)"
-_LAST = t.exchange_sql(t.strip_sql("n.prompt"), t.strip_sql("n.response"))
 
 
 @R.add(
     "chat_multi_turn",
-    f"""WITH {t.INSTRUCT_SQL} SELECT i.conv_id, i.turn, {_FIRST}
-  || CASE WHEN n.turn IS NULL THEN {t.THINK_SQL} ELSE '' END || {t.strip_sql("i.response")}
-  || '<|im_end|>' || chr(10) || CASE WHEN n.turn IS NULL THEN '' ELSE {_LAST} END AS text
-FROM instruct i LEFT JOIN instruct n ON n.conv_id = i.conv_id AND n.turn = i.turn + 2""",
+    f"""WITH {t.INSTRUCT_SQL}, marked AS (SELECT *, row_number() OVER (
+  PARTITION BY conv_id ORDER BY turn DESC, prompt DESC, response DESC) = 1 AS is_last FROM instruct)
+SELECT conv_id, string_agg({_FIRST} || CASE WHEN is_last THEN {t.THINK_SQL} ELSE '' END
+  || {t.strip_sql("i.response")} || '<|im_end|>' || chr(10), '' ORDER BY turn, prompt, response) AS text
+FROM marked i GROUP BY conv_id""",
 )
 def _(spark, sf):
-    # Each exchange with the one after it, if there is one.
-    rows = t.instruct(spark, sf).select(
-        *KEY, F.struct(F.col("prompt").alias("human"), F.col("response").alias("assistant")).alias("a")
-    )
-    following = rows.select("conv_id", (F.col("turn") - 2).alias("turn"), F.col("a").alias("b"))
-    pairs = rows.join(following, KEY, "left").select(
-        *KEY,
-        F.when(F.col("b").isNull(), F.array("a")).otherwise(F.array("a", "b")).alias("conversation"),
+    # All exchanges of a conversation, in the array that the operator reads.
+    item = F.struct(F.col("prompt").alias("human"), F.col("response").alias("assistant"))
+    gathered = t.instruct(spark, sf).groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", item.alias("item")))).alias("items")
     )
-    return render.chat_multi_turn(pairs, KEY)
+    shaped = gathered.select("conv_id", F.transform("items", lambda x: x["item"]).alias("conversation"))
+    return render.chat_multi_turn(shaped, ["conv_id"])
 
 
 @R.add(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpusloom.operators.tokens import tokenize
 from corpusloom.operators.udf import filter_rows, map_batches, map_rows
 from corpusloom.queries import Registry
 from corpusloom.queries import tables as t
@@ -23,6 +24,31 @@ def _(spark, sf):
     return map_batches(t.documents(spark, sf), lines, "doc_id BIGINT, line STRING", ["doc_id", "text"])
 
 
+_NUMBERED = f"""r AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS rn, {t.words_sql("text")} AS ids FROM documents)"""
+
+
+@R.add(
+    "map_batches_ordered",
+    f"WITH {_NUMBERED}, {t.pack_sql('r', 128, 'rn // 100')} SELECT batch_id, block_id, input_ids FROM packed",
+)
+def _(spark, sf):
+    """Batches of 100 documents in order, packed by a user function."""
+
+    def blocks(batch):
+        tokens = [token for ids in batch["input_ids"] for token in ids]
+        whole = len(tokens) // 128 * 128 if len(tokens) >= 128 else len(tokens)
+        starts = range(0, whole, 128)
+        return {
+            "batch_id": [batch["batch_id"][0]] * len(starts),
+            "block_id": [start // 128 for start in starts],
+            "input_ids": [" ".join(tokens[start : start + 128]) for start in starts],
+        }
+
+    ids = tokenize(t.documents(spark, sf), "text", ["doc_id"])
+    schema = "batch_id BIGINT, block_id BIGINT, input_ids STRING"
+    return map_batches(ids, blocks, schema, ["input_ids"], order="doc_id", batch_rows=100)
+
+
 @R.add("map_rows", "SELECT doc_id, length(text) - length(lang) AS chars FROM documents")
 def _(spark, sf):
     docs = map_rows(

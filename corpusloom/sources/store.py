@@ -53,9 +53,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     For results that several later steps consume: it cuts the lineage, survives lost
-    executors, and gives every consumer the same rows.
+    executors, and gives every consumer the same rows. :func:`drop_staged` takes the table away.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    read = spark.read.parquet(path)
+    read.staged_path = path
+    return read
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete tables that :func:`stage` returned, once nothing unwritten reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

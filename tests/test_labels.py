@@ -118,3 +118,21 @@ def test_ignored_next_tokens(spark):
     )
     got = [(r.k, r.pos, r.token, r.label) for r in m.next_token_pairs(df, ["k"]).collect()]
     assert got == [(0, 1, 2, 3)]
+
+
+def test_pad_longest_pads_each_batch_to_its_own_longest(spark):
+    rows = [(0, [7]), (1, [8, 9, 9]), (2, None), (3, []), (4, [5, 5])]
+    df = spark.createDataFrame(rows, "k int, input_ids array<int>")
+    got = {r.k: r for r in m.pad_longest(df, 0, "k", 2).collect()}
+    assert [got[k].batch_id for k in range(5)] == [0, 0, 1, 1, 2]
+    assert got[0].input_ids == [7, 0, 0] and got[0].attention_mask == [1, 0, 0]
+    assert got[1].input_ids == [8, 9, 9] and got[4].input_ids == [5, 5]
+    assert got[2].input_ids is None and got[3].input_ids == []
+
+
+def test_pad_longest_over_batches_longer_than_segments(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [1] * (i % 5)) for i in range(40)], "k int, input_ids array<int>")
+    whole = sorted(m.pad_longest(df, 0, "k", 20).collect())
+    monkeypatch.setattr(ordering, "MAX_BATCH_IN_SEGMENT", 8)
+    assert sorted(m.pad_longest(df, 0, "k", 20).collect()) == whole
+    assert {len(r.input_ids) for r in whole} == {4}

@@ -123,3 +123,17 @@ def test_user_functions_see_plain_values(spark):
     assert filter_rows(df, lambda i: i is None, ["i"]).count() == 1
     nested = map_rows(df, lambda i: {"k": i, "xs": [i]}, ["i"], "o", "struct<k: int, xs: array<int>>")
     assert nested.first().o.xs == [1]
+
+
+def test_ordered_batches_have_their_size(spark):
+    df = spark.createDataFrame([(i * 7 % 10, str(i * 7 % 10)) for i in range(10)], "k int, x string")
+
+    def joined(batch):
+        return {"b": [batch["batch_id"][0]], "x": ["".join(batch["x"])]}
+
+    got = map_batches(df, joined, "b bigint, x string", ["x"], order="k", batch_rows=4)
+    assert sorted(map(tuple, got.collect())) == [(0, "0123"), (1, "4567"), (2, "89")]
+    with pytest.raises(ValueError):
+        map_batches(df, joined, "b bigint, x string", ["x"], order="k")
+    with pytest.raises(ValueError, match="not unique"):
+        map_batches(df.union(df), joined, "b bigint, x string", ["x"], order="k", batch_rows=100)

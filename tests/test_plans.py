@@ -11,12 +11,13 @@ import __spark_entry__ as entry
 from corpusloom.operators import packing, tokens
 from corpusloom.operators.dialogue import render_conversation
 from corpusloom.operators.quality import score_filter, take
+from corpusloom.queries import all_queries
 from corpusloom.queries import tables as t
 
-QUERIES = entry.queries()
+QUERIES = all_queries()[0]
 PYTHON = {
     "encode_ids", "encode_ids_large", "decode_ids", "route_topk", "route_load",
-    "map_batches", "map_rows", "filter_rows", "position_ids",
+    "map_batches", "map_batches_ordered", "map_rows", "filter_rows", "position_ids",
 }
 
 
