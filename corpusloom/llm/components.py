@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.sources.store import stage
+from corpusloom.sources.store import drop_staged, stage
 
 
 def components(members: DataFrame, node: str, hub: str) -> DataFrame:
@@ -17,7 +17,7 @@ def components(members: DataFrame, node: str, hub: str) -> DataFrame:
     every round is a written table; only the number of changes reaches the driver.
     """
     members = stage(members.select(F.col(node).alias("node"), F.col(hub).alias("hub")), "members")
-    labels = stage(members.groupBy("node").agg(F.min("node").alias("label")), "labels")
+    labels = last = stage(members.groupBy("node").agg(F.min("node").alias("label")), "labels")
     while True:
         hubs = members.join(labels, "node").groupBy("hub").agg(F.min("label").alias("least"))
         found = members.join(hubs, "hub").groupBy("node").agg(F.min("least").alias("least"))
@@ -27,5 +27,8 @@ def components(members: DataFrame, node: str, hub: str) -> DataFrame:
         jumped = both.select("node", F.least("least", F.coalesce("further", "least")).alias("label"), "old")
         jumped = stage(jumped, "labels")
         labels = jumped.select("node", "label")
+        drop_staged(nearer, last)
+        last = jumped
         if not jumped.where("label <> old").limit(1).count():
+            drop_staged(members)
             return labels

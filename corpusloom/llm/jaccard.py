@@ -23,7 +23,7 @@ from corpusloom.llm.components import components
 from corpusloom.llm.hashing import SpanHashes, mix, word_hashes
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import split_words, text_slices
-from corpusloom.sources.store import stage
+from corpusloom.sources.store import drop_staged, stage
 
 TREES, DEPTH = 32, 8
 BLOCK_TEXTS = 256
@@ -214,7 +214,9 @@ def near_duplicates(
             F.col("node").alias("k_node"), "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")
         ),
         "known",
-    ).withColumn("k_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    drop_staged(classes, sizes, placed, found, nodes)
+    known = known.withColumn("k_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # A class may hold a large share of the rows: its rows are spread over salts.
     salted = signed.select("key", "node", F.coalesce(F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"), F.lit(0)).alias("salt"))
     out = salted.join(known, (F.col("node") == F.col("k_node")) & (F.col("salt") == F.col("k_salt")), "left")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.sources.store import stage
+from corpusloom.sources.store import drop_staged, stage
 
 HASH_BITS, BUCKET_BITS = 60, 12
 WORD = "[^ \\t-\\r]++"
@@ -154,7 +154,9 @@ def mix_documents(
     one hash and are taken together. An empty table stays empty. Other columns may have
     any name: they are set aside while the plan's own are in use.
     """
-    plan = mixture_plan(stage(sized_rows(df, key, text, source).select("source", "size", "h"), "sizes"), weights, cap)
+    sizes = stage(sized_rows(df, key, text, source).select("source", "size", "h"), "sizes")
+    plan = mixture_plan(sizes, weights, cap)
+    drop_staged(sizes)
     held = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
         F.col(f"`{source}`").alias("source"),

@@ -34,7 +34,7 @@ from corpusloom.llm.hashing import SpanHashes, mix, word_hashes
 from corpusloom.llm.keyfilter import key_filter
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import split_words, text_slices
-from corpusloom.sources.store import stage
+from corpusloom.sources.store import drop_staged, stage
 
 WINDOW = 13
 ROUNDS, HIGH_ROUNDS = 2, 6
@@ -281,6 +281,7 @@ def remove_repeats(
         ).alias("span"),
     )
     spans = stage(covered.groupBy("c_key").agg(F.collect_list("span").alias("spans")), "repeats")
+    drop_staged(by_text)
     touched = key_filter(spans, "c_key")
     flagged = rows.withColumn("touched", F.coalesce(touched("key"), F.lit(False)))
     cut = flagged.where("touched").join(spans, F.col("key") == F.col("c_key"), "left").select("key", "text", "rest", "spans")
