@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -192,15 +193,20 @@ def remove_repeats(
     # ``anchor`` is the name of a decided row, which repeats a smaller key.
     found = usable.select("key", "text").mapInArrow(anchors, "name bigint, key bigint, shared boolean, anchor bigint")
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # A window sorts once and keeps rows as they are; a name has a row for each batch of input at most.
+    of_name = W.partitionBy("name")
     together = (
         found.repartition(parts, "name")
-        .groupBy("name")
-        .agg(F.collect_list("key").alias("keys"), F.min("key").alias("least"), F.max("shared").alias("shared"), F.first("anchor").alias("anchor"))
+        .withColumn("least", F.min("key").over(of_name))
+        .withColumn("shared", F.max("shared").over(of_name))
+        .withColumn("n", F.count(F.lit(1)).over(of_name))
     )
-    shared = together.where(F.col("shared") | F.col("anchor").isNotNull() | (F.size("keys") > 1)).select(
-        F.explode("keys").alias("s_key"), F.coalesce("anchor", "name").alias("anchor"), "least", F.col("anchor").isNotNull().alias("decided")
+    decided = F.col("anchor").isNotNull()
+    shared = together.where(F.col("shared") | decided | (F.col("n") > 1)).select(
+        F.col("key").alias("s_key"),
+        F.coalesce("anchor", "name").alias("anchor"),
+        (decided | (F.col("key") > F.col("least"))).alias("later"),
     )
-    shared = shared.select("s_key", "anchor", (F.col("decided") | (F.col("s_key") > F.col("least"))).alias("later"))
     by_text = stage(
         shared.groupBy("s_key").agg(
             F.collect_list("anchor").alias("anchors"), F.collect_list(F.when(F.col("later"), F.col("anchor"))).alias("later")
@@ -269,15 +275,12 @@ def remove_repeats(
     # A length says that the span is certain; rows to compare have none.
     met = (
         told.repartition(parts, "h1")
-        .groupBy("h1", "h2")
-        .agg(F.min("key").alias("least"), F.collect_list(F.struct("key", "name", "place", "length")).alias("e"))
-        .select("least", F.explode("e").alias("e"))
+        .withColumn("least", F.min("key").over(W.partitionBy("h1", "h2")))
     )
-    covered = met.where((F.col("e.length") > 0) | (F.col("e.key") > F.col("least"))).select(
-        F.col("e.key").alias("c_key"),
+    covered = met.where((F.col("length") > 0) | (F.col("key") > F.col("least"))).select(
+        F.col("key").alias("c_key"),
         F.struct(
-            F.col("e.name").alias("name"), F.col("e.place").alias("place"),
-            F.when(F.col("e.length") > 0, F.col("e.length")).otherwise(F.lit(window)).alias("length"),
+            "name", "place", F.when(F.col("length") > 0, F.col("length")).otherwise(F.lit(window)).alias("length")
         ).alias("span"),
     )
     spans = stage(covered.groupBy("c_key").agg(F.collect_list("span").alias("spans")), "repeats")
