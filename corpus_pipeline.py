@@ -20,7 +20,7 @@ from corpusloom.llm.quality import fit_quality_model, score_quality
 from corpusloom.llm.queries import END_ID, graded, tokenizer_file
 from corpusloom.llm.repeats import remove_repeats
 from corpusloom.queries.tables import LABELS, table
-from corpusloom.sources.store import stage
+from corpusloom.sources.store import drop_staged, stage
 
 #: No SQL expresses a fitted classifier; the stages are tested against brute force instead.
 ORACLE_SQL = None
@@ -83,6 +83,10 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            drop_staged(before)
+        before = docs
     return docs
