@@ -39,13 +39,20 @@ def grade_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group. Rows without an id stay; rows that repeat
-    an id and its text become one."""
+    """Keep one row of each group of near copies: the one with the smallest id. Rows without an id come after
+    all others, equal ids go by a hash of the text. Rows are judged each by its own text, whatever their
+    ids: rows that share an id are dropped only as copies themselves. Rows that repeat an id (or have none)
+    and the text become one; texts without words are in no group."""
     if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         docs = docs.dropDuplicates(["doc_id", "text"])
-    found = near_duplicates(docs, "doc_id", "text")
-    gone = stage(found.where("class_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct(), "near-copies")
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    row_key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
+    found = near_duplicates(docs.select(row_key.alias("row_key"), "text"), "row_key", "text")
+    gone = found.where("class_id <> row_key").select(
+        F.col("row_key.id").alias("gone_id"), F.col("row_key.h").alias("gone_h")
+    )
+    gone = stage(gone, "near-copies")
+    same = F.xxhash64("text") == F.col("gone_h")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & same, "left_anti")
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
