@@ -126,7 +126,7 @@ def near_duplicates(
     ship(df)
     length = prefix_length(threshold, recall)
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,13 +138,13 @@ def near_duplicates(
                 if len(some):
                     keys = forest_keys(hashes, firsts[some], len(some), TREES, length)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), node, pa.array(_spread(keys, some, part.num_rows), pa.list_(pa.int64()))],
-                    names=["key", "node", "trees"],
+                    [part.column(0), part.column(2), node, pa.array(_spread(keys, some, part.num_rows), pa.list_(pa.int64()))],
+                    names=["key", "h", "node", "trees"],
                 )
 
-    signed = stage(rows.mapInArrow(sign, f"key {kind}, node bigint, trees array<bigint>"), "signatures")
+    signed = stage(rows.mapInArrow(sign, f"key {kind}, h bigint, node bigint, trees array<bigint>"), "signatures")
     classes = signed.where("node is not null").groupBy("node").agg(
-        F.min("key").alias("least"), F.count(F.lit(1)).alias("copies")
+        F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"), F.coalesce(F.min_by("h", "key"), F.min("h")).alias("w_h")
     )
     classes = stage(classes, "classes")
     trees = signed.where("node is not null").groupBy("node").agg(F.first("trees").alias("trees"))
@@ -156,8 +156,9 @@ def near_duplicates(
     sizes = stage(groups.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("blocks")), "group-sizes")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
     placed = stage(groups.join(sizes, "label").select("node", "label", "blocks", block), "placed")
-    # The texts come back by key; texts of keyless classes by their node, computed again.
-    wanted = placed.join(classes.select("node", "least", "copies"), "node")
+    # A class's text comes back by the key and the text hash of one of its rows, so a key that many
+    # rows have meets only the rows that hold the text; equal rows become one before they are read.
+    wanted = placed.join(classes.select("node", "least", "w_h", "copies"), "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,9 +173,9 @@ def near_duplicates(
                 )
 
     held = rows.where("text is not null").join(
-        wanted.withColumnRenamed("node", "w_node"), F.col("key").eqNullSafe(F.col("least"))
+        wanted.withColumnRenamed("node", "w_node"), (F.col("h") == F.col("w_h")) & F.col("key").eqNullSafe(F.col("least"))
     )
-    held = held.select("text", "w_node", "label", "blocks", "block", "copies")
+    held = held.select("text", "w_node", "label", "blocks", "block", "copies").distinct()
     content = held.mapInArrow(
         sets, "node bigint, content binary, w_node bigint, label bigint, blocks bigint, block bigint, copies bigint"
     ).where("node = w_node").dropDuplicates(["node"])

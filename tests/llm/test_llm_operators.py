@@ -331,3 +331,23 @@ def test_near_duplicate_stage_judges_rows(spark):
     assert sorted(name[r] for r in got) == sorted(groups)
     assert collections.Counter((i is None, i or 0) for i, _ in got) == collections.Counter(firsts)
     assert (5, " ".join(lone)) in got and (5, " ".join(near)) not in got and (None, " ".join(base)) not in got
+
+
+def test_texts_under_one_key_meet_their_own_class(spark, monkeypatch):
+    """Candidate classes that share a key get their texts back row by row, not every text of the key."""
+    read = []
+    kept = type(spark.range(1)).mapInArrow
+
+    def counted(df, function, schema, *more):
+        if "w_node" in str(schema):
+            read.append(df.count())
+        return kept(df, function, schema, *more)
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", counted)
+    rows = []
+    for k in range(20):
+        base = words(60)
+        rows += [(None, " ".join(base)), (None, " ".join([*base[:-1], f"new{k}"])), (None, " ".join(base))]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "k bigint, t string"), "k", "t").collect()
+    assert [(r.class_id, r.n_links) for r in got] == [(None, 2)] * 60
+    assert read == [40]
