@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shipping import ship
@@ -168,14 +168,15 @@ def nearest_neighbours(
 
     kind = rows.schema["id"].dataType.simpleString()
     placed = f"tree int, leaf bigint, id {kind}, v array<float>"
-    # Chunks by a hash of the key: as many as the leaf's count needs. Leaves are a bounded number.
+    # Chunks by a hash of key and row number, so a repeated key is spread: as many as the leaf's count
+    # needs. Leaves are a bounded number.
     def chunked(found: DataFrame, size: int, name: str) -> DataFrame:
         found = stage(found, name)
         counts = found.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / size).alias("chunks"))
         counts = stage(counts.withColumnsRenamed({"tree": "c_tree", "leaf": "c_leaf"}), f"{name}-counts")
         met = (F.col("tree") == F.col("c_tree")) & (F.col("leaf") == F.col("c_leaf"))
         # At most trees * 2^depth rows, which the sample bounds.
-        chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk")
+        chunk = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.col("chunks")).alias("chunk")
         return (
             found.join(F.broadcast(counts), met)
             .select("tree", "leaf", chunk, F.struct("id", "v").alias("x"))
@@ -203,13 +204,10 @@ def nearest_neighbours(
                     yield _best(q_ids[some], q[some], ids, x, k)
 
     hits = met.mapInArrow(score, "query_id bigint, vec_id bigint, score double")
-    entry = F.struct((-F.col("score")).alias("minus"), "vec_id")
-    # A query has at most query_leaves * k hits from each chunk.
-    best = hits.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_set(entry)), 1, k).alias("best"))
-    ranked = best.select("query_id", F.posexplode("best").alias("rank", "hit"))
-    return ranked.select(
-        "query_id", (F.col("rank") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.minus")).alias("score")
-    )
+    # Cut to k inside each task, then for each query, without a list; equal hits (of several trees) have one rank.
+    rank = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best = hits.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", "score").distinct()
 
 
 def exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shipping import ship
@@ -110,7 +110,7 @@ def top_products(
     n_blocks, n_asked = (max(1, -(-c // size)) for c, size in zip(counts, (block_rows, QUERY_ROWS)))
 
     def blocks(found: DataFrame, n: int) -> DataFrame:
-        salt = F.pmod(F.xxhash64("id", F.monotonically_increasing_id() % 16), F.lit(n)).alias("block")
+        salt = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n)).alias("block")
         return found.groupBy(salt).agg(F.collect_list(F.struct("id", "v")).alias("x")).select(
             "block", F.col("x.id").alias("ids"), F.flatten("x.v").alias("flat")
         )
@@ -120,15 +120,16 @@ def top_products(
         F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("flat").alias("q_flat"),
         F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
     )
-    met = held.join(asked, "block").select("ids", "flat", "q_ids", "q_flat")
+    met = held.join(asked, "block").select("ids", "flat", "q_ids", "q_flat", "block")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, lists = None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, x = _rows(batch, 0, 1, i)
-                if last is None or not np.array_equal(last, ids):
-                    lists, last = SortedLists(ids, x), ids
+                block = batch.column(4)[i].as_py()
+                if last != block:
+                    lists, last = SortedLists(ids, x), block
                 q_ids, q = _rows(batch, 2, 3, i)
                 best_ids = np.full((len(q), k), np.iinfo(np.int64).max)
                 best = np.full((len(q), k), np.iinfo(np.int64).min)
@@ -140,10 +141,6 @@ def top_products(
                 )
 
     hits = met.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    entry = F.struct((-F.col("score")).alias("minus"), "vec_id")
-    # A query has k hits from each block at most.
-    best = hits.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("best"))
-    ranked = best.select("query_id", F.posexplode("best").alias("rank", "hit"))
-    return ranked.select(
-        "query_id", (F.col("rank") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.minus")).alias("score")
-    )
+    # A query has k hits from each block: cut to k inside each task, then for each query, without a list.
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

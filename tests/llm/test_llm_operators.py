@@ -351,3 +351,32 @@ def test_texts_under_one_key_meet_their_own_class(spark, monkeypatch):
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "k bigint, t string"), "k", "t").collect()
     assert [(r.class_id, r.n_links) for r in got] == [(None, 2)] * 60
     assert read == [40]
+
+
+def test_repeated_vector_keys_are_spread(spark, monkeypatch):
+    """Blocks stay near their size where one key has all rows; no list holds a query's hits."""
+    sizes, kept = [], threshold.stage
+
+    def counted(df, name):
+        table = kept(df, name)
+        if name == "blocks":
+            sizes.extend(r[0] for r in table.select(F.size("ids")).collect())
+        return table
+
+    monkeypatch.setattr(threshold, "stage", counted)
+    x = RNG.standard_normal((3000, 8)).astype(np.float32)
+    rows = [(7, v.tolist()) for v in x] + [(i, v.tolist()) for i, v in enumerate(x[:3], 100)]
+    df = spark.createDataFrame(rows, "k bigint, v array<float>").repartition(2)
+    ints = df.withColumn("v", F.transform("v", lambda c: F.floor(c.cast("double") * 256).cast("bigint")))
+    found = threshold.top_products(ints, "k", "v", F.col("k") >= 100, k=5, block_rows=64)
+    got = collections.defaultdict(list)
+    for r in found.collect():
+        got[r.query_id].append((-r.score, r.vec_id))
+    whole = np.floor(256 * x.astype(np.float64)).astype(np.int64)
+    for q in range(3):
+        every = [(-int(s), 7) for s in whole @ whole[q]] + [(-int(whole[i] @ whole[q]), 100 + i) for i in range(3) if i != q]
+        assert sorted(got[100 + q]) == sorted(every)[:5]
+    assert len(sizes) == 47 and max(sizes) < 2 * 64
+    near = forest.nearest_neighbours(df, "k", "v", F.col("k") >= 100, k=5, leaf_rows=64)
+    for plan in (t._jdf.queryExecution().executedPlan().toString() for t in (near, found)):
+        assert "WindowGroupLimit" in plan and "collect_set" not in plan
