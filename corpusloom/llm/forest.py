@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.llm.hashing import SAMPLE_RANGE, sample_share
 from corpusloom.llm.shipping import ship
 from corpusloom.sources.store import stage
 
@@ -113,7 +114,7 @@ def nearest_neighbours(
 
     How many leaves a query opens is measured, not given: for ``PROBES`` vectors the true neighbours are
     found by a scan, and queries open as many leaves as bring the probes to ``recall`` of them.
-    ``sample_rows`` bounds the vectors that the cuts are fitted on (by a hash of the key); every vector is
+    ``sample_rows`` bounds the vectors that the cuts are fitted on (by a hash of key and vector); every vector is
     indexed. Leaves grow with the data beyond ``sample_rows / 8`` of them. A leaf, whatever its size
     (equal vectors share one), is worked on in chunks of ``CHUNK_ROWS`` vectors by ``QUERY_ROWS`` queries.
     Unusable vectors (see :func:`usable`) and null keys take no part; all vectors must have one
@@ -124,9 +125,10 @@ def nearest_neighbours(
     rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<float>").alias("v"), is_query.alias("query")).where(
         usable(vector) & F.col(key).isNotNull()
     )
-    n = rows.count()
-    share = int(min(1.0, sample_rows / max(n, 1)) * (1 << 20))
-    sampled = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share).orderBy("id").select("v")
+    hashed = F.pmod(F.xxhash64("id", "v"), F.lit(SAMPLE_RANGE))
+    n, least = rows.agg(F.count(F.lit(1)), F.min(hashed)).first()
+    # Equal rows share a hash; the limit holds where they are many.
+    sampled = rows.where(hashed < sample_share(n, sample_rows, least)).orderBy("id", hashed).limit(max(1, 2 * sample_rows)).select("v")
     sample = _matrix(sampled.toArrow().column(0).combine_chunks())
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if not sample.size:

@@ -8,6 +8,15 @@ import xxhash
 
 FACTOR = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(FACTOR, -1, 1 << 64)
+#: Samples by a hash go by its rest of this.
+SAMPLE_RANGE = 1 << 62
+
+
+def sample_share(n: int, bound: int, least: int | None) -> int:
+    """Below which hash, of ``SAMPLE_RANGE``, about ``bound`` of ``n`` rows lie. It is above ``least``, the
+    smallest hash of the rows, so of some rows a sample has one at any size."""
+    share = SAMPLE_RANGE if n <= bound else SAMPLE_RANGE * bound // n
+    return max(share, (least or 0) + 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

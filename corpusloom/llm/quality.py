@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from corpusloom.llm.hashing import SAMPLE_RANGE, sample_share
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import split_words, text_slices
 
@@ -182,9 +183,9 @@ def fit_quality_model(
     rated = ratings.select(F.col(key).alias("r_key"), F.col(grade).cast("int").alias("grade")).where(
         f"r_key is not null and grade between 0 and {n_grades - 1}"
     )
-    n = rated.count()
-    share = int(min(1.0, max_fit_rows / max(n, 1)) * (1 << 20))
-    chosen = rated.where(F.pmod(F.xxhash64("r_key"), F.lit(1 << 20)) < share)
+    hashed = F.pmod(F.xxhash64("r_key"), F.lit(SAMPLE_RANGE))
+    n, least = rated.agg(F.count(F.lit(1)), F.min(hashed)).first()
+    chosen = rated.where(hashed < sample_share(n, max_fit_rows, least))
     sample = (
         docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
         .where("text is not null")

@@ -10,7 +10,7 @@ import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat, forest, jaccard, language, mixing, packing, quality, queries, repeats, threshold, warc
+from corpusloom.llm import chat, forest, hashing, jaccard, language, mixing, packing, quality, queries, repeats, threshold, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 RNG = np.random.default_rng(3)
@@ -380,3 +380,15 @@ def test_repeated_vector_keys_are_spread(spark, monkeypatch):
     near = forest.nearest_neighbours(df, "k", "v", F.col("k") >= 100, k=5, leaf_rows=64)
     for plan in (t._jdf.queryExecution().executedPlan().toString() for t in (near, found)):
         assert "WindowGroupLimit" in plan and "collect_set" not in plan
+
+
+def test_samples_are_never_empty(spark):
+    """A bound far below one row in the hash range, as a huge table has, still leaves something to learn from."""
+    x, df = vectors(spark, 400)
+    near = forest.nearest_neighbours(df, "vec_id", "embedding", F.col("vec_id") == 1, k=3, leaf_rows=64, sample_rows=0)
+    assert near.count() == 3
+    every = spark.range(0, 1 << 12).select(F.col("id").alias("doc_id"), F.lit("some junk").alias("text"))
+    rated = every.select("doc_id", F.lit(0).alias("grade"))
+    model = quality.fit_quality_model(every, rated, "doc_id", "text", "grade", 3, max_fit_rows=0)
+    assert np.isfinite(model.thresholds).all()
+    assert hashing.sample_share(1 << 50, 10_000, 5) > 5 and hashing.sample_share(10, 10, 3) == hashing.SAMPLE_RANGE
