@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from corpusloom.llm.hashing import SAMPLE_RANGE, sample_share
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import text_slices
 
@@ -63,22 +64,46 @@ def trigram_buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np
     return (mixed >> np.uint32(32 - BUCKET_BITS)).astype(np.int32), starts, has_letter
 
 
+def _quota(counts: list[int], bound: int) -> int:
+    """The most rows of one language if at most ``bound`` rows are taken in all, at least one."""
+    left = bound
+    for i, n in enumerate(sorted(counts)):
+        even = left // (len(counts) - i)
+        if n > even:
+            return max(1, even)
+        left -= n
+    return max(counts)
+
+
 def fit_language_model(
     df: DataFrame, text: str, lang: str, row_hash: Column, max_fit_rows: int = 20_000
 ) -> LanguageModel:
     """Learn from the rows of ``df`` with a language, of whole texts.
 
-    ``max_fit_rows`` bounds how many rows are learned from, about: of more rows, those whose
-    ``row_hash`` (an integer) falls into the right share are taken, the same ones at each run.
-    Null texts teach the priors only. Without any labelled row the model knows no language.
+    The languages and their priors are those of all labelled rows. ``max_fit_rows`` bounds, about, how many
+    rows trigrams are learned from: of more rows, every language has as many as fit if rarer ones keep all
+    of theirs (:func:`_quota`). Taken are those whose ``row_hash`` (an integer) falls into the language's share, the
+    same ones at each run. Null texts teach the priors only. Without any labelled row the model knows no language.
     """
     ship(df)
     labelled = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"), row_hash.alias("h")).where(
         "lang is not null"
     )
-    n = labelled.count()
-    share = int(min(1.0, max_fit_rows / max(n, 1)) * (1 << 20))
-    sample = labelled.where(F.pmod("h", F.lit(1 << 20)) < share).select("lang", "text")
+    hashed = F.pmod(F.xxhash64("h"), F.lit(SAMPLE_RANGE))
+    per_language = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(hashed).alias("least"))
+    known = sorted(tuple(r) for r in per_language.limit(MAX_LANGUAGES + 1).collect())
+    if len(known) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not known:
+        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+    languages, totals = [name for name, _, _ in known], np.array([n for _, n, _ in known])
+    quota = _quota(totals.tolist(), max_fit_rows)
+    sample = labelled
+    if totals.max() > quota:
+        shares = [(name, sample_share(n, quota, least)) for name, n, least in known]
+        bounds = F.broadcast(df.sparkSession.createDataFrame(shares, "b_lang string, share bigint"))
+        sample = labelled.join(bounds, F.col("lang") == F.col("b_lang")).where(hashed < F.col("share"))
+    sample = sample.select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
@@ -113,17 +138,12 @@ def fit_language_model(
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    languages = sorted(r[0] for r in sample.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not languages:
-        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     # At most MAX_LANGUAGES * (BUCKETS + 1) sums.
     table = sums.toArrow()
     counts = np.zeros((BUCKETS + 1, len(languages)))
     column = np.searchsorted(np.array(languages), table["lang"].to_numpy())
     counts[table["bucket"].to_numpy(), column] = table["n"].to_numpy()
-    grams, priors = counts[:BUCKETS] + 0.5, counts[BUCKETS] + 1.0
+    grams, priors = counts[:BUCKETS] + 0.5, totals + 1.0
     return LanguageModel(
         languages,
         np.log(grams / grams.sum(axis=0)).astype(np.float32),

@@ -392,3 +392,16 @@ def test_samples_are_never_empty(spark):
     model = quality.fit_quality_model(every, rated, "doc_id", "text", "grade", 3, max_fit_rows=0)
     assert np.isfinite(model.thresholds).all()
     assert hashing.sample_share(1 << 50, 10_000, 5) > 5 and hashing.sample_share(10, 10, 3) == hashing.SAMPLE_RANGE
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "aa" if i % 500 else "zz", "abba baab" if i % 500 else "zyyz yzzy") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    model = language.fit_language_model(df, "text", "lang", F.xxhash64("doc_id"), max_fit_rows=40)
+    assert model.languages == ["aa", "zz"]
+    assert np.allclose(np.exp(model.log_priors), [3993 / 4002, 9 / 4002])
+    asked = spark.createDataFrame([(1, "baab abba"), (2, "yzzy zyyz")], "k bigint, t string")
+    assert {r.k: r.lang_pred for r in language.identify_language(asked, "k", "t", model).collect()} == {1: "aa", 2: "zz"}
+    none = language.fit_language_model(df, "text", "lang", F.xxhash64("doc_id"), max_fit_rows=0)
+    assert none.languages == ["aa", "zz"] and np.ptp(none.log_probs[:, 1]) > 0
+    assert [language._quota(c, 100) for c in ([10, 20], [10, 200], [60, 70, 5])] == [20, 90, 47]
