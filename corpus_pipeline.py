@@ -22,7 +22,7 @@ from corpusloom.llm.repeats import remove_repeats
 from corpusloom.queries.tables import LABELS, table
 from corpusloom.sources.store import drop_staged, stage
 
-#: No SQL expresses a fitted classifier; the stages are tested against brute force instead.
+#: No SQL expresses a fitted classifier; the stages and run() are tested row by row against plain loops instead.
 ORACLE_SQL = None
 
 

@@ -57,7 +57,9 @@ def source_targets(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: i
     open_ = named.select("*", level).withColumn(
         "fits", F.col("level") * F.col("weight") <= F.col("full")
     )
-    final = F.min(F.when(F.col("fits"), F.struct((F.col("full") / F.col("weight")).alias("a"), "source", "level"))).over(everything)
+    # In the order of ``by_cap``: a struct's nulls would come first.
+    place = F.struct((F.col("full") / F.col("weight")).alias("a"), F.col("source").isNull().alias("none"), "source", "level")
+    final = F.min(F.when(F.col("fits"), place)).over(everything)
     target = F.least(F.col("full").cast("double"), F.coalesce(final["level"], F.lit(0.0)) * F.col("weight"))
     return open_.select("source", "source_size", target.alias("target"))
 

@@ -405,3 +405,135 @@ def test_rare_languages_are_learned(spark):
     none = language.fit_language_model(df, "text", "lang", F.xxhash64("doc_id"), max_fit_rows=0)
     assert none.languages == ["aa", "zz"] and np.ptp(none.log_probs[:, 1]) > 0
     assert [language._quota(c, 100) for c in ([10, 20], [10, 200], [60, 70, 5])] == [20, 90, 47]
+
+
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def plain_quality(spark, rows, ratings):
+    """The model is the operator's; each row is judged on its own."""
+    import pyarrow as pa
+
+    table = spark.createDataFrame(rows, COLUMNS)
+    model = quality.fit_quality_model(table, queries.graded(ratings), "doc_id", "text", "grade", 3)
+    kept = []
+    for row in rows:
+        _, features, n_words = quality.text_features(pa.array([row[1]], pa.string()))
+        top = model.probabilities(np.array([model.weights[features].sum()]))[0, -1]
+        if n_words[0] and top >= 0.5:
+            kept.append(row)
+    return kept
+
+
+def plain_near_duplicates(spark, rows):
+    names = {r.t: r.h for r in spark.createDataFrame([(t,) for t in {r[1] for r in rows}], "t string").selectExpr("t", "xxhash64(t) h").collect()}
+    _, groups = near_copies_dropped([r[:2] for r in rows])
+    whole = {r[:2]: r for r in rows}
+    return [whole[min(g, key=lambda r: (r[0] is None, r[0] or 0, names[r[1]]))] for g in groups.values()]
+
+
+def plain_repeats(rows):
+    def windows(row):
+        w = WORD.findall(row[1] or "")
+        return w, [tuple(w[j : j + 13]) for j in range(len(w) - 12)]
+
+    first = {}
+    for row in rows:
+        for window in windows(row)[1] if row[0] is not None else []:
+            first[window] = min(first.get(window, row[0]), row[0])
+    out = []
+    for row in rows:
+        w, found = windows(row)
+        gone = {k for j, x in enumerate(found) if row[0] is not None and first[x] < row[0] for k in range(j, j + 13)}
+        text = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((row[0], text, *row[2:4], len(text)) if gone else row)
+    return out
+
+
+def plain_mixture(rows):
+    def md5(x):
+        return "-" if x is None else hashlib.md5(str(x).encode()).hexdigest()
+
+    size = {r: len(WORD.findall(r[1] or "")) for r in rows}
+    h = {r: int(hashlib.md5((md5(r[0]) + md5(r[1])).encode()).hexdigest()[:15], 16) for r in rows}
+    total = collections.Counter()
+    for r in rows:
+        total[r[3]] += size[r]
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    target, open_ = {}, set(order)
+    while open_:
+        level = (sum(total.values()) - sum(target.values())) / sum(weight[s] for s in open_)
+        full = {s for s in open_ if 3 * total[s] < level * weight[s]}
+        target |= {s: 3 * total[s] for s in full} if full else {s: level * weight[s] for s in open_}
+        open_ -= full or set(open_)
+    out = []
+    for s in order:
+        mine = sorted((r for r in rows if r[3] == s), key=h.get)
+        times = int(target[s] // total[s]) if total[s] else 0
+        rest, upto, cut = target[s] - times * total[s], 0, 0
+        for x in sorted({h[r] for r in mine if size[r]}):
+            step = sum(size[r] for r in mine if h[r] == x)
+            if upto + step > rest:
+                cut = x + (rest * 2 > upto * 2 + step)
+                break
+            upto += step
+        for r in mine:
+            out += [r] * (times + (h[r] < cut))
+    return out
+
+
+def packed_places(pieces, rows):
+    """Where each token of ``rows`` stands in ``pieces``, checked: (key, position) as often as rows have it."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_file())
+    texts, expected, got = collections.defaultdict(list), collections.Counter(), collections.Counter()
+    for r in rows:
+        ids = np.array([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, queries.END_ID], dtype="<u4")
+        texts[r[0]].append(ids)
+        expected.update((r[0], len(ids), k, int(x)) for k, x in enumerate(ids))
+    for p in pieces:
+        parts = [t[p.start : p.start + p.length] for t in texts[p.doc_id] if len(t) == p.doc_tokens]
+        part = next(t for t in parts if zlib.crc32(t.tobytes()) == p.ids_crc32)
+        got.update((p.doc_id, p.doc_tokens, p.start + k, int(x)) for k, x in enumerate(part))
+    assert got == expected
+
+
+def test_pipeline_rows_against_plain_stages(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    sf, rows, grades = str(tmp_path), [], []
+    passage, base = words(40), words(80)
+    for i in range(300):
+        grade = i % 3
+        mark = (["junk"] * 3, ["rude"] * 3, [])[grade]
+        rows.append((i, " ".join(words(30) + mark), "en", f"s{i % 4}" if i % 7 else None, -1))
+        grades.append((i, int(grade > 0), int(grade == 1)))
+    near = [*base[:-1], "end"]
+    texts = [(1000, base), (1001, near), (1001, words(50)), (1002, passage), (1003, words(9) + passage + words(9)), (1003, words(20))]
+    texts += [(1004, words(8) + passage[:30]), (None, base), (None, words(30) + passage), (1005, passage[3:35] + ["junk"])]
+    keyless = words(70)
+    texts += [(None, keyless), (None, [*keyless[:-1], "end"]), (1006, ["short"]), (1006, ["short"]), (1007, ["short"])]
+    rows += [(i, " ".join(w), "en", "s1", len(w)) for i, w in texts]
+    rows += [(1008, None, "en", "s2", None), (None, None, "en", None, None), (1009, "", "en", "s2", 0), (1001, " \n", "en", "s0", 2)]
+    ratings = spark.createDataFrame(grades, "doc_id bigint, quality int, toxic int")
+    ratings.write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame(rows, COLUMNS).repartition(3).write.parquet(f"{sf}/documents.parquet")
+    plain = {
+        "quality": lambda r: plain_quality(spark, r, ratings),
+        "near_duplicates": lambda r: plain_near_duplicates(spark, r),
+        "repeats": plain_repeats,
+        "mixture": plain_mixture,
+    }
+    # Each stage is given the rows that the first drops, too.
+    for name, stage in pipeline.STAGES[1:-1]:
+        got = stage(spark, spark.createDataFrame(rows, COLUMNS), sf).collect()
+        assert collections.Counter(map(tuple, got)) == collections.Counter(plain[name](rows)), name
+    kept = rows
+    for name, stage in pipeline.STAGES[:-1]:
+        got = stage(spark, spark.createDataFrame(kept, COLUMNS), sf).collect()
+        kept = plain[name](kept)
+        assert collections.Counter(map(tuple, got)) == collections.Counter(kept), name
+    assert 80 < len(set(kept)) < 150 and any(r[0] is None for r in kept)
+    packed_places(pipeline.run(spark, sf).collect(), kept)
