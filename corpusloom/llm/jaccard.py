@@ -1,8 +1,9 @@
-"""Joining texts of similar word shingles by a MinHash LSH forest (operator 5).
+"""Joining texts of similar word shingles by banded MinHash LSH (operator 5).
 
-A text's signature is read as a forest: each tree has its own run of minimum hashes, and texts that share
-a prefix of a tree's run meet. Prefixes begin at full depth and are shortened until the
-chance that two texts of the threshold's similarity meet in some tree reaches the target recall.
+Each band ("tree") has its own run of minimum hashes, and texts whose runs are equal in some band meet. All
+runs have one length, fixed before any data are read: the longest at which the chance that two texts
+of the threshold's similarity meet in some band reaches the target recall. This is not an LSH
+forest: prefixes are not shortened by what the data show.
 
 Texts that meet are connected into candidate groups; inside a group every pair is compared exactly, on
 whole shingle sets, in blocks of a bounded number of texts, so neither a bucket nor a group is ever in one
@@ -32,7 +33,7 @@ SLICE_BYTES = 4 << 20
 
 
 def prefix_length(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest prefix at which a pair of ``threshold`` similarity meets with ``recall``."""
+    """The longest run at which a pair of ``threshold`` similarity meets with ``recall``, by formula."""
     length = depth
     while length > 1 and 1 - (1 - threshold**length) ** trees < recall:
         length -= 1
