@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.audit import audit_filters
 from corpusloom.llm.chat import format_conversations, parse_formatted, text_part, trained_text
 from corpusloom.llm.forest import nearest_neighbours
 from corpusloom.llm.jaccard import near_duplicates
@@ -206,6 +207,51 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+_OP13_SQL = """
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS words FROM documents), first AS (
+  SELECT text, min(doc_id) AS least FROM docs GROUP BY text), said AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 3 * length(d.text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN d.doc_id > least THEN 'E' ELSE '' END AS failed
+  FROM docs d JOIN first f ON d.text = f.text LEFT JOIN said s ON d.doc_id = s.doc_id), sets AS (
+  SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, failed), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, CAST(step AS INTEGER), 1) AS own,
+    substr(filter_order, 1, CAST(step AS INTEGER) - 1) AS before FROM orders, range(1, 6) r(step)), met AS (
+  SELECT part, filter_order, step, own, n, good, toxic, contains(failed, own) AS fails, failed = own AS alone,
+    before <> '' AND regexp_matches(failed, '[' || before || 'x]') AS gone
+  FROM sets, steps), counted AS (
+  SELECT part, filter_order, step, own,
+    CAST(coalesce(sum(n) FILTER (WHERE NOT fails AND NOT gone), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (WHERE fails AND NOT gone), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (WHERE fails AND gone), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (WHERE alone), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (WHERE fails AND NOT gone), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (WHERE fails AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted"""
+
+
+@R.add("op13_audit_filters", _OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    labels = table(spark, sf, "labels", LABELS)
+    good, toxic = F.col("quality") == 1, F.col("toxic") == 1
+    return audit_filters(
+        documents(spark, sf), labels, "doc_id", "text", F.coalesce("lang", F.lit("")), good, toxic
+    )
+
+
 @R.add("pipeline")
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
