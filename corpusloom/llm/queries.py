@@ -14,6 +14,7 @@ from corpusloom.llm.mixing import apply_mixture, mixture_plan, sized_rows
 from corpusloom.llm.packing import Limits, pack_documents, with_crc32
 from corpusloom.llm.quality import fit_quality_model, score_quality
 from corpusloom.llm.repeats import remove_repeats
+from corpusloom.llm.spelling import group_spellings
 from corpusloom.llm.threshold import top_products
 from corpusloom.llm.warc import archive_pages, read_back
 from corpusloom.queries import Registry
@@ -207,6 +208,43 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+_OP11_SQL = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, [1, 2, 3, 4, 5, 6, 7, 8]),
+      lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT CAST(range AS BIGINT) AS b FROM range(256)))), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{6,}')) AS run FROM documents), low AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM runs GROUP BY ALL), hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295, list_transform(
+      regexp_extract_all(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '..'),
+      lambda x: CAST('0x' || x AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS h FROM low, crc_table), named AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    times FROM hashed), vocabulary AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM named WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5), without AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary)), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM without a JOIN without b
+    ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT a.word, v.word, v.n FROM without a JOIN vocabulary v ON a.rest = v.word
+  UNION SELECT v.word, a.word, a.n FROM without a JOIN vocabulary v ON a.rest = v.word), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word), forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form,
+    CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n FROM vocabulary v LEFT JOIN best b ON v.word = b.word), paths AS (
+  SELECT word, word AS top, 0 AS step FROM forms
+  UNION ALL SELECT p.word, f.form, step + 1 FROM paths p JOIN forms f ON p.top = f.word WHERE f.form IS NOT NULL), roots AS (
+  SELECT word, last(top ORDER BY step) AS root FROM paths GROUP BY word)
+SELECT f.word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms f JOIN roots r ON f.word = r.word"""
+
+
+@R.add("op11_group_spellings", _OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return group_spellings(documents(spark, sf), "doc_id", "text")
+
+
 _OP13_SQL = """
 WITH docs AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
