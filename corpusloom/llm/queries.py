@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.audit import audit_filters
+from corpusloom.llm.byteruns import remove_byte_runs
 from corpusloom.llm.chat import format_conversations, parse_formatted, text_part, trained_text
 from corpusloom.llm.forest import nearest_neighbours
 from corpusloom.llm.jaccard import near_duplicates
@@ -245,6 +246,18 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     return group_spellings(documents(spark, sf), "doc_id", "text")
 
 
+@R.add("op12_remove_byte_runs")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    cut = remove_byte_runs(documents(spark, sf), "doc_id", "text")
+    return cut.select(
+        F.col("key").alias("doc_id"),
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, r: n + r["length"]).alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 _OP13_SQL = """
 WITH docs AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
