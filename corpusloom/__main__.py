@@ -58,7 +58,7 @@ def corpus_source(spark: SparkSession, spec: dict) -> CorpusSource:
     text, score = spec.get("text", "content"), spec.get("score")
     columns = ["prompt", "response"] if instruct else [text, *([score] if score else [])]
     df = scan(spark, spec["path"], fmt, columns, row_key=True)
-    return CorpusSource(df, ROW_KEY, text, score, instruct, stage_keys=fmt == "jsonl")
+    return CorpusSource(df, ROW_KEY, text, score, instruct)
 
 
 def pretrain(spark: SparkSession, args) -> None:

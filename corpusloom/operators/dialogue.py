@@ -14,12 +14,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions import chatml
+from corpusloom.functions.arrays import let
 from corpusloom.functions.text import str_strip
 from corpusloom.functions.tokenizers import WORDS
 from corpusloom.operators.ordering import plan_segments
 from corpusloom.operators.tokens import truncate
 
 CHUNK_TURNS = 1024
+CHUNK_EXCHANGES = 512
 DEFAULT_SYSTEM = "You are a helpful assistant."
 
 # Markup of the dialogue context form.
@@ -164,11 +166,12 @@ def _marked(mark: str, text: Column) -> Column:
 
 
 def _context_turns(turns: DataFrame, max_input: int, system: str, tokenizer) -> DataFrame:
-    """Turns of valid dialogues that may enter the context, with ``budget`` and ``cum``.
+    """Turns of valid dialogues that may enter the context, with ``budget`` and ``cum_tokens``.
 
     Where the two marks of an exchange cost a token, only the last ``max_input`` exchanges of a
-    dialogue can be kept; older turns then go before the window, which sees at most
-    2 * max_input + 2 rows per conversation. Where they cost none, every turn is counted.
+    dialogue can be kept, and older turns go first. Where they cost none, every turn is counted.
+    Running totals are taken in two levels: sums of ``CHUNK_EXCHANGES`` exchanges each, a running sum over
+    these, and one inside each chunk. So the turns of a long conversation are never in one window.
     """
     newline = tokenizer.count(F.lit("\n"))
     least = tokenizer.count(F.lit(USER_MARK)) + tokenizer.count(F.lit(ASSISTANT_MARK)) + newline
@@ -187,6 +190,7 @@ def _context_turns(turns: DataFrame, max_input: int, system: str, tokenizer) ->
         .where((F.col("kind") != "history") | near_end)
         .where((F.col("kind") != "system") | (chosen != ""))
         .withColumn("exchange", _exchange_number())
+        .withColumn("part", F.call_function("div", F.col("exchange"), F.lit(CHUNK_EXCHANGES).cast("bigint")))
         .withColumn("piece", F.concat(mark, F.lit("\n"), str_strip(chosen)))
         .withColumn("n", (tokenizer.count("piece") + newline).cast("bigint"))
     )
@@ -194,12 +198,24 @@ def _context_turns(turns: DataFrame, max_input: int, system: str, tokenizer) ->
         (tokenizer.count(_marked(SYSTEM_MARK, F.lit(system))) + newline) if system else F.lit(0)
     )
     closing = tokenizer.count(F.lit(ASSISTANT_MARK)) + newline
-    whole = W.partitionBy("conv_id")
-    newest_first = whole.orderBy(F.col("exchange").desc()).rangeBetween(W.unboundedPreceding, 0)
-    history = F.when(F.col("kind") == "history", F.col("n")).otherwise(F.lit(0))
-    fixed = F.sum(F.when(F.col("kind") != "history", F.col("n"))).over(whole)
-    return rows.withColumn("budget", F.lit(max_input) - fixed - added - closing).withColumn(
-        "cum_tokens", F.sum(history).over(newest_first)
+    zero = F.lit(0).cast("bigint")
+    history = F.when(F.col("kind") == "history", F.col("n")).otherwise(zero)
+    other = F.when(F.col("kind") != "history", F.col("n")).otherwise(zero)
+    parts = rows.groupBy(F.col("conv_id").alias("_conv"), F.col("part").alias("_part")).agg(
+        F.sum(history).alias("_history"), F.sum(other).alias("_other")
+    )
+    whole = W.partitionBy("_conv")
+    newer = whole.orderBy(F.col("_part").desc()).rowsBetween(W.unboundedPreceding, -1)
+    totals = parts.select(
+        "_conv", "_part", F.coalesce(F.sum("_history").over(newer), zero).alias("_newer"), F.sum("_other").over(whole).alias("_fixed")
+    )
+    own = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part"))
+    newest_first = W.partitionBy("conv_id", "part").orderBy(F.col("exchange").desc()).rangeBetween(W.unboundedPreceding, 0)
+    return (
+        rows.join(totals, own)
+        .withColumn("budget", F.lit(max_input) - F.col("_fixed") - added - closing)
+        .withColumn("cum_tokens", F.col("_newer") + F.sum(history).over(newest_first))
+        .drop("_conv", "_part", "_newer", "_fixed")
     )
 
 
@@ -209,7 +225,8 @@ def history_budget(
     """Exchanges that fit, newest first: kept while their running total stays strictly
     below what system, query and the opened answer leave of ``max_input``.
 
-    Totals only grow, so the filter stops where a loop with ``break`` would.
+    Totals only grow, so the filter stops where a loop with ``break`` would. A conversation of any length is spread
+    over tasks by chunks of its exchanges.
     """
     return (
         _context_turns(turns, max_input, system, tokenizer)
@@ -223,31 +240,53 @@ def history_budget(
     )
 
 
+def _joined_pieces(placed: DataFrame, piece: Column, join) -> DataFrame:
+    """``(conv_id, offset, joined)``: pieces in the order of turns, joined by chunk first, then the chunks."""
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("turn", piece.alias("p")))), lambda x: x["p"])
+    chunks = (
+        placed.where((F.col("kind") != "history") | (F.col("cum_tokens") < F.col("budget")))
+        .groupBy("conv_id", "part")
+        .agg(join(in_order).alias("joined"), F.max("offset").alias("offset"), F.min("turn").alias("first"))
+    )
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("first", "joined"))), lambda x: x["joined"])
+    return chunks.groupBy("conv_id").agg(join(whole).alias("joined"), F.max("offset").alias("offset"))
+
+
 def build_context(
     turns: DataFrame, max_input: int, system: str = DEFAULT_SYSTEM, tokenizer=WORDS
 ) -> DataFrame:
     """``(conv_id, context)`` of valid dialogues: system, kept history, query, opened
-    assistant turn, each closed by a newline. The collected pieces number at most
-    2 * max_input + 2 and stay hashed on ``conv_id`` from the window before."""
-    piece = F.when(
-        (F.col("kind") != "history") | (F.col("cum_tokens") < F.col("budget")),
-        F.struct(F.col("turn"), F.concat("piece", F.lit("\n")).alias("t")),
-    )
-    pieces = F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["t"])
+    assistant turn, each closed by a newline."""
+    placed = _context_turns(turns, max_input, system, tokenizer)
     head = F.concat(_marked(SYSTEM_MARK, F.lit(system)), F.lit("\n")) if system else F.lit("")
-    return (
-        _context_turns(turns, max_input, system, tokenizer)
-        .groupBy("conv_id")
-        .agg(pieces.alias("_p"), F.max("offset").alias("_o"))
-        .select(
-            "conv_id",
-            F.concat(
-                F.when(F.col("_o") == 0, head).otherwise(F.lit("")),
-                F.array_join("_p", ""),
-                F.lit(ASSISTANT_MARK + "\n"),
-            ).alias("context"),
-        )
+    joined = _joined_pieces(placed, F.concat("piece", F.lit("\n")), lambda texts: F.array_join(texts, ""))
+    text = F.concat(
+        F.when(F.col("offset") == 0, head).otherwise(F.lit("")), F.col("joined"), F.lit(ASSISTANT_MARK + "\n")
     )
+    return joined.select("conv_id", text.alias("context"))
+
+
+def build_context_ids(
+    turns: DataFrame, max_input: int, system: str = DEFAULT_SYSTEM, tokenizer=WORDS
+) -> DataFrame:
+    """``(conv_id, input_ids, num_tokens)``: the context as tokens, fewer than ``max_input`` of history and all the rest.
+
+    Each message is tokenized by itself with its mark, and the newline after it by itself, as the budget counts them,
+    so no token spans two messages. The tokens of :func:`build_context`'s text may be others.
+    """
+    placed = _context_turns(turns, max_input, system, tokenizer)
+    newline = tokenizer.tokens(F.lit("\n"))
+
+    def message(text) -> Column:
+        return F.concat(tokenizer.tokens(text), newline)
+
+    joined = _joined_pieces(placed, message(F.col("piece")), F.flatten)
+    closing = F.concat(F.col("joined"), message(F.lit(ASSISTANT_MARK)))
+    if system:
+        opening = message(_marked(SYSTEM_MARK, F.lit(system)))
+        closing = F.when(F.col("offset") == 0, F.concat(opening, closing)).otherwise(closing)
+    ids = joined.select("conv_id", closing.alias("input_ids"))
+    return ids.withColumn("num_tokens", F.array_size("input_ids"))
 
 
 def preference_text(
@@ -298,6 +337,44 @@ def preference_rows(
     return out
 
 
+def preference_pairs(
+    df: DataFrame,
+    keep: list[str],
+    max_length: int,
+    max_prompt: int | None = None,
+    keep_end: bool = True,
+    prompt: str = "prompt",
+    chosen: str = "chosen",
+    rejected: str = "rejected",
+    tokenizer=WORDS,
+) -> DataFrame:
+    """Preference data as the two sequences a model is trained on: ``chosen_ids, chosen_mask, rejected_ids,
+    rejected_mask``, each the prompt followed by the answer, of which ``max_length`` tokens are kept.
+
+    ``keep_end`` keeps the last tokens of the pair, so a long prompt loses its front; else the first, so that a
+    long answer loses its end. ``max_prompt`` cuts the prompt by the same rule beforehand. The mask is 1 on the answer's
+    tokens and 0 on the prompt's. A null text makes its sequences null.
+    """
+    texts = preference_text(df, keep, prompt, chosen, rejected)
+    tokens = texts.select(*keep, *[tokenizer.tokens(c).alias(c) for c in ("prompt", "chosen", "rejected")])
+
+    def capped(values: Column, most: int) -> Column:
+        n = F.array_size(values)
+        return F.slice(values, F.greatest(n - most, F.lit(0)) + 1 if keep_end else F.lit(1), F.least(n, F.lit(most)))
+
+    if max_prompt is not None:
+        tokens = tokens.withColumn("prompt", capped(F.col("prompt"), max_prompt))
+
+    def side(name: str) -> list[Column]:
+        marks = [F.array_repeat(F.lit(v), F.array_size(c)) for v, c in ((0, "prompt"), (1, name))]
+        return [
+            let(F.concat("prompt", name), lambda ids: capped(ids, max_length)).alias(f"{name}_ids"),
+            let(F.concat(*marks), lambda mask: capped(mask, max_length)).alias(f"{name}_mask"),
+        ]
+
+    return tokens.select(*keep, *side("chosen"), *side("rejected"))
+
+
 def query_response_text(
     df: DataFrame, keep: list[str], query: str = "query", response: str = "response"
 ) -> DataFrame:
@@ -315,11 +392,10 @@ def reward_stats(
     order: str,
     batch_rows: int,
     reward: str = "reward",
-    stage_keys: bool = False,
 ) -> DataFrame:
     """Reward statistics per batch of consecutive rows. Only key and reward move."""
-    plan = plan_segments(df, order, batch_rows, stage_keys=stage_keys)
-    numbered = plan.number(df.select(order, reward).withColumn("segment", plan.segment()))
+    plan = plan_segments(df, order, batch_rows)
+    numbered = plan.attach(df.select(order, reward), plan.places.select("segment", order, "batch_id"))
     return (
         numbered.groupBy(*plan.batch_keys)
         .agg(

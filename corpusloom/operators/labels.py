@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.arrays import explode_elements, let
-from corpusloom.operators.ordering import plan_segments
+from corpusloom.operators.ordering import Segments, plan_segments
 
 IGNORE = -100
 
@@ -55,11 +55,9 @@ def pad_longest(
     Adds ``batch_id``, ``batch_row`` and the mask. Null rows stay null and count as empty.
     ``options`` are those of :func:`~corpusloom.operators.ordering.plan_segments`.
     """
-    plan = plan_segments(df, order, batch_rows, **options)
-    numbered = plan.number(df.withColumn("segment", plan.segment()))
-    longest = F.max(F.array_size(column)).over(W.partitionBy(*plan.batch_keys))
-    widths = numbered.withColumn("_width", F.coalesce(longest, F.lit(0)))
-    return pad_batch(widths, F.col("_width"), pad, column, mask).drop("_width", "segment")
+    plan = plan_segments(df, order, batch_rows, counts=F.array_size(column), **options)
+    places = batch_maximum(plan, "_width").drop("n", "start")
+    return pad_batch(plan.attach(df, places), F.col("_width").cast("int"), pad, column, mask).drop("_width", "segment")
 
 
 def causal_labels(df: DataFrame, pad, column: str = "input_ids") -> DataFrame:
@@ -92,7 +90,7 @@ def completion_labels(
     begins, as usual, the text up to it is ignored, then each span from an
     instruction to the end of its response marker; an unanswered last instruction is
     ignored to the end. A text that opens with a response counts as having an
-    instruction at 0.
+    instruction at 0. The time is linear in tokens and markers together.
     """
     element = _element(df, column)
     ignore = F.lit(IGNORE).cast(element)
@@ -104,40 +102,51 @@ def completion_labels(
         ends = F.transform(answers, lambda p: p + len(response))
         return F.struct(starts.alias("h"), ends.alias("r"))
 
-    def spans(found):
+    def opened(found):
+        starts_with_answer = F.get(found["h"], first) > F.get(found["r"], first)
+        h = F.when(starts_with_answer, F.concat(F.array(first), found["h"])).otherwise(found["h"])
+        return F.struct(h.alias("h"), found["r"].alias("r"))
+
+    def borders(found):
         h, r = found["h"], found["r"]
         pairs = F.zip_with(h, r, lambda a, b: F.struct(a.alias("h"), b.alias("r")))
+        # Both run upwards, so what a span hides begins at its start or where the one before ends.
         return F.struct(
             ((F.array_size(h) == 0) | (F.array_size(r) == 0)).alias("none"),
             F.get(r, first).alias("start"),
-            F.filter(pairs, lambda p: p["h"].isNotNull() & p["r"].isNotNull()).alias("pairs"),
+            F.filter(pairs, lambda p: p["h"] < p["r"]).alias("spans"),
             F.when(F.array_size(h) > F.array_size(r), F.get(h, F.array_size(h) - 1)).alias("open"),
         )
 
-    def opened(found):
-        starts_with_answer = F.get(found["h"], first) > F.get(found["r"], first)
-        h = F.when(starts_with_answer, F.concat(F.array(first), found["h"])).otherwise(found["h"])
-        return F.struct(h.alias("h"), found["r"].alias("r"))
+    def swept(ids, b):
+        """The labels in one walk from border to border: what is seen, then what is hidden, of each span."""
+        n = F.array_size(ids)
+
+        def seen(start, end):
+            return F.slice(ids, start + 1, F.greatest(end - start, first))
 
-    def label(ids, s):
-        def one(x, i):
-            hidden = (
-                s["none"]
-                | (i < s["start"])
-                | F.exists(s["pairs"], lambda p: (i >= p["h"]) & (i < p["r"]))
-                | F.coalesce(i >= s["open"], F.lit(False))
+        def hidden(start, end):
+            return F.array_repeat(ignore, F.greatest(end - start, first))
+
+        def walk(ends):
+            pieces = F.zip_with(
+                ends, b["spans"], lambda e, p: F.concat(seen(e, p["h"]), hidden(F.greatest(p["h"], e), p["r"]))
             )
-            return F.when(hidden, ignore).otherwise(x)
+            last = F.get(ends, F.array_size(ends) - 1)
+            rest = F.greatest(F.coalesce(b["open"], n), last)
+            return F.concat(
+                hidden(first, b["start"]), F.flatten(F.slice(pieces, first + 1, F.array_size(b["spans"]))),
+                seen(last, rest), hidden(rest, n),
+            )
 
-        return F.transform(ids, one)
+        ends = F.concat(F.array(b["start"]), F.transform(b["spans"], lambda p: p["r"]))
+        return F.when(b["none"], F.array_repeat(ignore, n)).otherwise(let(ends, walk))
 
     def labels(ids):
-        return let(
-            let(let(markers(ids), opened), spans),
-            lambda s: label(ids, s),
-        )
+        return let(let(let(markers(ids), opened), borders), lambda b: swept(ids, b))
 
-    return df.withColumn("labels", let(F.col(column), labels))
+    # A computed array is sliced in place; a stored one would be copied whole for each slice.
+    return df.withColumn("labels", let(F.transform(column, lambda x: x), labels))
 
 
 def next_token_pairs(
@@ -188,54 +197,40 @@ def position_ids(df: DataFrame, mask: str = "attention_mask") -> DataFrame:
     return df.withColumn("position_ids", places(F.col(mask).cast("array<int>")))
 
 
-def sequence_offsets(
-    df: DataFrame,
-    order: str,
-    batch_rows: int,
-    mask: str = "attention_mask",
-    stage_keys: bool = False,
-) -> DataFrame:
+def sequence_offsets(df: DataFrame, order: str, batch_rows: int, mask: str = "attention_mask") -> DataFrame:
     """Unpadded layout of each batch of rows.
 
     Per row its length, the offsets before and after it in the unpadded stream, the
     longest length of the batch, and the places of its real tokens in the flattened
-    (row x width) batch. The mask moves once; everything is derived behind that exchange.
+    (row x width) batch. Lengths and offsets are found from counts alone; the mask moves once, and
+    the places are made behind that exchange.
     """
+    plan = plan_segments(df, order, batch_rows, counts=F.array_size(F.filter(mask, lambda x: x != 0)))
     real = F.filter(
         F.sequence(F.lit(0), F.array_size(mask) - 1), lambda i: F.get(F.col(mask), i) != 0
     )
+    real = F.when(F.array_size(mask) > 0, real).otherwise(F.array().cast("array<int>"))
     width = F.array_size(mask).cast("bigint")
-    plan = plan_segments(df, order, batch_rows, stage_keys=stage_keys)
-    moved = plan.number(df.select(order, mask).withColumn("segment", plan.segment()))
-    rows = moved.withColumn(
-        "_real", F.when(F.array_size(mask) > 0, real).otherwise(F.array().cast("array<int>"))
-    ).select(
-        order,
-        "segment",
-        "batch_id",
-        "batch_row",
-        F.array_size("_real").cast("bigint").alias("seqlen"),
-        F.transform("_real", lambda i: F.col("batch_row") * width + i.cast("bigint")).alias("flat_indices"),
-    )
-    summed = plan.running_sum(rows, "seqlen", "end_offset")
-    if plan.split:
-        longest = rows.groupBy("batch_id").agg(F.max("seqlen").alias("max_seqlen"))
-        summed = summed.join(longest, "batch_id")
-    else:
-        longest = F.max("seqlen").over(W.partitionBy(*plan.batch_keys))
-        summed = summed.withColumn("max_seqlen", longest)
-    return summed.select(
+    return plan.attach(df.select(order, mask), batch_maximum(plan, "max_seqlen")).select(
         order,
         "batch_id",
         "batch_row",
-        "seqlen",
-        (F.col("end_offset") - F.col("seqlen")).alias("start_offset"),
-        "end_offset",
+        F.col("n").alias("seqlen"),
+        F.col("start").alias("start_offset"),
+        (F.col("start") + F.col("n")).alias("end_offset"),
         "max_seqlen",
-        "flat_indices",
+        F.transform(real, lambda i: F.col("batch_row") * width + i.cast("bigint")).alias("flat_indices"),
     )
 
 
+def batch_maximum(plan: Segments, name: str) -> DataFrame:
+    """The places of ``plan`` with the largest count of their batch."""
+    if plan.split:
+        return plan.places.join(plan.places.groupBy("batch_id").agg(F.max("n").alias(name)), "batch_id")
+    whole = W.partitionBy(*plan.batch_keys)
+    return plan.places.repartition("segment").withColumn(name, F.max("n").over(whole))
+
+
 def last_valid_index(df: DataFrame, pad, column: str = "input_ids") -> DataFrame:
     """Index of the token before the first padding; the last index if there is none,
     or if the row starts with padding (the index wraps round)."""

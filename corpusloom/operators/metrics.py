@@ -148,6 +148,81 @@ def label_losses(
     )
 
 
+#: Scores are summed in steps of this many units, so that no sum of exponentials overflows.
+STEP = 64
+
+
+def long_cross_entropy(
+    df: DataFrame, keys: list[str], entry: str = "token", score: str = "score", label: str = "label"
+) -> DataFrame:
+    """``(*keys, label, loss)`` of score tables in long form: one row for each prediction and entry, with the prediction's
+    label on each of them. ``loss`` is null where the label is ignored or null.
+
+    log(sum(exp(score))) is put together from sums that any two tasks can merge: the scores of a prediction fall
+    into steps of ``STEP`` units, each with its own sum of exp(score - start of the step), which are added up
+    before the shuffle. The highest step then scales the others. So a prediction over any number of entries takes as
+    many rows through the shuffle as it has steps, and no array is made.
+
+    Null scores do not count. A score of -inf adds nothing; +inf and NaN make the loss NaN, as does a label without an entry
+    null. Repeated entries each count in the sum, and the largest is the label's.
+    """
+    z = F.col(score).cast("double")
+    finite = ~F.isnan(z) & (F.abs(z) != float("inf"))
+    odd = F.isnan(z) | (z == float("inf"))
+    # A bound keeps scores that are not finite out of the numbering of steps.
+    step = F.when(finite, F.floor(z / STEP)).otherwise(F.lit(-(1 << 40)))
+    part = F.when(finite, F.exp(z - F.floor(z / STEP) * STEP)).otherwise(F.lit(0.0))
+    own = F.when(F.col(entry) == F.col(label), z)
+    sums = (
+        df.where(F.col(score).isNotNull())
+        .groupBy(*keys, label, step.alias("_step"))
+        .agg(F.sum(part).alias("_sum"), F.max(own).alias("_own"), F.max(odd).alias("_odd"))
+    )
+    found = sums.groupBy(*keys, label).agg(
+        F.collect_list(F.struct("_step", "_sum")).alias("_steps"), F.max("_own").alias("_own"), F.max("_odd").alias("_odd")
+    )
+
+    def total(steps: Column) -> Column:
+        return let(
+            F.array_max(F.transform(F.filter(steps, lambda s: s["_sum"] > 0), lambda s: s["_step"])),
+            lambda top: top * STEP
+            + F.log(F.aggregate(steps, F.lit(0.0), lambda a, s: a + s["_sum"] * F.exp((s["_step"] - top).cast("double") * STEP))),
+        )
+
+    loss = F.when(F.col("_odd"), F.lit(float("nan"))).otherwise(total(F.col("_steps")) - F.col("_own"))
+    counts = F.col(label).isNotNull() & (F.col(label) != IGNORE)
+    return found.select(*keys, label, F.when(counts, loss).alias("loss"))
+
+
+def long_masked_cross_entropy(
+    df: DataFrame, keys: list[str], entry: str = "token", score: str = "score", label: str = "label", by: list[str] | None = None
+) -> DataFrame:
+    """:func:`masked_cross_entropy` of a score table in long form; ``by`` are among ``keys``."""
+    losses = long_cross_entropy(df, keys, entry, score, label)
+    return losses.groupBy(*(by or [])).agg(F.avg("loss").alias("loss"), F.count("loss").alias("num_labels"))
+
+
+def long_label_losses(df: DataFrame, kind: str, keys: list[str], entry: str = "entry", score: str = "score", label: str = "label") -> DataFrame:
+    """:func:`label_losses` of a score table in long form, one row for each entry with its own label; for
+    single-label classification with the row's class on each. Rows with a null score or label do not count."""
+    z, y = F.col(score).cast("double"), F.col(label).cast("double")
+    if kind == "single_label_classification":
+        rows = long_cross_entropy(df, keys, entry, score, label)
+        return rows.agg(F.lit(kind).alias("problem_type"), F.avg("loss").alias("loss"), F.count("loss").alias("num_rows"))
+    if kind == "regression":
+        loss = (z - y) * (z - y)
+    elif kind == "multi_label_classification":
+        loss = F.greatest(z, F.lit(0.0)) - z * y + F.log1p(F.exp(-F.abs(z)))
+    else:
+        raise ValueError(f"unknown problem type {kind!r}")
+    sums = df.select(*keys, loss.alias("_l")).groupBy(*keys).agg(F.sum("_l").alias("_sum"), F.count("_l").alias("_n"))
+    return sums.agg(
+        F.lit(kind).alias("problem_type"),
+        F.when(F.sum("_n") > 0, F.sum("_sum") / F.sum("_n")).alias("loss"),
+        F.count(F.when(F.col("_n") > 0, 1)).alias("num_rows"),
+    )
+
+
 # The shortest run between << and >>, over line breaks too.
 ANNOTATION = r"(?s)<<(.*?)>>"
 

@@ -1,18 +1,19 @@
-"""Exact row order at scale: cut an ordered table into bounded segments.
+"""Exact row order at scale: the place of every row, and bounded segments of consecutive rows.
 
 Batches are runs of consecutive rows, so every row needs its place in the whole table. A
-global ``row_number()`` would pull the whole table through one task, so the order is
-found from the keys alone, in jobs that never touch the wide columns:
+global ``row_number()`` would pull the whole table through one task, so places are
+found from a narrow table of keys and token counts, in jobs that never touch the wide columns:
 
-1. count the keys;
-2. for large tables, sample keys to get coarse ranges and count each range, so that
-   every key's rank is (rows in earlier ranges) + (rank inside its range);
-3. keep the keys whose rank starts a segment.
+1. keys and counts are written once and cut into key ranges;
+2. each range's rows and tokens are summed, and running sums over the ranges say what lies before each;
+3. inside its range every key gets its rank, its batch, and the tokens before it in its batch;
+4. segments are cut where the running weight passes a multiple: runs of consecutive rows that weigh about
+   the same, whatever the lengths of the rows.
 
-Only the segment-start keys (at most ``max_segments`` plus one per shard) reach the driver.
-They go back into the plan as one sorted constant, and each wide row finds its segment
-by binary search. The wide rows then move once, hashed on the segment number, and a
-segment never holds more than ``rows_per_segment`` rows whatever the data look like.
+The keys that start a segment form a table. Few of them go into the plan as one sorted constant that each wide row
+searches; of many, only every n-th does, and the rest are leaves that are joined by its number. The
+wide rows then move once, hashed on the segment, and the places of their keys, hashed alike, join them there
+without a further exchange.
 
 The order key must be unique and not null; integers and strings are supported. Null and
 repeated keys are refused by every operator that goes by position, at every size. Where one column
@@ -21,8 +22,7 @@ repeats, order by several: ``order_key`` makes one key of them.
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -32,8 +32,16 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arrays import count_not_above, literal_array
 from corpusloom.sources.store import stage
 
-MAX_SEGMENTS = 65_536
-MAX_BATCH_IN_SEGMENT = 262_144
+#: Segments of a table at most, about; the most that a batch may weigh before it is cut into several.
+MAX_SEGMENTS = 262_144
+MAX_SEGMENT_WEIGHT = 1 << 24
+#: What a row weighs besides its tokens, so that segments are bounded in rows too.
+ROW_WEIGHT = 16
+#: Segment starts that go into the plan as a constant; the bytes of leaves that may be broadcast.
+CONSTANT_KEYS = 4_096
+BROADCAST_LEAVES = 64 << 20
+MAX_SHARDS = 65_536
+MAX_RANGES = 65_536
 RANGE_ROWS = 100_000
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLE = 500_000
@@ -47,76 +55,52 @@ def order_key(*columns: str) -> Column:
 
 @dataclass(frozen=True)
 class Segments:
-    """Where each segment starts, in keys (``starts``, without the first) and in batches:
-    ``first_batch`` and ``first_row`` place its first row. ``split`` says that batches
-    are longer than segments; otherwise each batch lies inside one."""
+    """Places of the rows of a table, and how its wide rows find them.
+
+    ``places`` is ``(order, segment, batch_id, batch_row, start, n)``: ``start`` counts the tokens before the row in its
+    batch, ``n`` its own. ``split`` says that some batch lies in several segments; otherwise each lies inside one.
+    """
 
     order: str
     key_type: str
-    batch_rows: int
     rows: int
-    starts: list = field(default_factory=list)
-    first_batch: list[int] = field(default_factory=lambda: [0])
-    first_row: list[int] = field(default_factory=lambda: [0])
+    places: DataFrame
+    keys: list
+    numbers: list
     split: bool = False
+    leaves: DataFrame | None = None
+    leaf_keys: int = 0
 
     @property
     def batch_keys(self) -> list[str]:
         """Grouping columns for a batch; with ``segment`` among them no exchange is needed."""
         return ["batch_id"] if self.split else ["segment", "batch_id"]
 
-    def segment(self) -> Column:
-        """Segment number of a row, from its order key."""
-        if not self.starts:
-            return F.lit(0)
-        bounds = literal_array(self.starts, self.key_type)
-        return count_not_above(bounds, len(self.starts), F.col(self.order))
-
-    def number(self, segmented: DataFrame) -> DataFrame:
-        """``batch_id`` and ``batch_row`` (0-based) for rows that carry ``segment``."""
-        in_order = W.partitionBy("segment").orderBy(self.order)
-        place = (F.row_number().over(in_order) - 1).cast("bigint")
-        if any(self.first_row):
-            place = place + F.get(literal_array(self.first_row, "bigint"), F.col("segment"))
-        first_batch = F.lit(self.first_batch[0]).cast("bigint")
-        if len(self.first_batch) > 1:
-            first_batch = F.get(literal_array(self.first_batch, "bigint"), F.col("segment"))
-        size = F.lit(self.batch_rows).cast("bigint")
-        return (
-            segmented.withColumn("_place", place)
-            .withColumn("batch_id", first_batch + F.call_function("div", F.col("_place"), size))
-            .withColumn("batch_row", F.col("_place") % size)
-            .drop("_place")
-        )
-
-    def running_sum(self, numbered: DataFrame, value: str, name: str) -> DataFrame:
-        """Inclusive running sum of ``value`` (never negative) over each batch in order.
-
-        Inside segments this is a window. The sum where a row's batch begins is the
-        largest one seen at a first row, because sums never fall. Batches that span
-        segments add the totals of earlier ones: one row per segment, at most twice
-        ``MAX_SEGMENTS`` plus one per shard, which is why that table may be broadcast.
-        """
-        in_order = W.partitionBy("segment").orderBy(self.order).rowsBetween(W.unboundedPreceding, 0)
-        summed = numbered.withColumn(name, F.sum(value).over(in_order))
-        if not self.split:
-            at_first = F.when(F.col("batch_row") == 0, F.col(name) - F.col(value))
-            return summed.withColumn(name, F.col(name) - F.max(at_first).over(in_order))
-        totals = numbered.groupBy("batch_id", "segment").agg(F.sum(value).alias("_total"))
-        earlier = W.partitionBy("batch_id").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
-        before = totals.select(
-            "segment", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before")
-        )
-        return (
-            summed.join(F.broadcast(before), "segment")
-            .withColumn(name, F.col(name) + F.col("_before"))
-            .drop("_before")
-        )
+    def locate(self, df: DataFrame) -> DataFrame:
+        """``df`` with the ``segment`` of each row, from its order key: the last start that is not above it."""
+        if not self.keys:
+            return df.withColumn("segment", F.lit(0).cast("bigint"))
+        known = literal_array(self.keys, self.key_type)
+        above = count_not_above(known, len(self.keys), F.col(self.order)) - 1
+        number = F.get(literal_array(self.numbers, "bigint"), above)
+        if self.leaves is None:
+            return df.withColumn("segment", number)
+        met = df.withColumn("_leaf", number).join(self.leaves, "_leaf")
+        at = count_not_above(F.col("_starts"), self.leaf_keys, F.col(self.order)) - 1
+        return met.withColumn("segment", F.get("_numbers", at)).drop("_leaf", "_starts", "_numbers")
+
+    def attach(self, df: DataFrame, places: DataFrame | None = None) -> DataFrame:
+        """``df`` with its places, by default ``segment, batch_id, batch_row, start``: one exchange of ``df``, hashed on
+        ``segment``. The places are hashed on it too, so the join by key finds both sides where they are."""
+        if places is None:
+            places = self.places.drop("n")
+        wide = self.locate(df).repartition("segment")
+        return wide.join(places.repartition("segment"), ["segment", self.order])
 
 
 def _with_rank(df: DataFrame, order: str, key_type: str, n: int) -> DataFrame:
     """Add the 0-based rank, and the running number of repeated keys inside a range."""
-    ranges = min(MAX_SEGMENTS, -(-n // RANGE_ROWS))
+    ranges = min(MAX_RANGES, -(-n // RANGE_ROWS))
     cuts: list = []
     if ranges > 1:
         wanted = min(SAMPLES_PER_RANGE * ranges, MAX_SAMPLE)
@@ -195,70 +179,143 @@ def key_at(df: DataFrame, order: str, rank: int):
     return _with_rank(keys, order, key_type, n).where(F.col("_rank") == rank).first()[order]
 
 
+def _ranged(keys: DataFrame, order: str, n: int) -> tuple[DataFrame, DataFrame | None]:
+    """Keys with the key range they lie in (``_range``), and of several ranges what lies before each."""
+    ranges = min(MAX_RANGES, -(-n // RANGE_ROWS))
+    if ranges <= 1:
+        return keys.withColumn("_range", F.lit(0)), None
+    ranged = stage(keys.repartitionByRange(ranges, order).withColumn("_range", F.spark_partition_id()), "key-ranges")
+    sums = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"), F.sum("n").alias("_tokens"))
+    # One row for each range is left.
+    earlier = W.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("_rows", "_tokens")]
+    return ranged, stage(sums.select("_range", *before), "range-sums")
+
+
+def _div(a: Column, b) -> Column:
+    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b).cast("bigint"))
+
+
+def _batches(rank: Column, n: int, batch_rows: int, shards: int) -> tuple[Column, Column]:
+    """(batch, row in it) of the row at ``rank``: batches restart in each of ``shards`` contiguous shards, of which
+    the first ``n % shards`` have one row more."""
+    small, extra = divmod(n, shards)
+    larger = extra * (small + 1)
+    in_larger = rank < larger
+    shard = F.when(in_larger, _div(rank, small + 1)).otherwise(extra + _div(rank - larger, max(small, 1)))
+    first = F.when(in_larger, shard * (small + 1)).otherwise(larger + (shard - extra) * small)
+    per_larger, per_small = -(-(small + 1) // batch_rows), -(-small // batch_rows)
+    earlier = F.when(in_larger, shard * per_larger).otherwise(extra * per_larger + (shard - extra) * per_small)
+    in_shard = rank - first
+    return earlier + _div(in_shard, batch_rows), in_shard % batch_rows
+
+
+def _placed(keys: DataFrame, order: str, n: int, total: int, batch_rows: int, shards: int, max_segments: int) -> DataFrame:
+    """Places of ``keys`` (order, n), with ``_repeat`` where a key equals the one before."""
+    ranged, sums = _ranged(keys, order, n)
+    in_range = W.partitionBy("_range").orderBy(order)
+    so_far = in_range.rowsBetween(W.unboundedPreceding, 0)
+    rank, tokens = F.row_number().over(in_range).cast("bigint") - 1, F.sum("n").over(so_far) - F.col("n")
+    rows = ranged.select(
+        order, "n", "_range", rank.alias("_rank"), tokens.alias("_tokens"),
+        F.coalesce(F.lag(order).over(in_range) == F.col(order), F.lit(False)).alias("_repeat"),
+    )
+    if sums is not None:
+        rows = rows.join(sums, "_range").withColumns(
+            {"_rank": F.col("_rank") + F.col("_rows_before"), "_tokens": F.col("_tokens") + F.col("_tokens_before")}
+        )
+    batch, batch_row = _batches(F.col("_rank"), n, batch_rows, shards)
+    rows = rows.withColumn("batch_id", batch).withColumn("batch_row", batch_row)
+    # Sums never fall, so the tokens before a row's batch are the most seen at a first row.
+    opening = F.when(F.col("batch_row") == 0, F.col("_tokens"))
+    opened = F.max(opening).over(so_far)
+    if sums is not None:
+        rows = stage(rows, "ranked-keys")
+        last = rows.groupBy("_range").agg(F.max(opening).alias("_opened"))
+        earlier = W.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+        rows = rows.join(last.select("_range", F.max("_opened").over(earlier).alias("_carried")), "_range")
+        opened = F.coalesce(opened, F.col("_carried"))
+    rows = rows.withColumn("start", F.col("_tokens") - opened)
+    # A batch heavier than a segment may be goes on in further ones; a position in steps of that weight never falls.
+    steps = _div(F.col("start") + F.col("batch_row") * ROW_WEIGHT, MAX_SEGMENT_WEIGHT)
+    opening_weight = F.col("_tokens") - F.col("start") + (F.col("_rank") - F.col("batch_row")) * ROW_WEIGHT
+    size = max(1, -(-(total + n * ROW_WEIGHT) // max_segments))
+    return rows.select(
+        order, _div(opening_weight + steps * MAX_SEGMENT_WEIGHT, size).alias("segment"),
+        "batch_id", "batch_row", "start", "n", (steps > 0).alias("_split"), "_repeat",
+    )
+
+
 def plan_segments(
     df: DataFrame,
     order: str,
     batch_rows: int,
     shards: int = 1,
     max_segments: int = MAX_SEGMENTS,
-    stage_keys: bool = False,
+    counts: Column | None = None,
 ) -> Segments:
-    """Segments for batches of ``batch_rows`` consecutive rows inside each of ``shards``
-    contiguous shards. Reads only ``order`` and whatever filters need.
+    """Places for batches of ``batch_rows`` consecutive rows inside each of ``shards`` contiguous shards.
 
-    A segment holds whole batches, as many as keep the number of segments within
-    ``max_segments``. Batches above ``MAX_BATCH_IN_SEGMENT`` rows are split over several,
-    unless the table is so large that segments have to be longer still.
+    ``counts`` gives the tokens of a row, 0 if null; without it rows have none. The order key and what ``counts`` needs
+    are read once and written as a narrow table, from which all else is found, so a costly
+    ``df`` is worked out once here and once for its wide rows.
 
-    The keys are read up to four times. That is cheap on columnar files; ``stage_keys``
-    writes them to the shared folder first, for JSON, joins and other costly inputs.
+    A segment is a run of consecutive rows. It weighs at most (total weight) / ``max_segments`` +
+    ``MAX_SEGMENT_WEIGHT`` and one row, where a row weighs its tokens + ``ROW_WEIGHT``. It holds whole batches unless one of
+    them weighs more than ``MAX_SEGMENT_WEIGHT``. The driver gets ``CONSTANT_KEYS`` start keys at most.
     """
     if batch_rows < 1 or shards < 1:
         raise ValueError("batch_rows and shards must be positive")
-    if shards > MAX_SEGMENTS:
-        raise ValueError(f"at most {MAX_SEGMENTS} shards: each has a start key in the plan")
-    keys, key_type = _keys(df, order)
-    if stage_keys:
-        keys = stage(keys, "keys")
-    sizes = keys.agg(F.count(F.lit(1)).alias("n"), F.count(order).alias("keyed")).first()
-    n = sizes["n"]
+    if shards > MAX_SHARDS:
+        raise ValueError(f"at most {MAX_SHARDS} shards")
+    _, key_type = _keys(df, order)
+    n_tokens = F.lit(0) if counts is None else F.coalesce(counts, F.lit(0))
+    keys = stage(df.select(order, n_tokens.cast("bigint").alias("n")), "keys")
+    sizes = keys.agg(
+        F.count(F.lit(1)).alias("rows"), F.count(order).alias("keyed"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")
+    ).first()
+    n, total = sizes["rows"], sizes["tokens"]
     if sizes["keyed"] < n:
         raise ValueError(f"order key {order} is null in {n - sizes['keyed']} rows")
-    split_rows = max(MAX_BATCH_IN_SEGMENT, -(-n // max_segments))
-    split = batch_rows > split_rows
-    starts = sorted({s for s in shard_starts(n, shards) if s < n})
-    if n <= min(batch_rows, MAX_BATCH_IN_SEGMENT) and len(starts) <= 1:
-        check_keys(keys, order)
-        return Segments(order, key_type, batch_rows, n)
-
-    in_shard = F.col("_rank")
-    if len(starts) > 1:
-        known = literal_array(starts, "bigint")
-        in_shard = in_shard - F.get(known, count_not_above(known, len(starts), in_shard) - 1)
-    if split:
-        opens = in_shard % batch_rows % split_rows == 0
+    placed = _placed(keys, order, n, total, batch_rows, shards, max_segments)
+    if n > RANGE_ROWS:
+        placed = stage(placed, "places")
+    starts = placed.groupBy("segment").agg(
+        F.min(order).alias("key"), F.max("_split").alias("split"), F.max(F.when(F.col("_repeat"), F.col(order))).alias("repeated")
+    )
+    places = placed.drop("_split", "_repeat")
+    # A segment opens at a batch, or inside one for each further weight that it may have.
+    most = -(-n // batch_rows) + shards + (total + n * ROW_WEIGHT) // MAX_SEGMENT_WEIGHT
+    if min(most, max_segments) > CONSTANT_KEYS:
+        starts = stage(starts, "segment-starts")
     else:
-        unit = batch_rows * max(1, -(-n // (batch_rows * max_segments)))
-        opens = in_shard % unit == 0
-    first_repeat = (F.col("_repeat") == 1) & (F.col("_repeats") == 1)
-    found = _with_rank(keys, order, key_type, n).where(opens | first_repeat).collect()
-    repeats = [r[order] for r in found if r["_repeat"]]
-    if repeats:
-        raise ValueError(f"order key {order} is not unique, for example {repeats[0]!r}")
-
-    shard_rows = [b - a for a, b in zip(starts, [*starts[1:], n])]
-    batches_before = [0, *accumulate(-(-rows // batch_rows) for rows in shard_rows)]
-    segments = []
-    for rank, key in sorted((r["_rank"], r[order]) for r in found):
-        shard = bisect_right(starts, rank) - 1
-        batch, row = divmod(rank - starts[shard], batch_rows)
-        segments.append((key, batches_before[shard] + batch, row))
-    keys_, batches, rows = (list(c) for c in zip(*segments))
-    return Segments(order, key_type, batch_rows, n, keys_[1:], batches, rows, split)
+        found = sorted(starts.collect())
+        _refuse_repeated(order, [r["repeated"] for r in found])
+        split = any(r["split"] for r in found)
+        return Segments(order, key_type, n, places, [r["key"] for r in found], [r["segment"] for r in found], split)
+    facts = starts.agg(F.max("repeated"), F.max("split"), F.count(F.lit(1)), F.max("segment"), F.sum(F.length(F.col("key").cast("string"))))
+    repeated, split, n_starts, last, key_bytes = facts.first()
+    _refuse_repeated(order, [repeated])
+    # Leaves: short sorted runs of starts. The constant has the first key of each.
+    width = -(-(last + 1) // CONSTANT_KEYS)
+    runs = starts.groupBy(_div(F.col("segment"), width).alias("_leaf")).agg(
+        F.sort_array(F.collect_list(F.struct("key", "segment"))).alias("_run")
+    )
+    leaves = runs.select("_leaf", F.col("_run.key").alias("_starts"), F.col("_run.segment").alias("_numbers"))
+    if key_bytes + 24 * n_starts <= BROADCAST_LEAVES:
+        leaves = F.broadcast(leaves)
+    found = sorted(tuple(r) for r in runs.select("_leaf", F.get("_run", F.lit(0))["key"]).collect())
+    return Segments(order, key_type, n, places, [k for _, k in found], [n for n, _ in found], split, leaves, width)
+
+
+def _refuse_repeated(order: str, found: list) -> None:
+    for key in found:
+        if key is not None:
+            raise ValueError(f"order key {order} is not unique, for example {key!r}")
 
 
 def assign_batches(df: DataFrame, order: str, batch_rows: int, **options) -> DataFrame:
     """Add ``segment``, ``batch_id`` and ``batch_row``; one shuffle, hashed on ``segment``.
     ``options`` are those of :func:`plan_segments`."""
     plan = plan_segments(df, order, batch_rows, **options)
-    return plan.number(df.withColumn("segment", plan.segment()))
+    return plan.attach(df, plan.places.drop("n", "start"))

@@ -19,25 +19,23 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
-def _cut(numbered: DataFrame, plan: Segments, columns: list[str], seq_len: int) -> DataFrame:
-    """Blocks of rows that carry ``segment``, ``batch_id`` and ``batch_row``.
+def _cut(placed: DataFrame, plan: Segments, columns: list[str], seq_len: int) -> DataFrame:
+    """Blocks of rows that carry ``segment``, ``batch_id`` and ``start``, the tokens before them in their batch.
 
-    The rows are hashed on ``segment`` already, so neither the windows nor the final
-    grouping adds an exchange, and one sort by (segment, order) serves all windows. Only
+    The rows are hashed on ``segment`` already, so the grouping adds no exchange. Only
     batches split over segments have to meet again in their blocks.
     """
     n = F.coalesce(F.array_size(columns[0]), F.lit(0)).cast("bigint")
-    placed = plan.running_sum(numbered.withColumn("_n", n), "_n", "_end").where("_n > 0")
-    start, end = F.col("_end") - F.col("_n"), F.col("_end")
+    filled = placed.withColumn("_end", F.col("start") + n).where(F.col("_end") > F.col("start"))
     # One row per block a list touches, and the part of the list that falls into it. The
     # slice is taken in the generated loop that explodes, so a long list is read in place
     # and each element copied once.
-    touched = F.sequence(_div(start, seq_len), _div(end - 1, seq_len))
-    lo = F.greatest(start, F.col("block_id") * seq_len)
-    hi = F.least(end, (F.col("block_id") + 1) * seq_len)
-    first, length = (lo - start + 1).cast("int"), (hi - lo).cast("int")
-    pieces = placed.select(
-        *plan.batch_keys, "_n", "_end", *columns, F.explode(touched).alias("block_id")
+    touched = F.sequence(_div(F.col("start"), seq_len), _div(F.col("_end") - 1, seq_len))
+    lo = F.greatest(F.col("start"), F.col("block_id") * seq_len)
+    hi = F.least(F.col("_end"), (F.col("block_id") + 1) * seq_len)
+    first, length = (lo - F.col("start") + 1).cast("int"), (hi - lo).cast("int")
+    pieces = filled.select(
+        *plan.batch_keys, "start", "_end", *columns, F.explode(touched).alias("block_id")
     ).select(
         *plan.batch_keys,
         "block_id",
@@ -54,6 +52,10 @@ def _cut(numbered: DataFrame, plan: Segments, columns: list[str], seq_len: int)
     )
 
 
+def _starts(plan: Segments) -> DataFrame:
+    return plan.places.select("segment", plan.order, "batch_id", "start")
+
+
 def pack(
     df: DataFrame,
     order: str,
@@ -62,16 +64,15 @@ def pack(
     columns: list[str] | None = None,
     shards: int = 1,
     max_segments: int = MAX_SEGMENTS,
-    stage_keys: bool = False,
 ) -> DataFrame:
     """``(batch_id, block_id, *columns)``; every list column is cut at the same places.
 
-    ``shards`` reproduces batches taken inside that many contiguous worker shards.
+    ``shards`` reproduces batches taken inside that many contiguous worker shards. Lists are worked out twice: for
+    their lengths, which say where every row begins in its batch, and for their elements, which move once.
     """
     columns = columns or ["input_ids"]
-    plan = plan_segments(df, order, batch_rows, shards, max_segments, stage_keys)
-    segmented = df.select(order, *columns).withColumn("segment", plan.segment())
-    return _cut(plan.number(segmented), plan, columns, seq_len)
+    plan = plan_segments(df, order, batch_rows, shards, max_segments, F.array_size(columns[0]))
+    return _cut(plan.attach(df.select(order, *columns), _starts(plan)), plan, columns, seq_len)
 
 
 def pack_text(
@@ -84,18 +85,23 @@ def pack_text(
     tokenizer=WORDS,
     mask: bool = False,
     max_segments: int = MAX_SEGMENTS,
-    stage_keys: bool = False,
+    num_tokens: str | None = None,
 ) -> DataFrame:
     """Tokenize and pack. The raw text is what moves; tokens are made after the only
-    exchange, since as lists they are several times larger than the text."""
-    plan = plan_segments(df, order, batch_rows, shards, max_segments, stage_keys)
-    moved = df.select(order, text).withColumn("segment", plan.segment()).repartition("segment")
-    ids = moved.select(order, "segment", tokenizer.tokens(text).alias("input_ids"))
+    exchange, since as lists they are several times larger than the text.
+
+    Where each row begins is found from token counts. ``num_tokens`` names a column that has them, if there
+    is one: then the text is read once. It has to agree with the tokenizer.
+    """
+    counts = F.col(num_tokens) if num_tokens else tokenizer.count(text)
+    plan = plan_segments(df, order, batch_rows, shards, max_segments, counts)
+    moved = plan.attach(df.select(order, text), _starts(plan))
+    ids = moved.select("segment", "batch_id", "start", tokenizer.tokens(text).alias("input_ids"))
     columns = ["input_ids"]
     if mask:
         ids = ids.withColumn("attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids")))
         columns.append("attention_mask")
-    return _cut(plan.number(ids), plan, columns, seq_len)
+    return _cut(ids, plan, columns, seq_len)
 
 
 def pack_report(
@@ -105,16 +111,10 @@ def pack_report(
     batch_rows: int = 1024,
     num_tokens: str = "num_tokens",
     shards: int = 1,
-    stage_keys: bool = False,
 ) -> DataFrame:
     """What packing keeps and drops, from token counts alone."""
-    plan = plan_segments(df, order, batch_rows, shards, stage_keys=stage_keys)
-    narrow = df.select(order, F.col(num_tokens).cast("bigint").alias("_n"))
-    batches = (
-        plan.number(narrow.withColumn("segment", plan.segment()))
-        .groupBy(*plan.batch_keys)
-        .agg(F.sum("_n").alias("_t"))
-    )
+    plan = plan_segments(df, order, batch_rows, shards, counts=F.col(num_tokens))
+    batches = plan.places.groupBy("batch_id").agg(F.sum("n").alias("_t"))
     full = _div(F.col("_t"), seq_len)
     blocks = F.when(full > 0, full).otherwise((F.col("_t") > 0).cast("bigint"))
     kept = F.when(full > 0, full * seq_len).otherwise(F.col("_t"))

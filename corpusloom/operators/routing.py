@@ -6,10 +6,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import explode_elements, let, literal_array
+from corpusloom.sources.store import stage
 
 MAX_CENTROIDS = 4096
 MAX_CENTROID_VALUES = 4_000_000
@@ -145,16 +145,15 @@ def route_topk(
 
 
 def route_load(routes: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Rows per bucket and the ratio to an even load; empty buckets show 0."""
+    """Rows per bucket and the ratio to an even load; empty buckets show 0. Any number of buckets: the
+    even load is one number, found from the written loads."""
     load = routes.groupBy("bucket").agg(F.count(F.lit(1)).alias("load"))
     buckets = centroids.select(F.col("bucket").cast("int").alias("bucket"))
     full = load.join(buckets, "bucket", "right").select(
         "bucket", F.coalesce("load", F.lit(0)).cast("bigint").alias("load")
     )
-    # One row per bucket is left, at most MAX_CENTROIDS: a window over all of it is small.
-    even = F.avg("load").over(W.partitionBy(F.lit(0)))
-    return full.withColumn("_even", even).select(
-        "bucket",
-        "load",
-        F.when(F.col("_even") > 0, F.col("load") / F.col("_even")).alias("load_ratio"),
+    full = stage(full, "bucket-load")
+    even = full.agg(F.avg("load")).first()[0]
+    return full.select(
+        "bucket", "load", (F.col("load") / F.lit(even or None).cast("double")).alias("load_ratio")
     )

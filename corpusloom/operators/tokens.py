@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import explode_elements
@@ -293,6 +294,46 @@ def estimate_total(
     return both.withColumn("estimated_tokens", F.col("avg_tokens") * F.col("total_rows"))
 
 
+def estimate_sources(
+    df: DataFrame, column: str, by: list[str], key: str, sample_rows: int = 1000, tokenizer=WORDS
+) -> DataFrame:
+    """Estimated tokens of each source from a sample of its rows, with an error: ``(*by, num_rows, sampled_rows,
+    avg_tokens, estimated_tokens, std_error, low, high)``.
+
+    The sample is the ``sample_rows`` rows whose ``key`` has the smallest hash, ties to the smaller key: a bottom-k sample.
+    Every task keeps its own k smallest of each source, and of these the k smallest are the source's,
+    so the same rows are chosen however the table is cut, and only they are tokenized. ``low`` and ``high``
+    lie 1.96 standard errors off, for a sample drawn without replacement; a source that is
+    sampled whole has no error. Keys that repeat, or are null, sample their rows together.
+    """
+    hashed = F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("")), 256)
+    lowest = W.partitionBy(*by).orderBy("_h", F.col(key).asc_nulls_first(), F.col(column).asc_nulls_first())
+    sampled = (
+        df.select(*by, key, column, hashed.alias("_h"))
+        .withColumn("_place", F.row_number().over(lowest))
+        .where(F.col("_place") <= sample_rows)
+        .select(*by, F.coalesce(tokenizer.count(column), F.lit(0)).cast("double").alias("_n"))
+    )
+    found = sampled.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("sampled_rows"), F.avg("_n").alias("avg_tokens"), F.coalesce(F.var_samp("_n"), F.lit(0.0)).alias("_v")
+    )
+    sizes = df.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(F.count(F.lit(1)).alias("num_rows"))
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    n, m = F.col("num_rows"), F.col("sampled_rows")
+    error = n * F.sqrt(F.col("_v") / m * (F.lit(1.0) - m / n))
+    total = F.col("avg_tokens") * n
+    return (
+        found.join(sizes, same)
+        .withColumn("estimated_tokens", total)
+        .withColumn("std_error", error)
+        .select(
+            *by, "num_rows", "sampled_rows", "avg_tokens", "estimated_tokens", "std_error",
+            (F.col("estimated_tokens") - 1.96 * F.col("std_error")).alias("low"),
+            (F.col("estimated_tokens") + 1.96 * F.col("std_error")).alias("high"),
+        )
+    )
+
+
 def source_report(df: DataFrame, column: str, by: list[str], tokenizer=WORDS) -> DataFrame:
     """Rows and tokens per source."""
     return df.groupBy(*by).agg(

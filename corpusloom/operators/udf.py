@@ -44,13 +44,13 @@ def map_batches(
     if order is not None:
         names = columns or df.columns
         plan = plan_segments(df, order, batch_rows, **options)
-        source = df.select(*dict.fromkeys([*names, order])).withColumn("segment", plan.segment())
+        source = plan.attach(df.select(*dict.fromkeys([*names, order])), plan.places.drop("n", "start"))
 
         def run_batch(table: pa.Table) -> pa.Table:
             table = table.sort_by("batch_row").select([*names, "batch_id"])
             return pa.Table.from_pydict(fn(table.to_pydict()), schema=arrow_schema)
 
-        return plan.number(source).groupBy(*plan.batch_keys).applyInArrow(run_batch, result)
+        return source.groupBy(*plan.batch_keys).applyInArrow(run_batch, result)
     source = df.select(*columns) if columns else df
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,6 +60,47 @@ def map_batches(
     return source.mapInArrow(run, result)
 
 
+def map_batch_chunks(
+    df: DataFrame,
+    fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
+    schema: str | T.StructType,
+    order: str,
+    batch_rows: int,
+    columns: list[str] | None = None,
+    **options,
+) -> DataFrame:
+    """:func:`map_batches` for batches larger than a task's memory: ``fn`` gets the batch as an iterator of chunks, its
+    rows in order, and yields chunks of results.
+
+    A chunk has at most ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows. The batch is sorted by Spark, which
+    spills; in Python there is a chunk at a time, and what ``fn`` keeps. Besides ``columns`` a chunk has ``batch_id`` and
+    ``batch_row``. ``fn`` need not read on to the end.
+    """
+    result = _struct(df, schema)
+    arrow_schema = to_arrow_schema(result)
+    names = columns or df.columns
+    plan = plan_segments(df, order, batch_rows, **options)
+    placed = plan.attach(df.select(*dict.fromkeys([*names, order])), plan.places.drop("n", "start"))
+    if plan.split:
+        placed = placed.repartition("batch_id")
+    # Grouping needs its keys in order only, so it keeps the rows as they are sorted here.
+    in_order = placed.sortWithinPartitions(*plan.batch_keys, "batch_row")
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+        expected = 0
+        for batch in batches:
+            if batch.num_rows and batch.column("batch_row")[0].as_py() != expected:
+                raise RuntimeError("the rows of a batch are not in order")
+            expected += batch.num_rows
+            yield batch.select([*names, "batch_id", "batch_row"]).to_pydict()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in fn(chunks(batches)):
+            yield pa.RecordBatch.from_pydict(found, schema=arrow_schema)
+
+    return in_order.groupBy(*plan.batch_keys).applyInArrow(run, result)
+
+
 def map_rows(
     df: DataFrame,
     fn: Callable,

@@ -20,9 +20,8 @@ class CorpusSource:
     """One input of the mixture. ``order`` is its unique row key.
 
     ``text`` names the text column; ``score`` the quality column to filter on, if any;
-    ``instruct`` marks prompt/response rows, which are rendered first. ``stage_keys`` is for
-    sources that are costly to read again, such as JSON lines or joins: their keys are
-    written once.
+    ``instruct`` marks prompt/response rows, which are rendered first. A source is read twice: for
+    token counts, and for its text.
     """
 
     df: DataFrame
@@ -30,7 +29,6 @@ class CorpusSource:
     text: str = "content"
     score: str | None = None
     instruct: bool = False
-    stage_keys: bool = False
 
     def prepared(self, minimum: float) -> DataFrame:
         if self.instruct:
@@ -66,7 +64,6 @@ def pretrain_mixture(
             shards,
             tokenizer,
             mask=True,
-            stage_keys=source.stage_keys,
         )
 
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions.tokenizers import BYTES
 from corpusloom.operators import dialogue as d
 from corpusloom.operators.ordering import order_key
 from corpusloom.queries import Registry
@@ -72,6 +73,67 @@ def _(spark, sf):
     return d.build_context(t.conversations(spark, sf), MAX_INPUT)
 
 
+@R.add(
+    "build_context_ids",
+    f"""WITH {_BUDGET}, met AS (
+  SELECT p.conv_id, p.off, p.turn, p.piece FROM pieces p LEFT JOIN fitting f ON f.conv_id = p.conv_id AND f.exchange = p.exchange
+    AND p.kind = 'history' WHERE p.kind <> 'history' OR f.conv_id IS NOT NULL), ids AS (
+  SELECT conv_id, CASE WHEN max(off) = 0 THEN {t.words_sql(f"'<|system|> {d.DEFAULT_SYSTEM}'")} ELSE [] END
+    || flatten(list({t.words_sql("piece")} ORDER BY turn)) || ['<|assistant|>'] AS ids FROM met GROUP BY conv_id)
+SELECT conv_id, array_to_string(ids, ' ') AS input_ids, CAST(len(ids) AS INTEGER) AS num_tokens FROM ids""",
+)
+def _(spark, sf):
+    found = d.build_context_ids(t.conversations(spark, sf), MAX_INPUT)
+    return found.withColumn("input_ids", t.joined("input_ids"))
+
+
+_BYTES = f"""counted AS (
+  SELECT conv_id, exchange, kind, off, octet_length(encode({_MARK} || chr(10) || {t.strip_sql("text")})) + 1 AS n FROM turns),
+  budgets AS (SELECT conv_id, 6000 - sum(CASE WHEN kind <> 'history' THEN n ELSE 0 END)
+    - max(CASE WHEN off = 0 THEN {len(d.SYSTEM_MARK) + len(d.DEFAULT_SYSTEM) + 2} ELSE 0 END) - {len(d.ASSISTANT_MARK) + 1} AS budget
+    FROM counted GROUP BY conv_id), running AS (
+  SELECT conv_id, exchange, sum(n) AS num_tokens, sum(sum(n)) OVER (PARTITION BY conv_id ORDER BY exchange DESC) AS cum_tokens
+  FROM counted WHERE kind = 'history' GROUP BY conv_id, exchange)"""
+
+
+@R.add(
+    "history_budget_bytes",
+    f"""WITH {_FACTS}, {_BYTES} SELECT conv_id, exchange, CAST(num_tokens AS BIGINT) AS num_tokens,
+  CAST(cum_tokens AS BIGINT) AS cum_tokens, CAST(budget AS BIGINT) AS budget
+FROM running JOIN budgets USING (conv_id) WHERE cum_tokens < budget""",
+)
+def _(spark, sf):
+    return d.history_budget(t.conversations(spark, sf), 6000, tokenizer=BYTES)
+
+
+def _pairs(spark, sf):
+    return t.instruct(spark, sf).select(
+        *KEY, "prompt", F.col("response").alias("chosen"), F.substring("response", 1, 40).alias("rejected")
+    )
+
+
+def _pair_sql(answer: str, name: str) -> str:
+    """The last 48 tokens of the last 24 of the prompt and an answer, and which are the answer's."""
+    ids = f"list_concat(p, {answer})"
+    mask = f"list_concat(list_transform(p, lambda x: 0), list_transform({answer}, lambda x: 1))"
+    return ", ".join(
+        f"array_to_string(({v})[greatest(len({ids}) - 48, 0) + 1:], ' ') AS {name}_{what}" for v, what in ((ids, "ids"), (mask, "mask"))
+    )
+
+
+@R.add(
+    "preference_pairs",
+    f"""WITH {t.INSTRUCT_SQL}, words AS (SELECT conv_id, turn, {t.words_sql("prompt")} AS w, {t.words_sql("response")} AS c,
+  {t.words_sql("substr(response, 1, 40)")} AS r FROM instruct), cut AS (
+  SELECT conv_id, turn, c, r, w[greatest(len(w) - 24, 0) + 1:] AS p FROM words)
+SELECT conv_id, turn, {_pair_sql("c", "chosen")}, {_pair_sql("r", "rejected")} FROM cut""",
+)
+def _(spark, sf):
+    rows = d.preference_pairs(_pairs(spark, sf), KEY, 48, max_prompt=24)
+    names = ("chosen_ids", "chosen_mask", "rejected_ids", "rejected_mask")
+    return rows.select(*KEY, *[t.joined(c).alias(c) for c in names])
+
+
 @R.add(
     "preference_rows",
     f"""WITH {t.INSTRUCT_SQL} SELECT conv_id, turn, array_to_string({t.words_sql("prompt")}[1:32], ' ') AS prompt_ids,
@@ -136,6 +198,6 @@ SELECT batch_id, count(*) AS num_rows, round(avg(reward), 6) AS mean_reward, rou
 )
 def _(spark, sf):
     rewards = d.length_reward(t.instruct(spark, sf)).withColumn("key", order_key("conv_id", "turn"))
-    return d.reward_stats(rewards, "key", 32, stage_keys=True).withColumns(
+    return d.reward_stats(rewards, "key", 32).withColumns(
         {c: F.round(c, 6) for c in ("mean_reward", "std_reward")}
     )

@@ -113,6 +113,34 @@ def _(spark, sf):
     return metrics.masked_cross_entropy(rows).withColumn("loss", F.round("loss", 6))
 
 
+def _long_scores(spark, sf):
+    """One row for each vector and component, with the vector's label on each."""
+    label = F.when(F.col("label") == 9, -100).otherwise(F.col("label"))
+    return _vectors(spark, sf).select("vec_id", label.alias("label"), F.posexplode("embedding").alias("token", "score"))
+
+
+# Scores far apart: the exponentials of the plain ones would overflow.
+_LONG = """z AS (SELECT vec_id, CASE WHEN label = 9 THEN -100 ELSE label END AS label,
+    list_transform(embedding, lambda v: CAST(v AS DOUBLE) * 2000) AS z FROM embeddings), losses AS (
+  SELECT vec_id, label, CASE WHEN label <> -100 THEN list_max(z)
+    + ln(list_sum(list_transform(z, lambda x: exp(x - list_max(z))))) - z[label + 1] END AS loss FROM z)"""
+
+
+def _scaled(spark, sf):
+    return _long_scores(spark, sf).withColumn("score", F.col("score").cast("double") * 2000)
+
+
+@R.add("long_cross_entropy", f"WITH {_LONG} SELECT vec_id, label, round(loss, 5) AS loss FROM losses")
+def _(spark, sf):
+    losses = metrics.long_cross_entropy(_scaled(spark, sf), ["vec_id"])
+    return losses.withColumn("loss", F.round("loss", 5))
+
+
+@R.add("long_masked_cross_entropy", f"WITH {_LONG} SELECT round(avg(loss), 5) AS loss, count(loss) AS num_labels FROM losses")
+def _(spark, sf):
+    return metrics.long_masked_cross_entropy(_scaled(spark, sf), ["vec_id"]).withColumn("loss", F.round("loss", 5))
+
+
 _SCORED = """r AS (SELECT d.n_chars / 10000.0 AS a, l.quality AS q, l.toxic AS x FROM documents d JOIN labels l USING (doc_id)
   WHERE l.quality IS NOT NULL AND l.toxic IS NOT NULL)"""
 _BCE = "greatest({z}, 0.0) - {z} * {y} + ln(1.0 + exp(-abs({z})))"
@@ -147,6 +175,32 @@ def _(spark, sf):
     return concat_sources(losses).withColumn("loss", F.round("loss", 6))
 
 
+_COMPONENTS = """c AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS z, unnest(range(len(embedding))) AS i FROM embeddings),
+  y AS (SELECT *, CASE WHEN i = label THEN 1.0 ELSE 0.0 END AS y FROM c)"""
+
+
+@R.add(
+    "long_label_losses",
+    f"""WITH {_COMPONENTS}, w AS (
+  SELECT label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS z FROM embeddings WHERE label IS NOT NULL)
+SELECT 'regression' AS source, 0 AS source_ord, 'regression' AS problem_type, round(avg((z - y) * (z - y)), 6) AS loss,
+  count(DISTINCT vec_id) AS num_rows FROM y
+UNION ALL SELECT 'single', 1, 'single_label_classification',
+  round(avg(list_max(z) + ln(list_sum(list_transform(z, lambda x: exp(x - list_max(z))))) - z[label + 1]), 6), count(*) FROM w
+UNION ALL SELECT 'multi', 2, 'multi_label_classification', round(avg({_BCE.format(z="z", y="y")}), 6), count(DISTINCT vec_id) FROM y""",
+)
+def _(spark, sf):
+    rows = _vectors(spark, sf).select("vec_id", F.col("label").alias("own"), F.posexplode("embedding").alias("entry", "score"))
+    each = rows.withColumn("label", F.when(F.col("entry") == F.col("own"), 1.0).otherwise(0.0))
+    single = rows.withColumn("label", F.col("own"))
+    losses = {
+        "regression": metrics.long_label_losses(each, "regression", ["vec_id"]),
+        "single": metrics.long_label_losses(single, "single_label_classification", ["vec_id"]),
+        "multi": metrics.long_label_losses(each, "multi_label_classification", ["vec_id"]),
+    }
+    return concat_sources(losses).withColumn("loss", F.round("loss", 6))
+
+
 _ANNOTATED = "replace(replace(html, '<', '<<'), '>', '>>')"
 
 

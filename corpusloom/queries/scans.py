@@ -11,6 +11,7 @@ from corpusloom.operators.tokens import token_count
 from corpusloom.queries import Registry
 from corpusloom.queries import tables as t
 from corpusloom.session import shared_path
+from corpusloom.sources.builds import build_shards
 from corpusloom.sources.manifest import (
     config_fingerprint,
     manifest_layout,
@@ -19,9 +20,11 @@ from corpusloom.sources.manifest import (
 )
 from corpusloom.sources.scan import Catalog, Source, scan_files, scan_jsonl, scan_parquet
 from corpusloom.sources.store import materialize_or_reuse, write_blocks
+from corpusloom.streaming.packing import open_blocks, pack_stream
 from corpusloom.streaming.source import (
     drain_to_parquet,
     drain_totals,
+    read_totals,
     running_totals,
     stream_source,
 )
@@ -59,12 +62,12 @@ def _catalog(sf: str) -> Catalog:
         Source(
             f"{sf}/{{config}}.parquet",
             schema=t.DOCUMENTS,
-            splits={"en": "lang = 'en'", "other": "lang <> 'en'"},
+            splits={"en": "lang = 'en'", "other": "lang <> 'en' OR lang IS NULL"},
         ),
     )
 
 
-@R.add("load_source", "SELECT doc_id, source, n_chars FROM documents WHERE lang <> 'en'")
+@R.add("load_source", "SELECT doc_id, source, n_chars FROM documents WHERE lang <> 'en' OR lang IS NULL")
 def _(spark, sf):
     return _catalog(sf).load_source(spark, "corpus", "documents", "other").select(
         "doc_id", "source", "n_chars"
@@ -150,7 +153,37 @@ def _(spark, sf):
     totals = running_totals(stream, "text", ["source"])
     out = shared_path(spark, "totals")
     drain_totals(totals, f"{out}/rows", f"{out}/progress")
-    return spark.read.schema(totals.schema).parquet(f"{out}/rows")
+    return read_totals(spark, f"{out}/rows", totals.schema)
+
+
+_STREAM_SEQ, _STREAM_ROWS, _STREAM_PARTS = 128, 50, 4
+
+
+@R.add(
+    "pack_stream",
+    f"""WITH r AS (SELECT source, dense_rank() OVER (ORDER BY source NULLS FIRST) AS s,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rn, {t.words_sql("text")} AS ids FROM documents),
+  names AS (SELECT DISTINCT s, source FROM r), numbered AS (
+  SELECT s * 1000000000 + rn // {_STREAM_ROWS} AS b, rn, ids FROM r), {t.pack_sql("numbered", _STREAM_SEQ, "b")}
+SELECT source, batch_id % 1000000000 AS batch_id, block_id, input_ids
+FROM packed JOIN names ON s = batch_id // 1000000000""",
+)
+def _(spark, sf):
+    """Every source packed as its files arrive; the query stops and goes on from its checkpoint between arrivals."""
+    docs = t.documents(spark, sf)
+    out = shared_path(spark, "packed-stream")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    step = ((high or 0) - (low or 0)) // _STREAM_PARTS + 1
+    for part in range(_STREAM_PARTS):
+        arrived = docs.where(F.call_function("div", F.col("doc_id") - (low or 0), F.lit(step)) == part)
+        arrived.write.parquet(f"{out}/in/{part}")
+        stream = stream_source(spark, f"{out}/in", "parquet", t.DOCUMENTS)
+        ids = stream.select("source", "doc_id", WORDS.tokens("text").alias("input_ids"))
+        blocks = pack_stream(ids, ["source"], "doc_id", _STREAM_SEQ, _STREAM_ROWS)
+        drain_to_parquet(blocks, f"{out}/blocks", f"{out}/progress")
+    full = spark.read.schema(blocks.schema).parquet(f"{out}/blocks")
+    every = full.unionByName(open_blocks(spark, f"{out}/progress", _STREAM_SEQ))
+    return every.select("source", "batch_id", "block_id", t.joined("input_ids").alias("input_ids"))
 
 
 @R.add(
@@ -184,3 +217,33 @@ def _(spark, sf):
     return spark.read.parquet(path).select(
         "source", "batch_id", "block_id", t.joined("input_ids").alias("input_ids")
     )
+
+
+@R.add(
+    "build_shards",
+    f"""SELECT doc_id, lang, CAST(len({t.words_sql("text")}) AS INTEGER) AS num_tokens FROM documents""",
+)
+def _(spark, sf):
+    """A build that breaks, resumes by shard, and is then built anew because an option changed."""
+    root = f"{shared_path(spark, 'builds')}/corpus"
+    docs = t.documents(spark, sf)
+    built = []
+
+    def shard(condition, column, fails=False):
+        def build():
+            if fails:
+                raise RuntimeError("this shard breaks")
+            built.append(condition)
+            return token_count(docs.where(condition), column, ["doc_id", "lang"])
+
+        return build
+
+    parts = {"en": "lang = 'en'", "others": "lang <> 'en'", "unknown": "lang IS NULL"}
+    before, now = {"column": "lang", "tokenizer": "words"}, {"column": "text", "tokenizer": "words"}
+    try:
+        build_shards(spark, root, {k: shard(c, "lang", k == "unknown") for k, c in parts.items()}, before)
+    except RuntimeError:
+        build_shards(spark, root, {k: shard(c, "lang") for k, c in parts.items()}, before)
+    if built != list(parts.values()):
+        raise AssertionError("finished shards were built again")
+    return build_shards(spark, root, {k: shard(c, "text") for k, c in parts.items()}, now)

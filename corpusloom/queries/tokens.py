@@ -196,3 +196,20 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return k.source_rollup(t.documents(spark, sf), "text", ["source", "lang"])
+
+
+@R.add(
+    "estimate_sources",
+    f"""WITH n AS (SELECT doc_id, source, CAST(len({t.words_sql("text")}) AS DOUBLE) AS n,
+    row_number() OVER (PARTITION BY source ORDER BY sha256(CAST(doc_id AS VARCHAR)), doc_id) AS place,
+    count(*) OVER (PARTITION BY source) AS num_rows FROM documents), e AS (
+  SELECT source, max(num_rows) AS num_rows, count(*) AS sampled_rows, avg(n) AS avg_tokens, coalesce(var_samp(n), 0) AS v
+  FROM n WHERE place <= 40 GROUP BY source), s AS (
+  SELECT *, avg_tokens * num_rows AS total, num_rows * sqrt(v / sampled_rows * (1 - sampled_rows / num_rows)) AS err FROM e)
+SELECT source, num_rows, sampled_rows, round(avg_tokens, 6) AS avg_tokens, round(total, 3) AS estimated_tokens,
+  round(err, 3) AS std_error, round(total - 1.96 * err, 3) AS low, round(total + 1.96 * err, 3) AS high FROM s""",
+)
+def _(spark, sf):
+    found = k.estimate_sources(t.documents(spark, sf), "text", ["source"], "doc_id", 40)
+    digits = {"avg_tokens": 6, "estimated_tokens": 3, "std_error": 3, "low": 3, "high": 3}
+    return found.withColumns({c: F.round(c, d) for c, d in digits.items()})

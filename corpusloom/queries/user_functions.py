@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpusloom.operators.tokens import tokenize
-from corpusloom.operators.udf import filter_rows, map_batches, map_rows
+from corpusloom.operators.udf import filter_rows, map_batch_chunks, map_batches, map_rows
 from corpusloom.queries import Registry
 from corpusloom.queries import tables as t
 
@@ -49,6 +49,29 @@ def _(spark, sf):
     return map_batches(ids, blocks, schema, ["input_ids"], order="doc_id", batch_rows=100)
 
 
+@R.add(
+    "map_batch_chunks",
+    """WITH r AS (SELECT text, row_number() OVER (ORDER BY doc_id) - 1 AS rn FROM documents)
+SELECT CAST(rn // 400 AS BIGINT) AS batch_id, count(*) AS num_rows, CAST(sum(length(text)) AS BIGINT) AS chars,
+  sha256(string_agg(text, chr(10) ORDER BY rn)) AS digest FROM r GROUP BY 1""",
+)
+def _(spark, sf):
+    """A digest of batches of 400 documents in order, which are never in memory as a whole."""
+
+    def digests(chunks):
+        import hashlib
+
+        digest, rows, chars = hashlib.sha256(), 0, 0
+        for chunk in chunks:
+            for text in chunk["text"]:
+                digest.update(("\n" * (rows > 0) + text).encode())
+                rows, chars = rows + 1, chars + len(text)
+        yield {"batch_id": [chunk["batch_id"][0]], "num_rows": [rows], "chars": [chars], "digest": [digest.hexdigest()]}
+
+    schema = "batch_id BIGINT, num_rows BIGINT, chars BIGINT, digest STRING"
+    return map_batch_chunks(t.documents(spark, sf), digests, schema, "doc_id", 400, ["text"])
+
+
 @R.add("map_rows", "SELECT doc_id, length(text) - length(lang) AS chars FROM documents")
 def _(spark, sf):
     docs = map_rows(

@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.sources.store import stage
+
 # Column layouts of the corpora this library prepares.
 WEB_CORPUS = "content STRING, score STRING"
 WIKI = "text STRING"
@@ -20,6 +23,8 @@ MESSAGES = "messages ARRAY<STRUCT<role: STRING, content: STRING>>"
 PREFERENCE = "prompt STRING, chosen STRING, rejected STRING"
 
 ROW_KEY = "row_key"
+#: Splits whose row counts are broadcast, about 100 bytes each; those of more are joined by shuffle.
+BROADCAST_SPLITS = 50_000
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -34,18 +39,49 @@ def with_row_key(df: DataFrame, fmt: str) -> DataFrame:
     """Add ``row_key``, a string that sorts rows as files by name, then rows in the file.
 
     This is the row order packing needs when the data has no id. Parquet knows a row's
-    index. For text formats the split's start offset comes first; rows inside one
-    split are read by one task, so the running id keeps them in order.
+    index; rows of text formats are numbered by :func:`with_line_numbers`.
     """
     if fmt == "parquet":
-        place = F.lpad(F.col("_metadata.row_index").cast("string"), 19, "0")
+        number, keyed = F.col("_metadata.row_index"), df
     else:
-        place = F.concat_ws(
-            ":",
-            F.lpad(F.col("_metadata.file_block_start").cast("string"), 19, "0"),
-            F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0"),
-        )
-    return df.select("*", F.concat_ws(":", F.col("_metadata.file_path"), place).alias(ROW_KEY))
+        keyed = with_line_numbers(df, "_line")
+        number = F.col("_line")
+    path = F.col("_metadata.file_path") if fmt == "parquet" else F.col("_line_file")
+    key = F.concat_ws(":", path, F.lpad(number.cast("string"), 19, "0")).alias(ROW_KEY)
+    return keyed.select(*[F.col(f"`{c}`") for c in df.columns], key)
+
+
+def with_line_numbers(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a text scan with their file (``<name>_file``) and their 0-based number in it (``<name>``), which are the
+    same however the file is cut into splits.
+
+    A split is read by one task from its start to its end, so a row's place in the split is its place in the task less
+    that of the split's first row. One job counts the rows of every split; what lies before a split in its file is a
+    running sum over these counts, a table with a row for each split. ``df`` is the scan itself: filter afterwards. If
+    the session's split options change between this call and the reading of its result, the splits are no longer those
+    that were counted, and reading fails.
+    """
+    in_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    tagged = df.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.col("_metadata.file_path").alias(f"{name}_file"),
+        F.col("_metadata.file_block_start").alias(f"{name}_split"),
+        F.spark_partition_id().alias(f"{name}_task"),
+        in_task.alias(f"{name}_place"),
+    )
+    split = [f"{name}_{c}" for c in ("file", "split", "task")]
+    counted = tagged.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min(f"{name}_place").alias("first"))
+    counted = stage(counted, "split-rows")
+    earlier = W.partitionBy(split[0]).orderBy(split[1]).rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
+    index = counted.select(*split, before.alias(f"{name}_offset"))
+    if counted.count() <= BROADCAST_SPLITS:
+        index = F.broadcast(index)
+    known = F.col(f"{name}_offset") + F.col(f"{name}_place")
+    number = F.coalesce(known, F.raise_error(F.lit("the files are split otherwise than when their rows were counted")).cast("bigint"))
+    return tagged.join(index, split, "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], split[0], number.alias(name)
+    )
 
 
 def scan_parquet(

@@ -1,7 +1,7 @@
 """The corpus scans as streams.
 
-Row-wise operators (filter, render, tokenize, count) work on a stream unchanged.
-Packing does not: the row order across micro-batches is undefined.
+Row-wise operators (filter, render, tokenize, count) work on a stream unchanged. Packing goes by
+position and keeps state: see :mod:`corpusloom.streaming.packing`.
 """
 
 from __future__ import annotations
@@ -50,13 +50,14 @@ def running_totals(stream: DataFrame, text: str, by: list[str], tokenizer=WORDS)
 
 
 def drain_totals(totals: DataFrame, path: str, checkpoint: str) -> None:
-    """Write the running totals of each micro-batch to ``path``, complete each time.
+    """Write the running totals of each micro-batch, complete each time, as ``epoch=`` folders below ``path``.
 
-    A repeated micro-batch overwrites with the same rows, so ``path`` ends as the total.
+    An epoch is one file, which appears whole, so a reader of :func:`read_totals` sees some finished epoch at any time. A
+    repeated micro-batch writes its own epoch again, with the same rows.
     """
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={epoch}")
 
     (
         totals.writeStream.outputMode("complete")
@@ -66,3 +67,11 @@ def drain_totals(totals: DataFrame, path: str, checkpoint: str) -> None:
         .start()
         .awaitTermination()
     )
+
+
+def read_totals(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The totals of the last epoch that is there. Totals never lose a row, so every epoch but an empty
+    stream's has some."""
+    epochs = spark.read.schema(T.StructType([*schema, T.StructField("epoch", T.LongType())])).parquet(path)
+    last = epochs.agg(F.max("epoch")).first()[0]
+    return epochs.where(F.col("epoch").eqNullSafe(last)).drop("epoch")

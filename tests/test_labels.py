@@ -102,7 +102,7 @@ def test_offsets_of_long_batches(spark, monkeypatch):
     masks = [[rng.randrange(2) for _ in range(12)] for _ in range(100)]
     df = spark.createDataFrame(list(enumerate(masks)), "k int, attention_mask array<int>")
     whole = m.sequence_offsets(df, "k", 40).orderBy("k").collect()
-    monkeypatch.setattr(ordering, "MAX_BATCH_IN_SEGMENT", 9)
+    monkeypatch.setattr(ordering, "MAX_SEGMENT_WEIGHT", 150)
     assert m.sequence_offsets(df, "k", 40).orderBy("k").collect() == whole
     assert whole[39].end_offset == sum(map(sum, masks[:40])) and whole[40].start_offset == 0
 
@@ -133,6 +133,6 @@ def test_pad_longest_pads_each_batch_to_its_own_longest(spark):
 def test_pad_longest_over_batches_longer_than_segments(spark, monkeypatch):
     df = spark.createDataFrame([(i, [1] * (i % 5)) for i in range(40)], "k int, input_ids array<int>")
     whole = sorted(m.pad_longest(df, 0, "k", 20).collect())
-    monkeypatch.setattr(ordering, "MAX_BATCH_IN_SEGMENT", 8)
+    monkeypatch.setattr(ordering, "MAX_SEGMENT_WEIGHT", 150)
     assert sorted(m.pad_longest(df, 0, "k", 20).collect()) == whole
     assert {len(r.input_ids) for r in whole} == {4}

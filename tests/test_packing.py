@@ -91,7 +91,8 @@ def test_many_ranges(spark, monkeypatch):
     keys = sorted(random.Random(3).sample(range(10**12), len(rows)))
     df = table(spark, rows, keys)
     assert packed(pack(df, "k", 16, 10, shards=4)) == expected_blocks(rows, 16, 10, 4)
-    assert packed(pack(df, "k", 16, 10, stage_keys=True)) == expected_blocks(rows, 16, 10)
+    assert packed(pack(df, "k", 16, 10)) == expected_blocks(rows, 16, 10)
+    assert packed(pack(df, "k", 16, 1000)) == expected_blocks(rows, 16, 1000)
     monkeypatch.setattr(ordering, "TOP_KEYS", 5)
     assert [key_at(df, "k", i) for i in (0, 4, 5, 300, 522, 523)] == [
         keys[0], keys[4], keys[5], keys[300], keys[522], None,
@@ -100,7 +101,7 @@ def test_many_ranges(spark, monkeypatch):
 
 @pytest.mark.parametrize("batch_rows, shards", [(100, 1), (1000, 1), (40, 3), (33, 1)])
 def test_batches_longer_than_a_segment(spark, monkeypatch, batch_rows, shards):
-    monkeypatch.setattr(ordering, "MAX_BATCH_IN_SEGMENT", 32)
+    monkeypatch.setattr(ordering, "MAX_SEGMENT_WEIGHT", 600)
     rows = random_rows(250, seed=6)
     df = table(spark, rows)
     assert packed(pack(df, "k", 64, batch_rows, shards=shards)) == expected_blocks(rows, 64, batch_rows, shards)
@@ -110,6 +111,56 @@ def test_batches_longer_than_a_segment(spark, monkeypatch, batch_rows, shards):
     assert (report.blocks, report.kept_tokens) == (len(expected), sum(map(len, expected.values())))
 
 
+@pytest.mark.parametrize("ranges", [100_000, 40])
+def test_segments_are_bounded_in_tokens(spark, monkeypatch, ranges):
+    """A cluster of very long rows is cut into segments of its own; blocks stay the same."""
+    monkeypatch.setattr(ordering, "MAX_SEGMENT_WEIGHT", 3000)
+    monkeypatch.setattr(ordering, "RANGE_ROWS", ranges)
+    rng = random.Random(8)
+    rows = [[rng.randrange(99) for _ in range(900 if 100 <= i < 140 else rng.randrange(12))] for i in range(300)]
+    df = table(spark, rows)
+    for batch_rows, most in ((16, 4), (1, 4), (300, 9)):
+        plan = plan_segments(df, "k", batch_rows, max_segments=most, counts=F.size("input_ids"))
+        found = plan.places.collect()
+        weight = {}
+        for r in found:
+            weight[r.segment] = weight.get(r.segment, 0) + r.n + ordering.ROW_WEIGHT
+        total = sum(weight.values())
+        assert max(weight.values()) <= -(-total // most) + 3000 + 900 + ordering.ROW_WEIGHT
+        assert len(weight) <= most + 1
+        # Segments are runs of consecutive rows.
+        in_order = [r.segment for r in sorted(found, key=lambda r: r.k)]
+        assert in_order == sorted(in_order)
+        assert plan.split == (batch_rows > 1)
+        assert packed(pack(df, "k", 64, batch_rows, max_segments=most)) == expected_blocks(rows, 64, batch_rows)
+
+
+@pytest.mark.parametrize("broadcast", [1 << 26, 0])
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_segment_starts_as_a_table(spark, monkeypatch, kind, broadcast):
+    """More segments than constants: the same blocks by way of the leaves."""
+    monkeypatch.setattr(ordering, "CONSTANT_KEYS", 8)
+    monkeypatch.setattr(ordering, "BROADCAST_LEAVES", broadcast)
+    rows = random_rows(400, seed=12)
+    keys = sorted(random.Random(4).sample(range(10**9), len(rows)))
+    keys = keys if kind == "bigint" else sorted(f"k{k}" for k in keys)
+    plan = plan_segments(table(spark, rows, keys), "k", 3, counts=F.size("input_ids"))
+    assert plan.leaves is not None and len(plan.keys) <= 9
+    assert packed(pack(table(spark, rows, keys), "k", 16, 3)) == expected_blocks(rows, 16, 3)
+
+
+def test_very_many_segments(spark):
+    """200,000 segments, of which the driver gets a few thousand keys."""
+    n = 200_000
+    df = spark.range(n).select((F.col("id") * 7).alias("k"), F.array(F.col("id").cast("int")).alias("input_ids"))
+    plan = plan_segments(df, "k", 1, counts=F.size("input_ids"))
+    assert plan.places.select("segment").distinct().count() == n
+    assert len(plan.keys) <= ordering.CONSTANT_KEYS + 1
+    blocks = pack(df, "k", 1, 1)
+    found = blocks.agg(F.count(F.lit(1)), F.sum((F.col("batch_id") == F.col("input_ids")[0]).cast("int"))).first()
+    assert tuple(found) == (n, n)
+
+
 def test_string_keys(spark):
     rows = random_rows(90, seed=2)
     keys = sorted(f"é{i}\U0001f600" if i % 2 else f"z{i}" for i in range(len(rows)))
@@ -164,7 +215,7 @@ def test_batches(spark):
 
 def test_bounds(spark):
     plan = plan_segments(spark.range(5000).withColumnRenamed("id", "k"), "k", 10, max_segments=50)
-    assert len(plan.starts) < 50 and plan.rows == 5000
+    assert len(plan.keys) <= 50 and plan.rows == 5000
     with pytest.raises(TypeError):
         plan_segments(spark.range(5).select(F.col("id").cast("double").alias("k")), "k", 10)
 

@@ -8,7 +8,7 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
-from corpusloom.operators import packing, tokens
+from corpusloom.operators import labels, packing, tokens
 from corpusloom.operators.dialogue import render_conversation
 from corpusloom.operators.quality import score_filter, take
 from corpusloom.queries import all_queries
@@ -17,7 +17,7 @@ from corpusloom.queries import tables as t
 QUERIES = all_queries()[0]
 PYTHON = {
     "encode_ids", "encode_ids_large", "decode_ids", "route_topk", "route_load",
-    "map_batches", "map_batches_ordered", "map_rows", "filter_rows", "position_ids",
+    "map_batches", "map_batches_ordered", "map_batch_chunks", "map_rows", "filter_rows", "position_ids", "pack_stream",
 }
 
 
@@ -44,13 +44,46 @@ def test_filter_and_columns_reach_the_scan(spark, sf):
     assert re.search(r"ReadSchema: struct<text:string>", counted)
 
 
+def moved(text):
+    """What each exchange of a plan moves: the columns of the node below it, as printed."""
+    lines = text.splitlines()
+    return [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+
+
 def test_packing_moves_rows_once(spark, sf):
+    """The text moves once by segment, the places of its keys beside it; the join adds no exchange."""
     docs = t.documents(spark, sf)
     text = plan(packing.pack_text(docs, "text", "doc_id", 128, 16))
-    assert exchanges(text) == 1 and "SinglePartition" not in text
-    # Tokens are made above the exchange: only the text is shuffled.
-    assert text.index("regexp_extract_all") < text.index("Exchange hashpartitioning")
-    assert text.count("Sort [segment") == 1
+    assert "SinglePartition" not in text
+    assert len([line for line in moved(text) if "text" in line]) == 1
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", text)) == {"segment", "_range"}
+    # Tokens are made above the join: only the text is shuffled.
+    assert text.index("regexp_extract_all") < text.index("SortMergeJoin") < text.index("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("name", ["pack", "pack_columns", "pack_text", "sequence_offsets", "pretrain_mixture"])
+def test_no_list_goes_through_a_window(name, spark, sf):
+    docs = tokens.tokenize(t.documents(spark, sf), "text", ["doc_id"])
+    made = {
+        "pack": lambda: packing.pack(docs, "doc_id", 64, 16),
+        "pack_columns": lambda: packing.pack(docs, "doc_id", 64, 16, ["input_ids", "attention_mask"]),
+        "pack_text": lambda: packing.pack_text(t.documents(spark, sf), "text", "doc_id", 64, 16),
+        "sequence_offsets": lambda: labels.sequence_offsets(docs, "doc_id", 16),
+        "pretrain_mixture": lambda: QUERIES["pretrain_mixture"](spark, sf),
+    }[name]()
+    found = made._jdf.queryExecution().optimizedPlan()
+    windows = [line for line in found.toString().splitlines() if re.search(r"\bWindow \[", line)]
+    assert windows and not any(re.search(r"input_ids|attention_mask|text|content|collect_list", line) for line in windows)
+    for node in walk(found):
+        if node.nodeName() == "Window":
+            assert "ArrayType" not in node.child().schema().toString()
+
+
+def walk(node):
+    yield node
+    children = node.children()
+    for i in range(children.size()):
+        yield from walk(children.apply(i))
 
 
 def test_rendering_moves_turns_once_and_chunks_once(spark, sf):

@@ -10,6 +10,7 @@ from corpusloom.operators.render import chat_prompt_response
 from corpusloom.plans.pretrain import CorpusSource, pretrain_mixture
 from corpusloom.session import shared_path
 from corpusloom.sources.manifest import config_fingerprint, manifest_layout, pending_files, select_files
+from corpusloom.sources import scan
 from corpusloom.sources.scan import (
     INSTRUCT,
     Catalog,
@@ -20,7 +21,9 @@ from corpusloom.sources.scan import (
     scan_parquet,
 )
 from corpusloom.sources.store import materialize_or_reuse, write_blocks
-from corpusloom.streaming.source import drain_to_parquet, drain_totals, running_totals, stream_source
+from corpusloom.sources import builds
+from corpusloom.sources.builds import build_shards, last_published, read_published
+from corpusloom.streaming.source import drain_to_parquet, drain_totals, read_totals, running_totals, stream_source
 
 
 def write_jsonl(path, rows):
@@ -62,11 +65,49 @@ def test_broken_lines(spark, tmp_path):
         scan_jsonl(spark, str(tmp_path), INSTRUCT, row_key=True, mode="DROPMALFORMED")
 
 
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_line_keys_do_not_depend_on_splits(spark, tmp_path, monkeypatch, broadcast):
+    """Rows are numbered by file, through blank lines and whatever the split size."""
+    monkeypatch.setattr(scan, "BROADCAST_SPLITS", broadcast)
+    expected = {}
+    for name, n in (("b", 400), ("a", 1), ("c", 0), ("d/e", 150)):
+        os.makedirs(os.path.dirname(f"{tmp_path}/{name}"), exist_ok=True)
+        with open(f"{tmp_path}/{name}.jsonl", "w") as f:
+            for i in range(n):
+                f.write(json.dumps({"prompt": f"{name} {i} " + "x" * (i % 90), "response": "r"}) + "\n" + "\n" * (i % 3 == 0))
+                expected[name, i] = None
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+    try:
+        for size in ("700b", "5k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            keyed = scan_jsonl(spark, str(tmp_path), INSTRUCT, row_key=True)
+            rows = keyed.orderBy("row_key").collect()
+            seen.append([(r.prompt, r.row_key) for r in rows])
+            numbers = [(tuple(r.prompt.split(" ")[:2]), int(r.row_key.rsplit(":", 1)[1])) for r in rows]
+            assert all(int(i) == number for (_, i), number in numbers) and len(rows) == len(expected)
+            parts = keyed.rdd.getNumPartitions() if broadcast else 0
+        assert seen[0] == seen[1] == seen[2]
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+        with pytest.raises(Exception, match="split otherwise"):
+            keyed.select("row_key").collect()
+        assert parts or not broadcast
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_line_keys_with_clashing_columns(spark, tmp_path):
+    write_jsonl(f"{tmp_path}/a.jsonl", [{"n": i, "first": "f", "a b": i} for i in range(5)])
+    df = scan_jsonl(spark, str(tmp_path), "n INT, first STRING, `a b` INT", row_key=True)
+    assert df.columns == ["n", "first", "a b", "row_key"]
+    assert [r.n for r in df.orderBy("row_key").collect()] == list(range(5))
+
+
 def test_natural_order_packing(spark, tree, tmp_path_factory):
     """Blocks follow file and row order when the data has no id."""
     root, rows = tree
     docs = pretrain_mixture(
-        {"i": CorpusSource(scan_jsonl(spark, root, INSTRUCT, row_key=True), "row_key", instruct=True, stage_keys=True)},
+        {"i": CorpusSource(scan_jsonl(spark, root, INSTRUCT, row_key=True), "row_key", instruct=True)},
         seq_len=7,
         batch_rows=8,
     )
@@ -157,6 +198,57 @@ def test_reuse(spark, tmp_path):
     assert os.listdir(f"{path}-foreign") == ["mine.txt"] and len(calls) == 2
 
 
+def shards_of(spark, calls, names="abc", fails=(), rows=3):
+    def shard(name):
+        def build():
+            calls.append(name)
+            if name in fails:
+                raise RuntimeError("breaks")
+            return spark.range(rows).withColumn("shard", F.lit(name))
+
+        return build
+
+    return {name: shard(name) for name in names}
+
+
+def test_builds_resume_and_rebuild(spark, tmp_path):
+    root, calls = str(tmp_path / "build"), []
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, root)
+    with pytest.raises(RuntimeError):
+        build_shards(spark, root, shards_of(spark, calls, fails="c"), {"size": 1})
+    assert calls == ["a", "b", "c"]
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, root)
+    # Only the shard that broke is built; then none; then all, under other options.
+    assert build_shards(spark, root, shards_of(spark, calls), {"size": 1}).count() == 9
+    assert calls[3:] == ["c"]
+    first = last_published(spark, root)
+    assert build_shards(spark, root, shards_of(spark, calls), {"size": 1}).count() == 9
+    assert calls[4:] == [] and last_published(spark, root) == first
+    with pytest.raises(RuntimeError):
+        build_shards(spark, root, shards_of(spark, calls, fails="b", rows=5), {"size": 2})
+    # The old build is whole while the new one is not.
+    assert read_published(spark, root).count() == 9
+    assert build_shards(spark, root, shards_of(spark, calls, rows=5), {"size": 2}).count() == 15
+    assert calls[4:] == ["a", "b", "b", "c"]
+    assert read_published(spark, root).groupBy("shard").count().collect() != []
+    # Back to the first options: nothing is built again.
+    assert build_shards(spark, root, shards_of(spark, calls), {"size": 1}).count() == 9 and len(calls) == 8
+    assert build_shards(spark, root, shards_of(spark, calls, "ab"), {"size": 1}).count() == 6 and len(calls) == 8
+
+
+def test_builds_check_their_shards(spark, tmp_path):
+    with pytest.raises(ValueError, match="columns"):
+        build_shards(spark, str(tmp_path / "x"), {"a": lambda: spark.range(2), "b": lambda: spark.range(2).withColumn("y", F.lit(1))}, {})
+    with pytest.raises(ValueError, match="one shard"):
+        build_shards(spark, str(tmp_path / "y"), {}, {})
+    assert builds.options_fingerprint({"a": 1, "b": [2]}) == builds.options_fingerprint({"b": [2], "a": 1})
+    assert builds.options_fingerprint({"a": 1}) != builds.options_fingerprint({"a": "1"})
+    empty = build_shards(spark, str(tmp_path / "z"), {"a": lambda: spark.range(0)}, {})
+    assert empty.columns == ["id"] and empty.count() == 0
+
+
 def test_block_folders(spark, tmp_path):
     df = spark.range(10).withColumn("source", F.when(F.col("id") < 9, "a").otherwise("b"))
     write_blocks(df, f"{tmp_path}/out")
@@ -179,7 +271,8 @@ def test_stream_equals_batch(spark, tree, tmp_path):
     drain_to_parquet(chats, f"{out}/chats", f"{out}/c3")
     batch = chat_prompt_response(scan_jsonl(spark, root, INSTRUCT), ["prompt"])
     assert sorted(spark.read.parquet(f"{out}/chats").collect()) == sorted(batch.collect())
-    got = {r.s: (r.num_rows, r.total_tokens) for r in spark.read.parquet(f"{out}/totals").collect()}
+    got = {r.s: (r.num_rows, r.total_tokens) for r in read_totals(spark, f"{out}/totals", totals.schema).collect()}
+    assert len([d for d in os.listdir(f"{out}/totals") if d.startswith("epoch=")]) == 3
     expected = {}
     for r in rows:
         n, m = expected.get(r["prompt"][:2], (0, 0))
