@@ -1,6 +1,6 @@
 """Removal of every byte that a repeated string covers, by suffix arrays of content-made shards (operator 12).
 
-1. Each window of ``window`` bytes picks the 32-byte gram in it with the smallest hash, the leftmost of equal ones.
+1. Each window of ``window`` bytes picks the 64-byte gram in it with the smallest hash, the leftmost of equal ones.
    Equal windows pick the same gram at the same place, and neighbours mostly share theirs. What the windows
    of one gram cover is a segment; a window belongs to one segment only.
 2. Grams are counted. Only those that occur twice can belong to a repeated window; the segments of such a gram are a
@@ -32,13 +32,14 @@ from corpusloom.llm.shipping import ship
 from corpusloom.llm.suffix import common_prefixes, dense, suffix_arrays
 from corpusloom.sources.store import drop_staged, stage
 
-WINDOW, GRAM = 200, 32
+WINDOW, GRAM = 200, 64
 #: Bytes of text looked at together, and of segments gathered before rows go out.
 SLICE_BYTES, GATHERED_BYTES = 1 << 20, 8 << 20
-#: Segments of a shard at most, as counted before equal ones of different batches meet.
+#: Different segments of a shard at most.
 SHARD_SEGMENTS = 256
-#: Bytes of segments whose suffix arrays are made in step.
-STEP_BYTES = 1 << 20
+#: Bytes of segments whose suffix arrays are made in step, and how much larger the next class of shards is: the
+#: steps of a round are as many as its longest shard has bytes, so like goes with like.
+STEP_BYTES, CLASS_BITS = 5 << 17, 1
 #: Places of the sets of names that the executors get: 16 a name between these bounds, so 32 MB at most.
 MIN_BITS, MAX_BITS = 16, 28
 _CODE = np.uint64((1 << 24) - 1)
@@ -199,9 +200,10 @@ def remove_byte_runs(df: DataFrame, key: str, text: str, window: int = WINDOW) -
             if held:
                 yield _counted(held)
 
-    counted = usable.mapInArrow(names, "name bigint, n int, segments int").groupBy("name").agg(
-        F.sum("n").alias("n"), F.sum("segments").alias("segments")
-    )
+    # Dealt by name once: both counts find their rows together.
+    met = usable.mapInArrow(names, "name bigint, content bigint, n int").repartition("name")
+    contents = met.groupBy("name", "content").agg(F.sum("n").alias("n"))
+    counted = contents.groupBy("name").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("segments"))
     several = stage(counted.where("n > 1").select("name", (F.col("segments") > SHARD_SEGMENTS).alias("wide")), "repeated-names")
     bits = bits_for(several.count(), 16, MIN_BITS, MAX_BITS)
     met = several.select(place_of(F.col("name"), bits).alias("place"), "wide")
@@ -256,17 +258,14 @@ def remove_byte_runs(df: DataFrame, key: str, text: str, window: int = WINDOW) -
 
 
 def _counted(held: list[tuple]) -> pa.RecordBatch:
-    """Each name once, with its segments and how many differ."""
+    """Each name and content once, and how often."""
     name, content = map(np.concatenate, zip(*held))
     order = np.lexsort((content, name))
     name, content = name[order], content[order]
-    opens = np.concatenate(([True], name[1:] != name[:-1]))
-    differs = opens | np.concatenate(([True], content[1:] != content[:-1]))
-    at = np.flatnonzero(opens)
-    n = np.diff(np.append(at, len(name)))
+    at = np.flatnonzero(np.concatenate(([True], (name[1:] != name[:-1]) | (content[1:] != content[:-1]))))
+    n = np.diff(np.append(at, len(name))).astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(_signed(name[at])), pa.array(n.astype(np.int32)), pa.array(np.add.reduceat(differs, at, dtype=np.int32))],
-        names=["name", "n", "segments"],
+        [pa.array(_signed(name[at])), pa.array(_signed(content[at])), pa.array(n)], names=["name", "content", "n"]
     )
 
 
@@ -348,8 +347,8 @@ class _Shards:
     def __init__(self, window: int) -> None:
         self.window = window
         self.open: pa.RecordBatch | None = None
-        self.waiting: list[pa.RecordBatch] = []
-        self.size = 0
+        self.waiting: dict[int, list[pa.RecordBatch]] = {}
+        self.size: dict[int, int] = {}
 
     def take(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         decided = batch.column("kind").to_numpy() == _DECIDED
@@ -378,7 +377,8 @@ class _Shards:
     def finish(self) -> Iterator[pa.RecordBatch]:
         if self.open is not None:
             yield from self._wait(self.open)
-        yield from self._judge()
+        for kind in list(self.waiting):
+            yield from self._judge(kind)
 
     def _wait(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """Segments of names with several, until there are enough for a round."""
@@ -390,24 +390,32 @@ class _Shards:
         some = batch.take(pa.array(np.flatnonzero(usable & ~alone)))
         if some.num_rows:
             names = some.column("name").to_numpy()
-            borders = np.append(np.flatnonzero(names[1:] != names[:-1]) + 1, len(names))
+            borders = np.concatenate(([0], np.flatnonzero(names[1:] != names[:-1]) + 1, [len(names)]))
             ends = np.append(0, np.cumsum(pc.binary_length(some.column("content")).to_numpy().astype(np.int64)))
-            start = 0
-            while start < len(names):
-                # As many whole names as there is room for, one at least.
-                until = np.searchsorted(ends[borders], ends[start] + STEP_BYTES - self.size, side="right")
-                stop = int(borders[max(until - 1, np.searchsorted(borders, start, side="right"))])
-                self.waiting.append(some.slice(start, stop - start))
-                self.size += int(ends[stop] - ends[start])
-                start = stop
-                if start < len(names) or self.size > STEP_BYTES:
-                    yield from self._judge()
-
-    def _judge(self) -> Iterator[pa.RecordBatch]:
-        if not self.waiting:
-            return
-        batch = pa.concat_batches(self.waiting)
-        self.waiting, self.size = [], 0
+            sizes = np.diff(ends[borders])
+            kinds = np.frexp(sizes.astype(np.float64))[1] >> CLASS_BITS
+            for kind in np.unique(kinds).tolist():
+                own = np.flatnonzero(kinds == kind)
+                rows = np.concatenate([np.arange(borders[i], borders[i + 1]) for i in own.tolist()])
+                self.waiting.setdefault(kind, []).append(some.take(pa.array(rows)))
+                self.size[kind] = self.size.get(kind, 0) + int(sizes[own].sum())
+                if self.size[kind] > STEP_BYTES:
+                    yield from self._judge(kind)
+
+    def _judge(self, kind: int) -> Iterator[pa.RecordBatch]:
+        """The waiting shards of one class, a round at a time."""
+        batch = pa.concat_batches(self.waiting.pop(kind))
+        self.size[kind] = 0
+        name = batch.column("name").to_numpy()
+        borders = np.concatenate(([0], np.flatnonzero(name[1:] != name[:-1]) + 1, [len(name)]))
+        ends = np.append(0, np.cumsum(pc.binary_length(batch.column("content")).to_numpy().astype(np.int64)))[borders]
+        start = 0
+        while start < len(borders) - 1:
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + STEP_BYTES, side="right")) - 1)
+            yield from self._round(batch.slice(borders[start], borders[stop] - borders[start]))
+            start = stop
+
+    def _round(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         contents = [np.frombuffer(x, dtype=np.uint8) for x in batch.column("content").to_pylist()]
         name = batch.column("name").to_numpy()
         shards = np.cumsum(np.concatenate(([True], name[1:] != name[:-1]))) - 1

@@ -39,7 +39,7 @@ def suffix_arrays(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
     order = walk.induce(marks[np.argsort(symbols[marks], kind="stable")])
     order = order[leftmost[order]]
     names, at = _names(symbols, marks, order, ends)
-    text = np.searchsorted(starts, marks, side="right") - 1
+    text = np.repeat(np.arange(len(starts)), ends - starts)[marks]
     marks_of, names_of = np.bincount(text, minlength=len(starts)), np.zeros(len(starts), dtype=np.int64)
     some = np.flatnonzero(marks_of)
     last = np.cumsum(marks_of)[some]
@@ -59,7 +59,9 @@ def _names(symbols: np.ndarray, marks: np.ndarray, order: np.ndarray, ends: np.n
     which rise in the order of the substrings."""
     lengths = np.append(np.diff(marks) + 1, 1)
     lengths[np.isin(marks, ends - 1, assume_unique=True)] = 1
-    at = np.searchsorted(marks, order)
+    number = np.zeros(len(symbols), dtype=np.int64)
+    number[marks] = np.arange(len(marks))
+    at = number[order]
     size = lengths[at]
     differs = np.ones(len(order), dtype=bool)
     same = 1 + np.flatnonzero(size[1:] == size[:-1])
@@ -102,7 +104,9 @@ class _Walk:
         symbols, n = self.symbols, len(self.symbols)
         entries = np.full(n, -1, dtype=np.int64)
         bucket = symbols[marks]
-        entries[self.bucket_ends[bucket] - np.searchsorted(bucket, bucket, side="right") + np.arange(len(marks))] = marks
+        # Of each bucket, as many of the last places as it has marks.
+        until = np.cumsum(np.bincount(bucket, minlength=len(self.bucket_ends)))[bucket]
+        entries[self.bucket_ends[bucket] - until + np.arange(len(marks))] = marks
         entries[self.starts] = self.ends - 1
         head, tail = self.bucket_starts.copy(), self.bucket_ends - 1
         for t, width in enumerate(self.width.tolist()):
