@@ -127,14 +127,6 @@ def _with_rank(df: DataFrame, order: str, key_type: str, n: int) -> DataFrame:
     )
 
 
-def rank_rows(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Add the exact 0-based rank of each row, for narrow tables: rows are moved whole."""
-    _, key_type = _keys(df, order)
-    return _with_rank(df, order, key_type, df.count()).withColumnRenamed("_rank", name).drop(
-        "_repeat", "_repeats"
-    )
-
-
 def shard_starts(n: int, shards: int) -> list[int]:
     """First row of each contiguous shard; the first ``n % shards`` get one row more."""
     small, extra = divmod(n, shards)

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import explode_elements
 from corpusloom.functions.tokenizers import WORDS
-from corpusloom.operators.ordering import check_keys, rank_rows
+from corpusloom.operators.ordering import check_keys
 from corpusloom.operators.quality import take
-from corpusloom.sources.store import drop_staged, stage
+from corpusloom.sources.store import stage
 
 # A vocabulary within these measured bounds travels with the tasks.
 IN_PLACE_ROWS = 262_144
@@ -62,20 +62,19 @@ def vocab(df: DataFrame, column: str = "input_ids", max_size: int | None = None)
     """``(token, freq, token_id)``, ids by falling frequency, then token; the first
     ``max_size`` ids if given.
 
-    The ids come from the range-wise ranks of :mod:`ordering`, never from one task sorting
-    every token. The counts are written to the shared folder because ranking them takes
-    several passes, and the result because encoding and decoding read it several times.
+    Counted tokens are dealt out by ranges of that order, sorted inside them and written once, with their range and
+    place in it; an id is the place plus the tokens of all ranges before. No task sorts every token.
     """
-    rank_key = F.concat_ws(
-        ":", F.lpad((F.lit(2**62) - F.col("freq")).cast("string"), 19, "0"), F.col("token")
-    )
-    counts = stage(token_frequencies(df, column).withColumn("_key", rank_key), "counts")
-    ids = rank_rows(counts, "_key", "token_id").select("token", "freq", "token_id")
-    if max_size is not None:
-        ids = ids.where(F.col("token_id") < max_size)
-    found = stage(ids, "vocab")
-    drop_staged(counts)
-    return found
+    in_order = [F.desc("freq"), F.asc("token")]
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ranged = token_frequencies(df, column).repartitionByRange(*in_order).sortWithinPartitions(*in_order)
+    found = stage(ranged.select("token", "freq", F.spark_partition_id().alias("_range"), place.alias("_place")), "vocab")
+    # One row for each range, of which there are as many as shuffle partitions at most.
+    sizes = found.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = W.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    ids = found.join(F.broadcast(before), "_range").select("token", "freq", (F.col("_before") + F.col("_place")).alias("token_id"))
+    return ids if max_size is None else ids.where(F.col("token_id") < max_size)
 
 
 def _in_head() -> Column:
@@ -152,27 +151,26 @@ def _translate_by_join(
 ) -> DataFrame:
     """Look elements up in a vocabulary of any size.
 
-    The most frequent tokens, a table of bounded size, are looked up inside the row. Only
-    what they miss is exploded and joined with the rest of the vocabulary, then written
-    back by row: single tokens move only if they are rare.
+    The most frequent tokens, a table of bounded size, are looked up inside the row, once: found ids, and
+    the places and tokens not found, are written. The latter, single rare tokens, are joined with the rest of the
+    vocabulary and filled in by row.
     """
     head, tail = vocabulary.where(_in_head()), vocabulary.where(~_in_head())
     looked_up = _look_up(head, key, value, report_misses=True)(column)
-    rows = df.select(row_key, column, looked_up.alias("_l"))
+    missed = F.transform("_l.miss", lambda pos: F.struct(pos.alias("pos"), F.get(column, pos).alias("key")))
+    rows = df.select(row_key, column, looked_up.alias("_l")).select(
+        row_key, F.col("_l.found").alias("_found"), missed.alias("_missed")
+    )
+    rows = stage(rows, "looked-up")
+    check_keys(rows.select(row_key), row_key)
     pairs = (
-        rows.select(row_key, column, explode_elements("_l.miss", "_n", "pos"))
-        .where(F.col("_n").isNotNull())
-        .select(row_key, "pos", F.get(column, "pos").alias("_key"))
-        .join(
-            tail.select(F.col(key).alias("_tail_key"), F.col(value).alias("value")),
-            F.col("_key") == F.col("_tail_key"),
-        )
+        rows.select(row_key, F.explode("_missed").alias("_m"))
+        .join(tail.select(F.col(key).alias("_tail_key"), F.col(value).alias("value")), F.col("_m.key") == F.col("_tail_key"))
         .groupBy(row_key)
-        .agg(F.collect_list(F.struct("pos", "value")).alias("_pairs"))
+        .agg(F.collect_list(F.struct("_m.pos", "value")).alias("_pairs"))
     )
     fill_in = _fill_in(vocabulary.schema[value].dataType.simpleString())
-    found = rows.select(row_key, F.col("_l.found").alias("_found"))
-    return found.join(pairs, row_key, "left").select(
+    return rows.select(row_key, "_found").join(pairs, row_key, "left").select(
         row_key, fill_in("_found", "_pairs").alias(column)
     )
 
@@ -191,12 +189,12 @@ def _translate(
     A vocabulary whose measured size is within the bounds travels with the tasks and
     nothing is shuffled. A larger one is joined. Null and repeated row keys are refused either way.
     """
-    check_keys(df.select(row_key), row_key)
     size = vocabulary.agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.length("token")).alias("chars")
     ).first()
     if size["rows"] > in_place_rows or (size["chars"] or 0) > IN_PLACE_CHARS:
         return _translate_by_join(df, vocabulary, row_key, column, key, value)
+    check_keys(df.select(row_key), row_key)
     return df.select(row_key, _look_up(vocabulary, key, value)(column).alias(column))
 
 

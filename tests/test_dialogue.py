@@ -122,3 +122,76 @@ def test_exchanges_and_rewards(spark):
     ms = {1: [("user", "ab"), ("assistant", "中国\U0001f600"), ("user", "x")]}
     rows = d.length_reward(d.exchanges(table(spark, ms))).collect()
     assert [(r.turn, r.prompt, r.reward) for r in rows] == [(0, "ab", 3)]
+
+
+@pytest.mark.parametrize("chunk", [512, 3, 1])
+def test_totals_over_chunks(spark, monkeypatch, chunk):
+    """Whatever the chunks, the totals are those of a walk from the newest exchange."""
+    monkeypatch.setattr(d, "CHUNK_EXCHANGES", chunk)
+    dialogues = make(21, 50)
+    dialogues[1000] = [(("user", "assistant")[i % 2], f"{'w ' * (i % 5)}x") for i in range(301)]
+    turns = table(spark, dialogues)
+    valid = {r.conv_id for r in d.dialogue_valid(turns).where("valid").collect()}
+    assert 1000 in valid
+    for max_input in (40, 700):
+        rows = {(r.conv_id, r.exchange): (r.num_tokens, r.cum_tokens, r.budget) for r in d.history_budget(turns, max_input).collect()}
+        expected = {}
+        for c in valid:
+            ms = dialogues[c]
+            own = ms[0][0] == "system"
+            told = ms[0][1] if own and ms[0][1] != "" else d.DEFAULT_SYSTEM
+            budget = max_input - (1 + len(told.split())) - (1 + len(ms[-1][1].split())) - 1
+            rest, total = ms[own:-1], 0
+            for x in reversed(range(len(rest) // 2)):
+                n = sum(1 + len(text.split()) for _, text in rest[2 * x : 2 * x + 2])
+                total += n
+                if total >= budget:
+                    break
+                expected[c, x] = (n, total, budget)
+        assert rows == expected
+        texts = {r.conv_id: r["context"] for r in d.build_context(turns, max_input).collect()}
+        ids = {r.conv_id: (r.input_ids, r.num_tokens) for r in d.build_context_ids(turns, max_input).collect()}
+        assert set(texts) == set(ids) == valid
+        assert all(ids[c] == (texts[c].split(), len(texts[c].split())) for c in valid)
+
+
+def test_free_marks_keep_a_long_history(spark, monkeypatch):
+    """Exchanges that cost nothing are all kept, chunk after chunk."""
+    monkeypatch.setattr(d, "CHUNK_EXCHANGES", 10)
+    ms = [(("user", "assistant")[i % 2], "x") for i in range(2001)]
+    han = type(WORDS)("[\u4e00-\u9fff]")
+    assert d.history_budget(table(spark, {1: ms, 2: ms[:5]}), 3, system="", tokenizer=han).count() == 1002
+
+
+def test_windows_over_turns_are_by_chunk(spark):
+    plan = d.history_budget(table(spark, make(3, 5)), 50)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("part" in line or "_history" in line or "_other" in line for line in windows)
+    assert not any("piece" in line.split("Window [")[1].split("]")[0] for line in windows)
+
+
+def test_context_ids_are_made_message_by_message(spark):
+    ms = [("user", " é "), ("assistant", "b"), ("user", "q")]
+    row = d.build_context_ids(table(spark, {1: ms}), 500, system="S", tokenizer=BYTES).first()
+    text = d.build_context(table(spark, {1: ms}), 500, system="S", tokenizer=BYTES).first()["context"]
+    assert bytes(row.input_ids).decode() == text and row.num_tokens == len(text.encode())
+
+
+@pytest.mark.parametrize("keep_end", [True, False])
+@pytest.mark.parametrize("most, most_prompt", [(5, None), (4, 2), (1, 1), (100, 3)])
+def test_preference_pairs_are_capped_as_a_whole(spark, keep_end, most, most_prompt):
+    rows = [(1, "a b c d", "e f", "g"), (2, "", "h i j k l m n", ""), (3, "a", None, "b"), (4, "p q", "r", "s t u v w x")]
+    df = spark.createDataFrame(rows, "k int, prompt string, chosen string, rejected string")
+
+    def cut(xs, n):
+        return xs if n is None or len(xs) <= n else xs[-n:] if keep_end else xs[:n]
+
+    for r in d.preference_pairs(df, ["k"], most, most_prompt, keep_end).collect():
+        prompt, *answers = [None if x is None else x.split() for x in rows[r.k - 1][1:]]
+        prompt = cut(prompt, most_prompt)
+        for name, answer in zip(("chosen", "rejected"), answers):
+            if answer is None:
+                assert r[f"{name}_ids"] is None and r[f"{name}_mask"] is None
+            else:
+                assert r[f"{name}_ids"] == cut(prompt + answer, most)
+                assert r[f"{name}_mask"] == cut([0] * len(prompt) + [1] * len(answer), most)

@@ -1,6 +1,7 @@
 """Labels and sequence columns against plain loops."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -136,3 +137,33 @@ def test_pad_longest_over_batches_longer_than_segments(spark, monkeypatch):
     monkeypatch.setattr(ordering, "MAX_SEGMENT_WEIGHT", 150)
     assert sorted(m.pad_longest(df, 0, "k", 20).collect()) == whole
     assert {len(r.input_ids) for r in whole} == {4}
+
+
+def test_labels_take_time_in_proportion(spark):
+    """Ten times the turns take about ten times the time: every border is met once."""
+
+    def seconds(turns):
+        ids = ([*USER, 1, 2, 3, 4, *ASSISTANT, 5, 6, 7]) * turns
+        df = m.completion_labels(ids_table(spark, [ids]).repartition(1).cache(), USER, ASSISTANT)
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            (found,) = column(df.withColumn("labels", F.filter("labels", lambda x: x != -100)), "labels")
+            best.append(time.perf_counter() - start)
+        assert found == [5, 6, 7] * turns
+        return min(best)
+
+    seconds(100)
+    short, long = seconds(1000), seconds(10_000)
+    assert long < 25 * max(short, 0.1)
+
+
+def test_label_plan_meets_no_span_for_every_token(spark):
+    df = m.completion_labels(ids_table(spark, [GOLDEN]), USER, ASSISTANT)
+    assert "exists(" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_labels_of_null_and_empty_rows(spark):
+    df = m.completion_labels(ids_table(spark, [None, [], [1], [*USER, 4], [*USER, 4, *ASSISTANT], GOLDEN]), USER, ASSISTANT)
+    labels = column(df, "labels")
+    assert labels[0] is None and labels[1] == [] and labels[2] == [-100] and labels[3] == [-100] * 3 and labels[4] == [-100] * 5

@@ -2,10 +2,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from corpusloom.operators import metrics, routing
+from corpusloom.operators import metrics, ordering, routing
 from corpusloom.operators.dialogue import preference_rows, query_response_text, reward_stats
-from corpusloom.operators.udf import filter_rows, map_batches, map_rows
+from corpusloom.operators.metrics import label_losses, long_cross_entropy, long_label_losses, long_masked_cross_entropy
+from corpusloom.operators.tokens import estimate_sources, source_report
+from corpusloom.operators.udf import filter_rows, map_batch_chunks, map_batches, map_rows
 
 
 def test_bin_counts_split_at_input_length(spark):
@@ -137,3 +140,101 @@ def test_ordered_batches_have_their_size(spark):
         map_batches(df, joined, "b bigint, x string", ["x"], order="k")
     with pytest.raises(ValueError, match="not unique"):
         map_batches(df.union(df), joined, "b bigint, x string", ["x"], order="k", batch_rows=100)
+
+
+def test_chunked_batches_come_in_order(spark):
+    """A batch far larger than a chunk is never in the worker as a whole."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    df = spark.range(900).select((F.col("id") * 7 % 900).alias("k"), F.repeat(F.lit("x"), 100_000).alias("x")).repartition(5)
+
+    def sums(chunks):
+        import resource
+
+        start, rows, n, largest = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, [], 0, 0
+        for chunk in chunks:
+            rows += chunk["k"]
+            n += sum(map(len, chunk["x"]))
+            largest = max(largest, len(chunk["k"]))
+        grown = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - start
+        yield {"b": [chunk["batch_id"][0]], "n": [n], "sorted": [rows == list(range(rows[0], rows[0] + len(rows)))],
+               "largest": [largest], "grown": [grown]}
+
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+        found = map_batch_chunks(df, sums, "b bigint, n bigint, sorted boolean, largest int, grown bigint", "k", 600, ["k", "x"]).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {(r.b, r.n, r.sorted, r.largest <= 20) for r in found} == {(0, 60_000_000, True, True), (1, 30_000_000, True, True)}
+    assert max(r.grown for r in found) < 30_000
+
+
+def test_chunked_batches_over_several_segments(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "MAX_SEGMENT_WEIGHT", 400)
+    df = spark.range(300).select(F.col("id").alias("k"))
+
+    def first_and_last(chunks):
+        rows = [k for chunk in chunks for k in chunk["k"]]
+        yield {"a": [rows[0]], "z": [rows[-1]], "n": [len(rows)]}
+
+    found = map_batch_chunks(df, first_and_last, "a bigint, z bigint, n int", "k", 120)
+    assert sorted(map(tuple, found.collect())) == [(0, 119, 120), (120, 239, 120), (240, 299, 60)]
+
+
+def test_long_form_losses(spark):
+    rng = np.random.default_rng(4)
+    rows, expected = [], {}
+    for k in range(40):
+        z = rng.normal(size=30) * rng.choice([1, 300, 5000]) + rng.choice([0, -1e6, 1e6])
+        y = int(rng.integers(30)) if k % 5 else -100
+        rows += [(k, k % 3, y, i, float(v)) for i, v in enumerate(z)]
+        expected[k] = None if y == -100 else float(z.max() + np.log(np.exp(z - z.max()).sum()) - z[y])
+    rows += [(90, 0, 1, 0, float("-inf")), (90, 0, 1, 1, 2.0), (91, 0, 1, 0, float("nan")), (91, 0, 1, 1, 0.0), (92, 0, 7, 0, 1.0)]
+    rows += [(93, 0, None, 0, 1.0), (94, 0, 0, 0, 3.0), (94, 0, 0, 1, None)]
+    df = spark.createDataFrame(rows, "k int, g int, label int, token int, score double").repartition(7)
+    got = {r.k: r.loss for r in long_cross_entropy(df, ["k"]).collect()}
+    for k, loss in expected.items():
+        assert got[k] == (None if loss is None else pytest.approx(loss, rel=1e-9, abs=1e-6))
+    assert got[90] == 0.0 and np.isnan(got[91]) and got[92] is None and got[93] is None and got[94] == 0.0
+    whole = long_masked_cross_entropy(df.where("k < 40"), ["k", "g"], by=["g"]).collect()
+    for r in whole:
+        own = [loss for k, loss in expected.items() if k % 3 == r.g and loss is not None]
+        assert r.num_labels == len(own) and r.loss == pytest.approx(np.mean(own))
+    assert long_masked_cross_entropy(df.where("false"), ["k"]).first().num_labels == 0
+
+
+def test_long_form_equals_arrays(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4).tolist(), rng.integers(0, 2, 4).astype(float).tolist(), int(rng.integers(4))) for i in range(25)]
+    df = spark.createDataFrame(rows, "k int, scores array<double>, labels array<double>, y int")
+    long = df.select("k", "y", F.posexplode(F.arrays_zip("scores", "labels")).alias("entry", "p"))
+    long = long.select("k", "y", "entry", F.col("p.scores").alias("score"), F.col("p.labels").alias("label"))
+    for kind in ("regression", "multi_label_classification"):
+        a, b = label_losses(df, kind).first(), long_label_losses(long, kind, ["k"]).first()
+        assert (a.problem_type, a.num_rows) == (b.problem_type, b.num_rows) and a.loss == pytest.approx(b.loss)
+    kind = "single_label_classification"
+    a = label_losses(df.withColumn("labels", F.col("y")), kind).first()
+    b = long_label_losses(long.withColumn("label", F.col("y")), kind, ["k"]).first()
+    assert a.num_rows == b.num_rows and a.loss == pytest.approx(b.loss)
+
+
+def test_sampled_estimates(spark):
+    """The same rows at every partitioning, combined before the shuffle; most intervals hold the truth."""
+    rng = np.random.default_rng(5)
+    rows = [(i, f"s{i % 30}" if i % 31 else None, " ".join("w" * int(n))) for i, n in enumerate(rng.integers(0, 60, 6000))]
+    df = spark.createDataFrame(rows, "k int, source string, text string")
+    found = [sorted(estimate_sources(df.repartition(n), "text", ["source"], "k", 60).collect(), key=str) for n in (1, 3, 8)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 31
+    truth = {r.source: r.total_tokens for r in source_report(df, "text", ["source"]).collect()}
+    inside = [r.low <= truth[r.source] <= r.high for r in found[0]]
+    assert sum(inside) >= 25
+    whole = estimate_sources(df, "text", ["source"], "k", 10_000).collect()
+    assert all(r.std_error == 0 and r.estimated_tokens == pytest.approx(truth[r.source]) for r in whole)
+    plan = estimate_sources(df, "text", ["source"], "k", 60)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+    assert estimate_sources(df.where("false"), "text", ["source"], "k").count() == 0
+
+
+def test_load_without_routes(spark):
+    cents = spark.createDataFrame([(i, 0, [1.0]) for i in range(3)], "bucket int, grp int, vector array<double>")
+    none = spark.createDataFrame([], "bucket int")
+    assert sorted(map(tuple, routing.route_load(none, cents).collect())) == [(0, 0, None), (1, 0, None), (2, 0, None)]
