@@ -30,6 +30,7 @@ from corpusloom.llm.bitset import bits_for, collect_bits, holds, place_of, place
 from corpusloom.llm.hashing import mix
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.suffix import common_prefixes, dense, suffix_arrays
+from corpusloom.llm.workers import released
 from corpusloom.sources.store import drop_staged, stage
 
 WINDOW, GRAM = 200, 64
@@ -201,7 +202,7 @@ def remove_byte_runs(df: DataFrame, key: str, text: str, window: int = WINDOW) -
                 yield _counted(held)
 
     # Dealt by name once: both counts find their rows together.
-    met = usable.mapInArrow(names, "name bigint, content bigint, n int").repartition("name")
+    met = usable.mapInArrow(released(names), "name bigint, content bigint, n int").repartition("name")
     contents = met.groupBy("name", "content").agg(F.sum("n").alias("n"))
     counted = contents.groupBy("name").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("segments"))
     several = stage(counted.where("n > 1").select("name", (F.col("segments") > SHARD_SEGMENTS).alias("wide")), "repeated-names")
@@ -222,7 +223,7 @@ def remove_byte_runs(df: DataFrame, key: str, text: str, window: int = WINDOW) -
 
     schema = "name bigint, d1 bigint, d2 bigint, kind int, several boolean, t1 bigint, t2 bigint, place bigint, windows int, content binary"
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = usable.mapInArrow(gathered, schema).repartition(parts, "name").sortWithinPartitions("name", "d1", "d2")
+    dealt = usable.mapInArrow(released(gathered), schema).repartition(parts, "name").sortWithinPartitions("name", "d1", "d2")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards(window)
@@ -230,7 +231,7 @@ def remove_byte_runs(df: DataFrame, key: str, text: str, window: int = WINDOW) -
             yield from shards.take(batch)
         yield from shards.finish()
 
-    spans = dealt.mapInArrow(judge, "t1 bigint, t2 bigint, place bigint, length bigint")
+    spans = dealt.mapInArrow(released(judge), "t1 bigint, t2 bigint, place bigint, length bigint")
     by_text = spans.groupBy(F.col("t1").alias("s1"), F.col("t2").alias("s2")).agg(
         F.collect_set(F.struct("place", "length")).alias("spans")
     )

@@ -10,11 +10,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from corpusloom.llm.words import split_words
+from corpusloom.llm.workers import at_end_of_task
 
 # Letters that stand alone in composed form and have a one-letter lower case.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIMPLE = re.compile(f"[{_LETTERS}]+")
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 300_000
 
 
 class WordEncoder:
@@ -123,5 +124,7 @@ def _room(values: np.ndarray, size: int) -> np.ndarray:
 
 @cache
 def encoder(path: str) -> WordEncoder:
-    """One encoder for each worker process and tokenizer file."""
-    return WordEncoder(path)
+    """One encoder for each worker process and tokenizer file; at the end of a task it forgets its words."""
+    made = WordEncoder(path)
+    at_end_of_task(made._forget)
+    return made

@@ -46,12 +46,19 @@ class SpanHashes:
 
 
 _known: dict[int, np.ndarray] = {}
+REMEMBERED_POWERS = 1 << 18
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    have = _known.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 16), base, dtype=np.uint64)
-        have[0] = 1
-        _known[base] = np.cumprod(have)
+    """The first ``n`` powers. Those that a slice of usual size takes are remembered, no more."""
+    if n > REMEMBERED_POWERS:
+        return _made_powers(base, n)
+    if base not in _known:
+        _known[base] = _made_powers(base, REMEMBERED_POWERS)
     return _known[base][:n]
+
+
+def _made_powers(base: int, n: int) -> np.ndarray:
+    powers = np.full(n, base, dtype=np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers)

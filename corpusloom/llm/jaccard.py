@@ -24,6 +24,7 @@ from corpusloom.llm.components import components
 from corpusloom.llm.hashing import SpanHashes, mix, word_hashes
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import split_words, text_slices
+from corpusloom.llm.workers import released
 from corpusloom.sources.store import drop_staged, stage
 
 TREES, DEPTH = 32, 8
@@ -143,7 +144,7 @@ def near_duplicates(
                     names=["key", "h", "node", "trees"],
                 )
 
-    signed = stage(rows.mapInArrow(sign, f"key {kind}, h bigint, node bigint, trees array<bigint>"), "signatures")
+    signed = stage(rows.mapInArrow(released(sign), f"key {kind}, h bigint, node bigint, trees array<bigint>"), "signatures")
     classes = signed.where("node is not null").groupBy("node").agg(
         F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"), F.coalesce(F.min_by("h", "key"), F.min("h")).alias("w_h")
     )

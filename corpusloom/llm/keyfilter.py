@@ -7,6 +7,7 @@ that has one. Joins behind it are right whatever it lets pass, and without use i
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,11 +30,11 @@ def key_filter(keys: DataFrame, key: str):
     """
     ship(keys)
 
-    @F.pandas_udf("array<bigint>")
-    def bits(values):
-        import pandas as pd
-
-        return pd.Series(list(np.stack(_places(values.to_numpy()), axis=1).astype(np.int64)))
+    @F.arrow_udf("array<bigint>")
+    def bits(values: pa.Array) -> pa.Array:
+        places = np.stack(_places(values.to_numpy()), axis=1).astype(np.int64)
+        starts = np.arange(len(values) + 1, dtype=np.int32) * HASHES
+        return pa.ListArray.from_arrays(pa.array(starts), pa.array(places.ravel()))
 
     bit = keys.where(F.col(key).isNotNull()).select(F.explode(bits(F.col(key))).alias("bit"))
     words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(
@@ -44,17 +45,15 @@ def key_filter(keys: DataFrame, key: str):
     filled[table["word"].to_numpy()] = table["set"].to_numpy().view(np.uint64)
     shared = keys.sparkSession.sparkContext.broadcast(filled)
 
-    @F.pandas_udf("boolean")
-    def contains(values):
-        import pandas as pd
-
+    @F.arrow_udf("boolean")
+    def contains(values: pa.Array) -> pa.Array:
         known = shared.value
         # Null keys have no partner.
-        plain = values.fillna(0).to_numpy().astype(np.int64)
-        hit = values.notna().to_numpy()
+        plain = values.fill_null(0).to_numpy().astype(np.int64)
+        hit = values.is_valid().to_numpy(zero_copy_only=False)
         for place in _places(plain):
             hit = hit & ((known[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
-        return pd.Series(hit)
+        return pa.array(hit)
 
     def may(column: str) -> Column:
         return contains(F.col(column))

@@ -25,6 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from corpusloom.llm.encode import encoder
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import text_slices
+from corpusloom.llm.workers import released
 
 POOL = 512
 SEQUENCE_BITS = 33
@@ -218,7 +219,7 @@ def pack_documents(
 
         yield from _run(examples(), Packer(limits, cut=True), key, kind)
 
-    return df.select(key, text).mapInArrow(run, _schema(df, key))
+    return df.select(key, text).mapInArrow(released(run), _schema(df, key))
 
 
 def pack_examples(
@@ -254,7 +255,7 @@ def pack_examples(
 
         yield from _run(examples(), Packer(limits, cut), key, kind)
 
-    return df.select(*columns).mapInArrow(run, _schema(df, key))
+    return df.select(*columns).mapInArrow(released(run), _schema(df, key))
 
 
 def _arrow_kind(df: DataFrame, key: str) -> pa.DataType:

@@ -24,10 +24,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from corpusloom.llm.hashing import SAMPLE_RANGE, sample_share
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import split_words, text_slices
+from corpusloom.llm.workers import at_end_of_task, released
 
 FEATURE_BITS = 18
 FEATURES = 1 << FEATURE_BITS
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 100_000
 _RIM = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -44,6 +45,7 @@ class QualityModel:
 
 
 _known: dict[str, tuple[int, ...]] = {}
+at_end_of_task(_known.clear)
 
 
 def _word_features(word: str) -> tuple[int, ...]:
@@ -214,7 +216,7 @@ def fit_quality_model(
             )
 
     # At most FEATURES + n_grades rows.
-    table = sample.mapInArrow(fit, "place bigint, value double").toArrow()
+    table = sample.mapInArrow(released(fit), "place bigint, value double").toArrow()
     weights, thresholds = np.zeros(FEATURES), np.full(n_grades - 1, -np.inf)
     place, value = table["place"].to_numpy(), table["value"].to_numpy()
     weights[place[place >= 0]] = value[place >= 0]
@@ -232,20 +234,23 @@ def score_quality(df: DataFrame, text: str, model: QualityModel, keep_above: flo
     ship(df)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<expected_grade:double,p_top:double>")
-    def score(texts):
-        import pandas as pd
-
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = shared.value
-        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
-        found = []
-        for part in text_slices(batch, "text"):
-            rows, features, words = text_features(part.column(0), known.weights != 0)
-            scores = np.bincount(rows, weights=known.weights[features], minlength=part.num_rows)
-            above = known.probabilities(scores) * (words > 0)[:, None]
-            found.append(np.stack([above.sum(axis=1), above[:, -1]], axis=1))
-        both = np.concatenate(found) if found else np.zeros((0, 2))
-        return pd.DataFrame({"expected_grade": both[:, 0], "p_top": both[:, 1]})
+        wanted = known.weights != 0
+        for texts in batches:
+            batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+            found = [np.zeros((0, 2))]
+            for part in text_slices(batch, "text"):
+                rows, features, words = text_features(part.column(0), wanted)
+                score = np.bincount(rows, weights=known.weights[features], minlength=part.num_rows)
+                above = known.probabilities(score) * (words > 0)[:, None]
+                found.append(np.stack([above.sum(axis=1), above[:, -1]], axis=1))
+            both = np.concatenate(found)
+            yield pa.StructArray.from_arrays([both[:, 0], both[:, 1]], names=["expected_grade", "p_top"])
+
+    @F.arrow_udf("struct<expected_grade:double,p_top:double>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from released(scores)(batches)
 
     scored = df.withColumn("quality", score(F.col(f"`{text}`")))
     return scored.withColumn(

@@ -35,6 +35,7 @@ from corpusloom.llm.hashing import SpanHashes, mix, word_hashes
 from corpusloom.llm.keyfilter import key_filter
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import split_words, text_slices
+from corpusloom.llm.workers import released
 from corpusloom.sources.store import drop_staged, stage
 
 WINDOW = 13
@@ -191,7 +192,7 @@ def remove_repeats(
             )
 
     # ``anchor`` is the name of a decided row, which repeats a smaller key.
-    found = usable.select("key", "text").mapInArrow(anchors, "name bigint, key bigint, shared boolean, anchor bigint")
+    found = usable.select("key", "text").mapInArrow(released(anchors), "name bigint, key bigint, shared boolean, anchor bigint")
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # A window sorts once and keeps rows as they are; a name has a row for each batch of input at most.
     of_name = W.partitionBy("name")
@@ -271,7 +272,7 @@ def remove_repeats(
             ones = np.flatnonzero(first)
             yield from out(k[ones], name[ones], place[ones], np.zeros(len(ones), np.int64), h1[ones], h2[ones])
 
-    told = marked.mapInArrow(windows, "key bigint, name bigint, place int, length int, h1 bigint, h2 bigint")
+    told = marked.mapInArrow(released(windows), "key bigint, name bigint, place int, length int, h1 bigint, h2 bigint")
     # A length says that the span is certain; rows to compare have none.
     met = (
         told.repartition(parts, "h1")
@@ -317,4 +318,4 @@ def remove_repeats(
                 )
 
     schema = f"key bigint, text string, kept string, n_words bigint, n_removed bigint, rest {rest_type}"
-    return cut.mapInArrow(cut_out, schema).unionByName(whole.mapInArrow(cut_out, schema))
+    return cut.mapInArrow(released(cut_out), schema).unionByName(whole.mapInArrow(released(cut_out), schema))
