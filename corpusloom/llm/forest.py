@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.llm.hashing import SAMPLE_RANGE, sample_share
 from corpusloom.llm.shipping import ship
@@ -24,7 +25,9 @@ from corpusloom.sources.store import stage
 CHUNK_ROWS = 1_024
 QUERY_ROWS = 1_024
 PROBES = 64
-PROBE_BATCH = 65_536
+#: Values of a chunk of vectors at most; hits that a task holds before it cuts them to k a query.
+CHUNK_VALUES = 1 << 20
+HELD_HITS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -117,16 +120,23 @@ def nearest_neighbours(
     ``sample_rows`` bounds the vectors that the cuts are fitted on (by a hash of key and vector); every vector is
     indexed. Leaves grow with the data beyond ``sample_rows / 8`` of them. A leaf, whatever its size
     (equal vectors share one), is worked on in chunks of ``CHUNK_ROWS`` vectors by ``QUERY_ROWS`` queries.
-    Unusable vectors (see :func:`usable`) and null keys take no part; all vectors must have one
-    length. Rows that repeat a key are one candidate for each different score, and as queries give
+    Unusable vectors (see :func:`usable`) and null keys take no part; vectors of several lengths, and keys that
+    are not whole numbers, are an error. Other columns are not read. Rows that repeat a key are one candidate for each different score, and as queries give
     the neighbours of one of them; a query is not its own neighbour, by key.
     """
     ship(df)
-    rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<float>").alias("v"), is_query.alias("query")).where(
-        usable(vector) & F.col(key).isNotNull()
-    )
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"keys have to be whole numbers, not {df.schema[key].dataType.simpleString()}")
+    # Floats are the same numbers in double precision; anything else is scored as double from the start.
+    kind_of = df.schema[vector].dataType.elementType
+    element = "float" if isinstance(kind_of, T.FloatType) else "double"
+    rows = df.select(
+        F.col(key).alias("id"), F.col(vector).cast(f"array<{element}>").alias("v"), is_query.alias("query")
+    ).where(usable(vector) & F.col(key).isNotNull())
     hashed = F.pmod(F.xxhash64("id", "v"), F.lit(SAMPLE_RANGE))
-    n, least = rows.agg(F.count(F.lit(1)), F.min(hashed)).first()
+    n, least, shortest, dims = rows.agg(F.count(F.lit(1)), F.min(hashed), F.min(F.size("v")), F.max(F.size("v"))).first()
+    if shortest != dims:
+        raise ValueError(f"vectors have to be of one length; there are some of {shortest} and of {dims}")
     # Equal rows share a hash; the limit holds where they are many.
     sampled = rows.where(hashed < sample_share(n, sample_rows, least)).orderBy("id", hashed).limit(max(1, 2 * sample_rows)).select("v")
     sample = _matrix(sampled.toArrow().column(0).combine_chunks())
@@ -169,7 +179,8 @@ def nearest_neighbours(
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    placed = f"tree int, leaf bigint, id {kind}, v array<float>"
+    placed = f"tree int, leaf bigint, id {kind}, v array<{element}>"
+    within = max(1, CHUNK_VALUES // (dims or 1))
     # Chunks by a hash of key and row number, so a repeated key is spread: as many as the leaf's count
     # needs. Leaves are a bounded number.
     def chunked(found: DataFrame, size: int, name: str) -> DataFrame:
@@ -187,13 +198,14 @@ def nearest_neighbours(
             .select("tree", "leaf", "chunk", F.col("x.id").alias("ids"), F.flatten("x.v").alias("flat"))
         )
 
-    held = chunked(rows.select("id", "v").mapInArrow(place, placed), CHUNK_ROWS, "leaves")
-    asked = chunked(rows.where("query").select("id", "v").mapInArrow(ask, placed), QUERY_ROWS, "asked")
+    held = chunked(rows.select("id", "v").mapInArrow(place, placed), min(CHUNK_ROWS, within), "leaves")
+    asked = chunked(rows.where("query").select("id", "v").mapInArrow(ask, placed), min(QUERY_ROWS, within), "asked")
     met = held.drop("chunk").join(
         asked.select("tree", "leaf", F.col("ids").alias("q_ids"), F.col("flat").alias("q_flat")), ["tree", "leaf"]
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, flat, q_ids, q_flat = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (2, 3, 4, 5))
@@ -203,10 +215,17 @@ def nearest_neighbours(
                 ids, x = ids[order], x[order]
                 for start in range(0, len(q), 128):
                     some = slice(start, start + 128)
-                    yield _best(q_ids[some], q[some], ids, x, k)
+                    held.append(_best(q_ids[some], q[some], ids, x, k))
+                if sum(h.num_rows for h in held) > HELD_HITS:
+                    held = [_k_best(held, k)]
+                    if held[0].num_rows > HELD_HITS // 2:
+                        # Very many queries: theirs go on, and the task begins anew.
+                        yield held.pop()
+        if held:
+            yield _k_best(held, k)
 
     hits = met.mapInArrow(score, "query_id bigint, vec_id bigint, score double")
-    # Cut to k inside each task, then for each query, without a list; equal hits (of several trees) have one rank.
+    # Each task sends k hits for a query, however many leaves of it the task met; then the k best of them.
     rank = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     best = hits.withColumn("rank", rank).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score").distinct()
@@ -238,6 +257,20 @@ def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: i
     )
 
 
+def _k_best(found: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
+    """The k best hits of each query, ties to the smaller id; a hit that several trees found counts once."""
+    batch = pa.concat_batches(found)
+    query, ids, score = (batch.column(c).to_numpy() for c in range(3))
+    order = np.lexsort((ids, -score, query))
+    query, ids, score = query[order], ids[order], score[order]
+    again = (query[1:] == query[:-1]) & (ids[1:] == ids[:-1]) & (score[1:] == score[:-1])
+    order = order[np.concatenate(([True], ~again))[: len(order)]]
+    query = batch.column(0).to_numpy()[order]
+    opens = np.concatenate(([True], query[1:] != query[:-1]))[: len(query)]
+    place = np.arange(len(query)) - np.maximum.accumulate(np.where(opens, np.arange(len(query)), 0))
+    return batch.take(pa.array(order[place < k]))
+
+
 def _leaves_for(rows: DataFrame, forest: Forest, norm: float, k: int, recall: float) -> int:
     """How many leaves bring the probes to ``recall`` of their true neighbours, found by a scan."""
     probes = rows.orderBy(F.xxhash64("id"), "id").select("id", "v").limit(PROBES).toArrow()

@@ -47,10 +47,10 @@ def _letters() -> np.ndarray:
 def trigram_buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket of each trigram, first trigram of each text, whether the text has a letter).
 
-    Texts are lower-cased; whatever is no letter is a blank, and blanks stand at both ends, so
-    every text has a trigram and none reaches into the next text.
+    Texts are lower-cased; whatever is no letter is a blank, and two blanks stand before a text and one behind, so
+    every text has a trigram, and what reaches beyond its end meets the next text's blanks alone.
     """
-    framed = [" " + (t or "").lower() + "  " for t in texts]
+    framed = ["  " + (t or "").lower() + " " for t in texts]
     sizes = np.fromiter(map(len, framed), dtype=np.int64, count=len(framed))
     codes = np.frombuffer(("".join(framed) + "  ").encode("utf-32-le"), dtype=np.uint32)
     letter = _letters()[codes]

@@ -25,6 +25,7 @@ from corpusloom.llm.hashing import SAMPLE_RANGE, sample_share
 from corpusloom.llm.shipping import ship
 from corpusloom.llm.words import split_words, text_slices
 from corpusloom.llm.workers import at_end_of_task, released
+from corpusloom.sources.store import drop_staged, stage
 
 FEATURE_BITS = 18
 FEATURES = 1 << FEATURE_BITS
@@ -177,25 +178,31 @@ def fit_quality_model(
 ) -> QualityModel:
     """Learn from ``ratings`` (key, grade from 0 to ``n_grades`` - 1) of the texts in ``docs``.
 
-    ``max_fit_rows`` bounds how many rated keys are learned from, about, by a hash of the key; they are
-    the only side broadcast. Null keys, grades and texts teach nothing. Without ratings the model
+    ``max_fit_rows`` bounds, about, how many rated keys are learned from, by a hash of the key, and then how many
+    rows, by a hash of key, grade and text. The chosen keys with their grades (``n_grades`` for a key at
+    most) are the only side broadcast. Ratings that repeat key and grade, and rows that repeat key and text, count
+    once; a key with several grades teaches each. Null keys, grades and texts teach nothing. Without ratings the model
     gives every text the top grade.
     """
     ship(docs)
     rated = ratings.select(F.col(key).alias("r_key"), F.col(grade).cast("int").alias("grade")).where(
         f"r_key is not null and grade between 0 and {n_grades - 1}"
-    )
+    ).distinct()
     hashed = F.pmod(F.xxhash64("r_key"), F.lit(SAMPLE_RANGE))
-    n, least = rated.agg(F.count(F.lit(1)), F.min(hashed)).first()
+    n, least = rated.agg(F.count_distinct("r_key"), F.min(hashed)).first()
     chosen = rated.where(hashed < sample_share(n, max_fit_rows, least))
-    sample = (
+    met = (
         docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
         .where("text is not null")
         .join(F.broadcast(chosen), F.col("k") == F.col("r_key"))
-        .select("k", "grade", "text")
-        .repartition(1)
-        .sortWithinPartitions("k", "grade", "text")
+        .select("k", "grade", "text", F.pmod(F.xxhash64("k", "grade", "text"), F.lit(SAMPLE_RANGE)).alias("h"))
+        .distinct()
     )
+    met = stage(met, "rated-texts")
+    # One key may have any number of texts.
+    n, least = met.agg(F.count(F.lit(1)), F.min("h")).first()
+    sample = met.where(F.col("h") < sample_share(n, 2 * max_fit_rows, least)).select("k", "grade", "text")
+    sample = sample.repartition(1).sortWithinPartitions("k", "grade", "text")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, features, grades, base = [], [], [], 0
@@ -217,6 +224,7 @@ def fit_quality_model(
 
     # At most FEATURES + n_grades rows.
     table = sample.mapInArrow(released(fit), "place bigint, value double").toArrow()
+    drop_staged(met)
     weights, thresholds = np.zeros(FEATURES), np.full(n_grades - 1, -np.inf)
     place, value = table["place"].to_numpy(), table["value"].to_numpy()
     weights[place[place >= 0]] = value[place >= 0]
