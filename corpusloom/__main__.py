@@ -1,9 +1,10 @@
-"""Jobs for spark-submit: ``count`` tokens, build the ``pretrain`` mixture, build ``sft`` text.
+"""Jobs for spark-submit: ``count`` tokens, build the ``pretrain`` mixture, build ``sft`` text or examples.
 
     python -m corpusloom count --path 'data/web/part-0[0-1]*.parquet' --field content \\
         --min-score 0.85
     python -m corpusloom pretrain --sources sources.json --out blocks --seq-len 1024
     python -m corpusloom sft --path data/chat --format jsonl --out rendered
+    python -m corpusloom sft --path data/chat --out examples --max-length 1024 --tokenizer words
 
 ``sources.json`` lists the sources in order, each an object with ``name``, ``path`` and
 optionally ``format``, ``text``, ``score`` and ``instruct``.
@@ -15,11 +16,14 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from corpusloom.functions.chatml import TURN_START
 from corpusloom.functions.tokenizers import BYTES, WORDS, bpe_from_json
 from corpusloom.operators.quality import score_filter
 from corpusloom.operators.render import chat_prompt_response
 from corpusloom.operators.tokens import token_report, total_tokens
+from corpusloom.plans.finetune import sft_examples
 from corpusloom.plans.pretrain import CorpusSource, pretrain_mixture
 from corpusloom.session import build_session
 from corpusloom.sources.scan import INSTRUCT, ROW_KEY, scan_jsonl, scan_parquet
@@ -78,7 +82,13 @@ def pretrain(spark: SparkSession, args) -> None:
 def sft(spark: SparkSession, args) -> None:
     columns = [f.strip() for f in INSTRUCT.replace(" STRING", "").split(",")]
     df = scan(spark, args.path, args.format, columns, row_key=True)
-    chat_prompt_response(df, [ROW_KEY], system=args.system).write.parquet(args.out)
+    rows = chat_prompt_response(df, [ROW_KEY], system=args.system)
+    if args.max_length is not None:
+        tokenizer = tokenizer_named(args.tokenizer)
+        marks = [tokenizer.tokens(F.lit(f"{TURN_START}{role}")) for role in ("user", "assistant")]
+        instruction, response = spark.range(1).select(*marks).first()
+        rows = sft_examples(rows, [ROW_KEY], args.max_length, instruction, response, tokenizer)
+    rows.write.parquet(args.out)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -110,6 +120,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--format", choices=["parquet", "jsonl"], default="jsonl")
     s.add_argument("--out", required=True)
     s.add_argument("--system")
+    s.add_argument("--max-length", type=int, help="write token ids, cut to this length, and labels instead of text")
+    s.add_argument("--tokenizer", default="words")
     s.set_defaults(run=sft)
     return p
 

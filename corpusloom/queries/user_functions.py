@@ -35,13 +35,15 @@ def _(spark, sf):
     """Batches of 100 documents in order, packed by a user function."""
 
     def blocks(batch):
-        tokens = [token for ids in batch["input_ids"] for token in ids]
-        whole = len(tokens) // 128 * 128 if len(tokens) >= 128 else len(tokens)
-        starts = range(0, whole, 128)
+        # The token at place p of its batch belongs to block p // 128, which counts if it is full or the only one.
+        found = {}
+        for p, token in enumerate(token for ids in batch["input_ids"] for token in ids):
+            found.setdefault(p // 128, []).append(token)
+        kept = {n: block for n, block in found.items() if len(block) == 128 or len(found) == 1}
         return {
-            "batch_id": [batch["batch_id"][0]] * len(starts),
-            "block_id": [start // 128 for start in starts],
-            "input_ids": [" ".join(tokens[start : start + 128]) for start in starts],
+            "batch_id": [batch["batch_id"][0]] * len(kept),
+            "block_id": list(kept),
+            "input_ids": [" ".join(block) for block in kept.values()],
         }
 
     ids = tokenize(t.documents(spark, sf), "text", ["doc_id"])
