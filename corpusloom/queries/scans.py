@@ -131,7 +131,7 @@ def _(spark, sf):
     f"""WITH {t.KEPT_SQL} SELECT doc_id, CAST(len({t.words_sql("content")}) AS INTEGER) AS num_tokens FROM kept""",
 )
 def _(spark, sf):
-    stream = stream_source(spark, sf, "parquet", t.DOCUMENTS, glob="documents.parquet")
+    stream = stream_source(spark, f"{sf}/documents.parquet", "parquet", t.DOCUMENTS)
     scored = stream.select(
         "doc_id",
         F.col("text").alias("content"),
@@ -149,7 +149,7 @@ def _(spark, sf):
 FROM documents GROUP BY source""",
 )
 def _(spark, sf):
-    stream = stream_source(spark, sf, "parquet", t.DOCUMENTS, glob="documents.parquet")
+    stream = stream_source(spark, f"{sf}/documents.parquet", "parquet", t.DOCUMENTS)
     totals = running_totals(stream, "text", ["source"])
     out = shared_path(spark, "totals")
     drain_totals(totals, f"{out}/rows", f"{out}/progress")

@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.session import shared_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(target) and files.getFileStatus(target).isFile()
+
+
 def _only_unfinished(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds nothing but what a write that did not finish leaves."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -30,9 +36,9 @@ def materialize_or_reuse(
     rebuilt and ``build`` is not even called for a finished one. A folder without the mark that
     holds anything else than an unfinished write's is not ours, and is left alone with an error.
     """
-    if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+    if not exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         mode = "errorifexists"
-        if _exists(spark, path):
+        if exists(spark, path):
             if not _only_unfinished(spark, path):
                 raise FileExistsError(f"{path} holds files that no unfinished write left there")
             mode = "overwrite"

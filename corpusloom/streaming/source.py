@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.tokenizers import WORDS
+from corpusloom.sources.store import exists, is_file
 
 
 def stream_source(
@@ -21,7 +22,11 @@ def stream_source(
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Files below ``root`` as a stream; new files arrive as new rows."""
+    """Files below ``root`` as a stream; new files arrive as new rows. ``root`` may be one file, as a table may be one
+    or a folder of them. ``glob`` is matched with the names of files, not of folders."""
+    if is_file(spark, root):
+        # A stream takes folders or globs, so the file is named by a glob of its own.
+        root = f"{root[:-1]}[{root[-1]}]"
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -71,7 +76,9 @@ def drain_totals(totals: DataFrame, path: str, checkpoint: str) -> None:
 
 def read_totals(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The totals of the last epoch that is there. Totals never lose a row, so every epoch but an empty
-    stream's has some."""
+    stream's has some. A stream that no file has reached has no epoch, and no totals."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
     epochs = spark.read.schema(T.StructType([*schema, T.StructField("epoch", T.LongType())])).parquet(path)
     last = epochs.agg(F.max("epoch")).first()[0]
     return epochs.where(F.col("epoch").eqNullSafe(last)).drop("epoch")

@@ -1,11 +1,16 @@
 """Streamed packing against packing of the whole table, over triggers, restarts and failures."""
 
+import os
 import random
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.packing import pack
+from corpusloom.queries import tables as t
+from corpusloom.queries.scans import R
 from corpusloom.streaming.packing import open_blocks, pack_stream
 from corpusloom.streaming.source import drain_to_parquet, stream_source
 
@@ -106,3 +111,22 @@ def test_string_keys_and_sources_of_several_columns(spark, tmp_path):
     drain_to_parquet(blocks, f"{root}/blocks", f"{root}/progress")
     found = streamed(spark, root, blocks.schema, 8, ["input_ids"])
     assert found == whole(spark, rows_of(60, seed=5), 8, 7, ["input_ids"])
+
+
+@pytest.mark.parametrize("parts", [0, 1, 3])
+def test_streamed_queries_of_a_table_in_a_folder(spark, tmp_path, parts):
+    """A table is one file or a folder of files; both come whole, and totals of no rows are none."""
+    rows = [(i, "a b" if i % 2 else "c", "en", f"s{i % 3}", 3) for i in range(202)]
+    root = f"{tmp_path}/documents.parquet"
+    if parts == 1:
+        pq.write_table(pa.Table.from_pylist([dict(zip(("doc_id", "text", "lang", "source", "n_chars"), r)) for r in rows]), root)
+    elif parts:
+        spark.createDataFrame(rows, t.DOCUMENTS).repartition(parts).write.parquet(root)
+    else:
+        os.mkdir(root)
+    totals = R.queries["stream_running_totals"](spark, str(tmp_path)).collect()
+    here = rows if parts else []
+    expected = {(s, len(n), sum(n)) for s in ("s0", "s1", "s2") if (n := [len(r[1].split()) for r in here if r[3] == s])}
+    assert sorted(map(tuple, totals)) == sorted(expected)
+    kept = R.queries["stream_source"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, kept)) == [(r[0], len(r[1].split())) for r in here if r[0] * 37 % 101 >= 85]
