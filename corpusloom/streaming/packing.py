@@ -8,6 +8,7 @@ checkpoint with nothing lost and nothing twice.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,8 @@ def pack_stream(
 
     ``by`` names the columns that tell sources apart (null is one of its own). A source is one sequence, so it is
     packed by one task per micro-batch; of a large one, make a column of its shards part of ``by``.
-    A micro-batch's rows of a source are sorted by ``order`` in that task: the trigger's limit on files or bytes is the
-    bound of its memory. Keys have to rise from one micro-batch to the next, and null, repeated or late
+    A micro-batch's rows of a source are sorted by ``order`` in that task, lists of strings as one JSON text each, which
+    takes a tenth of what Python strings do: the trigger's limit on files or bytes is the bound of its memory. Keys have to rise from one micro-batch to the next, and null, repeated or late
     keys are refused, as all that goes by position does. Null lists are empty.
 
     What the last, unfinished batch of a source would give as its one short block is not in the stream, since
@@ -52,8 +53,14 @@ def pack_stream(
          T.StructField("last_key", schema[order].dataType), *lists]
     )
 
+    texts = {c for c in columns if schema[c].dataType == T.ArrayType(T.StringType(), schema[c].dataType.containsNull)}
+
     # Workers get these functions by value: they need no package.
-    def joined(tail, lists: pd.Series) -> np.ndarray:
+    def joined(tail, column: str, lists: pd.Series) -> np.ndarray:
+        if column in texts:
+            # Strings are made when their batch is packed.
+            rows = (np.array(json.loads(x), dtype=object) for x in lists if x is not None)
+            return np.concatenate([np.array(tail, dtype=object), *rows])
         parts = [np.asarray(x) for x in (tail, *lists) if x is not None and len(x)]
         return np.concatenate(parts) if parts else np.zeros(0, dtype=object)
 
@@ -73,7 +80,7 @@ def pack_stream(
         at = 0
         while at < len(rows):
             stop = min(len(rows), at + batch_rows - row)
-            flat = [joined(tail, rows[c].iloc[at:stop]) for tail, c in zip(tails, columns)]
+            flat = [joined(tail, c, rows[c].iloc[at:stop]) for tail, c in zip(tails, columns)]
             row += stop - at
             at = stop
             full = len(flat[0]) // seq_len
@@ -93,7 +100,7 @@ def pack_stream(
         last = keys.iloc[-1]
         state.update((batch, row, block, last.item() if hasattr(last, "item") else last, *(t.tolist() for t in tails)))
 
-    wanted = stream.select(*by, order, *columns)
+    wanted = stream.select(*by, order, *[F.to_json(c).alias(c) if c in texts else c for c in columns])
     return wanted.groupBy(*by).applyInPandasWithState(advance, result, kept, "append", GroupStateTimeout.NoTimeout)
 
 
