@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+# Work on the words of a slice takes some twenty times its bytes.
+SLICE_BYTES = 2 << 20
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
