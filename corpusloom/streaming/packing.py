@@ -36,9 +36,10 @@ def pack_stream(
 
     ``by`` names the columns that tell sources apart (null is one of its own). A source is one sequence, so it is
     packed by one task per micro-batch; of a large one, make a column of its shards part of ``by``.
-    A micro-batch's rows of a source are sorted by ``order`` in that task, lists of strings as one JSON text each, which
-    takes a tenth of what Python strings do: the trigger's limit on files or bytes is the bound of its memory. Keys have to rise from one micro-batch to the next, and null, repeated or late
-    keys are refused, as all that goes by position does. Null lists are empty.
+    A micro-batch's rows of a source are sorted by ``order`` in that task, a list of strings as one JSON text, which
+    takes much less than Python strings do: the trigger's limit on files or bytes is the bound of its memory. Keys have
+    to rise from one micro-batch to the next, and null, repeated or late keys are refused, as all that goes by position
+    does. Null lists are empty.
 
     What the last, unfinished batch of a source would give as its one short block is not in the stream, since
     further rows may come: :func:`open_blocks` reads it from the state.
