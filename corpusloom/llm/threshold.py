@@ -120,7 +120,8 @@ def top_products(
         F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("flat").alias("q_flat"),
         F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
     )
-    met = held.join(asked, "block").select("ids", "flat", "q_ids", "q_flat", "block")
+    # Spark sizes the queries by their files, as they are before each block gets a copy, and would broadcast them.
+    met = asked.hint("merge").join(held, "block").select("ids", "flat", "q_ids", "q_flat", "block")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, lists = None, None

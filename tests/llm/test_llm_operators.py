@@ -543,6 +543,21 @@ def test_pipeline_rows_against_plain_stages(spark, tmp_path):
     packed_places(pipeline.run(spark, sf).collect(), kept)
 
 
+def test_queries_copied_to_blocks_are_not_broadcast(spark):
+    """Their file is small, the copies for all blocks of candidates are not: they are shuffled."""
+    rows = [(i, [i % 7, i % 5, 1]) for i in range(400)]
+    df = spark.createDataFrame(rows, "k bigint, v array<bigint>")
+    found = threshold.top_products(df, "k", "v", F.col("k") < 2, k=3, block_rows=8)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    got = sorted(map(tuple, found.collect()))
+    want = []
+    for q in range(2):
+        scores = sorted((-sum(a * b for a, b in zip(rows[q][1], v)), i) for i, v in rows if i != q)
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:3], 1)]
+    assert got == want
+
+
 def test_ids_are_made_in_little_memory():
     """What a worker holds beside a batch of 9 MB of text; slices of 8 MB took 67 MB here."""
     encode = WordEncoder(queries.tokenizer_file())
