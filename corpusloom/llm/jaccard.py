@@ -153,7 +153,8 @@ def near_duplicates(
     trees = signed.where("node is not null").groupBy("node").agg(F.first("trees").alias("trees"))
     met = trees.select("node", F.explode("trees").alias("bucket"))
     shared = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    groups = components(met.join(shared, "bucket"), "node", "bucket")
+    # Spark takes an exploded table for no larger than before, and would broadcast it.
+    groups = components(met.hint("merge").join(shared, "bucket"), "node", "bucket")
 
     # A group's texts go to blocks, and every pair of blocks to a task with both.
     sizes = stage(groups.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("blocks")), "group-sizes")
@@ -220,7 +221,7 @@ def near_duplicates(
         "known",
     )
     drop_staged(classes, sizes, placed, found, nodes)
-    known = known.withColumn("k_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = known.withColumn("k_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     # A class may hold a large share of the rows: its rows are spread over salts.
     salted = signed.select("key", "node", F.pmod(F.xxhash64("h", F.monotonically_increasing_id()), F.lit(SALTS)).cast("int").alias("salt"))
     out = salted.join(known, (F.col("node") == F.col("k_node")) & (F.col("salt") == F.col("k_salt")), "left")

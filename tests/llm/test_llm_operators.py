@@ -558,6 +558,26 @@ def test_queries_copied_to_blocks_are_not_broadcast(spark):
     assert got == want
 
 
+def test_copies_for_salts_and_bands_are_not_broadcast(spark, monkeypatch):
+    """An exploded table is sized as before it: the copies of classes for salts, and bands of texts, are shuffled."""
+    plans, kept = [], jaccard.components
+
+    def planned(members, *names):
+        plans.append(members._jdf.queryExecution().executedPlan().toString())
+        return kept(members, *names)
+
+    monkeypatch.setattr(jaccard, "components", planned)
+    base = [words(60) for _ in range(5)]
+    rows = [(i, " ".join([*base[i % 5][:-1], f"new{i}"])) for i in range(20)] + [(20, "alone"), (21, None), (None, "alone")]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "k bigint, t string"), "k", "t")
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    for plan in (plans[0], plans[-1]):
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    got = {(r.k, r.class_id, r.n_links) for r in found.collect()}
+    want = {(i, i % 5, 3) for i in range(20)} | {(20, 20, 1), (21, 21, 0), (None, 20, 1)}
+    assert got == want
+
+
 def test_ids_are_made_in_little_memory():
     """What a worker holds beside a batch of 9 MB of text; slices of 8 MB took 67 MB here."""
     encode = WordEncoder(queries.tokenizer_file())
